@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, line_dedup
 
 QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 
 ORACLE_SQL = {
     "op5_exact_dedup": exact_dedup.ORACLE,
+    "op9_line_dedup": line_dedup.ORACLE,
 }
