@@ -135,7 +135,8 @@ def exact_groups(docs: DataFrame, primes: tuple[int, ...] = PRIMES, bases: tuple
     turned = None  # rows whose text differs from that of their fingerprint's first row, with the round that took them
     turn = 0
     while not open_rows.isEmpty():
-        held = texts.join(open_rows, same(texts, open_rows, ["doc_id", "row_key"])).select(open_rows["doc_id"], open_rows["row_key"], *key, "first", "text")
+        # A merge join at every size: a list of rows that happens to be small would be broadcast, and larger ones not.
+        held = texts.join(open_rows.hint("merge"), same(texts, open_rows, ["doc_id", "row_key"])).select(open_rows["doc_id"], open_rows["row_key"], *key, "first", "text")
         stream = held.select("doc_id", "row_key", *key, "first", F.posexplode(_cut(_normal(F.col("text")), chunk)).alias("i", "piece"))
         is_first = F.struct("doc_id", "row_key").eqNullSafe(F.col("first"))
         heads = stream.where(is_first).select(*key, "i", F.col("piece").alias("head")).dropDuplicates([*key, "i"])
