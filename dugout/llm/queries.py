@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup
+from . import exact_dedup, line_dedup, minhash_dedup
 
 QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op9_line_dedup": line_dedup.op9_line_dedup,
+    "op10_minhash_near_dedup": minhash_dedup.op10_minhash_near_dedup,
 }
 
 ORACLE_SQL = {
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
+    "op10_minhash_near_dedup": minhash_dedup.ORACLE,
 }
