@@ -141,7 +141,7 @@ def dedup_lines(docs: DataFrame, min_points: int = MIN_POINTS, min_docs: int = M
     """docs with text_kept, n_lines (before dropping) and n_dropped; it needs columns doc_id and text."""
     gone = dropped_keys(plain(docs, doc_id="doc_id", text="text"), min_points, min_docs, batches, fanout)
     gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("dropped").alias("_gone"))
-    joined = docs.join(gone, docs["doc_id"] == gone["_gone_id"], "left").drop("_gone_id")
+    joined = docs.join(gone.hint("merge"), docs["doc_id"] == gone["_gone_id"], "left").drop("_gone_id")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
