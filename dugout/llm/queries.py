@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, minhash_dedup
+from . import chat_format, exact_dedup, line_dedup, minhash_dedup, secrets
 
 QUERIES = {
+    "op3_secret_scan": secrets.op3_secret_scan,
+    "op4_chat_format": chat_format.op4_chat_format,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_minhash_near_dedup": minhash_dedup.op10_minhash_near_dedup,
 }
 
 ORACLE_SQL = {
+    "op4_chat_format": chat_format.ORACLE,
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
     "op10_minhash_near_dedup": minhash_dedup.ORACLE,
