@@ -82,3 +82,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
+
+
+def n_tokens(text):
+    """Words: runs of signs other than white space; none in null. The length that mixing and packing go by."""
+    from pyspark.sql import functions as F
+
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

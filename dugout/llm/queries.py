@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import ann_search, chat_format, exact_dedup, language_id, line_dedup, minhash_dedup, secrets
+from . import ann_search, chat_format, exact_dedup, language_id, line_dedup, minhash_dedup, mixing, packing, secrets
 
 QUERIES = {
+    "op2_temperature_mixing": mixing.op2_temperature_mixing,
     "op3_secret_scan": secrets.op3_secret_scan,
     "op4_chat_format": chat_format.op4_chat_format,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_ann_search": ann_search.op6_ann_search,
+    "op7_length_buckets": packing.op7_length_buckets,
     "op8_language_id": language_id.op8_language_id,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_minhash_near_dedup": minhash_dedup.op10_minhash_near_dedup,
