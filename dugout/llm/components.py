@@ -25,13 +25,13 @@ def _step(edges: DataFrame, large: bool) -> DataFrame:
 
 def connected_components(nodes: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, comp) for nodes(id) and links(a, b): comp is the least id that links reach from id, itself included."""
-    edges = scratch.save(links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct(), "edges")
-    before = None
+    edges, old, before = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v"), None, None
     while True:
-        after = scratch.save(_step(_step(edges, True), False), "edges")
-        state = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        scratch.drop(edges)
-        edges = after
+        edges = scratch.save(_step(_step(edges, True), False), "edges")
+        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if old is not None:
+            scratch.drop(old)
+        old = edges
         if state == before:
             break
         before = state

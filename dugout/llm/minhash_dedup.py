@@ -27,7 +27,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +41,7 @@ SLACK = 5.0
 #: Classes of a bucket that meet in one block.
 BLOCK = 4096
 #: The round from which on all remaining pairs are confirmed at once.
-LAST = 4
+LAST = 3
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -221,42 +220,81 @@ def _first_pairs(members: DataFrame, buckets: DataFrame, signed: DataFrame, leas
     return judged.groupBy("b").agg(F.max_by("a", F.struct("look", -F.col("a"))).alias("a")).select("a", "b")
 
 
+def _meet(rows: dict[str, np.ndarray], threshold: float, least: float, everything: bool) -> list[tuple[int, int, float, int]]:
+    """(a, b, look, component of a) of one block: its rows of side 0 against those of side 1."""
+    left, right = np.flatnonzero(rows["side"] == 0), np.flatnonzero(rows["side"] == 1)
+    if not len(left) or not len(right):
+        return []
+    ids, comps, size, in_rest = (rows[c][right] for c in ("id", "comp", "n_shingles", "rest"))
+    bits = rows["packed"][right]
+    cells = [_counts(rows["cells"][j]) for j in right]
+    found = []
+    for r in left:
+        i, n = rows["id"][r], rows["n_shingles"][r]
+        # Two of the rest meet once, seen from the larger id.
+        open_ = (comps != rows["comp"][r]) & (~in_rest | (ids < i)) & (np.minimum(size, n) >= threshold * np.maximum(size, n) - 1e-9)
+        at = np.flatnonzero(open_)
+        if not len(at):
+            continue
+        look = estimate(rows["packed"][r][None, :], bits[at])
+        at, look = at[look >= least], look[look >= least]
+        if not len(at):
+            continue
+        mine = _counts(rows["cells"][r])
+        most = np.array([np.minimum(cells[j], mine).sum(dtype=np.int64) for j in at])
+        can = most >= threshold * (size[at] + n - most) - 1e-9
+        at, look = at[can], look[can]
+        if everything:
+            found += [(ids[j], i, x, comps[j]) for j, x in zip(at, look, strict=True)]
+        else:
+            order = np.lexsort((ids[at], -look, comps[at]))
+            first = order[np.flatnonzero(np.diff(comps[at][order], prepend=comps[at][order][:1] - 1))]
+            found += [(ids[at[j]], i, look[j], comps[at[j]]) for j in first]
+    return found
+
+
 def _later_pairs(placed: DataFrame, threshold: float, least: float, everything: bool) -> DataFrame:
     """(a, b) across components: for each class and other component the best pair that may reach the threshold, or all.
 
     placed: (bucket, id, comp, packed, cells, n_shingles) of buckets with several components. Blocks of a bucket are
-    cut by size, so that no task holds more than two blocks.
+    cut by size; a task streams through its blocks and holds one of them at a time.
     """
     sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.max_by("comp", F.struct("n", "comp")).alias("main"))
     sized = placed.join(sizes, "bucket").withColumns({"blocks": F.ceil(F.col("n") / BLOCK).cast("int"), "rest": F.col("comp") != F.col("main")})
     sized = sized.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    numbers = F.sequence(F.lit(0), F.col("blocks") - 1)
-    columns = ["bucket", "id", "comp", "packed", "cells", "n_shingles"]
-    rest = sized.where("rest").select(*columns, F.col("block").alias("x"), F.explode(numbers).alias("y"))
-    every = sized.select(*columns, "rest", F.explode(numbers).alias("x"), F.col("block").alias("y")).toDF("of", "id", "comp", "packed", "cells", "n_shingles", "rest", "i", "j")
-
-    def meet(_: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"), "look": pd.Series(dtype="float64"), "comp": pd.Series(dtype="int64")})
-        unpack = lambda p: np.frombuffer(b"".join(p["packed"]), dtype=np.uint64).reshape(len(p), -1)
-        bits, ids, comps, size = unpack(right), right["id"].to_numpy(), right["comp"].to_numpy(), right["n_shingles"].to_numpy()
-        cells = np.stack([_counts(c).astype(np.uint32) for c in right["cells"]]) if max(map(len, right["cells"])) > CELLS else np.frombuffer(b"".join(right["cells"]), dtype=np.uint8).reshape(len(right), CELLS)
-        in_rest = right["rest"].to_numpy()
-        found = []
-        for i, comp, mine, held, n in zip(left["id"], left["comp"], unpack(left), left["cells"], left["n_shingles"], strict=True):
-            look = estimate(mine[None, :], bits)
-            # Two of the rest meet once, seen from the larger id.
-            at = np.flatnonzero((look >= least) & (comps != comp) & (~in_rest | (ids < i)) & (np.minimum(size, n) >= threshold * np.maximum(size, n) - 1e-9))
-            if len(at) == 0:
+    number, own = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), F.col("block")
+    columns = ["bucket", "id", "comp", "packed", "cells", "n_shingles", "rest"]
+    left = sized.where("rest").select(*columns, F.lit(0).alias("side"), own.alias("x"), number.alias("y"))
+    right = sized.select(*columns, F.lit(1).alias("side"), number.alias("x"), own.alias("y"))
+    dealt = left.unionByName(right).repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            rows = {c: table.column(c).to_numpy() for c in ("bucket", "x", "y", "side", "id", "comp", "n_shingles", "rest")}
+            rows["packed"] = np.frombuffer(b"".join(table.column("packed").to_pylist()), dtype=np.uint64).reshape(table.num_rows, -1)
+            rows["cells"] = np.array([*table.column("cells").to_pylist(), None], dtype=object)[:-1]
+            edges = np.flatnonzero((np.diff(rows["bucket"]) != 0) | (np.diff(rows["x"]) != 0) | (np.diff(rows["y"]) != 0)) + 1
+            found = []
+            for a, z in zip([0, *edges], [*edges, table.num_rows], strict=True):
+                found += _meet({c: v[a:z] for c, v in rows.items()}, threshold, least, everything)
+            cols = list(zip(*found, strict=True)) or [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int64()), strict=True)], names=["a", "b", "look", "comp"])
+
+        held = None  # rows of the block that is not complete yet
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            most = np.minimum(cells[at], _counts(held)[None, :]).sum(axis=1, dtype=np.int64)
-            at = at[most >= threshold * (size[at] + n - most) - 1e-9]
-            for c in np.unique(comps[at]):
-                own = at[comps[at] == c]
-                found += [(ids[j], i, look[j], c) for j in (own if everything else own[[np.lexsort((ids[own], -look[own]))[0]]])]
-        return pd.DataFrame(found, columns=["a", "b", "look", "comp"]).astype({"a": "int64", "b": "int64", "look": "float64", "comp": "int64"})
-
-    pairs = rest.groupBy("bucket", "x", "y").cogroup(every.groupBy("of", "i", "j")).applyInPandas(meet, "a long, b long, look double, comp long")
+            here = pa.Table.from_batches([batch])
+            held = here if held is None else pa.concat_tables([held, here])
+            key = [held.column(c).to_numpy() for c in ("bucket", "x", "y")]
+            last = np.flatnonzero(np.logical_or.reduce([k != k[-1] for k in key]))
+            if len(last):
+                yield from pairs(held.slice(0, last[-1] + 1))
+                held = held.slice(last[-1] + 1)
+        if held is not None and held.num_rows:
+            yield from pairs(held)
+
+    pairs = dealt.mapInArrow(stream, "a long, b long, look double, comp long")
     if everything:
         return pairs.select("a", "b").distinct()
     return pairs.groupBy("b", "comp").agg(F.max_by("a", F.struct("look", -F.col("a"))).alias("a")).select("a", "b")
@@ -284,7 +322,10 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     classes = scratch.save(known.groupBy("digest").agg(F.min_by(F.struct("doc_id", "n_shingles", "bands", "packed", "cells"), "doc_id").alias("r")).select(F.col("r.doc_id").alias("id"), "digest", "r.n_shingles", "r.bands", "r.packed", "r.cells"), "classes")
     banded = classes.select("id", F.explode("bands").alias("bucket"))
-    buckets = scratch.save(banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1"), "buckets")
+    # Buckets of the same classes, as the bands of near-copies have many, count once: their ids' hashes tell.
+    seals = [F.bit_xor(F.xxhash64(F.lit(i), "id")).alias(f"seal{i}") for i in (1, 2)]
+    buckets = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("leader"), *seals).where("n > 1")
+    buckets = scratch.save(buckets.groupBy("n", "leader", "seal1", "seal2").agg(F.min("bucket").alias("bucket")), "buckets")
     members = scratch.save(banded.join(buckets.select("bucket"), "bucket", "left_semi").distinct(), "members")
     met = members.select("id").distinct()
     signed = scratch.save(classes.join(met, "id", "left_semi").select("id", "packed", "cells", "n_shingles"), "signed")
