@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import ann_search, chat_format, exact_dedup, language_id, line_dedup, minhash_dedup, mixing, packing, secrets
+from . import ann_search, chat_format, exact_dedup, html_extract, language_id, line_dedup, minhash_dedup, mixing, packing, secrets
 
 QUERIES = {
+    "op1_html_extract": html_extract.op1_html_extract,
     "op2_temperature_mixing": mixing.op2_temperature_mixing,
     "op3_secret_scan": secrets.op3_secret_scan,
     "op4_chat_format": chat_format.op4_chat_format,
