@@ -82,11 +82,12 @@ def runner_events(plays: DataFrame) -> DataFrame:
     """A row for each steal, caught steal and run in a description: game_id, seq, kind, runner, to_base."""
     name = r"([A-Z][\w.'-]*(?: [A-Z][\w.'-]*)*)"
     kinds = (("steal", rf"{name} [Ss]teals (2nd|3rd|[Hh]ome)"), ("caught", rf"{name} [Cc]aught [Ss]tealing (2nd|3rd|[Hh]ome)"), ("run", rf"{name} [Ss]cores()"))
-    found = [
-        F.transform(F.arrays_zip(F.regexp_extract_all("description", F.lit(p), F.lit(1)).alias("r"), F.regexp_extract_all("description", F.lit(p), F.lit(2)).alias("b")), lambda x, k=k: F.struct(F.lit(k).alias("kind"), x["r"].alias("runner"), F.nullif(F.lower(x["b"]), F.lit("")).alias("to_base")))
-        for k, p in kinds
-    ]
-    rows = plays.select("game_id", "seq", F.inline(F.concat(*found)))
+
+    def found(kind: str, pattern: str) -> Column:
+        both = F.arrays_zip(F.regexp_extract_all("description", F.lit(pattern), F.lit(1)).alias("r"), F.regexp_extract_all("description", F.lit(pattern), F.lit(2)).alias("b"))
+        return F.transform(both, lambda x: F.struct(F.lit(kind).alias("kind"), x["r"].alias("runner"), F.nullif(F.lower(x["b"]), F.lit("")).alias("to_base")))
+
+    rows = plays.select("game_id", "seq", F.inline(F.concat(*(found(k, p) for k, p in kinds))))
     return rows.where(~F.lower("runner").isin("he", "him", "she", "they", "runner"))
 
 
