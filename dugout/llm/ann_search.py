@@ -29,8 +29,9 @@ PIVOTS, SAMPLE = 128, 4096
 POSTED, PROBED = 12, 12
 #: The cosine from which a pivot says no more than another one.
 ALIKE = 0.6
-#: Of a file's block, the share that is reranked, and the least number.
-SHARE, LEAST = 0.1, 64
+#: Of a file's block, the share that is reranked, the least number, and the share of the largest footrule distance
+#: within which all are: orders don't tell near-equal vectors apart.
+SHARE, LEAST, NEAR = 0.1, 64, 0.05
 BLOCK = 16384
 #: Bytes of differences of ranks held at once.
 WORK = 16 << 20
@@ -50,8 +51,15 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def choose_pivots(rows: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE, seed: int = 6) -> np.ndarray:
-    """Up to `pivots` vectors of those with the least hashes, in random order; near-equals of a chosen one come last."""
-    few = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(sample).select("v").collect()
+    """Up to `pivots` vectors of those with the least hashes, in random order; near-equals of a chosen one come last.
+
+    About `sample` rows come to the driver: the share of all that the hash of the id lets through, equal ones once.
+    """
+    n = rows.count()
+    share = min(1.0, sample / max(n, 1))
+    few = rows.where(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("v").distinct().collect()
+    if not few and n:  # so few rows that the share may let none through
+        few = rows.select("v").limit(sample).collect()
     if not few:
         return np.zeros((0, 0))
     width = pd.Series([len(r["v"]) for r in few]).mode()[0]
@@ -118,7 +126,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PI
                 own, far = np.frombuffer(r, dtype=np.int16), np.empty(len(x), dtype=np.int32)
                 for a in range(0, len(x), step):
                     far[a : a + step] = np.abs(ranks[a : a + step] - own).sum(axis=1, dtype=np.int32)
-                at = np.argpartition(far, most - 1)[:most]
+                edge = np.partition(far, most - 1)[most - 1]
+                at = np.flatnonzero(far <= max(edge, NEAR * ranks.shape[1] ** 2 / 2))
                 y = np.frombuffer(v, dtype=np.float64)
                 score = (x[at] * y).sum(axis=1) / (lengths[at] * np.sqrt((y * y).sum()))
                 # One entry may be the query alone; entries as near as the last one of these stay for the ties.
