@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, plain, slices, table
 
-#: Rows of each language that the models are fitted on, and the least a language needs for a model.
+#: Rows of each language that the models are fitted on, and the least a language needs for a model (unless none has more).
 SAMPLE, FEWEST = 400, 5
 BUCKETS = 1 << 14
 #: A trigram's weight in the likelihood, and the most trigrams' worth of evidence a text has.
@@ -44,6 +44,7 @@ SUFFIX_LANGUAGES = {
     "it": "it", "jp": "ja", "mx": "es", "nl": "nl", "nz": "en", "pe": "es", "pl": "pl", "pt": "pt", "ru": "ru", "se": "sv", "uk": "en", "us": "en",
 }
 
+
 _FOLD = np.full(256, 0x20, dtype=np.uint8)
 _FOLD[128:] = np.arange(128, 256)
 _FOLD[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -90,7 +91,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> TextModels:
     """Models of the languages in labelled(id, text, language). The counts that come to the driver are BUCKETS a language."""
     rows = labelled.select("id", "text", tag(F.col("language")).alias("language")).where("language is not null and language <> 'und'")
     sizes = {r["language"]: r["n"] for r in rows.groupBy("language").agg(F.count("*").alias("n")).collect()}
-    sizes = {k: n for k, n in sorted(sizes.items()) if n >= FEWEST}
+    sizes = {k: n for k, n in sorted(sizes.items()) if n >= min(FEWEST, max(sizes.values()))}
     languages = list(sizes)
     if not languages:
         return TextModels([], np.zeros((0, BUCKETS)))
@@ -145,9 +146,9 @@ def identify(rows: DataFrame, models: TextModels, keys: list[str]) -> DataFrame:
     scored = scored.withColumn("first", at(first))
 
     # Counts by language up the hierarchy; rows without any evidence say nothing of their host.
-    sure = scored.where((F.col("n_trigrams") > 0) | (F.element_at("declared_logs", 1) != 0.0))
-    counts = [F.count_if(F.col("first") == i) for i in range(k)]
-    hosts = sure.groupBy("suffix", "domain", "host").agg(F.array(*counts).alias("n"))
+    sure = (F.col("n_trigrams") > 0) | (F.element_at("declared_logs", 1) != 0.0)
+    counts = [F.count_if(sure & (F.col("first") == i)) for i in range(k)]
+    hosts = scored.groupBy("suffix", "domain", "host").agg(F.array(*counts).alias("n"))
     gather = lambda df, *by: df.groupBy(*by).agg(F.array(*(F.sum(F.col("n")[i]) for i in range(k))).alias("n"))
     domains = gather(hosts, "suffix", "domain")
     suffixes = gather(domains, "suffix")
@@ -192,9 +193,15 @@ def _labelled(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """docs without the rejected rows; it needs the columns doc_id, text, lang and source."""
+    """docs without the rejected rows; it needs the columns doc_id, text, lang and source.
+
+    Without a single label there are no languages to know, and nothing is rejected.
+    """
     own = plain(docs, doc_id="doc_id", text="text", lang="lang", source="source")
-    judged = identify(documents_evidence(own), fit(_labelled(own)), ["doc_id", "row_key"])
+    models = fit(_labelled(own))
+    if not models.languages:
+        return docs
+    judged = identify(documents_evidence(own), models, ["doc_id", "row_key"])
     gone = Scratch(docs.sparkSession, "language_id").save(judged.where("not kept").select(F.col("doc_id").alias("_d"), F.col("row_key").alias("_r")), "rejected")
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_d"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_r"]), "left_anti")
 
