@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
 import os
 import tempfile
 import uuid
@@ -40,19 +39,21 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder, self.made = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", 0
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self.made += 1
         path = f"{self.folder}/{self.made:03d}-{name}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, df: DataFrame) -> None:
-        jvm = self.spark._jvm
-        for file in df.inputFiles()[:1]:
-            with contextlib.suppress(Exception):
-                path = jvm.org.apache.hadoop.fs.Path(file).getParent()
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Removes tables of save() that nothing to come reads."""
+        for df in tables:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df))[1])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def plain(df: DataFrame, **columns: str) -> DataFrame:

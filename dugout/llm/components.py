@@ -37,4 +37,6 @@ def connected_components(nodes: DataFrame, links: DataFrame, scratch: Scratch) -
         before = state
     # Every edge now leads from a node to the least of its component.
     roots = edges.groupBy("u").agg(F.min("v").alias("comp"))
-    return scratch.save(nodes.join(roots, nodes["id"] == roots["u"], "left").select("id", F.coalesce("comp", "id").alias("comp")), "components")
+    out = scratch.save(nodes.join(roots, nodes["id"] == roots["u"], "left").select("id", F.coalesce("comp", "id").alias("comp")), "components")
+    scratch.drop(edges)
+    return out

@@ -102,8 +102,7 @@ class LineRuns:
         while len(self.levels[level]) >= self.fanout:
             old, self.levels[level] = self.levels[level], []
             self._write(self._merged(old), level + 1)
-            for run in old:
-                self.scratch.drop(run)
+            self.scratch.drop(*old)
             level += 1
 
     @staticmethod
@@ -134,7 +133,9 @@ def dropped_keys(docs: DataFrame, min_points: int = MIN_POINTS, min_docs: int =
             batch = batch.where(F.col("doc_id") <= high)
         runs.append(batch)
     out = keys.join(runs.frequent(min_docs), ["h1", "h2"]).where("doc_id < last_doc").groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("dropped"))
-    return scratch.save(out, "dropped")
+    out = scratch.save(out, "dropped")
+    scratch.drop(keys, *runs.runs())
+    return out
 
 
 def dedup_lines(docs: DataFrame, min_points: int = MIN_POINTS, min_docs: int = MIN_DOCS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:

@@ -337,7 +337,7 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
         sets = sets.groupBy("doc_id").agg(F.min_by("shingles", "digest").alias("shingles"))
     sets = scratch.save(sets.select("doc_id", "shingles"), "sets")
 
-    links, refuted, comps = None, None, signed.select("id", F.col("id").alias("comp"))
+    links, refuted, comps, used = None, None, signed.select("id", F.col("id").alias("comp")), [buckets, members, signed, sets]
     round_no = 0
     while True:
         round_no += 1
@@ -345,11 +345,13 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
             pairs = _first_pairs(members, buckets, signed, least)
         else:
             placed = scratch.save(members.join(comps, "id"), "placed")
+            used.append(placed)
             open_buckets = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("bucket")
             placed = placed.join(open_buckets, "bucket", "left_semi").join(signed, "id")
             pairs = _later_pairs(placed, threshold, least, round_no >= LAST)
             pairs = pairs.join(refuted, ["a", "b"], "left_anti")
         judged = scratch.save(_confirmed(pairs, sets, percent), "judged")
+        used.append(judged)
         n, linked = judged.agg(F.count("*"), F.count_if("linked")).first()
         if n == 0 and round_no > 1:
             break
@@ -360,6 +362,8 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
             comps = connected_components(signed.select("id"), links, scratch)
         if round_no >= LAST:
             break
+    comps = scratch.save(comps, "components")
+    scratch.drop(*used)
     by_class = classes.select("id", "digest").join(comps, "id", "left").select("digest", F.coalesce("comp", "id").alias("comp"))
     if repeats:
         by_id = known.select("doc_id", "digest").join(by_class, "digest").select("doc_id", "comp")

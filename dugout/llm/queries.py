@@ -19,6 +19,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_secret_scan": secrets.ORACLE,
     "op4_chat_format": chat_format.ORACLE,
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,

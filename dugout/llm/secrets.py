@@ -155,3 +155,40 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
     base = F.filter("found", lambda x: x["kind"] < 3)
     return found.select("doc_id", *(count(i).alias(f"n_{KINDS[i]}") for i in range(3)), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))
+
+
+def _oracle() -> str:
+    """The same in DuckDB SQL, window by window instead of by incremental counts."""
+    q = lambda p: "'" + p.replace("'", "''") + "'"
+    kinds = ((0, ASSIGN, 2), (1, ACCESS, 0), (2, HEX, 0), (4, CANDIDATE, 0))
+    found = " UNION ALL ".join(f"SELECT doc_id, {k} AS kind, regexp_extract_all(t, {q(p)}, 0) AS m, regexp_extract_all(t, {q(p)}, {g}) AS v, string_split_regex(t, {q(p)}) AS g FROM d" for k, p, g in kinds)
+    allowed = " OR ".join(f"regexp_matches(val, {q(p)})" for p in ALLOWED)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({found}),
+s AS (
+  SELECT doc_id, kind, m[i] AS val, v[i] AS v, list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start
+  FROM m, unnest(range(1, len(m) + 1)) AS u(i)
+), c AS (
+  SELECT doc_id, start, val, regexp_full_match(val, '[0-9A-Fa-f]+') AS is_hex FROM s WHERE kind = 4 AND NOT ({allowed})
+), w AS (
+  SELECT doc_id, start, j, is_hex, unnest(string_split(substr(CASE WHEN is_hex THEN lower(val) ELSE val END, j, {WINDOW}), '')) AS sign FROM c, unnest(range(1, length(val) - {WINDOW} + 2)) AS u(j)
+), n AS (SELECT doc_id, start, j, is_hex, sign, count(*) AS n FROM w GROUP BY ALL
+), h AS (
+  SELECT doc_id, start, j FROM n GROUP BY doc_id, start, j, is_hex HAVING log2({WINDOW}) - sum(n * log2(n)) / {WINDOW} >= CASE WHEN is_hex THEN {HEX_BITS} ELSE {MIXED_BITS} END
+), f AS (SELECT *, CASE WHEN j - lag(j) OVER (PARTITION BY doc_id, start ORDER BY j) <= {WINDOW} THEN 0 ELSE 1 END AS fresh FROM h
+), r AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, start ORDER BY j) AS run FROM f
+), spans AS (
+  SELECT doc_id, 3 AS kind, start + min(j) - 1 AS a, start + max(j) - 1 + {WINDOW} AS z FROM r GROUP BY doc_id, start, run
+  UNION ALL SELECT doc_id, kind, start, start + length(val) FROM s WHERE kind IN (1, 2) OR kind = 0 AND length(v) >= {ASSIGN_LEAST}
+), t AS (SELECT doc_id, kind, a, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || CAST(a AS BIGINT) || ':' || CAST(z AS BIGINT) AS word FROM spans
+), o AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+         string_agg(word, ',' ORDER BY a, kind) FILTER (WHERE kind < 3) AS base, string_agg(word, ',' ORDER BY a, kind) AS spans FROM t GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN o ON d.doc_id = o.doc_id
+"""
+
+
+ORACLE = _oracle()
