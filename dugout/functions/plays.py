@@ -64,6 +64,22 @@ OUTCOMES = {
 }
 FLAGS = ("is_plate_appearance", "is_at_bat", "is_hit", "is_walk", "is_strikeout", "is_sacrifice_fly", "is_sacrifice_hit", "is_out")
 
+#: Only plain outcomes; anything that might mean two things is left out.
+CONSERVATIVE_RULES = (
+    ("sacrifice_fly", "whole", r"sacrifice fly|sac fly"),
+    ("sacrifice_hit", "whole", r"sacrifice bunt|sac bunt"),
+    ("walk", "whole", r"^walk\b|^intentional walk"),
+    ("hit_by_pitch", "whole", r"^hit by pitch|^hbp\b"),
+    ("strikeout", "whole", r"^strikeout\b|^struck out"),
+    ("home_run", "whole", r"^home run\b|^hr\b"),
+    ("single", "whole", r"^single\b.*(?:to|up|through)"),
+    ("double", "whole", r"^double\b.*(?:to|down)"),
+    ("triple", "whole", r"^triple\b.*(?:to|down)"),
+    ("out", "whole", r"^(?:grounded out|ground out|flied out|lined out|popped out|fouled out|groundout|flyout|lineout|popout)\b|popfly\b|flyball:|grounded into double play|gdp\b|double play"),
+)
+#: What the conservative rules see otherwise: a batter who walks or is hit reaches a base.
+CONSERVATIVE_OUTCOMES = OUTCOMES | {"walk": {"is_walk": True, "bases_reached": 1}, "hit_by_pitch": {"bases_reached": 1}}
+
 #: First match by result, for text of which only the outcome's kind is asked: most bases first.
 OUTCOME_KIND_RULES = (
     ("home_run", "whole", r"home run|homer|\bhr\b"),
@@ -101,23 +117,23 @@ def with_rule(plays: DataFrame, description: str = "description", rules: tuple[t
     return texts.withColumn("rule", out).drop("_whole", "_batter", "_runner", "_head")
 
 
-def classify(plays: DataFrame, description: str = "description") -> DataFrame:
+def classify(plays: DataFrame, description: str = "description", rules: tuple[tuple[str, str, str], ...] = STANDARD_RULES, outcomes: dict[str, dict] = OUTCOMES) -> DataFrame:
     """plays with rule and the outcome's columns; a play that no rule knows has nulls there."""
-    named = with_rule(plays, description)
+    named = with_rule(plays, description, rules)
     known = F.col("rule").isNotNull()
 
     def flag(name: str, default: bool) -> Column:
-        odd = [r for r, o in OUTCOMES.items() if o.get(name, default) != default]
+        odd = [r for r, o in outcomes.items() if o.get(name, default) != default]
         return F.when(known, F.col("rule").isin(*odd) != F.lit(default))
 
     def number(name: str) -> Column:
-        values = {r: o[name] for r, o in OUTCOMES.items() if name in o}
+        values = {r: o[name] for r, o in outcomes.items() if name in o}
         chain = F
         for value in sorted(set(values.values())):
             chain = chain.when(F.col("rule").isin(*(r for r, v in values.items() if v == value)), value)
         return F.when(known, chain.otherwise(0))
 
-    hits = [r for r, o in OUTCOMES.items() if "hit_type" in o]
+    hits = [r for r, o in outcomes.items() if "hit_type" in o]
     return named.withColumns({f: flag(f, f == "is_plate_appearance") for f in FLAGS} | {"hit_type": F.when(F.col("rule").isin(*hits), F.col("rule")), "outs_recorded": number("outs_recorded"), "bases_reached": number("bases_reached")})
 
 
@@ -130,6 +146,56 @@ def rejected(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("rule").isNull())
 
 
+def pitching_outcome(classified: DataFrame) -> DataFrame:
+    """What a classified play means for the pitcher."""
+    return classified.withColumns({"hit_allowed": F.col("is_hit"), "walk_allowed": F.col("is_walk"), "home_run_allowed": F.coalesce(F.col("hit_type") == "home_run", F.lit(False)), "out_recorded": F.col("rule").isin("sacrifice_fly", "sacrifice_hit", "strikeout", "out", "double_play")})
+
+
+# Words of plays that are no plate appearance, and of outs in the order that they are looked for.
+RUNNING_WORDS = ("stolen base", "caught stealing", "picked off", "defensive indifference", "wild pitch", "passed ball", "balk", "pickoff")
+OUT_WORDS = (
+    ("sacrifice_fly", "sac fly|sacrifice fly"), ("sacrifice_bunt", "sac bunt|sacrifice bunt"), ("groundout", "groundout"), ("flyout", "flyout|flyball"), ("lineout", "lineout"), ("popup", "popup|popfly"),
+    ("double_play", "double play"), ("forceout", "forceout"), ("strikeout_swinging", "strikeout swinging"), ("strikeout_looking", "strikeout looking"),
+)
+
+
+def flags(plays: DataFrame, description: str = "description") -> DataFrame:
+    """plays with independent flags by key words: several may hold for one play, none drops it."""
+    low = F.lower(F.coalesce(F.col(description), F.lit("")))
+    rows = plays.withColumn("_low", low)
+    rows = rows.withColumn("is_plate_appearance", ~_any(F.col("_low"), RUNNING_WORDS))
+    text, bats = F.col("_low"), F.col("is_plate_appearance")
+    hit = F.when(text.contains("home run"), "home_run").when(text.contains("triple"), "triple").when(text.contains("double") & ~text.contains("double play"), "double").when(text.contains("single"), "single")
+    out = F
+    for name, pattern in OUT_WORDS:
+        out = out.when(text.rlike(pattern), name)
+    rows = rows.withColumns({"hit_type": F.when(bats, hit), "out_type": F.when(bats, out)})
+    error, choice = text.rlike("reaches on e|safe on e"), text.contains("fielder's choice")
+    scored = F.size(F.regexp_extract_all("_low", F.lit("(to home|scores)"), F.lit(1))) + F.coalesce(F.col("hit_type") == "home_run", F.lit(False)).cast("int")
+    said = F.regexp_extract("_low", r"(\d) rbi", 1).try_cast("int")
+    no_hit = bats & F.col("hit_type").isNull()
+    return rows.withColumns({
+        "is_hit": F.col("hit_type").isNotNull(),
+        "is_out": F.col("out_type").isNotNull(),
+        "is_walk": no_hit & text.contains("walk") & ~text.contains("intent"),
+        "is_hit_by_pitch": no_hit & text.rlike("hit by pitch|hbp"),
+        "is_strikeout": no_hit & text.rlike("strikeout swinging|strikeout looking"),
+        "is_sacrifice": bats & F.coalesce(F.col("out_type").startswith("sacrifice"), F.lit(False)),
+        "is_reached_on_error": bats & error,
+        "is_fielders_choice": bats & choice,
+        "runs_scored": F.when(bats, scored).otherwise(0),
+        "rbi": F.when(~bats, 0).when(text.contains("rbi"), F.coalesce(said, F.lit(0))).when(error | choice, 0).otherwise(scored),
+        "advanced_to": F.array_distinct(F.regexp_extract_all("_low", F.lit(r"to (\d+b|home)"), F.lit(1))),
+        "SB": (~bats & text.contains("stolen base")).cast("int"),
+        "CS": (~bats & ~text.contains("stolen base") & text.contains("caught stealing")).cast("int"),
+    }).drop("_low")
+
+
+def kind(plays: DataFrame, description: str = "description") -> DataFrame:
+    """plays with rule from OUTCOME_KIND_RULES: the kind of outcome alone, most bases first."""
+    return with_rule(plays, description, OUTCOME_KIND_RULES)
+
+
 def runs_batted_in(description: Column | str) -> Column:
     """A stated number of runs batted in; else by the home run's name, else the runners who score, none on an error."""
     text = F.lower(F.col(description) if isinstance(description, str) else description)

@@ -106,3 +106,24 @@ def test_rules_and_their_order(spark):
 @pytest.mark.parametrize(("text", "n"), [("Home Run, Grand Slam", 4), ("Single; Roe Scores; Lee Scores", 2), ("Reached on error; Roe scores", 0), ("Double, 2 RBI", 2), ("Home Run; Roe Scores", 2)])
 def test_runs_batted_in(spark, text, n):
     assert one(spark, text, P.runs_batted_in) == n
+
+
+def test_conservative_rules(spark):
+    plays = spark.createDataFrame([(0, "Walk"), (1, "Single to CF"), (2, "Wild Pitch"), (3, "Groundout: SS-1B"), (4, "Hit By Pitch"), (5, "Reached on E4")], "i int, description string")
+    rows = P.pitching_outcome(P.classify(plays, rules=P.CONSERVATIVE_RULES, outcomes=P.CONSERVATIVE_OUTCOMES)).orderBy("i").collect()
+    assert [r["rule"] for r in rows] == ["walk", "single", None, "out", "hit_by_pitch", None]
+    assert rows[0]["bases_reached"] == 1 and rows[4]["bases_reached"] == 1 and rows[1]["hit_allowed"] and rows[3]["out_recorded"] and rows[0]["walk_allowed"]
+
+
+def test_flags(spark):
+    said = ["Home Run; Roe Scores", "Caught Stealing 2B", "Flyball, Sacrifice Fly; Roe Scores", "Double Play: Groundout", "Single; Lee to 3B; 1 RBI", "Fielder's Choice; Roe to home", "Stolen Base", None]
+    rows = P.flags(spark.createDataFrame(list(enumerate(said)), "i int, description string")).orderBy("i").collect()
+    assert [(r["hit_type"], r["rbi"], r["runs_scored"]) for r in rows[:1]] == [("home_run", 2, 2)]
+    assert rows[1]["CS"] == 1 and not rows[1]["is_plate_appearance"] and rows[2]["out_type"] == "sacrifice_fly" and rows[2]["rbi"] == 1
+    assert rows[3]["out_type"] == "groundout" and rows[3]["hit_type"] is None and rows[4]["rbi"] == 1 and rows[4]["advanced_to"] == ["3b"]
+    assert rows[5]["is_fielders_choice"] and rows[5]["rbi"] == 0 and rows[6]["SB"] == 1 and rows[7]["is_plate_appearance"]
+
+
+def test_kind(spark):
+    rows = P.kind(spark.createDataFrame([(0, "Double Play: Groundout"), (1, "Doubles to left"), (2, "Homer to right"), (3, "Nothing")], "i int, description string")).orderBy("i").collect()
+    assert [r["rule"] for r in rows] == ["out", "double", "home_run", None]
