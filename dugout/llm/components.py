@@ -20,23 +20,26 @@ def _step(edges: DataFrame, large: bool) -> DataFrame:
         out = hung.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return out.where("u <> v").distinct()
+    return out.where("u <> v")
+
+
+def _is_done(edges: DataFrame) -> bool:
+    """Whether the edges are stars: no node hangs under two others, or both hangs and has some hang under it."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    return ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).where("hangs > 1 or hangs = 1 and holds = 1").isEmpty()
 
 
 def connected_components(nodes: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, comp) for nodes(id) and links(a, b): comp is the least id that links reach from id, itself included."""
-    edges, old, before = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v"), None, None
+    edges, old = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v"), None
     while True:
-        edges = scratch.save(_step(_step(edges, True), False), "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        edges = scratch.save(_step(_step(edges, True), False).distinct(), "edges")
         if old is not None:
             scratch.drop(old)
-        old = edges
-        if state == before:
+        if _is_done(edges):
             break
-        before = state
+        old = edges
     # Every edge now leads from a node to the least of its component.
-    roots = edges.groupBy("u").agg(F.min("v").alias("comp"))
-    out = scratch.save(nodes.join(roots, nodes["id"] == roots["u"], "left").select("id", F.coalesce("comp", "id").alias("comp")), "components")
+    out = scratch.save(nodes.join(edges, nodes["id"] == edges["u"], "left").select("id", F.coalesce("v", "id").alias("comp")), "components")
     scratch.drop(edges)
     return out

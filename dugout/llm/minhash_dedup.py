@@ -203,9 +203,8 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
 
 def _first_pairs(members: DataFrame, buckets: DataFrame, signed: DataFrame, least: float) -> DataFrame:
     """(a, b): each class with the best-looking of the smallest ids of its buckets."""
-    stars = members.join(buckets.select("bucket", "leader"), "bucket").where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    stars = members.join(buckets.select("bucket", "leader"), "bucket").where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"), F.col("packed").alias("pb")).distinct()
     left = signed.select(F.col("id").alias("a"), F.col("packed").alias("pa"))
-    right = signed.select(F.col("id").alias("b"), F.col("packed").alias("pb"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,7 +215,7 @@ def _first_pairs(members: DataFrame, buckets: DataFrame, signed: DataFrame, leas
                 kept = pa.array(look >= least)
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(look, pa.float64())], names=["a", "b", "look"]).filter(kept)
 
-    judged = stars.join(right, "b").join(left, "a").select("a", "b", "pa", "pb").mapInArrow(judge, "a long, b long, look double")
+    judged = stars.join(left, "a").select("a", "b", "pa", "pb").mapInArrow(judge, "a long, b long, look double")
     return judged.groupBy("b").agg(F.max_by("a", F.struct("look", -F.col("a"))).alias("a")).select("a", "b")
 
 
@@ -326,9 +325,10 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     seals = [F.bit_xor(F.xxhash64(F.lit(i), "id")).alias(f"seal{i}") for i in (1, 2)]
     buckets = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("leader"), *seals).where("n > 1")
     buckets = scratch.save(buckets.groupBy("n", "leader", "seal1", "seal2").agg(F.min("bucket").alias("bucket")), "buckets")
-    members = scratch.save(banded.join(buckets.select("bucket"), "bucket", "left_semi").distinct(), "members")
-    met = members.select("id").distinct()
+    shared = scratch.save(banded.join(buckets.select("bucket"), "bucket", "left_semi").distinct(), "shared")
+    met = shared.select("id").distinct()
     signed = scratch.save(classes.join(met, "id", "left_semi").select("id", "packed", "cells", "n_shingles"), "signed")
+    members = scratch.save(shared.join(signed, "id"), "members")
 
     # Full sets only of the classes that meet another one.
     texts = docs.join(met.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id", "left_semi")
@@ -337,7 +337,7 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
         sets = sets.groupBy("doc_id").agg(F.min_by("shingles", "digest").alias("shingles"))
     sets = scratch.save(sets.select("doc_id", "shingles"), "sets")
 
-    links, refuted, comps, used = None, None, signed.select("id", F.col("id").alias("comp")), [buckets, members, signed, sets]
+    links, refuted, comps, used = None, None, signed.select("id", F.col("id").alias("comp")), [buckets, shared, members, signed, sets]
     round_no = 0
     while True:
         round_no += 1
@@ -347,7 +347,7 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
             placed = scratch.save(members.join(comps, "id"), "placed")
             used.append(placed)
             open_buckets = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("bucket")
-            placed = placed.join(open_buckets, "bucket", "left_semi").join(signed, "id")
+            placed = placed.join(open_buckets, "bucket", "left_semi")
             pairs = _later_pairs(placed, threshold, least, round_no >= LAST)
             pairs = pairs.join(refuted, ["a", "b"], "left_anti")
         judged = scratch.save(_confirmed(pairs, sets, percent), "judged")
