@@ -28,7 +28,9 @@ def store_summary(batting: DataFrame, pitching: DataFrame, games: DataFrame, rep
     counts = [df.agg(F.count("*").alias(name)) for name, df in (("batting_rows", batting), ("pitching_rows", pitching))]
     dates = games.agg(F.count("*").alias("games"), F.min("game_date").alias("first_date"), F.max("game_date").alias("last_date"))
     mean = lambda t: F.avg(F.when(F.col("validation_type") == t, F.col("accuracy_percentage"))).alias(f"{t}_accuracy")
-    return reduce(lambda a, b: a.crossJoin(b), [dates, *counts, reports.agg(mean("batting"), mean("pitching"))])  # single rows
+    parts = [dates, *counts, reports.agg(mean("batting"), mean("pitching"))]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.agg(*(F.max(c).alias(c) for c in rows.columns))
 
 
 def reports_by_game(reports: DataFrame, games: DataFrame) -> DataFrame:

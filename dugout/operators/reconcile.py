@@ -114,3 +114,16 @@ def drill_down(diffs: DataFrame, events: DataFrame, role: str = "batter") -> Dat
     texts = difference_texts(diffs, ["game_id", "player_name"])
     plays = events.groupBy("game_id", F.col(f"{role}_name").alias("player_name")).agg(F.sort_array(F.collect_list(F.struct("event_order", "inning", "description"))).alias("plays"))
     return texts.join(plays, ["game_id", "player_name"], "left")
+
+
+def recommendations(results: DataFrame, diffs: DataFrame) -> DataFrame:
+    """(recommendation): what a batch's figures call for."""
+    state = results.agg(F.avg("accuracy").alias("mean"), (F.count_if(F.col("accuracy") < 95) / F.count("*")).alias("low_share"))
+    stat = diffs.where("diff <> 0").groupBy("stat").agg(F.sum(F.abs("diff")).alias("n")).agg(F.max_by("stat", F.struct("n", "stat")).alias("worst"))
+    advice = F.array(
+        F.when(F.col("mean") < 95, "Review the play rules: the mean accuracy is below 95"),
+        F.when(F.col("low_share") > 0.1, "Read the games below 95 again: they are over a tenth"),
+        F.when(F.col("worst").isNotNull(), F.concat(F.lit("Look at "), F.col("worst"), F.lit(" first: it differs most"))),
+    )
+    both = state.unionByName(stat, allowMissingColumns=True).agg(*(F.max(c).alias(c) for c in ("mean", "low_share", "worst")))
+    return both.select(F.explode(F.array_compact(advice)).alias("recommendation"))

@@ -29,6 +29,11 @@ def delete_games(tables: dict[str, DataFrame], games: DataFrame) -> dict[str, Da
     return {name: df.join(gone, "game_id", "left_anti") for name, df in tables.items()}
 
 
+def delete_season(tables: dict[str, DataFrame], games: DataFrame, season: int) -> dict[str, DataFrame]:
+    """The tables, games among them, without a season's rows."""
+    return delete_games(tables, games.where(F.col("season") == season))
+
+
 def deletions(tables: dict[str, DataFrame], games: DataFrame) -> DataFrame:
     """(table_name, n): what delete_games would remove."""
     gone, out = games.select("game_id").distinct(), None

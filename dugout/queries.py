@@ -6,7 +6,6 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .functions import plays as P
@@ -20,10 +19,12 @@ from .operators import stats as S
 from .operators import store as K
 from .plans import bridge as B
 from .plans import explorer as X
+from .plans import reports as RP
 from .session import table
 from .sources import box_pages as HP
 from .sources import cache as C
 from .sources import schedule as D
+from .sources import tables as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -488,6 +489,59 @@ def edge_games(spark, sf):
     return D.edge_games(B.games(spark, sf), 3, last=True, team="home_team").select("game_id", "home_team")
 
 
+@query("exists_probe", "SELECT game_id, game_id IN (SELECT game_id FROM batting) AS is_stored FROM games")
+def exists_probe(spark, sf):
+    return ST.known_games(B.games(spark, sf).select("game_id"), B.batting(spark, sf))
+
+
+@query("delete_season", "SELECT 'games' AS table_name, count(*) AS n FROM games WHERE season <> 1997 UNION ALL SELECT 'batting', count(*) FROM batting WHERE game_id IN (SELECT game_id FROM games WHERE season <> 1997)")
+def delete_season(spark, sf):
+    g = B.games(spark, sf)
+    kept = K.delete_season({"games": g, "batting": B.batting(spark, sf)}, g, 1997)
+    return reduce(DataFrame.unionByName, (df.agg(F.count("*").alias("n")).select(F.lit(n).alias("table_name"), "n") for n, df in kept.items()))
+
+
+@query("meaningful_rows", "SELECT game_id, player_id, row_idx FROM batting WHERE H + R + HR > 0")
+def meaningful_rows(spark, sf):
+    return Q.meaningful(B.batting(spark, sf), ("H", "R", "HR", "none")).select("game_id", "player_id", "row_idx")
+
+
+@query("name_strategy", """, o AS (SELECT DISTINCT game_id, 'B' || player_id AS name FROM batting), s AS (SELECT DISTINCT game_id, 'raw' AS strategy, batter_name AS name FROM plays UNION SELECT DISTINCT game_id, 'digits', replace(batter_name, 'B', '') FROM plays)
+    SELECT strategy, count(*) AS matches FROM s JOIN o USING (game_id, name) GROUP BY strategy""")
+def name_strategy(spark, sf):
+    official = B.batting(spark, sf).select("game_id", F.concat(F.lit("B"), "player_id").alias("player_name"))
+    return N.best_strategy(official, B.raw_plays(spark, sf), {"raw": F.col("batter_name"), "digits": F.replace("batter_name", F.lit("B"), F.lit(""))})
+
+
+@query("discrepancy_table", f"{_DIFFS} SELECT game_id, player_id, max(diff) FILTER (WHERE stat = 'PA') AS PA, max(diff) FILTER (WHERE stat = 'SO') AS SO FROM x WHERE diff <> 0 GROUP BY ALL")
+def discrepancy_table(spark, sf):
+    return RP.discrepancy_table(_diffs(spark, sf), ["game_id", "player_id"], ("PA", "SO"))
+
+
+@query("reprocessing_summary", f""", p AS ({_PIVOT}), l AS (SELECT * FROM p WHERE batting_accuracy < 90 OR pitching_accuracy < 90)
+    SELECT count(*) AS games, CAST(min(game_date) AS VARCHAR) AS first_date, CAST(max(game_date) AS VARCHAR) AS last_date, min(batting_accuracy) AS low_batting_accuracy, max(batting_accuracy) AS high_batting_accuracy, round(avg(batting_accuracy), 6) AS mean_batting_accuracy,
+    min(pitching_accuracy) AS low_pitching_accuracy, max(pitching_accuracy) AS high_pitching_accuracy, round(avg(pitching_accuracy), 6) AS mean_pitching_accuracy FROM l""")
+def reprocessing_summary(spark, sf):
+    out = RP.reprocessing(B.reports(spark, sf), B.games(spark, sf), 90, "https://x.test")["summary"]
+    return out.withColumns({c: F.col(c).cast("string") for c in ("first_date", "last_date")} | {c: F.round(c, 6) for c in ("mean_batting_accuracy", "mean_pitching_accuracy")})
+
+
+@query("play_flags", """SELECT seq, hit_type, CASE WHEN event_type = 'view' THEN 'strikeout_swinging' END AS out_type, is_pa AS is_plate_appearance, is_walk, is_so AS is_strikeout, CASE WHEN hit_type = 'home_run' THEN 1 ELSE 0 END AS rbi FROM plays""")
+def play_flags(spark, sf):
+    return P.flags(B.raw_plays(spark, sf)).select("seq", "hit_type", "out_type", "is_plate_appearance", "is_walk", "is_strikeout", "rbi")
+
+
+@query("conservative_classify", "SELECT seq, CASE event_type WHEN 'view' THEN 'strikeout' WHEN 'signup' THEN 'walk' ELSE hit_type END AS rule, CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 0 WHEN 'purchase' THEN CASE hit_type WHEN 'home_run' THEN 4 ELSE 1 END END AS bases_reached FROM plays")
+def conservative_classify(spark, sf):
+    return P.classify(B.raw_plays(spark, sf), rules=P.CONSERVATIVE_RULES, outcomes=P.CONSERVATIVE_OUTCOMES).select("seq", "rule", "bases_reached")
+
+
+@query("season_window_counts", "SELECT CAST(date_trunc('day', ts) AS VARCHAR) AS day, event_type, count(*) AS n FROM events GROUP BY ALL", False)
+def season_window_counts(spark, sf):
+    counted = table(spark, sf, "events").groupBy(F.window("ts", "1 day"), "event_type").agg(F.count("*").alias("n"))
+    return counted.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("day"), "event_type", "n")
+
+
 @query("html_cells")
 def html_cells(spark, sf):
     pages = table(spark, sf, "pages").select("url", F.concat(F.lit("<table id='play_by_play'><tr><th>Inn</th></tr><tr><td>t1</td></tr></table>"), "html").alias("html"))

@@ -28,3 +28,17 @@ def test_stream_takes_each_game_once(spark, tmp_path):
     q = ingest.start(ingest.page_stream(spark, str(tmp_path / "in")), lambda batch, _: seen.extend(r["game_id"] for r in batch.collect()), str(tmp_path / "state"))
     q.awaitTermination(120)
     assert sorted(seen) == ["BBB202404010", "BBB202404020"]
+
+
+def test_recommendations_and_settings(spark):
+    import pytest
+
+    from dugout.operators import reconcile as R
+    from dugout.sources import tables
+
+    results = spark.createDataFrame([(90.0,), (99.0,)], "accuracy double")
+    diffs = spark.createDataFrame([("H", 2.0), ("SO", -1.0)], "stat string, diff double")
+    said = [r["recommendation"] for r in R.recommendations(results, diffs).collect()]
+    assert len(said) == 3 and "Look at H first" in said[2]
+    with pytest.raises(KeyError, match="DB_PORT"):
+        tables.settings({"DB_HOST": "x"})
