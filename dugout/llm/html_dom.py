@@ -34,7 +34,7 @@ TOKENS = {
         "sidebar side aside rail widget widgets related recommended complementary trending popular more",
         "ad ads advert adverts advertisement sponsor sponsored promo promotion adsense dfp taboola outbrain",
         "cookie cookies notice consent gdpr alert popup modal overlay message warning notification",
-        "comment comments reply replies respond discussion disqus commentlist",
+        "comment comments reply replies respond response responses discussion disqus commentlist feedback",
         "form search login signup subscribe newsletter subscription register searchbox contact",
         "share social sharing follow tools toolbar byline meta tags author",
     ))

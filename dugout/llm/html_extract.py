@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, plain, table
 from .html_dom import N_FEATURES, Page
 
-TRAINING_PAGES, TREES, DEPTH = 600, 24, 5
+TRAINING_PAGES, TREES, DEPTH = 1600, 36, 5
 _models: dict[tuple, list[tuple]] = {}
 
 
@@ -104,8 +104,14 @@ def training_page(seed: int) -> tuple[str, list[str]]:
         return "<table>" + "".join(f"<tr><td>{keep(3)}</td><td>{keep(2)}</td></tr>" for _ in range(2)) + "</table>"
 
     between = [advert, aside, share, notice, form]
+    if chance(0.04):  # nothing but an article, or its text
+        bare = pick(lambda: keep(size(60)), lambda: "".join(f"<p>{keep(size(60))}</p>" for _ in range(int(rng.integers(1, 6)))), lambda: f"<h1>{keep(4)}</h1>" + "".join(block() for _ in range(int(rng.integers(1, 6)))))()
+        return pick(bare, f"<html><body>{bare}</body></html>", f"<html><head><title>{words(2, 'x')}</title></head><body>{bare}</body>"), kept
     body = [pick(lambda: f"<h1>{keep(pick(1, 3, 8))}</h1>", lambda: f"<h1>{keep(6)}</h1>", lambda: "", lambda: f"<header><h1>{keep(5)}</h1></header>" if marked == "tags" else f"<h2>{keep(5)}</h2>")()]
-    for _ in range(int(rng.integers(1, 4) if chance(0.25) else rng.integers(3, 14))):
+    short = chance(0.3)  # shorter than what stands around it
+    if short:
+        body.append(pick(lambda: f"<p>{keep(size(12))}</p>", lambda: f"<p><b>{keep(size(12))}<br>", lambda: f"<p><b>{keep(size(8))}<br><p>{keep(size(12))}</p>", lambda: keep(size(12)))())
+    for _ in range(0 if short else int(rng.integers(1, 4) if chance(0.25) else rng.integers(3, 14))):
         body.append(block())
         if chance(0.08):
             body.append(between[rng.integers(len(between))]())
@@ -113,10 +119,16 @@ def training_page(seed: int) -> tuple[str, list[str]]:
             body.append("<script>var x='</p>';</script>")
     if chance(0.06):
         body.append(comments())
+    if chance(0.2):  # the article in sections
+        cuts = sorted(rng.integers(1, len(body) + 1, int(rng.integers(1, 4))).tolist())
+        parts = [body[a:z] for a, z in zip([0, *cuts], [*cuts, len(body)], strict=True) if z > a]
+        kind = pick("section", "section", "div")
+        body = [f"<{kind}>{''.join(p)}</{kind}>" for p in parts]
     text = "".join(body)
     holder = pick("article", "main", "article") if by_tag or chance(0.2) else "div"
     name = f' class="{pick("article", "content", "post-body", "entry-content", "main-content", "story")}"' if by_attribute or chance(0.25) else ""
-    text = f"<{holder}{name}>{text}</{holder}>"
+    if not chance(0.12):  # else the blocks stand beside the rest of the page
+        text = f"<{holder}{name}>{text}</{holder}>"
     if chance(0.3):
         text = f"<main>{text}</main>" if by_tag else f'<div{pick("", " id=wrapper", " class=main")}>{text}</div>'
     top = [f() for f, p in ((notice, 0.2), (header, 0.45), (nav, 0.75), (form, 0.1), (advert, 0.5), (aside, 0.15)) if chance(p)]
