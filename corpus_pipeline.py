@@ -19,8 +19,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that another one keeps."""
-    out = line_dedup.dedup_lines(docs).withColumns({"text": F.col("text_kept"), "n_chars": F.length("text_kept").cast(docs.schema["n_chars"].dataType)})
-    return out.select(*docs.columns)
+    inner = ("text", "~lines", "~dropped")
+    out = line_dedup.dedup_lines(docs, names=inner).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*(f"`{c}`" for c in docs.columns))
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,7 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mixture asks; the budget cuts no source, so each appears at least once."""
     counted = Scratch(spark, "pipeline").save(docs.select("doc_id", "source", n_tokens(F.col("text")).alias("n_tokens")), "counted")
-    return mixing.mix(docs, counted).select(*docs.columns)
+    return mixing.mix(docs, counted, names=("~epoch", "~position")).select(*(f"`{c}`" for c in docs.columns))
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .common import BLANKS, Scratch, plain, table
 
@@ -138,16 +139,23 @@ def dropped_keys(docs: DataFrame, min_points: int = MIN_POINTS, min_docs: int =
     return out
 
 
-def dedup_lines(docs: DataFrame, min_points: int = MIN_POINTS, min_docs: int = MIN_DOCS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """docs with text_kept, n_lines (before dropping) and n_dropped; it needs columns doc_id and text."""
+def dedup_lines(docs: DataFrame, min_points: int = MIN_POINTS, min_docs: int = MIN_DOCS, batches: int = BATCHES, fanout: int = FANOUT, names: tuple[str, str, str] = ("text_kept", "n_lines", "n_dropped")) -> DataFrame:
+    """docs with the kept text, the lines before dropping and the dropped ones, under `names`.
+
+    It needs columns doc_id and text. Columns of the input that have one of the names are replaced.
+    """
     gone = dropped_keys(plain(docs, doc_id="doc_id", text="text"), min_points, min_docs, batches, fanout)
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("dropped").alias("_gone"))
-    joined = docs.join(gone.hint("merge"), docs["doc_id"] == gone["_gone_id"], "left").drop("_gone_id")
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("dropped").alias("gone"))
+    # The input's columns by number inside, so that no name of theirs meets one of the operator's.
+    numbered = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    own = docs.toDF(*numbered.values())
+    joined = own.join(gone.hint("merge"), own[numbered["doc_id"]] == gone["gone_id"], "left").drop("gone_id")
+    text_at = list(numbered).index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, lines, losses = [], [], []
-            for text, gone in zip(batch.column("text").cast(pa.large_binary()), batch.column("_gone").to_pylist(), strict=True):
+            for text, gone in zip(batch.column(text_at).cast(pa.large_binary()), batch.column("gone").to_pylist(), strict=True):
                 own = (text.as_py() or b"").split(b"\n")
                 kept = own
                 if gone:
@@ -156,13 +164,12 @@ def dedup_lines(docs: DataFrame, min_points: int = MIN_POINTS, min_docs: int = M
                 texts.append(b"\n".join(kept))
                 lines.append(len(own))
                 losses.append(len(own) - len(kept))
-            rest = [n for n in batch.schema.names if n != "_gone"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(lines, pa.int64()), pa.array(losses, pa.int64())], names=[*rest, "text_kept", "n_lines", "n_dropped"])
-
-    from pyspark.sql.types import LongType, StringType, StructField, StructType
+            rest = [n for n in batch.schema.names if n != "gone"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(lines, pa.int64()), pa.array(losses, pa.int64())], names=[*rest, "kept", "lines", "losses"])
 
-    schema = StructType([*docs.schema.fields, StructField("text_kept", StringType()), StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
-    return joined.mapInArrow(keep, schema)
+    schema = StructType([*own.schema.fields, StructField("kept", StringType()), StructField("lines", LongType()), StructField("losses", LongType())])
+    out = joined.mapInArrow(keep, schema)
+    return out.select(*(F.col(n).alias(c) for c, n in numbered.items() if c not in names), *(F.col(n).alias(c) for n, c in zip(("kept", "lines", "losses"), names, strict=True)))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ cuts no source, so every document appears at least once.
 Edge cases: a null source is a source of its own, as is an empty one apart from it. Sources without tokens have no
 weight; their documents appear once. Rows that repeat an id lie in one block and appear each. A null id is an id like
 another. One source has weight 1. An empty table gives an empty result. Columns of the input are carried through
-mix() unchanged; its own are named mix_epoch and mix_position.
+mix() unchanged.
 """
 
 from __future__ import annotations
@@ -119,21 +119,21 @@ def with_blocks(docs: DataFrame, sources: DataFrame) -> DataFrame:
     return joined.withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.col("blocks")))
 
 
-def mix(docs: DataFrame, counted: DataFrame, **options) -> DataFrame:
-    """Rows of docs as often as their source's weight asks, with mix_epoch and mix_position.
+def mix(docs: DataFrame, counted: DataFrame, names: tuple[str, str] = ("mix_epoch", "mix_position"), **options) -> DataFrame:
+    """Rows of docs as often as their source's weight asks, with epoch and position under `names`.
 
-    counted: (doc_id, source, n_tokens) of the same rows; docs needs the columns doc_id and source.
+    counted: (doc_id, source, n_tokens) of the same rows; docs needs the columns doc_id and source. Columns of docs that
+    have one of the names are replaced.
     """
     sources, plan = mixing_plan(counted, **options)
-    names = {c: f"_{i}_{c}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "source")}
-    own = docs.withColumnsRenamed(names)
-    plan = plan.select(F.col("source").alias("_s"), F.col("block").alias("_b"), F.col("epoch").alias("mix_epoch"), F.col("position").alias("mix_position"))
-    blocked = with_blocks(own, sources)
-    mixed = blocked.join(plan, blocked["source"].eqNullSafe(plan["_s"]) & (blocked["block"] == plan["_b"]))
-    return mixed.select(*(F.col(names.get(c, c)).alias(c) for c in docs.columns), "mix_epoch", "mix_position")
+    numbered = {c: c if c in ("doc_id", "source") else f"c{i}" for i, c in enumerate(docs.columns)}
+    blocked = with_blocks(docs.toDF(*numbered.values()), sources)
+    plan = plan.select(F.col("source").alias("of"), F.col("block").alias("at"), "epoch", "position")
+    mixed = blocked.join(plan, blocked["source"].eqNullSafe(plan["of"]) & (blocked["block"] == plan["at"]))
+    return mixed.select(*(F.col(n).alias(c) for c, n in numbered.items() if c not in names), *(F.col(n).alias(c) for n, c in zip(("epoch", "position"), names, strict=True)))
 
 
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = plain(table(spark, sf_dir, "documents"), doc_id="doc_id", source="source", text="text")
     counted = Scratch(spark, "mixing").save(docs.select("doc_id", "source", n_tokens(F.col("text")).alias("n_tokens")), "counted")
-    return mix(counted, counted).withColumnsRenamed({"mix_epoch": "epoch", "mix_position": "position"})
+    return mix(counted, counted, names=("epoch", "position"))

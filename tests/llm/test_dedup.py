@@ -89,7 +89,7 @@ def test_lines(spark, batches, fanout):
     pool = ["Common line " + "x" * 30 + str(i) for i in range(6)] + ["é" * 40, "é" * 39, "short", ""]
     rows = [(i, "\n".join(rng.choice([" ", "", "\t"]) + rng.choice([str.upper, str])(rng.choice(pool)) + rng.choice(["", " ", "\r"]) for _ in range(rng.randint(0, 6)))) for i in range(60)]
     rows += [(60, None), (61, ""), (62, (pool[0] + "\n") * 500), (3, rows[3][1]), (3, pool[1]), (None, pool[0]), (63, "a\n\n\nb")]
-    docs = frame(spark, rows).withColumn("n_lines_in", F.lit(1))
+    docs = frame(spark, rows).withColumns({c: F.lit(1) for c in ("n_lines", "gone", "gone_id", "kept", "c0", "h1", "dropped")})
     out = line_dedup.dedup_lines(docs, batches=batches, fanout=fanout)
     got = out.select("doc_id", "n_lines", "n_dropped", F.sha2("text_kept", 256)).collect()
     assert sorted(str(tuple(r)) for r in got) == lines_brute(rows)

@@ -256,6 +256,17 @@ def test_pipeline_takes_nulls_and_empty_tables(spark):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= (1 if rows else 0)
 
 
+def test_pipeline_keeps_clashing_columns(spark):
+    clash = ["text_kept", "n_lines", "gone", "block", "blocks", "epoch", "_gone", "_d", "c0", "bucket", "comp", "n_tokens"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({c: F.col("doc_id") for c in clash})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns
+        docs = spark.createDataFrame(after.collect(), docs.schema)
+    assert docs.where("text_kept <> doc_id or gone <> doc_id or epoch <> doc_id or c0 <> doc_id or _gone <> doc_id").count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
+
+
 def test_run_is_the_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
