@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,17 +15,22 @@ from ..operators import reconcile as R
 from ..sources import box_pages as B
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """df on the executors' disks: the plan reads it several times. What a lost executor held is computed again."""
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
 def silver(pages: DataFrame) -> dict[str, DataFrame]:
-    """games, batting, pitching, events and events_rejected of pages(url, html)."""
-    cells = B.cells(pages)
-    batting = L.batting_order(L.eligible_batters(B.batting(cells)))
-    pitching = L.pitching_order(B.pitching(cells))
+    """games, batting, pitching, events and events_rejected of pages(url, html). Pages are parsed once."""
+    cells = kept(B.cells(pages))
+    batting = kept(L.batting_order(L.eligible_batters(B.batting(cells))))
+    pitching = kept(L.pitching_order(B.pitching(cells)))
     raw = E.play_rows(B.plays(cells))
     parsed = raw.select("game_id", "seq", T.first_integer("inn").alias("inning"), T.inning_half("inn").alias("inning_half"), T.normal_name("batter").alias("batter_name"), T.normal_name("pitcher").alias("pitcher_name"), "description", T.leading_integer("pit_cnt").alias("pitch_count"))
-    judged = P.classify(parsed)
+    judged = kept(P.classify(parsed))
     events = E.renumber(E.dedup_pitch_counts(P.accepted(judged)))
     events = N.enrich(events, N.canonical(batting, pitching).drop("is_ambiguous"))
-    events = events.withColumn("event_id", E.event_id("game_id", "inning", "inning_half", "seq"))
+    events = kept(events.withColumn("event_id", E.event_id("game_id", "inning", "inning_half", "seq")))
     return {"games": B.games(pages), "batting": batting, "pitching": pitching, "events": events, "events_rejected": P.rejected(judged)}
 
 
@@ -52,5 +58,5 @@ def process(pages: DataFrame, stored_games: DataFrame | None = None, least: floa
     new = pages if stored_games is None else pages.withColumn("game_id", T.game_id("url")).join(stored_games.select("game_id"), "game_id", "left_anti").drop("game_id")
     tables = silver(new)
     rows = reports(tables)
-    good = gate(rows, least, strict).select("game_id")
+    good = kept(gate(rows, least, strict).select("game_id"))
     return {name: df.join(good, "game_id", "left_semi") for name, df in tables.items()} | {"validation_reports": rows}

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from dugout.functions import text as T
 from dugout.operators import events as E
 from dugout.operators import lineup as L
 from dugout.operators import names as N
@@ -133,3 +134,14 @@ def test_empty_pages(spark):
     out = season.silver(spark.createDataFrame([], "url string, html string"))
     assert all(df.count() == 0 for df in out.values())
     assert B.cells(spark.createDataFrame([("u", None)], "url string, html string")).count() == 0
+
+
+def test_made_season_reconciles(spark):
+    from dugout.plans import demo
+
+    pages = demo.pages(spark, 40).cache()
+    out = season.process(pages, least=100)
+    assert pages.select(F.countDistinct(T.game_id("url"))).first()[0] == 40
+    assert out["validation_reports"].where("accuracy_percentage <> 100").count() == 0
+    assert out["batting"].count() == 40 * 18 and out["pitching"].count() == 80 and out["events_rejected"].count() == 0
+    assert out["events"].where("batter_id is null or pitcher_id is null").count() == 0
