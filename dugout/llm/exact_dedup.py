@@ -128,7 +128,8 @@ def exact_groups(docs: DataFrame, primes: tuple[int, ...] = PRIMES, bases: tuple
     key = ["n_bytes", "f1", "f2"]
     same = lambda a, b, names: [a[n].eqNullSafe(b[n]) for n in names]
 
-    members = prints.select("doc_id", "row_key", *key).distinct()
+    members = scratch.save(prints.select("doc_id", "row_key", *key).distinct(), "members")
+    repeats = members.count() < prints.count()
     several = members.groupBy(*key).agg(F.min(F.struct("doc_id", "row_key")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     open_rows = scratch.save(members.join(several, key).select("doc_id", "row_key", *key, "first"), "equal_fingerprints")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row_key", F.xxhash64("text"))
@@ -139,7 +140,9 @@ def exact_groups(docs: DataFrame, primes: tuple[int, ...] = PRIMES, bases: tuple
         held = texts.join(open_rows.hint("merge"), same(texts, open_rows, ["doc_id", "row_key"])).select(open_rows["doc_id"], open_rows["row_key"], *key, "first", "text")
         stream = held.select("doc_id", "row_key", *key, "first", F.posexplode(_cut(_normal(F.col("text")), chunk)).alias("i", "piece"))
         is_first = F.struct("doc_id", "row_key").eqNullSafe(F.col("first"))
-        heads = stream.where(is_first).select(*key, "i", F.col("piece").alias("head")).dropDuplicates([*key, "i"])
+        heads = stream.where(is_first).select(*key, "i", F.col("piece").alias("head"))
+        if repeats:  # else the join reads two exchanges, and Spark can split a text with very many copies
+            heads = heads.dropDuplicates([*key, "i"])
         differ = stream.where(~is_first).join(heads, [*key, "i"]).where("piece <> head").select("doc_id", "row_key", *key).distinct()
         turn += 1
         rest = scratch.save(differ, "differ")

@@ -133,9 +133,11 @@ def dropped_keys(docs: DataFrame, min_points: int = MIN_POINTS, min_docs: int =
         if high is not None:
             batch = batch.where(F.col("doc_id") <= high)
         runs.append(batch)
-    out = keys.join(runs.frequent(min_docs), ["h1", "h2"]).where("doc_id < last_doc").groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("dropped"))
+    # Written first, so that the join reads two exchanges and Spark can split a line that very many documents hold.
+    frequent = scratch.save(runs.frequent(min_docs), "frequent")
+    out = keys.join(frequent, ["h1", "h2"]).where("doc_id < last_doc").groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("dropped"))
     out = scratch.save(out, "dropped")
-    scratch.drop(keys, *runs.runs())
+    scratch.drop(keys, frequent, *runs.runs())
     return out
 
 

@@ -325,7 +325,8 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     seals = [F.bit_xor(F.xxhash64(F.lit(i), "id")).alias(f"seal{i}") for i in (1, 2)]
     buckets = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("leader"), *seals).where("n > 1")
     buckets = scratch.save(buckets.groupBy("n", "leader", "seal1", "seal2").agg(F.min("bucket").alias("bucket")), "buckets")
-    shared = scratch.save(banded.join(buckets.select("bucket"), "bucket", "left_semi").distinct(), "shared")
+    # Nothing follows this join in its stage, so that Spark can split a bucket with many classes.
+    shared = scratch.save(banded.join(buckets.select("bucket"), "bucket", "left_semi"), "shared")
     met = shared.select("id").distinct()
     signed = scratch.save(classes.join(met, "id", "left_semi").select("id", "packed", "cells", "n_shingles"), "signed")
     members = scratch.save(shared.join(signed, "id"), "members")
