@@ -131,6 +131,8 @@ def exact_groups(docs: DataFrame, primes: tuple[int, ...] = PRIMES, bases: tuple
     members = scratch.save(prints.select("doc_id", "row_key", *key).distinct(), "members")
     repeats = members.count() < prints.count()
     several = members.groupBy(*key).agg(F.min(F.struct("doc_id", "row_key")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # Written before they are joined, here and below: the join then reads two exchanges, and Spark can split a hot group.
+    several = scratch.save(several, "several")
     open_rows = scratch.save(members.join(several, key).select("doc_id", "row_key", *key, "first"), "equal_fingerprints")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row_key", F.xxhash64("text"))
     turned = None  # rows whose text differs from that of their fingerprint's first row, with the round that took them
@@ -141,7 +143,7 @@ def exact_groups(docs: DataFrame, primes: tuple[int, ...] = PRIMES, bases: tuple
         stream = held.select("doc_id", "row_key", *key, "first", F.posexplode(_cut(_normal(F.col("text")), chunk)).alias("i", "piece"))
         is_first = F.struct("doc_id", "row_key").eqNullSafe(F.col("first"))
         heads = stream.where(is_first).select(*key, "i", F.col("piece").alias("head"))
-        if repeats:  # else the join reads two exchanges, and Spark can split a text with very many copies
+        if repeats:
             heads = heads.dropDuplicates([*key, "i"])
         differ = stream.where(~is_first).join(heads, [*key, "i"]).where("piece <> head").select("doc_id", "row_key", *key).distinct()
         turn += 1
@@ -160,7 +162,7 @@ def exact_groups(docs: DataFrame, primes: tuple[int, ...] = PRIMES, bases: tuple
         classed = prints.join(moved, prints["doc_id"].eqNullSafe(moved["d"]) & (prints["row_key"] == moved["r"]), "left").withColumn("turn", F.coalesce("turn", F.lit(0))).drop("d", "r")
     group = [*key, "turn"]
     order = F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("u"), "doc_id")
-    groups = classed.groupBy(*group).agg(F.min(order).alias("best"), F.count("*").alias("group_size"))
+    groups = scratch.save(classed.groupBy(*group).agg(F.min(order).alias("best"), F.count("*").alias("group_size")), "groups")
     return classed.join(groups, group).select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", F.col("doc_id").eqNullSafe(F.col("best.doc_id")).alias("kept"), "text_sha256")
 
 
