@@ -10,8 +10,8 @@
    the packed signatures give a collision-corrected estimate; pairs far below the threshold go, as do those whose
    histograms prove that they cannot reach it, and for each class and other component the best pair is taken. It is
    confirmed by the intersection of the full sets, confirmed links join components, and refuted pairs are remembered.
-   From round LAST on, all remaining pairs are taken at once. The rounds end when no pair remains: every link between
-   different components has been examined, and links within a component can change nothing.
+   Round LAST takes all remaining pairs at once, also if the best pairs before it were all refuted ones. After it every
+   link between different components has been examined, and links within a component can change nothing.
 
 So no bucket is capped, no pairs of a group are written out, and the components are those of the full link graph.
 
@@ -40,7 +40,7 @@ MINIMA, BANDS, BITS, CELLS = 128, 32, 2, 256
 SLACK = 5.0
 #: Classes of a bucket that meet in one block.
 BLOCK = 4096
-#: The round from which on all remaining pairs are confirmed at once.
+#: The last round, in which all remaining pairs are confirmed at once.
 LAST = 3
 
 _rng = np.random.default_rng(20240229)
@@ -353,9 +353,7 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
             pairs = pairs.join(refuted, ["a", "b"], "left_anti")
         judged = scratch.save(_confirmed(pairs, sets, percent), "judged")
         used.append(judged)
-        n, linked = judged.agg(F.count("*"), F.count_if("linked")).first()
-        if n == 0 and round_no > 1:
-            break
+        linked = judged.agg(F.count_if("linked")).first()[0]
         refuted = judged.where("not linked").select("a", "b") if refuted is None else refuted.unionByName(judged.where("not linked").select("a", "b"))
         if linked:
             fresh = judged.where("linked").select("a", "b")

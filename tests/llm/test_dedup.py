@@ -166,6 +166,26 @@ def test_near_repeats_and_empty(spark):
     assert Counter(map(tuple, got)) == Counter({(1, 2, 1, True): 2, (2, 2, 1, False): 1, (None, 2, None, True): 1, (3, 1, 3, True): 1})
 
 
+def test_near_link_behind_a_refuted_pair(spark):
+    """1~2 and 2~3 are links, 1~3 is not but looks at least as good as 2~3, so that rounds 1 and 2 see nothing else of 3."""
+
+    def look(texts):
+        bits = minhash_dedup.pack(minhash_dedup.minima(minhash_dedup.shingle_hashes([t.encode() for t in texts], 3)))
+        return [minhash_dedup.estimate(bits[i : i + 1], bits[2:])[0] for i in (0, 1)]
+
+    for seed in range(100):
+        words = [f"w{seed}x{i}" for i in range(219)]
+        texts = [" ".join(words[a : a + 202]) for a in (0, 1, 17)]  # 183 of 217, 184 of 216 and 199 of 201 shingles shared
+        first, second = look(texts)
+        if first >= second:  # a tie goes to the smaller id
+            break
+    assert first >= second
+    rows = list(enumerate(texts, start=1))
+    got = minhash_dedup.components(frame(spark, rows), 3, 85).collect()
+    assert sorted(str(tuple(r)) for r in got) == near_brute(rows, 3, 85)
+    assert {r["component_id"] for r in got} == {1}
+
+
 def test_estimate_is_close():
     rng = random.Random(1)
     import numpy as np
