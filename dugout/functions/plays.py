@@ -137,6 +137,15 @@ def classify(plays: DataFrame, description: str = "description", rules: tuple[tu
     return named.withColumns({f: flag(f, f == "is_plate_appearance") for f in FLAGS} | {"hit_type": F.when(F.col("rule").isin(*hits), F.col("rule")), "outs_recorded": number("outs_recorded"), "bases_reached": number("bases_reached")})
 
 
+def outs_on_play(events: DataFrame) -> Column:
+    """The outs of a classified play. outs_recorded stays 0 for a strikeout; here it is one out if the batter doesn't reach."""
+    if "rule" in events.columns:
+        struck = F.col("rule").isin(*(r for r, o in OUTCOMES.items() if o.get("is_strikeout") and o.get("is_out")))
+    else:  # stored events keep the flags alone
+        struck = F.col("is_strikeout") & F.col("is_out")
+    return F.greatest(F.coalesce("outs_recorded", F.lit(0)), F.coalesce(struck, F.lit(False)).cast("int")).cast("int")
+
+
 def accepted(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("rule").isNotNull())
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.plays import outs_on_play
+
 #: Half innings in the order they are played.
 HALF_RANK = "CASE inning_half WHEN 'top' THEN 0 ELSE 1 END"
 
@@ -38,7 +40,7 @@ def outs_machine(events: DataFrame, seq: str = "seq") -> DataFrame:
 
     A game is one array of its few hundred events, folded in order; the reset rules out a running sum.
     """
-    games = events.groupBy("game_id").agg(F.sort_array(F.collect_list(F.struct(F.col(seq).alias("seq"), F.col("outs_recorded").alias("outs")))).alias("plays"))
+    games = events.groupBy("game_id").agg(F.sort_array(F.collect_list(F.struct(F.col(seq).alias("seq"), outs_on_play(events).alias("outs")))).alias("plays"))
     start = F.struct(F.lit(1).alias("half"), F.lit(0).alias("outs"), F.expr("cast(array() as array<struct<seq:bigint,half_no:int,outs_before:int,outs_after:int>>)").alias("done"))
 
     def step(state: Column, play: Column) -> Column:
@@ -55,7 +57,7 @@ def base_machine(events: DataFrame, seq: str = "seq") -> DataFrame:
 
     Hits move every runner by the hit's bases; walks and hit batters only those who are forced; three outs clear.
     """
-    play = F.struct(F.col(seq).cast("bigint").alias("seq"), F.col("batter_name").alias("who"), F.col("bases_reached").alias("reach"), F.coalesce("outs_recorded", F.lit(0)).alias("outs"), (F.col("is_walk") | (F.col("rule") == "hit_by_pitch")).alias("free"))
+    play = F.struct(F.col(seq).cast("bigint").alias("seq"), F.col("batter_name").alias("who"), F.col("bases_reached").alias("reach"), outs_on_play(events).alias("outs"), (F.col("is_walk") | (F.col("rule") == "hit_by_pitch")).alias("free"))
     games = events.groupBy("game_id").agg(F.sort_array(F.collect_list(play)).alias("plays"))
     empty = F.expr("cast(array(null, null, null) as array<string>)")
     start = F.struct(empty.alias("bases"), F.lit(0).alias("outs"), F.expr("cast(array() as array<struct<seq:bigint,runs:int,bases:array<string>>>)").alias("done"))

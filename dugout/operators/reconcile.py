@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.plays import outs_on_play
+
 BATTING = ("PA", "AB", "H", "BB", "SO", "HR", "doubles", "triples")
 PITCHING = ("BF", "H", "BB", "SO", "HR")
 
@@ -15,7 +17,7 @@ def batter_lines(events: DataFrame) -> DataFrame:
 
 
 def pitcher_lines(events: DataFrame) -> DataFrame:
-    return events.groupBy("game_id", F.col("pitcher_name").alias("player_name")).agg(F.count_if("is_plate_appearance").alias("BF"), F.count_if("is_hit").alias("H"), F.count_if("is_walk").alias("BB"), F.count_if("is_strikeout").alias("SO"), F.count_if(F.col("hit_type") == "home_run").alias("HR"), F.sum("pitch_count").alias("PC"), F.sum("outs_recorded").alias("outs"))
+    return events.groupBy("game_id", F.col("pitcher_name").alias("player_name")).agg(F.count_if("is_plate_appearance").alias("BF"), F.count_if("is_hit").alias("H"), F.count_if("is_walk").alias("BB"), F.count_if("is_strikeout").alias("SO"), F.count_if(F.col("hit_type") == "home_run").alias("HR"), F.sum("pitch_count").alias("PC"), F.sum(outs_on_play(events)).alias("outs"))
 
 
 def differences(official: DataFrame, parsed: DataFrame, keys: list[str], stats: tuple[str, ...]) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dugout.functions import text as T
+from dugout.functions import plays as P
 from dugout.operators import events as E
 from dugout.operators import lineup as L
 from dugout.operators import names as N
@@ -90,6 +91,16 @@ def test_bases_and_outs(spark):
     assert (outs[7]["outs_before"], outs[7]["outs_after"], outs[8]["half_no"]) == (1, 3, 2)
 
 
+def test_strikeouts_are_outs(spark):
+    said = ["Walk", "Strikeout Swinging", "Strikeout Looking", "Strikeout Swinging Wild Pitch", "Strikeout Swinging", "Single to CF"]
+    plays = spark.createDataFrame([("g", i, f"B{i}", "P", 3, d) for i, d in enumerate(said)], "game_id string, seq long, batter_name string, pitcher_name string, pitch_count int, description string")
+    events = P.classify(plays)
+    outs = {r["seq"]: tuple(r)[2:] for r in E.outs_machine(events).collect()}
+    assert outs == {0: (1, 0, 0), 1: (1, 0, 1), 2: (1, 1, 2), 3: (1, 2, 2), 4: (1, 2, 3), 5: (2, 0, 0)}
+    assert {r["seq"]: r["bases"] for r in E.base_machine(events).collect()}[5] == ["B5", None, None]
+    assert R.pitcher_lines(events).first()["outs"] == 3 and R.pitcher_lines(events.drop("rule")).first()["outs"] == 3
+
+
 def test_runners_and_totals(spark):
     plays = spark.createDataFrame([("g", 1, "Ann Lee Steals 2nd; Bo Diaz Scores"), ("g", 2, "Cy Moe Caught Stealing home")], "game_id string, seq long, description string")
     got = {(r["kind"], r["runner"], r["to_base"]) for r in E.runner_events(plays).collect()}
