@@ -138,12 +138,19 @@ def classify(plays: DataFrame, description: str = "description", rules: tuple[tu
 
 
 def outs_on_play(events: DataFrame) -> Column:
-    """The outs of a classified play. outs_recorded stays 0 for a strikeout; here it is one out if the batter doesn't reach."""
+    """The outs of a classified play. outs_recorded stays 0 for a strikeout; here it is one out if the
+    batter doesn't reach, and a runner caught stealing is one more."""
     if "rule" in events.columns:
         struck = F.col("rule").isin(*(r for r, o in OUTCOMES.items() if o.get("is_strikeout") and o.get("is_out")))
     else:  # stored events keep the flags alone
         struck = F.col("is_strikeout") & F.col("is_out")
-    return F.greatest(F.coalesce("outs_recorded", F.lit(0)), F.coalesce(struck, F.lit(False)).cast("int")).cast("int")
+    own = F.greatest(F.coalesce("outs_recorded", F.lit(0)), F.coalesce(struck, F.lit(False)).cast("int"))
+    if "description" not in events.columns:
+        return own.cast("int")
+    # A double play's two outs count the runner already.
+    text = F.lower(F.coalesce("description", F.lit("")))
+    caught = F.size(F.regexp_extract_all(text, F.lit("(caught stealing)"), F.lit(1)))
+    return F.when(text.contains("double play"), F.greatest(own, F.lit(2) * (caught > 0).cast("int"))).otherwise(own + caught).cast("int")
 
 
 def accepted(classified: DataFrame) -> DataFrame:

@@ -52,15 +52,36 @@ def outs_machine(events: DataFrame, seq: str = "seq") -> DataFrame:
     return games.select("game_id", F.inline(F.aggregate("plays", start, step, lambda s: s["done"])))
 
 
+#: The bases that texts name, and the rules that put the batter on first without a hit.
+BASES = {"2nd": 2, "2b": 2, "second": 2, "3rd": 3, "3b": 3, "third": 3, "home": 4}
+REACHED = ("hit_by_pitch", "error", "interference", "strikeout_reached")
+
+
 def base_machine(events: DataFrame, seq: str = "seq") -> DataFrame:
-    """(game_id, seq, runs, bases): who stands on the bases after each event, runners forced on by the batter.
+    """(game_id, seq, runs, bases): who stands on the bases after each event.
 
-    Hits move every runner by the hit's bases; walks and hit batters only those who are forced; three outs clear.
+    Hits move every runner by the hit's bases; walks, hit batters and those who reach on an error or interference only
+    the runners who are forced. Then the running that the description names, if there is one: steals move a runner,
+    those caught stealing leave and are out, those who score and still stand on a base come in. Three outs clear.
     """
-    play = F.struct(F.col(seq).cast("bigint").alias("seq"), F.col("batter_name").alias("who"), F.col("bases_reached").alias("reach"), outs_on_play(events).alias("outs"), (F.col("is_walk") | (F.col("rule") == "hit_by_pitch")).alias("free"))
+    free = F.coalesce(F.col("is_walk") | F.col("rule").isin(*REACHED), F.lit(False))
+    moves = runner_moves("description") if "description" in events.columns else F.expr("cast(array() as array<struct<kind:string,runner:string,to_base:string>>)")
+    play = F.struct(F.col(seq).cast("bigint").alias("seq"), F.col("batter_name").alias("who"), F.col("bases_reached").alias("reach"), outs_on_play(events).alias("outs"), free.alias("free"), moves.alias("moves"))
     games = events.groupBy("game_id").agg(F.sort_array(F.collect_list(play)).alias("plays"))
     empty = F.expr("cast(array(null, null, null) as array<string>)")
     start = F.struct(empty.alias("bases"), F.lit(0).alias("outs"), F.expr("cast(array() as array<struct<seq:bigint,runs:int,bases:array<string>>>)").alias("done"))
+    target = F.create_map(*(F.lit(x) for pair in BASES.items() for x in pair))
+
+    def run(now: Column, m: Column) -> Column:
+        """Bases and runs after a runner's move; a runner who isn't on a base, or is as far already, stays."""
+        called = F.lower(m["runner"])
+        stands = F.transform(now["bases"], lambda x: F.coalesce((F.lower(x) == called) | F.lower(x).endswith(F.concat(F.lit(" "), called)), F.lit(False)))
+        place = F.array_position(stands, True).cast("int")
+        to = F.when(m["kind"] == "steal", F.try_element_at(target, m["to_base"])).when(m["kind"] == "run", 4).otherwise(0)
+        goes = (place > 0) & ((to == 0) | (to > place))
+        runner = F.get(now["bases"], place - 1)
+        bases = F.transform(now["bases"], lambda x, i: F.when(i + 1 == to, runner).when(i + 1 != place, x))
+        return F.struct(F.when(goes, bases).otherwise(now["bases"]).alias("bases"), (now["runs"] + (goes & (to == 4)).cast("int")).cast("int").alias("runs"))
 
     def step(state: Column, p: Column) -> Column:
         b = state["bases"]
@@ -72,25 +93,32 @@ def base_machine(events: DataFrame, seq: str = "seq") -> DataFrame:
         scored = F.size(F.filter(F.slice(line, (5 - p["reach"]).cast("int"), p["reach"].cast("int")), lambda x: x.isNotNull()))
         bases = F.when(p["free"], forced).when(p["reach"] > 0, moved).otherwise(b)
         runs = F.when(p["free"], forced_in).when(p["reach"] > 0, scored).otherwise(0).cast("int")
+        ran = F.aggregate(p["moves"], F.struct(bases.alias("bases"), runs.alias("runs")), run)
         outs = state["outs"] + p["outs"]
         over = outs >= 3
-        bases = F.when(over, empty).otherwise(bases)
-        return F.struct(bases.alias("bases"), F.when(over, 0).otherwise(outs).cast("int").alias("outs"), F.concat(state["done"], F.array(F.struct(p["seq"].alias("seq"), runs.alias("runs"), bases.alias("bases")))).alias("done"))
+        bases = F.when(over, empty).otherwise(ran["bases"])
+        return F.struct(bases.alias("bases"), F.when(over, 0).otherwise(outs).cast("int").alias("outs"), F.concat(state["done"], F.array(F.struct(p["seq"].alias("seq"), ran["runs"].alias("runs"), bases.alias("bases")))).alias("done"))
 
     return games.select("game_id", F.inline(F.aggregate("plays", start, step, lambda s: s["done"])))
 
 
-def runner_events(plays: DataFrame) -> DataFrame:
-    """A row for each steal, caught steal and run in a description: game_id, seq, kind, runner, to_base."""
+def runner_moves(description: str) -> Column:
+    """array<struct<kind, runner, to_base>> of a description's steals, caught steals and runs, in this order."""
     name = r"([A-Z][\w.'-]*(?: [A-Z][\w.'-]*)*)"
-    kinds = (("steal", rf"{name} [Ss]teals (2nd|3rd|[Hh]ome)"), ("caught", rf"{name} [Cc]aught [Ss]tealing (2nd|3rd|[Hh]ome)"), ("run", rf"{name} [Ss]cores()"))
+    to = r"(2nd|2B|[Ss]econd|3rd|3B|[Tt]hird|[Hh]ome)"
+    kinds = (("steal", rf"{name} [Ss]teals {to}"), ("caught", rf"{name} [Cc]aught [Ss]tealing {to}"), ("run", rf"{name} [Ss]cores()"))
 
     def found(kind: str, pattern: str) -> Column:
-        both = F.arrays_zip(F.regexp_extract_all("description", F.lit(pattern), F.lit(1)).alias("r"), F.regexp_extract_all("description", F.lit(pattern), F.lit(2)).alias("b"))
+        both = F.arrays_zip(F.regexp_extract_all(description, F.lit(pattern), F.lit(1)).alias("r"), F.regexp_extract_all(description, F.lit(pattern), F.lit(2)).alias("b"))
         return F.transform(both, lambda x: F.struct(F.lit(kind).alias("kind"), x["r"].alias("runner"), F.nullif(F.lower(x["b"]), F.lit("")).alias("to_base")))
 
-    rows = plays.select("game_id", "seq", F.inline(F.concat(*(found(k, p) for k, p in kinds))))
-    return rows.where(~F.lower("runner").isin("he", "him", "she", "they", "runner"))
+    every = F.concat(*(found(k, p) for k, p in kinds))
+    return F.filter(F.coalesce(every, F.array().cast("array<struct<kind:string,runner:string,to_base:string>>")), lambda m: ~F.lower(m["runner"]).isin("he", "him", "she", "they", "runner"))
+
+
+def runner_events(plays: DataFrame) -> DataFrame:
+    """A row for each steal, caught steal and run in a description: game_id, seq, kind, runner, to_base."""
+    return plays.select("game_id", "seq", F.inline(runner_moves("description")))
 
 
 def player_totals(events: DataFrame, runners: DataFrame) -> DataFrame:

@@ -101,6 +101,16 @@ def test_strikeouts_are_outs(spark):
     assert R.pitcher_lines(events).first()["outs"] == 3 and R.pitcher_lines(events.drop("rule")).first()["outs"] == 3
 
 
+def test_running_moves_the_bases(spark):
+    said = [("Ann Lee", "Reached on E6"), ("Bo Diaz", "Lee Steals 2B"), ("Bo Diaz", "Walk"), ("Cy Moe", "Bo Diaz Caught Stealing 2B (C-SS)"), ("Cy Moe", "Single to CF; Ann Lee Scores"), ("Di Fox", "Flyball: CF"), ("Di Fox", "Groundout: SS-1B")]
+    plays = spark.createDataFrame([("g", i, b, "P", d) for i, (b, d) in enumerate(said)], "game_id string, seq long, batter_name string, pitcher_name string, description string")
+    events = P.classify(plays)
+    got = [tuple(r)[2:] for r in E.base_machine(events).orderBy("seq").collect()]
+    ann, moe = "Ann Lee", "Cy Moe"
+    assert got == [(0, [ann, None, None]), (0, [None, ann, None]), (0, ["Bo Diaz", ann, None]), (0, [None, ann, None]), (1, [moe, None, None]), (0, [moe, None, None]), (0, [None] * 3)]
+    assert [r["outs_after"] for r in E.outs_machine(events).orderBy("seq").collect()] == [0, 0, 0, 1, 1, 2, 3]
+
+
 def test_runners_and_totals(spark):
     plays = spark.createDataFrame([("g", 1, "Ann Lee Steals 2nd; Bo Diaz Scores"), ("g", 2, "Cy Moe Caught Stealing home")], "game_id string, seq long, description string")
     got = {(r["kind"], r["runner"], r["to_base"]) for r in E.runner_events(plays).collect()}
