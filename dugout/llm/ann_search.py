@@ -8,8 +8,7 @@ of all files are merged. Every row is indexed; a file is dealt out in blocks of
 of all rows makes more tasks, not larger ones.
 
 Edge cases: vectors that are null, zero, of another length than most, or that hold null or non-finite components take no
-part, as queries or candidates. Rows that repeat an id are rows of their own, but a query's own id is never among its
-neighbours. Ties go to the smaller id. With fewer candidates than asked for, all of them return. A table without a usable
+part, as queries or candidates. Of rows that repeat an id the best counts: an id is a neighbour once, and a query's own id never. Ties go to the smaller id. With fewer candidates than asked for, all of them return. A table without a usable
 vector gives an empty result. Columns beyond the named ones are not read.
 """
 
@@ -114,7 +113,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PI
         found = {"query_id": [], "vec_id": [], "score": []}
         if len(file) and len(asking):
             # Equal vectors are one entry with its ids in order, so that their number crowds nobody out.
-            file = file.sort_values("vec_id", kind="stable")
+            file = file.drop_duplicates(["vec_id", "vector"]).sort_values("vec_id", kind="stable")
             entry, distinct = pd.factorize(file["vector"])
             ids = [part[: k + 1] for part in np.split(file["vec_id"].to_numpy()[np.argsort(entry, kind="stable")], np.cumsum(np.bincount(entry))[:-1])]
             x = np.frombuffer(b"".join(distinct), dtype=np.float64).reshape(len(distinct), -1)
@@ -130,10 +129,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PI
                 at = np.flatnonzero(far <= max(edge, NEAR * ranks.shape[1] ** 2 / 2))
                 y = np.frombuffer(v, dtype=np.float64)
                 score = (x[at] * y).sum(axis=1) / (lengths[at] * np.sqrt((y * y).sum()))
-                # One entry may be the query alone; entries as near as the last one of these stay for the ties.
-                last = np.sort(score)[::-1][min(k, len(score) - 1)]
-                rows = [(-s, i) for s, e in zip(score[score >= last], at[score >= last], strict=True) for i in ids[e] if i != q]
-                rows = sorted(rows)[:k]
+                # Entries by score until k ids are there, and those as near as the last one for the ties.
+                best, last = {}, 0.0
+                for j in np.argsort(-score, kind="stable"):
+                    if len(best) >= k and score[j] < last:
+                        break
+                    last = score[j]
+                    for i in ids[at[j]]:
+                        if i != q:
+                            best.setdefault(i, last)
+                rows = sorted((-s, i) for i, s in best.items())[:k]
                 found["query_id"] += [q] * len(rows)
                 found["vec_id"] += [i for _, i in rows]
                 found["score"] += [-s for s, _ in rows]

@@ -151,6 +151,15 @@ def test_search_recall_and_scores(spark):
     assert twins == [2500, 2501, 2502, 2503, 2504]
 
 
+def test_ann_repeated_rows_crowd_nobody_out(spark):
+    """Every row twice, and one neighbour six times, with equal and with different vectors: five different ids still."""
+    base = [(i, [1.0, i * 0.01, 0.5]) for i in range(40)]
+    rows = base * 2 + [(1, [1.0, 0.01, 0.5])] * 6 + [(2, [1.0, 0.02 + j * 1e-4, 0.5]) for j in range(6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann_search.nearest(df, df.where("vec_id = 0").limit(1), 5).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [1, 2, 3, 4, 5] and [r["rank"] for r in got] == [1, 2, 3, 4, 5]
+
+
 def test_search_edge_cases(spark):
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, [float("inf"), 1.0]), (8, []), (0, [3.0, 0.0]), (None, [1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
