@@ -160,6 +160,31 @@ def test_ann_repeated_rows_crowd_nobody_out(spark):
     assert [r["vec_id"] for r in got] == [1, 2, 3, 4, 5] and [r["rank"] for r in got] == [1, 2, 3, 4, 5]
 
 
+@pytest.mark.parametrize("settings", [{"block": 40}, {"block": 40, "query_block": 7}, {"block": 40, "probed": 200}])
+def test_search_in_small_blocks(spark, settings):
+    """Hot pivots are cut and queries dealt; with every file probed and all reranked the answer is the exact one."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(300, 8)), np.tile(rng.normal(size=(1, 8)), (200, 1)), rng.normal(size=(1, 8)) + rng.normal(size=(200, 8)) * 1e-2])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann_search.nearest(df, df.where("vec_id % 9 = 0"), 5, share=1.0, **settings).toPandas()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, len(x), 9):
+        s = np.round(unit @ unit[q], 12)
+        s[q] = -9
+        mine = got[got["query_id"] == q].sort_values("rank")["vec_id"].tolist()
+        hit += len(set(mine) & set(np.lexsort((np.arange(len(x)), -s))[:5].tolist()))
+        assert len(mine) == 5
+    assert hit == 5 * 78 if "probed" in settings else hit >= 0.95 * 5 * 78
+
+
+def test_search_takes_components_of_any_size_and_clashing_columns(spark):
+    rows = [(0, [1e200, 0.0], 9), (1, [1.0, 1.0], 9), (2, [1e200, 1e200], 9), (3, [-3e-310, 0.0], 9), (4, [1e-300, 1e-301], 9), (5, [0.0, -1e308], 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, near long")
+    got = ann_search.nearest(df, df.where("vec_id = 0"), 5).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] in ([4, 1, 2, 5, 3], [4, 2, 1, 5, 3]) and [r["score"] for r in got] == pytest.approx([1 / math.hypot(1, 0.1), math.sqrt(0.5), math.sqrt(0.5), 0.0, -1.0])
+
+
 def test_search_edge_cases(spark):
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, [float("inf"), 1.0]), (8, []), (0, [3.0, 0.0]), (None, [1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
