@@ -2,7 +2,9 @@
 
 Tags are read by one regular expression; open elements close as browsers close them where that matters for text
 (paragraphs, list items, cells). Nodes are elements; inline elements without attributes lend their text to the element
-around them, and text beside other elements gets a node of its own, so that it can be judged alone.
+around them, and text beside other elements gets a node of its own, so that it can be judged alone. Only elements that
+never hold text to read (SILENT) are skipped; a drawing that closes itself, or that an ordinary element ends, hides
+nothing behind it. Time is linear in the page's length, however broken it is.
 """
 
 from __future__ import annotations
@@ -11,16 +13,25 @@ import html
 import math
 import re
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<[a-zA-Z/!?][^>]*(?:>|\Z)""", re.S)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>|<[a-zA-Z/!?][^>]*(?:>|\Z)""", re.S)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _ATTR = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop|aria-label|data-component)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style head template noscript iframe svg object canvas audio video math select datalist title".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+SILENT = frozenset("script style head template iframe svg select datalist title".split())
+INLINE = frozenset(
+    "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover semantics annotation".split()
+)
 CLOSES_P = frozenset("address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 WALLS = frozenset("html body div article section main td th table ul ol dl aside nav header footer form blockquote figure".split())
+#: Walls for the elements that end one by themselves; rows and cells end one another across cells.
+CELL_WALLS = WALLS - {"td", "th"}
+#: Where skipping an element ends: behind its end tag, or before a tag that cannot be inside it.
+_ENDS = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in SILENT}
+_ENDS["head"] = re.compile(r"</head\b[^>]*>|(?=<body\b)", re.I)
+_ENDS["svg"] = re.compile(r"</svg\b[^>]*>|(?=<(?:body|blockquote|br|center|code|dd|div|dl|dt|em|h[1-6]|hr|img|li|ol|p|pre|span|strong|table|ul|article|section|main)\b)", re.I)
 TAGS = {t: i for i, ts in enumerate(("div section span body html center", "article main", "nav menu", "header", "footer", "aside", "form fieldset button label input textarea", "ul ol dl", "li dt dd", "p pre blockquote", "h1 h2 h3 h4 h5 h6", "table tbody thead tr td th", "#text")) for t in ts.split()}
 N_TAGS = 14
 #: What words in class, id and role attributes say.
@@ -83,17 +94,58 @@ class Node:
             parent.children.append(self)
 
 
+class Open:
+    """The open elements, (tag, node that its text belongs to, in a link), with the places of each tag and of walls."""
+
+    def __init__(self, root: Node):
+        self.stack: list[tuple[str, Node, bool]] = [("html", root, False)]
+        self.at: dict[str, list[int]] = {}
+        self.walls: list[int] = []
+        self.cell_walls: list[int] = []
+
+    def push(self, tag: str, node: Node, link: bool) -> None:
+        place = len(self.stack)
+        self.stack.append((tag, node, link))
+        self.at.setdefault(tag, []).append(place)
+        if tag in WALLS:
+            self.walls.append(place)
+            if tag in CELL_WALLS:
+                self.cell_walls.append(place)
+
+    def _cut(self, place: int) -> None:
+        while len(self.stack) > place:
+            tag = self.stack.pop()[0]
+            self.at[tag].pop()
+            if tag in WALLS:
+                self.walls.pop()
+                if tag in CELL_WALLS:
+                    self.cell_walls.pop()
+
+    def leave(self, tags: set[str], walls: list[int]) -> None:
+        """Closes the innermost open element of these tags, if no wall stands before it."""
+        place = max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+        if place and (not walls or walls[-1] <= place):
+            self._cut(place)
+
+    def close(self, tag: str) -> None:
+        """An end tag: of inline elements and paragraphs it doesn't reach over a wall."""
+        place = self.at[tag][-1] if self.at.get(tag) else 0
+        if place and not ((tag in INLINE or tag == "p") and self.walls and self.walls[-1] > place):
+            self._cut(place)
+
+
 class Page:
     """nodes in page order, and the text as pieces (node number, break number, raw text)."""
 
     def __init__(self, source: str):
         root = Node("html", None, 0, 0)
         self.nodes, self.pieces = [root], []
-        # Open elements: (tag, node that its text belongs to, in a link).
-        stack: list[tuple[str, Node, bool]] = [("html", root, False)]
+        open_ = Open(root)
+        stack = open_.stack
         self._at, self._breaks = 0, 0
         pos, n = 0, len(source)
         numbers = {id(root): 0}
+        endless: set[str] = set()  # elements of which no end is left
         while pos < n:
             m = _TAG.search(source, pos)
             stop = m.start() if m else n
@@ -107,15 +159,21 @@ class Page:
                 continue
             tag = tag.lower()
             if m[1]:
-                self._close(tag, stack)
+                if tag not in INLINE:
+                    self._breaks += 1
+                open_.close(tag)
                 continue
+            attributes = m[3]
             if tag in SILENT:
-                if tag != "head":
-                    close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, pos)
-                    pos = close.end() if close else (n if tag in ("script", "style") else pos)
+                if tag in endless or tag == "svg" and attributes.endswith("/"):
+                    continue
+                end = _ENDS[tag].search(source, pos)
+                if end:
+                    pos = end.end()
+                elif tag in ("script", "style"):
+                    pos = n
                 else:
-                    close = re.compile(r"</head\b[^>]*>|<body\b", re.I).search(source, pos)
-                    pos = (close.end() if close[0][1] == "/" else close.start()) if close else pos
+                    endless.add(tag)
                 continue
             if tag not in INLINE:
                 self._breaks += 1
@@ -124,13 +182,12 @@ class Page:
                     stack[-1][1].controls += 1
                 continue
             if tag in ("html", "body"):
-                root.bits |= _token_bits(m[3])
+                root.bits |= _token_bits(attributes)
                 continue
             if tag in CLOSES_P:
-                self._leave({"p"}, stack)
+                open_.leave({"p"}, open_.walls)
             elif tag in CLOSES:
-                self._leave(CLOSES[tag], stack, WALLS - {"td", "th"} if tag == "tr" else WALLS - {"td", "th"} if tag in ("td", "th") else WALLS)
-            attributes = m[3]
+                open_.leave(CLOSES[tag], open_.cell_walls if tag in ("tr", "td", "th") else open_.walls)
             link = stack[-1][2] or tag == "a"
             if tag in INLINE and ("=" not in attributes or not _token_bits(attributes)):
                 node = stack[-1][1]
@@ -145,7 +202,7 @@ class Page:
                 if tag in ("button", "textarea"):
                     node.controls += 1
             if not attributes.endswith("/"):
-                stack.append((tag, node, link))
+                open_.push(tag, node, link)
 
     def _text(self, raw: str, top: tuple[str, Node, bool], numbers: dict[int, int]) -> None:
         _, node, link = top
@@ -170,25 +227,6 @@ class Page:
             self._at += n
             node.end = self._at
 
-    def _leave(self, tags: set[str], stack: list[tuple[str, Node, bool]], walls: frozenset[str] = WALLS) -> None:
-        """Closes the innermost open element of these tags, if no wall stands before it."""
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in tags:
-                del stack[i:]
-                return
-            if stack[i][0] in walls:
-                return
-
-    def _close(self, tag: str, stack: list[tuple[str, Node, bool]]) -> None:
-        if tag not in INLINE:
-            self._breaks += 1
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
-                return
-            if tag in INLINE and stack[i][0] in WALLS or tag == "p" and stack[i][0] in WALLS:
-                return
-
     def features(self) -> list[list[float]]:
         """A row of N_FEATURES numbers for each node."""
         for node in reversed(self.nodes):

@@ -7,12 +7,18 @@ decoding then takes the consistent choice with the largest sum: a node is only k
 dropping one drops everything inside it.
 
 Edge cases: a null or empty page, or one without kept text, has the text "" and 0 signs. Cut-off pages and unclosed
-elements are read as far as they go. Rows that repeat return as often; null ids and addresses stay null. An empty table
+elements are read as far as they go, in time linear in the page. Nothing but scripts, styles, drawings, frames and lists of
+choices is skipped unjudged; formulas, embedded objects and what stands in for them are nodes like others. Rows that repeat return as often; null ids and addresses stay null. An empty table
 gives an empty result. Columns beyond the named ones are not read.
+
+Fitted trees are kept as a table in the shared folder, under a name made of the settings and this code, so that they are
+fitted once and not by each session.
 """
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,15 +28,17 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, plain, table
+from . import html_dom
+from .common import Scratch, plain, shared_folder, table
 from .html_dom import N_FEATURES, Page
 
 TRAINING_PAGES, TREES, DEPTH = 1600, 36, 5
 _models: dict[tuple, list[tuple]] = {}
 
 
-def training_page(seed: int) -> tuple[str, list[str]]:
-    """A page, and the texts of its kept blocks. Kept words begin with k, others with x."""
+def training_page(seed: int, whole: bool = False) -> tuple[str, list[str]]:
+    """A page, and the texts of its kept blocks in order. Kept words begin with k, others with x. Some pages are cut off,
+    unless `whole`."""
     rng = np.random.default_rng(seed)
     pick = lambda *xs: xs[rng.integers(len(xs))]
     chance = lambda p: rng.random() < p
@@ -45,7 +53,8 @@ def training_page(seed: int) -> tuple[str, list[str]]:
     by_tag, by_attribute = marked in ("tags", "both"), marked in ("attributes", "both")
     box = lambda tag, names, inner: f"<{tag if by_tag else 'div'}{f' {pick("class", "id", "class")}="{pick(*names.split())}"' if by_attribute or (not by_tag and chance(0.3)) else ''}>{inner}</{tag if by_tag else 'div'}>"
     named = lambda names, inner, tag="div": f'<{tag} class="{pick(*names.split())}">{inner}</{tag}>'
-    link = lambda: f'<a href="/{words(1, "x")}">{words(pick(1, 1, 2, 3), "x")}</a>'
+    icon = lambda: pick("", "", "", "", '<svg class="icon"/>', '<svg viewBox="0 0 8 8"><path d="M0 0"/></svg>')
+    link = lambda: f'<a href="/{words(1, "x")}">{icon()}{words(pick(1, 1, 2, 3), "x")}</a>'
     links = lambda n: pick(lambda: "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(n)) + "</ul>", lambda: pick(" | ", " ", "").join(link() for _ in range(n)), lambda: "".join(f"<div>{link()}</div>" for _ in range(n)))()
     blurb = lambda most: pick(lambda: words(size(most), "x"), lambda: f"<p>{words(size(most), 'x')}</p>", lambda: f"<p>{words(size(most), 'x')} {link()}</p>")()
 
@@ -86,9 +95,16 @@ def training_page(seed: int) -> tuple[str, list[str]]:
         return text
 
     def block() -> str:
-        kind = rng.integers(14)
+        kind = rng.integers(15)
         if kind < 7:
-            return f"<p>{keep(size(90))}{pick('</p>', '</p>', '')}"
+            return f"<p>{icon()}{keep(size(90))}{pick('</p>', '</p>', '')}"
+        if kind == 14:  # formulas, embedded objects and what stands in for them
+            return pick(
+                lambda: f"<p>{keep(size(30))} <math><mi>{keep(1)}</mi> <mo>{keep(1)}</mo></math> {keep(size(10))}</p>",
+                lambda: f"<object data='/x'><p>{keep(size(20))}</p></object>",
+                lambda: f"<noscript>{keep(size(20))}</noscript>",
+                lambda: f"<{(m := pick('video', 'audio', 'canvas'))}>{keep(size(12))}</{m}>",
+            )()
         if kind == 7:
             return f"<p><b>{keep(size(60))}<br><p>"
         if kind == 8:
@@ -137,7 +153,7 @@ def training_page(seed: int) -> tuple[str, list[str]]:
     if chance(0.2):
         inner = f'<div class="{pick("page", "wrapper", "container", "site")}">{inner}</div>'
     page = f"<!DOCTYPE html><html><head><title>{words(4, 'x')}</title><style>p{{}}</style></head><body>{inner}</body></html>"
-    return (page[: int(len(page) * rng.uniform(0.5, 1))] if chance(0.1) else page), kept
+    return (page[: int(len(page) * rng.uniform(0.5, 1))] if not whole and chance(0.1) else page), kept
 
 
 def training_rows(page: str) -> tuple[list[list[float]], list[float]]:
@@ -161,10 +177,23 @@ def training_rows(page: str) -> tuple[list[list[float]], list[float]]:
 
 
 def fit(spark: SparkSession, pages: int = TRAINING_PAGES, trees: int = TREES, depth: int = DEPTH) -> list[tuple]:
-    """The boosted trees as arrays (feature, threshold, left, right, value), once a session and setting."""
-    key = (spark.sparkContext.applicationId, pages, trees, depth)
-    if key in _models:
-        return _models[key]
+    """The boosted trees as arrays (feature, threshold, left, right, value), from the shared folder if they are there."""
+    code = inspect.getsource(html_dom) + inspect.getsource(training_page) + inspect.getsource(training_rows)
+    name = hashlib.sha256(f"{pages} {trees} {depth} {code}".encode()).hexdigest()[:32]
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _models:
+        path = f"{shared_folder(spark)}/html_extract-trees-{name}"
+        there = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if not there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+            fitted = [(i, n, *(float(x) for x in row)) for i, tree in enumerate(_fit(spark, pages, trees, depth)) for n, row in enumerate(zip(*tree, strict=True))]
+            # Two sessions that fit at once write the same rows.
+            spark.createDataFrame(fitted, "tree int, node int, feature double, threshold double, lower double, upper double, value double").coalesce(1).write.mode("overwrite").parquet(path)
+        rows = spark.read.parquet(path).toPandas().sort_values(["tree", "node"])  # at most trees * 2 ** (depth + 1)
+        _models[key] = [(t["feature"].to_numpy(np.int64), t["threshold"].to_numpy(), t["lower"].to_numpy(np.int64), t["upper"].to_numpy(np.int64), t["value"].to_numpy()) for _, t in rows.groupby("tree")]
+    return _models[key]
+
+
+def _fit(spark: SparkSession, pages: int, trees: int, depth: int) -> list[tuple]:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,7 +205,9 @@ def fit(spark: SparkSession, pages: int = TRAINING_PAGES, trees: int = TREES, de
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.float64())], names=["x", "label"])
 
     made = spark.range(0, pages, 1, 4).mapInArrow(make, "x array<double>, label double")
-    rows = Scratch(spark, "html_extract").save(made, "training").select(array_to_vector("x").alias("features"), "label")
+    scratch = Scratch(spark, "html_extract")
+    training = scratch.save(made, "training")
+    rows = training.select(array_to_vector("x").alias("features"), "label")
     model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=1, maxBins=32).fit(rows)
     out = []
     for tree, weight in zip(model.trees, model.treeWeights, strict=True):
@@ -194,7 +225,7 @@ def fit(spark: SparkSession, pages: int = TRAINING_PAGES, trees: int = TREES, de
         walk(tree._call_java("rootNode"), weight)
         cols = list(zip(*nodes, strict=True))
         out.append((np.array(cols[0], dtype=np.int64), np.array(cols[1]), np.array(cols[2], dtype=np.int64), np.array(cols[3], dtype=np.int64), np.array(cols[4])))
-    _models[key] = out
+    scratch.drop(training)
     return out
 
 
