@@ -55,6 +55,11 @@ class Scratch:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df))[1])
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def drop_all(self, *kept: DataFrame) -> None:
+        """Removes all tables of save() but these."""
+        known = {id(df) for df in kept}
+        self.drop(*(df for key, (df, _) in list(self.paths.items()) if key not in known))
+
 
 def plain(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns under the operator's own names, so that further columns of the input cannot clash."""

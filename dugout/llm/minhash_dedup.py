@@ -5,25 +5,28 @@
    equal sets become one class; from here on only classes are linked.
 2. Bands: classes that share a band key are in a bucket. With 32 bands of 4 minima a pair of similarity 0.8 shares none
    with a chance of 5e-8, one of 0.85 with 6e-11.
-3. Rounds. In the first, each class meets the smallest id of each of its buckets. Later, in each bucket, classes outside
-   the bucket's largest component meet all classes of other components, in blocks of bounded size. The bit counts of
-   the packed signatures give a collision-corrected estimate; pairs far below the threshold go, as do those whose
-   histograms prove that they cannot reach it, and for each class and other component the best pair is taken. It is
-   confirmed by the intersection of the full sets, confirmed links join components, and refuted pairs are remembered.
-   Round LAST takes all remaining pairs at once, also if the best pairs before it were all refuted ones. After it every
-   link between different components has been examined, and links within a component can change nothing.
+3. Stars: each class meets the best-looking of the smallest ids of its buckets, and the pair is confirmed by the
+   intersection of the full sets. This joins nearly all copies.
+4. The rest: in each bucket that still has several components, classes outside its largest one meet all classes of other
+   components, in blocks that hold the full sets. The bit counts of the packed signatures give a collision-corrected
+   estimate that puts likely links first and leaves out pairs with too few equal minima (a true link has so few with a
+   chance of LOSS, far below the bands'); histograms prove of most others that they cannot reach the threshold; what is
+   left is intersected on the spot. A block joins the components that it links and writes no more than the links that
+   joined some, so however many near misses there are, they are neither written nor moved. A pair is met in the least of
+   its common buckets only.
 
 So no bucket is capped, no pairs of a group are written out, and the components are those of the full link graph.
 
 Edge cases: a null text, or one without words, has no shingles and is linked with nothing, itself a component; with
 fewer words than a shingle has, the whole sequence is one shingle. Rows that repeat an id are judged by the same id:
-they return once each, with that id's component; if their texts differ, the one with the least digest speaks for the id. Rows without an id
-link nothing and return with a null component and kept true. An empty table gives an empty result. Columns beyond the
+they return once each, with that id's component; if their texts differ, the one with the least digest speaks for the
+id. Rows without an id link nothing and return with a null component and kept true. An empty table gives an empty result. Columns beyond the
 named ones are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,12 +39,10 @@ from .common import Scratch, mix, plain, slices, table
 from .components import connected_components
 
 MINIMA, BANDS, BITS, CELLS = 128, 32, 2, 256
-#: Standard deviations of the estimate that a pair may lie below the threshold and still be confirmed on full sets.
-SLACK = 5.0
-#: Classes of a bucket that meet in one block.
-BLOCK = 4096
-#: The last round, in which all remaining pairs are confirmed at once.
-LAST = 3
+#: The chance that a pair at the threshold has too few equal minima to be intersected.
+LOSS = 1e-12
+#: A block has the square root of its bucket's classes times SPREAD, LEAST_BLOCK at least, and about BLOCK_BYTES of sets.
+LEAST_BLOCK, SPREAD, BLOCK_BYTES = 512, 16, 64 << 20
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -140,9 +141,14 @@ def estimate(a: np.ndarray, b: np.ndarray, k: int = MINIMA, bits: int = BITS) ->
 
 
 def least_estimate(threshold: float, k: int = MINIMA, bits: int = BITS) -> float:
+    """The estimate below which a pair at the threshold comes out with a chance of at most LOSS (binomial, exact)."""
     chance = 0.5**bits
     match = threshold + (1 - threshold) * chance
-    return threshold - SLACK * (match * (1 - match) / k) ** 0.5 / (1 - chance)
+    equal, below = 0, (1 - match) ** k
+    while below <= LOSS:
+        equal += 1
+        below += math.comb(k, equal) * match**equal * (1 - match) ** (k - equal)
+    return (equal / k - chance) / (1 - chance) - 1e-9
 
 
 def _histogram(own: np.ndarray) -> bytes:
@@ -151,8 +157,11 @@ def _histogram(own: np.ndarray) -> bytes:
     return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.uint32).tobytes()
 
 
-def _counts(histogram: bytes) -> np.ndarray:
-    return np.frombuffer(histogram, dtype=np.uint8 if len(histogram) == CELLS else np.uint32)
+def _counts(histograms: list[bytes]) -> np.ndarray:
+    """A row for each histogram."""
+    if all(len(h) == CELLS for h in histograms):
+        return np.frombuffer(b"".join(histograms), dtype=np.uint8).reshape(-1, CELLS)
+    return np.stack([np.frombuffer(h, dtype=np.uint8 if len(h) == CELLS else np.uint32).astype(np.uint32) for h in histograms])
 
 
 _SIGNED = "doc_id {kind}, n_shingles long, digest binary, bands array<long>, packed binary, cells binary"
@@ -219,65 +228,94 @@ def _first_pairs(members: DataFrame, buckets: DataFrame, signed: DataFrame, leas
     return judged.groupBy("b").agg(F.max_by("a", F.struct("look", -F.col("a"))).alias("a")).select("a", "b")
 
 
-def _meet(rows: dict[str, np.ndarray], threshold: float, least: float, everything: bool) -> list[tuple[int, int, float, int]]:
-    """(a, b, look, component of a) of one block: its rows of side 0 against those of side 1."""
-    left, right = np.flatnonzero(rows["side"] == 0), np.flatnonzero(rows["side"] == 1)
+class _Joined:
+    """Components that a block has joined."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, comp: int) -> int:
+        while (over := self.up.get(comp, comp)) != comp:
+            self.up[comp] = self.up.get(over, over)
+            comp = over
+        return comp
+
+    def join(self, a: int, b: int) -> None:
+        self.up[max(a, b)] = min(a, b)
+
+
+def _meet(rows: pa.Table, percent: int, least: float) -> list[tuple[int, int]]:
+    """The links of one block that join components: its rows of side 0 against those of side 1."""
+    side = rows.column("side").to_numpy()
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     if not len(left) or not len(right):
         return []
-    ids, comps, size, in_rest = (rows[c][right] for c in ("id", "comp", "n_shingles", "rest"))
-    bits = rows["packed"][right]
-    cells = [_counts(rows["cells"][j]) for j in right]
-    found = []
+    every = {c: rows.column(c).to_numpy() for c in ("id", "comp", "n_shingles", "rest")}
+    bucket, buckets = rows.column("bucket")[0].as_py(), rows.column("buckets").to_pylist()
+    bits = np.frombuffer(b"".join(rows.column("packed").to_pylist()), dtype=np.uint64).reshape(len(rows), -1)
+    cells = _counts(rows.column("cells").to_pylist())
+    shingles = rows.column("shingles").combine_chunks()
+    shingles = shingles.chunk(0) if isinstance(shingles, pa.ChunkedArray) else shingles
+    starts, values = shingles.offsets.to_numpy(), shingles.values.to_numpy()
+    ids, size, in_rest = every["id"][right], every["n_shingles"][right], every["rest"][right]
+    joined, roots, links = _Joined(), every["comp"][right].copy(), []
     for r in left:
-        i, n = rows["id"][r], rows["n_shingles"][r]
+        i, n, own = every["id"][r], every["n_shingles"][r], joined.root(int(every["comp"][r]))
         # Two of the rest meet once, seen from the larger id.
-        open_ = (comps != rows["comp"][r]) & (~in_rest | (ids < i)) & (np.minimum(size, n) >= threshold * np.maximum(size, n) - 1e-9)
-        at = np.flatnonzero(open_)
+        at = np.flatnonzero((roots != own) & (~in_rest | (ids < i)) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n)))
         if not len(at):
             continue
-        look = estimate(rows["packed"][r][None, :], bits[at])
+        look = estimate(bits[r][None, :], bits[right[at]])
         at, look = at[look >= least], look[look >= least]
         if not len(at):
             continue
-        mine = _counts(rows["cells"][r])
-        most = np.array([np.minimum(cells[j], mine).sum(dtype=np.int64) for j in at])
-        can = most >= threshold * (size[at] + n - most) - 1e-9
-        at, look = at[can], look[can]
-        if everything:
-            found += [(ids[j], i, x, comps[j]) for j, x in zip(at, look, strict=True)]
-        else:
-            order = np.lexsort((ids[at], -look, comps[at]))
-            first = order[np.flatnonzero(np.diff(comps[at][order], prepend=comps[at][order][:1] - 1))]
-            found += [(ids[at[j]], i, look[j], comps[at[j]]) for j in first]
-    return found
-
-
-def _later_pairs(placed: DataFrame, threshold: float, least: float, everything: bool) -> DataFrame:
-    """(a, b) across components: for each class and other component the best pair that may reach the threshold, or all.
-
-    placed: (bucket, id, comp, packed, cells, n_shingles) of buckets with several components. Blocks of a bucket are
-    cut by size; a task streams through its blocks and holds one of them at a time.
+        most = np.minimum(cells[right[at]], cells[r]).sum(axis=1, dtype=np.int64)
+        can = 100 * most >= percent * (size[at] + n - most)
+        at = at[can][np.argsort(-look[can], kind="stable")]
+        mine, met = values[starts[r] : starts[r + 1]], set(buckets[r])
+        for j in at:
+            other, comp = int(right[j]), int(roots[j])
+            if comp == own or min(met.intersection(buckets[other])) != bucket:
+                continue
+            both = len(np.intersect1d(mine, values[starts[other] : starts[other + 1]], assume_unique=True))
+            if 100 * both >= percent * (n + size[j] - both):
+                links.append((int(ids[j]), int(i)))
+                joined.join(own, comp)
+                kept = joined.root(own)
+                roots[(roots == own) | (roots == comp)] = kept
+                own = kept
+    return links
+
+
+def _rest_links(members: DataFrame, comps: DataFrame, sets: DataFrame, percent: int, least: float, scratch: Scratch) -> DataFrame:
+    """(a, b): links between the components of members(bucket, id) that join them.
+
+    Blocks of a bucket are cut by size; a task streams through its blocks and holds one of them at a time.
     """
-    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.max_by("comp", F.struct("n", "comp")).alias("main"))
-    sized = placed.join(sizes, "bucket").withColumns({"blocks": F.ceil(F.col("n") / BLOCK).cast("int"), "rest": F.col("comp") != F.col("main")})
+    placed = members.join(comps, "id")
+    open_buckets = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("bucket")
+    placed = scratch.save(placed.join(open_buckets, "bucket", "left_semi").select("bucket", "id", "comp", "n_shingles"), "placed")
+    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("held")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("held").alias("held"), F.max_by("comp", F.struct("n", "comp")).alias("main"))
+    blocks = F.greatest(F.ceil(F.col("n") / F.greatest(F.lit(LEAST_BLOCK), SPREAD * F.sqrt("n"))), F.ceil(8 * F.col("held") / BLOCK_BYTES)).cast("int")
+    # Nothing follows this join in its stage but the exchange, so that Spark can split a bucket with many classes.
+    sized = placed.drop("n_shingles").join(sizes.select("bucket", "main", blocks.alias("blocks")), "bucket").withColumn("rest", F.col("comp") != F.col("main"))
     sized = sized.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     number, own = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), F.col("block")
-    columns = ["bucket", "id", "comp", "packed", "cells", "n_shingles", "rest"]
+    columns = ["bucket", "id", "comp", "rest"]
     left = sized.where("rest").select(*columns, F.lit(0).alias("side"), own.alias("x"), number.alias("y"))
     right = sized.select(*columns, F.lit(1).alias("side"), number.alias("x"), own.alias("y"))
-    dealt = left.unionByName(right).repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+    known = members.groupBy("id").agg(F.collect_set("bucket").alias("buckets"), F.first("packed").alias("packed"), F.first("cells").alias("cells"), F.first("n_shingles").alias("n_shingles"))
+    known = known.join(placed.select("id").distinct(), "id", "left_semi").join(sets.withColumnRenamed("doc_id", "id"), "id")
+    dealt = left.unionByName(right).join(known, "id").repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            rows = {c: table.column(c).to_numpy() for c in ("bucket", "x", "y", "side", "id", "comp", "n_shingles", "rest")}
-            rows["packed"] = np.frombuffer(b"".join(table.column("packed").to_pylist()), dtype=np.uint64).reshape(table.num_rows, -1)
-            rows["cells"] = np.array([*table.column("cells").to_pylist(), None], dtype=object)[:-1]
-            edges = np.flatnonzero((np.diff(rows["bucket"]) != 0) | (np.diff(rows["x"]) != 0) | (np.diff(rows["y"]) != 0)) + 1
-            found = []
+        def links(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            keys = [table.column(c).to_numpy() for c in ("bucket", "x", "y")]
+            edges = np.flatnonzero(np.logical_or.reduce([np.diff(k) != 0 for k in keys])) + 1
             for a, z in zip([0, *edges], [*edges, table.num_rows], strict=True):
-                found += _meet({c: v[a:z] for c, v in rows.items()}, threshold, least, everything)
-            cols = list(zip(*found, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int64()), strict=True)], names=["a", "b", "look", "comp"])
+                found = _meet(table.slice(a, z - a).combine_chunks(), percent, least)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
 
         held = None  # rows of the block that is not complete yet
         for batch in batches:
@@ -288,15 +326,12 @@ def _later_pairs(placed: DataFrame, threshold: float, least: float, everything:
             key = [held.column(c).to_numpy() for c in ("bucket", "x", "y")]
             last = np.flatnonzero(np.logical_or.reduce([k != k[-1] for k in key]))
             if len(last):
-                yield from pairs(held.slice(0, last[-1] + 1))
+                yield from links(held.slice(0, last[-1] + 1))
                 held = held.slice(last[-1] + 1)
         if held is not None and held.num_rows:
-            yield from pairs(held)
+            yield from links(held)
 
-    pairs = dealt.mapInArrow(stream, "a long, b long, look double, comp long")
-    if everything:
-        return pairs.select("a", "b").distinct()
-    return pairs.groupBy("b", "comp").agg(F.max_by("a", F.struct("look", -F.col("a"))).alias("a")).select("a", "b")
+    return dealt.mapInArrow(stream, "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -311,7 +346,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of docs(doc_id long, text): linked at 100 * |A and B| >= percent * |A or B|."""
     scratch = Scratch(docs.sparkSession, "minhash_dedup")
-    threshold, least = percent / 100, least_estimate(percent / 100)
+    least = least_estimate(percent / 100)
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     every = scratch.save(signatures(docs, words), "signatures")
     known = every.where("digest is not null and doc_id is not null")
@@ -338,31 +373,15 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
         sets = sets.groupBy("doc_id").agg(F.min_by("shingles", "digest").alias("shingles"))
     sets = scratch.save(sets.select("doc_id", "shingles"), "sets")
 
-    links, refuted, comps, used = None, None, signed.select("id", F.col("id").alias("comp")), [buckets, shared, members, signed, sets]
-    round_no = 0
-    while True:
-        round_no += 1
-        if round_no == 1:
-            pairs = _first_pairs(members, buckets, signed, least)
-        else:
-            placed = scratch.save(members.join(comps, "id"), "placed")
-            used.append(placed)
-            open_buckets = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("bucket")
-            placed = placed.join(open_buckets, "bucket", "left_semi")
-            pairs = _later_pairs(placed, threshold, least, round_no >= LAST)
-            pairs = pairs.join(refuted, ["a", "b"], "left_anti")
-        judged = scratch.save(_confirmed(pairs, sets, percent), "judged")
-        used.append(judged)
-        linked = judged.agg(F.count_if("linked")).first()[0]
-        refuted = judged.where("not linked").select("a", "b") if refuted is None else refuted.unionByName(judged.where("not linked").select("a", "b"))
-        if linked:
-            fresh = judged.where("linked").select("a", "b")
-            links = fresh if links is None else links.unionByName(fresh)
-            comps = connected_components(signed.select("id"), links, scratch)
-        if round_no >= LAST:
-            break
+    judged = scratch.save(_confirmed(_first_pairs(members, buckets, signed, least), sets, percent), "judged")
+    stars = judged.where("linked").select("a", "b")
+    nodes = signed.select("id")
+    comps = scratch.save(connected_components(nodes, stars, scratch), "stars")
+    rest = scratch.save(_rest_links(members, comps, sets, percent, least, scratch), "rest")
+    if not rest.isEmpty():
+        comps = connected_components(nodes, stars.unionByName(rest), scratch)
     comps = scratch.save(comps, "components")
-    scratch.drop(*used)
+    scratch.drop_all(every, classes, comps)
     by_class = classes.select("id", "digest").join(comps, "id", "left").select("digest", F.coalesce("comp", "id").alias("comp"))
     if repeats:
         by_id = known.select("doc_id", "digest").join(by_class, "digest").select("doc_id", "comp")

@@ -21,7 +21,9 @@ def lower(s):
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, f1 string").select("doc_id", "text")
+    """With columns whose names the operators use themselves."""
+    clash = ("f1", "h1", "comp", "digest", "bucket", "length")
+    return spark.createDataFrame([(i, t, *("clash" for _ in clash)) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{c} string" for c in clash))
 
 
 # --- exact ---------------------------------------------------------------------------------------------------------
@@ -154,7 +156,8 @@ def near_rows(seed, n=150, edits=9):
 
 @pytest.mark.parametrize(("seed", "words", "percent", "block"), [(1, 3, 85, 4096), (2, 5, 80, 4096), (3, 3, 85, 7)])
 def test_near(spark, monkeypatch, seed, words, percent, block):
-    monkeypatch.setattr(minhash_dedup, "BLOCK", block)
+    monkeypatch.setattr(minhash_dedup, "LEAST_BLOCK", block)
+    monkeypatch.setattr(minhash_dedup, "SPREAD", min(block, 16) / 16)
     rows = near_rows(seed) + [(500, None), (501, ""), (502, " \n"), (503, "one two"), (504, "One\tTWO"), (505, "one"), (506, "x" * 200 + " long word"), (507, "X" * 200 + " long WORD"), (508, "w " * 3000), (509, "W " * 2000)]
     got = minhash_dedup.components(frame(spark, rows), words, percent).collect()
     assert sorted(str(tuple(r)) for r in got) == near_brute(rows, words, percent)
@@ -167,7 +170,7 @@ def test_near_repeats_and_empty(spark):
 
 
 def test_near_link_behind_a_refuted_pair(spark):
-    """1~2 and 2~3 are links, 1~3 is not but looks at least as good as 2~3, so that rounds 1 and 2 see nothing else of 3."""
+    """1~2 and 2~3 are links, 1~3 is not but looks at least as good as 2~3, so that the stars see nothing else of 3."""
 
     def look(texts):
         bits = minhash_dedup.pack(minhash_dedup.minima(minhash_dedup.shingle_hashes([t.encode() for t in texts], 3)))
@@ -186,6 +189,43 @@ def test_near_link_behind_a_refuted_pair(spark):
     assert {r["component_id"] for r in got} == {1}
 
 
+def test_near_misses_write_no_pairs(spark, monkeypatch):
+    """120 documents from one template, all pairs below the threshold but alike, and a few links: only these are written."""
+    monkeypatch.setattr(minhash_dedup, "LEAST_BLOCK", 40)
+    monkeypatch.setattr(minhash_dedup, "SPREAD", 2)
+    rng = random.Random(9)
+    base = [f"t{i}" for i in range(300)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        w[100 : 100 + 36] = [f"d{i}x{j}" for j in range(36)]  # 264 of 337 words' shingles at most
+        rows.append((i, " ".join(w)))
+    rows += [(200 + i, rows[i][1] + " end of it") for i in range(5)]
+    rng.shuffle(rows)
+    written = []
+    real = minhash_dedup._rest_links
+
+    def seen(*args):
+        out = real(*args)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash_dedup, "_rest_links", seen)
+    got = minhash_dedup.components(frame(spark, rows), 3, 85).collect()
+    assert sorted(str(tuple(r)) for r in got) == near_brute(rows, 3, 85)
+    assert written[0] <= 3 * 125
+
+
+def test_least_estimate_loses_next_to_nothing():
+    import math
+
+    for threshold in (0.8, 0.85):
+        match = threshold + (1 - threshold) / 4
+        least = minhash_dedup.least_estimate(threshold)
+        lost = sum(math.comb(128, e) * match**e * (1 - match) ** (128 - e) for e in range(129) if (e / 128 - 0.25) / 0.75 < least)
+        assert lost <= minhash_dedup.LOSS and least > 0.3
+
+
 def test_estimate_is_close():
     rng = random.Random(1)
     import numpy as np
