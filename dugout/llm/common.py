@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: The white space of every contract here.
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -22,12 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where that is unset (tests), one of this machine's own."""
+    """The folder in spark.checkpoint.dir. Where that is unset, one below the warehouse in local mode; a cluster must name one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = os.path.join(tempfile.gettempdir(), "checkpoints")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", folder)
-        spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
@@ -61,6 +61,37 @@ class Scratch:
         self.drop(*(df for key, (df, _) in list(self.paths.items()) if key not in known))
 
 
+#: Items of an array that are folded together: appending to an array copies it, so long ones are folded in parts.
+PART = 256
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, also where use reads it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def located(items: Column, lead: Callable[[Column], Column], size: Callable[[Column], Column], tail: int = 0, **rest: tuple[str, Callable[[Column], Column]]) -> Column:
+    """array<struct<start int, end int, *rest>>: where the items of an array lie, each with `lead` signs before it, `size` of
+    its own and `tail` behind. rest: name to (type, value of the item). In time linear in the items."""
+    kind = "struct<start:int,end:int" + "".join(f",{n}:{t}" for n, (t, _) in rest.items()) + ">"
+    none = F.expr(f"cast(array() as array<{kind}>)")
+
+    def add(acc: Column, x: Column) -> Column:
+        start = acc["at"] + lead(x)
+        end = start + size(x)
+        own = F.struct(start.alias("start"), end.alias("end"), *(f(x).alias(n) for n, (_, f) in rest.items()))
+        return F.struct((end + tail).alias("at"), F.concat(acc["found"], F.array(own)).alias("found"))
+
+    def shifted(part: Column, by: Column) -> Column:
+        return F.transform(part["found"], lambda x: F.struct((x["start"] + by).alias("start"), (x["end"] + by).alias("end"), *(x[n].alias(n) for n in rest)))
+
+    fold = lambda part: F.aggregate(part, F.struct(F.lit(0).alias("at"), none.alias("found")), add)
+    parts = lambda every: F.transform(F.sequence(F.lit(0), F.ceil(F.size(every) / PART).cast("int") - 1), lambda i: fold(F.slice(every, i * PART + 1, F.lit(PART))))
+    before = lambda folded: F.slice(F.aggregate(folded, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x["at"]))), F.lit(1), F.size(folded))
+    whole = lambda folded: F.flatten(F.zip_with(folded, before(folded), shifted))
+    return bound(items, lambda every: F.when(F.size(every) > 0, bound(parts(every), whole)).otherwise(none))
+
+
 def plain(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns under the operator's own names, so that further columns of the input cannot clash."""
     return df.select(*(df[old].alias(new) for new, old in columns.items()))
@@ -92,6 +123,4 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def n_tokens(text):
     """Words: runs of signs other than white space; none in null. The length that mixing and packing go by."""
-    from pyspark.sql import functions as F
-
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

@@ -8,7 +8,7 @@ class's threshold join into spans. Candidates on the allow list (words, identifi
 order, placeholders, paths, integrity hashes) are left alone.
 
 Positions of all matches come from the lengths of the matches and of the gaps between them, so everything is one narrow
-projection over the scan: no shuffle, and nothing that depends on other rows.
+projection over the scan: no shuffle, and nothing that depends on other rows. Time is linear in the text and its matches.
 
 Edge cases: a null or empty text has no spans (counts 0, the digest of the empty string). Every input row gives one row,
 repeated ones too; a null id stays null. Whole texts are read, however long. Columns beyond the named ones aren't read.
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import plain, table
+from .common import PART, located, plain, table
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LEAST = 12
@@ -49,15 +49,7 @@ ALLOWED = (
 def _located(matches: Column, gaps: Column) -> Column:
     """array<struct<start, end, value>> from all matches and the gaps before, between and after them."""
     zipped = F.arrays_zip(matches.alias("m"), F.slice(gaps, F.lit(1), F.size(matches)).alias("g"))
-    none = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
-
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["g"])
-        end = start + F.length(x["m"])
-        return F.struct(end.alias("at"), F.concat(acc["found"], F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value")))).alias("found"))
-
-    walked = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("found")), add, lambda acc: acc["found"])
-    return F.when(F.size(matches) > 0, walked).otherwise(none)
+    return located(zipped, lambda x: F.length(x["g"]), lambda x: F.length(x["m"]), value=("string", lambda x: x["m"]))
 
 
 def _all(text: Column, pattern: str) -> Column:
@@ -69,12 +61,16 @@ def _windows(value: Column, signs: str, bits: float) -> Column:
     codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(signs), c) - 1)
     leaving = F.concat(F.array_repeat(F.lit(-1), WINDOW), codes)
     steps = F.slice(F.arrays_zip(codes.alias("enter"), leaving.alias("leave")), F.lit(1), F.length(value))
+    # Spans of a candidate: the last few, and full parts, as appending to an array copies it.
     none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
     zero = F.struct(
         F.array_repeat(F.lit(0), len(signs)).alias("counts"),
         F.lit(0.0).alias("sum"),  # of c * log2(c)
         F.lit(0).alias("seen"),
+        F.lit(-1).alias("start"),  # the span that may still grow, if any
+        F.lit(-1).alias("end"),
         none.alias("spans"),
+        F.expr("cast(array() as array<array<struct<start:int,end:int>>>)").alias("parts"),
     )
     weight = lambda c: F.when(c > 0, c * F.log2(c.cast("double"))).otherwise(0.0)
 
@@ -85,14 +81,22 @@ def _windows(value: Column, signs: str, bits: float) -> Column:
         counts = F.when(enter == leave, acc["counts"]).otherwise(F.transform(acc["counts"], lambda c, i: c + F.when(i == enter, 1).when(i == leave, -1).otherwise(0)))
         total, seen = acc["sum"] + changed, acc["seen"] + 1
         high = (seen >= WINDOW) & (F.log2(F.lit(float(WINDOW))) - total / WINDOW >= bits)
-        last = F.get(acc["spans"], F.size(acc["spans"]) - 1)
-        joined = F.when(
-            (F.size(acc["spans"]) > 0) & (last["end"] >= seen - WINDOW),
-            F.concat(F.slice(acc["spans"], F.lit(1), F.greatest(F.size(acc["spans"]) - 1, F.lit(0))), F.array(F.struct(last["start"].alias("start"), seen.alias("end")))),
-        ).otherwise(F.concat(acc["spans"], F.array(F.struct((seen - WINDOW).alias("start"), seen.alias("end")))))
-        return F.struct(counts.alias("counts"), total.alias("sum"), seen.alias("seen"), F.when(high, joined).otherwise(acc["spans"]).alias("spans"))
-
-    return F.aggregate(steps, zero, slide, lambda acc: acc["spans"])
+        grows = (acc["start"] >= 0) & (acc["end"] >= seen - WINDOW)
+        closes = high & (acc["start"] >= 0) & ~grows
+        full = closes & (F.size(acc["spans"]) >= PART)
+        closed = F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end")))
+        return F.struct(
+            counts.alias("counts"),
+            total.alias("sum"),
+            seen.alias("seen"),
+            F.when(high & ~grows, seen - WINDOW).otherwise(acc["start"]).alias("start"),
+            F.when(high, seen).otherwise(acc["end"]).alias("end"),
+            F.when(full, closed).when(closes, F.concat(acc["spans"], closed)).otherwise(acc["spans"]).alias("spans"),
+            F.when(full, F.concat(acc["parts"], F.array(acc["spans"]))).otherwise(acc["parts"]).alias("parts"),
+        )
+
+    last = lambda acc: F.when(acc["start"] >= 0, F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end")))).otherwise(none)
+    return F.aggregate(steps, zero, slide, lambda acc: F.concat(F.flatten(acc["parts"]), acc["spans"], last(acc)))
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
