@@ -6,14 +6,17 @@ allows. Four halvings are one Spark job: the sums of p^a and p^a * log p over th
 that they can visit.
 
 Weights become rows by budgeted block permutations. The documents of a source are dealt by hash into blocks of about
-`block_tokens` tokens. Each epoch orders the blocks by a hash of its own; full epochs take all of them, and of the last,
-partial one come the blocks whose middle lies within what is left of the source's budget. A row's position, the share of
+`block_tokens` tokens, or a BLOCKS-th of its tokens if that is less, so that small sources are cut as finely as large
+ones. Each epoch orders the blocks by a hash of its own; full epochs take all of them, and of the last,
+partial one come the blocks whose middle lies within what is left of the source's budget: shares are met to within
+half a block, or half a document that is longer. Running totals go over ranges of the permutation and inside each range, so that no
+task holds all blocks of a large source. A row's position, the share of
 its source's budget used before it, interleaves all sources at their weights. Without a budget it is the least one that
 cuts no source, so every document appears at least once.
 
 Edge cases: a null source is a source of its own, as is an empty one apart from it. Sources without tokens have no
 weight; their documents appear once. Rows that repeat an id lie in one block and appear each. A null id is an id like
-another. One source has weight 1. An empty table gives an empty result. Columns of the input are carried through
+another: such rows lie in one block. One source has weight 1. An empty table gives an empty result. Columns of the input are carried through
 mix() unchanged.
 """
 
@@ -27,7 +30,9 @@ from pyspark.sql import Window as W
 
 from .common import Scratch, n_tokens, plain, table
 
-BLOCK_TOKENS = 1 << 16
+BLOCK_TOKENS, BLOCKS = 1 << 16, 1024
+#: Blocks of a source that one task orders, on average.
+RANGE = 8192
 REPETITION = 2.0
 SEED = 20
 
@@ -95,7 +100,7 @@ def mixing_plan(counted: DataFrame, target_entropy: float | None = None, repetit
         sums.select(
             "source",
             "tokens",
-            F.greatest(F.ceil(F.col("tokens") / block_tokens), F.lit(1)).cast("long").alias("blocks"),
+            F.greatest(F.ceil(F.col("tokens") / F.least(F.lit(block_tokens), F.greatest(F.ceil(F.col("tokens") / BLOCKS), F.lit(1)))), F.lit(1)).cast("long").alias("blocks"),
             F.when(F.col("tokens") > 0, F.pow(p, F.lit(a)) / z).otherwise(0.0).alias("weight"),
             F.when(F.col("tokens") > 0, repeats).otherwise(1.0).alias("repeats"),
         ),
@@ -104,8 +109,15 @@ def mixing_plan(counted: DataFrame, target_entropy: float | None = None, repetit
     held = with_blocks(counted, sources).groupBy("source", "block", "blocks").agg(F.sum("n_tokens").alias("n"))
     held = held.join(sources.drop("blocks", "weight").withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     epochs = held.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil("repeats").cast("int") - 1, F.lit(0)))))
-    order = W.partitionBy("source", "epoch").orderBy(F.xxhash64(F.lit(SEED), "epoch", "source", "block"), "block")
-    placed = epochs.withColumn("before", F.sum("n").over(order) - F.col("n"))
+    # A permutation's place is a hash; equal parts of its values are the ranges.
+    epochs = epochs.withColumn("at", F.pmod(F.xxhash64(F.lit(SEED), "epoch", "source", "block"), F.lit(1 << 40)))
+    epochs = epochs.withColumn("range", F.shiftright(F.col("at") * F.ceil(F.col("blocks") / RANGE), 40))
+    epochs = scratch.save(epochs, "epochs")
+    sums = epochs.groupBy("source", "epoch", "range").agg(F.sum("n").alias("n"))
+    above = sums.select(F.col("source").alias("of"), F.col("epoch").alias("e"), F.col("range").alias("r"), (F.sum("n").over(W.partitionBy("source", "epoch").orderBy("range")) - F.col("n")).alias("above"))
+    order = W.partitionBy("source", "epoch", "range").orderBy("at", "block")
+    inside = epochs.withColumn("before", F.sum("n").over(order) - F.col("n"))
+    placed = inside.join(above, F.col("source").eqNullSafe(F.col("of")) & (F.col("epoch") == F.col("e")) & (F.col("range") == F.col("r"))).withColumn("before", F.col("before") + F.col("above"))
     left = (F.col("repeats") - F.col("epoch")) * F.col("tokens")
     taken = placed.where((F.col("repeats") >= F.col("epoch") + 1) | (F.col("before") + F.col("n") / 2 <= left))
     position = (F.col("epoch") + F.when(F.col("tokens") > 0, F.col("before") / F.col("tokens")).otherwise(0.0)) / F.col("repeats")

@@ -131,6 +131,30 @@ def test_mix_realises_weights(spark):
     assert out["mix_position"].between(0, 1).all()
 
 
+@pytest.mark.parametrize("options", [{}, {"target_entropy": 1.0, "budget": 400_000}])
+def test_mix_realises_weights_of_the_table(spark, options):
+    """On documents, with production blocks: token shares within 1 % of all tokens of their targets."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "source", mixing.n_tokens(F.col("text")).alias("n_tokens"))
+    sources, _ = mixing.mixing_plan(docs, **options)
+    want = {r["source"]: r["weight"] for r in sources.collect()}
+    got = mixing.mix(docs, docs, **options).groupBy("source").agg(F.sum("n_tokens").alias("n")).toPandas().set_index("source")["n"]
+    assert len(want) > 3 and all(abs(got[k] / got.sum() - w) < 0.01 for k, w in want.items())
+
+
+def test_mix_small_sources_in_default_blocks(spark):
+    """Sources far below block_tokens are cut too: equal weights give equal shares."""
+    rows = counted(spark, [(i, "a", 100) for i in range(600)] + [(1000 + i, "b", 100) for i in range(400)] + [(None, "b", 5), (None, "b", 5), (None, None, 3)])
+    out = mixing.mix(rows, rows, repetition=None, target_entropy=1.2).groupBy("source").agg(F.sum("n_tokens").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).toPandas().set_index("source")
+    assert abs(out["n"]["a"] - out["n"]["b"]) < 400 and out["nulls"].sum() >= 3
+
+
+def test_mix_ranges_give_the_same_totals(spark, monkeypatch):
+    rows = counted(spark, SOURCES)
+    whole = sorted(map(tuple, mixing.mix(rows, rows, block_tokens=30).collect()), key=str)
+    monkeypatch.setattr(mixing, "RANGE", 7)
+    assert sorted(map(tuple, mixing.mix(rows, rows, block_tokens=30).collect()), key=str) == whole
+
+
 def test_mix_budget_repeats_and_empty(spark):
     rows = counted(spark, SOURCES + SOURCES[:1])
     out = mixing.mix(rows, rows, budget=2000, target_entropy=1.0, block_tokens=50).toPandas()
@@ -244,15 +268,23 @@ def test_bounds_are_optimal():
 
 def test_pack(spark):
     rng = random.Random(4)
-    rows = [(i, rng.choice([0, 3, 17, 60, 61, 250])) for i in range(700)] + [(5, 60), (5, 60), (None, 3)]
-    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, n_tokens long, batch string").drop("batch")
+    blanks = [" ", "\n", "\t ", "  "]
+    text = lambda n: rng.choice(["", " ", "\n"]) + "".join(rng.choice(["w", "é𝄞", "ß9"]) + rng.choice(blanks) for _ in range(n))
+    rows = [(i, text(rng.choice([0, 3, 17, 60, 61, 64, 128, 250]))) for i in range(700)] + [(5, "a b"), (5, "a b"), (None, "x y z"), (701, None)]
+    docs = spark.createDataFrame([(*r, "x", 7) for r in rows], "doc_id long, text string, batch string, start long")
     out = packing.pack(docs, context=64, buckets=3, budget=300, shard=50).toPandas()
-    assert len(out) == sum(max(1, math.ceil(n / 64)) for _, n in rows) and out["n_tokens"].sum() == sum(n for _, n in rows)
+    count = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t in rows]
+    assert len(out) == sum(max(1, math.ceil(n / 64)) for n in count) and out["n_tokens"].sum() == sum(count)
     assert (out["padding"] == out["bucket"] - out["n_tokens"]).all() and (out["padding"] >= 0).all() and out["bucket"].nunique() == 3
     for (bucket, _), part in out.groupby(["bucket", "batch"]):
         assert sorted(part["slot"]) == list(range(len(part))) and len(part) * bucket <= 300
     sizes = out.groupby(["bucket", "batch"]).size().reset_index(name="n")
     assert all((part.sort_values("batch")["n"].iloc[:-1] == 300 // max(1, bucket)).all() for bucket, part in sizes.groupby("bucket"))
+    held = dict(rows)
+    for doc, part in out[(out["doc_id"] != 5) & out["doc_id"].notna()].groupby("doc_id"):
+        part, whole = part.sort_values("piece"), held[doc] or ""
+        cut = [whole[a:z] for a, z in zip(part["start"], part["end"], strict=True)]
+        assert "".join(cut) == whole and [len(re.findall(r"[^\x20\x09-\x0D]+", c)) for c in cut] == list(part["n_tokens"])
     assert packing.pack(docs.limit(0)).collect() == []
 
 
