@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture's pieces in length buckets and batches."""
-    return packing.pack(docs.select("doc_id", n_tokens(F.col("text")).alias("n_tokens")))
+    return packing.pack(plain(docs, doc_id="doc_id", text="text"))
 
 
 STAGES = [
