@@ -7,8 +7,10 @@ For a row, log P(language | evidence) adds up, but for a constant,
  * the address suffix: countries point to their languages, general suffixes to none;
  * the host's prior, smoothed up its hierarchy: counts of a host's rows by language, plus STRENGTH rows of the domain's
    prior, which has as many of the suffix's, which has as many of the whole table's. The counts come from a grouped
-   aggregation over all rows, of the languages that text and declaration favour.
-Rows whose best language is "und" or less probable than LEAST are rejected.
+   aggregation over all rows, of the languages that text and declaration favour; a row's own count is taken out of them
+   before they judge it.
+A well-formed declaration of a language without a model is a candidate of its own beside the modelled ones: its text is
+as likely as under the even model, so it stands where no model fits better. Rows whose best language is "und" or less probable than LEAST are rejected.
 
 The models are fitted on a bounded sample: about `sample` rows a language, those with the least hashes of their ids.
 Everything else covers all rows.
@@ -30,14 +32,17 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, plain, slices, table
 
-#: Rows of each language that the models are fitted on, and the least a language needs for a model (unless none has more).
-SAMPLE, FEWEST = 400, 5
+#: Rows of each language that the models are fitted on, the least a language needs for a model, and the most languages
+#: with one, those with the most rows.
+SAMPLE, FEWEST, MOST_LANGUAGES = 400, 5, 64
 BUCKETS = 1 << 14
 #: A trigram's weight in the likelihood, and the most trigrams' worth of evidence a text has.
 WEIGHT, MOST = 1 / 3, 200.0
 DECLARED_WRONG, SUFFIX_WRONG = 0.1, 0.25
 STRENGTH, UND_PRIOR, LEAST = 20.0, 0.02, 0.5
 UND = "und"
+#: The place of a declared language that has no model, and its log likelihood where none is declared.
+OTHER, NEVER = "other", -1e6
 #: Country suffixes and their main languages.
 SUFFIX_LANGUAGES = {
     "at": "de", "au": "en", "ar": "es", "br": "pt", "ca": "en", "cl": "es", "cn": "zh", "co": "es", "de": "de", "es": "es", "fr": "fr", "gb": "en", "ie": "en",
@@ -90,8 +95,8 @@ def tag(declared: Column) -> Column:
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> TextModels:
     """Models of the languages in labelled(id, text, language). The counts that come to the driver are BUCKETS a language."""
     rows = labelled.select("id", "text", tag(F.col("language")).alias("language")).where("language is not null and language <> 'und'")
-    sizes = {r["language"]: r["n"] for r in rows.groupBy("language").agg(F.count("*").alias("n")).collect()}
-    sizes = {k: n for k, n in sorted(sizes.items()) if n >= min(FEWEST, max(sizes.values()))}
+    known = rows.groupBy("language").agg(F.count("*").alias("n")).where(F.col("n") >= FEWEST).orderBy(F.desc("n"), "language").limit(MOST_LANGUAGES)
+    sizes = dict(sorted((r["language"], r["n"]) for r in known.collect()))
     languages = list(sizes)
     if not languages:
         return TextModels([], np.zeros((0, BUCKETS)))
@@ -118,28 +123,34 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> TextModels:
 
 def identify(rows: DataFrame, models: TextModels, keys: list[str]) -> DataFrame:
     """(*keys, language, probability, text_language, n_trigrams, kept) of rows(*keys, text, declared, suffix, domain, host)."""
-    names = [*models.languages, UND]
+    names = [*models.languages, OTHER, UND]
     k = len(names)
     declared, suffix = tag(F.col("declared")), F.lower("suffix")
     by_suffix = F.try_element_at(F.create_map(*(F.lit(x) for pair in SUFFIX_LANGUAGES.items() for x in pair)), suffix)
+    modelled = F.coalesce(declared.isin(*models.languages), F.lit(False)) if models.languages else F.lit(False)
+    # The declared language without a model, if there is one.
+    other = F.when(declared.isNotNull() & (declared != UND) & ~modelled, declared)
+    hint = F.when(other.isNotNull(), F.lit(OTHER)).when(modelled, declared)
 
     def favour(hint: Column, wrong: float) -> list[Column]:
         """Log likelihoods of a hint, 0 for all languages if it names none of them."""
-        known = hint.isin(*names[:-1]) if k > 1 else F.lit(False)
-        return [F.when(F.coalesce(known, F.lit(False)), F.when(hint == x, float(np.log(1 - wrong))).otherwise(float(np.log(wrong / max(k - 1, 1))))).otherwise(0.0) for x in names]
+        return [F.when(F.coalesce(hint.isin(*names[:-1]), F.lit(False)), F.when(hint == x, float(np.log(1 - wrong))).otherwise(float(np.log(wrong / (k - 1))))).otherwise(0.0) for x in names]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, z, texts in slices(batch):
                 sums, n = models.score(texts)
+                # A language without a model is as likely as the even model says, where it is declared at all.
+                there = np.array([x is not None for x in batch.column("other").slice(a, z - a).to_pylist()], dtype=bool)
+                sums = np.concatenate([sums[:, :-1], np.where(there, sums[:, -1], NEVER)[:, None], sums[:, -1:]], axis=1)
                 rest = [x for x in batch.schema.names if x != "text"]
                 yield pa.RecordBatch.from_arrays([*(batch.column(x).slice(a, z - a) for x in rest), pa.array(list(sums), pa.list_(pa.float64())), pa.array(n, pa.int64())], names=[*rest, "text_logs", "n_trigrams"])
 
-    held = rows.select(*keys, "text", F.coalesce("suffix", F.lit("")).alias("suffix"), F.coalesce("domain", F.lit("")).alias("domain"), F.coalesce("host", F.lit("")).alias("host"), F.array(*favour(declared, DECLARED_WRONG)).alias("declared_logs"), F.array(*favour(by_suffix, SUFFIX_WRONG)).alias("suffix_logs"))
+    held = rows.select(*keys, "text", F.coalesce("suffix", F.lit("")).alias("suffix"), F.coalesce("domain", F.lit("")).alias("domain"), F.coalesce("host", F.lit("")).alias("host"), other.alias("other"), F.array(*favour(hint, DECLARED_WRONG)).alias("declared_logs"), F.array(*favour(by_suffix, SUFFIX_WRONG)).alias("suffix_logs"))
     types = dict(held.dtypes)
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in held.columns if c != "text"), "text_logs array<double>, n_trigrams long"])
     scored = Scratch(rows.sparkSession, "language_id").save(held.mapInArrow(score, schema), "scored")
-    start = [float(np.log((1 - UND_PRIOR) / max(k - 1, 1)))] * (k - 1) + [float(np.log(UND_PRIOR))]
+    start = [float(np.log((1 - UND_PRIOR) / (k - 1)))] * (k - 1) + [float(np.log(UND_PRIOR))]
     add = lambda *logs: F.transform(F.arrays_zip(*(x.alias(f"x{i}") for i, x in enumerate(logs))), lambda v: sum((v[f"x{i}"] for i in range(1, len(logs))), v["x0"]))
     at = lambda logs: (F.array_position(logs, F.array_max(logs)) - 1).cast("int")
     first = add(F.col("text_logs"), F.col("declared_logs"), F.array(*map(F.lit, start)))
@@ -154,23 +165,33 @@ def identify(rows: DataFrame, models: TextModels, keys: list[str]) -> DataFrame:
     suffixes = gather(domains, "suffix")
     total = gather(suffixes.withColumn("all", F.lit(0)), "all").drop("all")
 
-    def smoothed(n: Column, above: Column) -> Column:
-        size = F.aggregate(n, F.lit(0).cast("long"), lambda a, x: a + x)
-        return F.zip_with(n, above, lambda x, p: (x + STRENGTH * p) / (size + STRENGTH))
+    def smoothed(level: int, above: Column) -> Column:
+        """Shares of a level's counts without the row's own one, and of STRENGTH rows more that are as those above."""
+        size = F.col(f"size{level}") - F.when(F.col("own") >= 0, 1).otherwise(0) + STRENGTH
+        counts = F.transform(F.col(f"n{level}"), lambda x, i: x - F.when(i == F.col("own"), 1).otherwise(0))
+        return F.zip_with(counts, above, lambda x, p: (x + STRENGTH * p) / size)
+
+    def level(df: DataFrame, number: int) -> DataFrame:
+        return df.withColumn(f"size{number}", F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x)).withColumnRenamed("n", f"n{number}")
 
     even = F.array(*(F.lit(float(np.exp(x))) for x in start))
-    total = total.select(smoothed(F.col("n"), even).alias("p0"))
-    suffixes = suffixes.withColumn("one", F.lit(1)).join(F.broadcast(total.withColumn("one", F.lit(1))), "one").select("suffix", smoothed(F.col("n"), F.col("p0")).alias("p1"))
-    domains = domains.join(suffixes, "suffix").select("suffix", "domain", smoothed(F.col("n"), F.col("p1")).alias("p2"))
-    hosts = hosts.join(domains, ["suffix", "domain"]).select("suffix", "domain", "host", smoothed(F.col("n"), F.col("p2")).alias("prior"))
-    fused = scored.join(hosts, ["suffix", "domain", "host"], "left").withColumn("prior", F.coalesce("prior", even))
+    # The whole table's counts are one row.
+    levels = level(suffixes, 1).withColumn("one", F.lit(1)).join(F.broadcast(level(total, 0).withColumn("one", F.lit(1))), "one").drop("one")
+    levels = level(domains, 2).join(levels, "suffix")
+    levels = level(hosts, 3).join(levels, ["suffix", "domain"])
+    fused = scored.withColumn("own", F.when(sure, F.col("first")).otherwise(-1)).join(levels, ["suffix", "domain", "host"])
+    prior = even
+    for number in range(4):
+        prior = smoothed(number, prior)
+    fused = fused.withColumn("prior", prior)
     fused = fused.withColumn("logs", add(F.col("text_logs"), F.col("declared_logs"), F.col("suffix_logs"), F.transform("prior", lambda p: F.log(p))))
     fused = fused.withColumn("top", at(F.col("logs")))
     named = F.array(*map(F.lit, names))
     probability = 1 / F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.array_max("logs")))
-    silent = (F.col("n_trigrams") == 0) & (F.element_at("declared_logs", 1) == 0.0) & (F.element_at("suffix_logs", 1) == 0.0) & ((F.col("host") == "") if k > 1 else F.lit(True))
-    language = F.when(silent, F.lit(UND)).otherwise(F.get(named, F.col("top")))
-    out = fused.select(*keys, language.alias("language"), F.when(silent, 0.0).otherwise(probability).alias("probability"), F.when(F.col("n_trigrams") > 0, F.get(named, at(F.col("text_logs")))).alias("text_language"), "n_trigrams")
+    silent = (F.col("n_trigrams") == 0) & (F.element_at("declared_logs", 1) == 0.0) & (F.element_at("suffix_logs", 1) == 0.0) & (F.col("host") == "")
+    named_by = lambda i: F.when(F.get(named, i) == OTHER, F.col("other")).otherwise(F.get(named, i))
+    language = F.when(silent, F.lit(UND)).otherwise(F.coalesce(named_by(F.col("top")), F.lit(UND)))
+    out = fused.select(*keys, language.alias("language"), F.when(silent, 0.0).otherwise(probability).alias("probability"), F.when(F.col("n_trigrams") > 0, named_by(at(F.col("text_logs")))).alias("text_language"), "n_trigrams")
     return out.withColumn("kept", (F.col("language") != UND) & (F.col("probability") >= LEAST))
 
 

@@ -309,11 +309,67 @@ def test_language_evidence(spark):
     frame = spark.createDataFrame(rows, "id long, text string, declared string, suffix string, domain string, host string")
     got = {r["id"]: r for r in language_id.identify(frame, models, ["id"]).collect()}
     assert [got[i]["language"] for i in (1, 2, 3, 7)] == ["de", "de", "fr", "de"]
-    assert all(got[i]["kept"] for i in (1, 2, 3, 7)) and not got[4]["kept"] and got[4]["language"] == "und" and not got[5]["kept"] and not got[6]["kept"]
+    assert all(got[i]["kept"] for i in (1, 2, 3, 7)) and not got[4]["kept"] and got[4]["language"] == "und" and not got[6]["kept"]
+    assert got[5]["kept"] and got[5]["language"] == "xx"  # only the declaration says anything
     assert language_id.identify(frame, models, ["id"]).count() == 8
     assert language_id.identify(frame.limit(0), models, ["id"]).count() == 0
 
 
+def test_declared_language_without_a_model_is_kept(spark):
+    """Three documents of a language that no model knows stay; the same text without a declaration, or an English one, goes by its own."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    english = docs.where("lang = 'en' and length(text) > 500").first()["text"]
+    rare = [(10_000 + i, "цзъ фыв прол " * 40 + str(i), "ru", "web") for i in range(3)] + [(10_010, "цзъ фыв прол " * 40, None, "web"), (10_011, english, "ru", "web")]
+    every = docs.unionByName(spark.createDataFrame(rare, docs.schema))
+    models = language_id.fit(language_id._labelled(every))
+    got = {r["doc_id"]: r for r in language_id.identify(language_id.documents_evidence(every), models, ["doc_id", "row_key"]).where("doc_id >= 10000").collect()}
+    assert all(got[10_000 + i]["language"] == "ru" and got[10_000 + i]["kept"] for i in range(3)) and "ru" not in models.languages
+    assert not got[10_010]["kept"] and got[10_011]["language"] == "en"
+    assert len(language_id.fit(language_id._labelled(every), sample=5).languages) == 4
+
+
+def test_posterior_against_brute_force(spark):
+    """Every probability from counts and logarithms written out, with the row's own count left out of its priors."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    models = language_id.fit(language_id._labelled(docs))
+    texts = [r["text"][:120] for r in docs.where("length(text) > 200").orderBy("doc_id").limit(60).collect()]
+    rng = random.Random(6)
+    rows = [(i, rng.choice([t, t, t, None, "12 3"]), rng.choice([None, "en", "de-AT", "ru", "??"]), *rng.choice([(None, None, None), ("de", "x.de", "a.x.de"), ("com", "y.com", "y.com"), ("com", "y.com", "b.y.com")])) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "id long, text string, declared string, suffix string, domain string, host string, language string".replace(", language string", "")).withColumns({c: F.lit("clash") for c in ("language", "n0", "own", "prior", "other")})
+    got = {r["id"]: r for r in language_id.identify(frame, models, ["id"]).collect()}
+    names = [*models.languages, "other", "und"]
+    k = len(names)
+    start = [math.log((1 - language_id.UND_PRIOR) / (k - 1))] * (k - 1) + [math.log(language_id.UND_PRIOR)]
+
+    def parts(row):
+        _, text, declared, suffix, _, _ = row
+        sums, n = models.score([(text or "").encode()])
+        known = {"en": "en", "de-AT": "de", "ru": "other"}.get(declared)
+        told = [0.0 if known is None else math.log(1 - language_id.DECLARED_WRONG) if x == known else math.log(language_id.DECLARED_WRONG / (k - 1)) for x in names]
+        country = {"de": "de"}.get(suffix)
+        hint = [0.0 if country is None else math.log(1 - language_id.SUFFIX_WRONG) if x == country else math.log(language_id.SUFFIX_WRONG / (k - 1)) for x in names]
+        text_logs = [*sums[0][:-1], sums[0][-1] if known == "other" else language_id.NEVER, sums[0][-1]]
+        first = max(range(k), key=lambda i: text_logs[i] + told[i] + start[i])
+        return text_logs, told, hint, first if n[0] or known else None
+
+    every = [parts(r) for r in rows]
+    place = [tuple(x or "" for x in (r[3], r[4], r[5])) for r in rows]
+    for i, row in enumerate(rows):
+        text_logs, told, hint, _ = every[i]
+        prior = [math.exp(x) for x in start]
+        for depth in (0, 1, 2, 3):
+            n = [sum(1 for j in range(len(rows)) if j != i and place[j][:depth] == place[i][:depth] and every[j][3] == x) for x in range(k)]
+            prior = [(c + language_id.STRENGTH * p) / (sum(n) + language_id.STRENGTH) for c, p in zip(n, prior, strict=True)]
+        logs = [a + b + c + math.log(p) for a, b, c, p in zip(text_logs, told, hint, prior, strict=True)]
+        best = max(range(k), key=lambda x: logs[x])
+        want = 1 / sum(math.exp(x - max(logs)) for x in logs)
+        if row[1] in (None, "12 3") and row[2] in (None, "??") and row[3] is None:
+            assert got[i]["language"] == "und" and got[i]["probability"] == 0
+        else:
+            assert got[i]["probability"] == pytest.approx(want, rel=1e-6)
+            assert got[i]["language"] == ("ru" if names[best] == "other" else names[best])
+
+
 def test_host_prior_decides_without_other_evidence(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     models = language_id.fit(language_id._labelled(docs))
