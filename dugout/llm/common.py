@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder, self.made = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", 0
         self.paths: dict[int, tuple[DataFrame, str]] = {}
+        self.names: dict[int, str] = {}
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self.made += 1
@@ -49,9 +51,31 @@ class Scratch:
         self.paths[id(out)] = (out, path)
         return out
 
+    def save_bucketed(self, df: DataFrame, name: str, buckets: int, keys: list[str]) -> DataFrame:
+        """Like save(), with one file a bucket, sorted by the keys; df has to be partitioned into `buckets` by them."""
+        self.made += 1
+        path, known = f"{self.folder}/{self.made:03d}-{name}", f"scratch_{uuid.uuid4().hex}"
+        df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(known)
+        out = self.spark.table(known)
+        self.paths[id(out)], self.names[id(out)] = (out, path), known
+        return out
+
+    @contextmanager
+    def sorted_buckets(self) -> Iterator[None]:
+        """While it lasts, plans rely on the order inside the buckets of save_bucketed()."""
+        key = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+        old = self.spark.conf.get(key)
+        self.spark.conf.set(key, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(key, old)
+
     def drop(self, *tables: DataFrame) -> None:
         """Removes tables of save() that nothing to come reads."""
         for df in tables:
+            if name := self.names.pop(id(df), None):
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df))[1])
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 

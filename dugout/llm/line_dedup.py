@@ -1,10 +1,12 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-A run is a table of (h1, h2, n_docs, last_doc), one row per line key, written sorted by the 128-bit hash of the key.
-Batches of documents come newest first (descending ids). Each new batch is merge-anti-joined with the runs: keys that
-no run has are new, and their largest id in the batch is the document that keeps the line; keys that a run has only add
-to the document count. The batch then becomes a run of level 0. Whenever a level holds `fanout` runs, they are merged
-into one run of the next level, so that a key is looked up in few runs and each row is rewritten once a level.
+A run is a table of (h1, h2, n_docs, last_doc), one row per line key, bucketed by the 128-bit hash of the key and sorted
+inside each bucket. Batches of documents come newest first (descending ids). Each new batch is merge-anti-joined with
+the runs: keys that no run has are new, and their largest id in the batch is the document that keeps the line; keys that
+a run has only add to the document count. The batch then becomes a run of level 0. Whenever a level holds `fanout` runs,
+they are merged into one run of the next level, so that a key is looked up in few runs and each row is rewritten once a
+level. All runs have the same buckets, one sorted file each, so neither the anti-join nor the merging moves a
+row of theirs through the cluster: only the new batch, aggregated, is dealt out.
 
 The key of a line is the line without white space at either end and with A-Z lower-cased. Keys of at least `min_points`
 code points that `min_docs` documents hold lose their lines, except in the largest id that holds them.
@@ -32,6 +34,8 @@ MIN_DOCS = 5
 #: Batches that a whole table is taken in, and the runs a level may hold.
 BATCHES = 4
 FANOUT = 2
+#: Buckets of the runs: the least and most, and the line keys of a table for which there is one.
+LEAST_BUCKETS, MOST_BUCKETS, BUCKET_KEYS = 8, 1 << 16, 1 << 20
 
 
 def line_key(line: bytes, min_points: int = MIN_POINTS) -> bytes | None:
@@ -67,10 +71,10 @@ def line_hashes(docs: DataFrame, min_points: int = MIN_POINTS) -> DataFrame:
 
 
 class LineRuns:
-    """The levels of runs. append() takes batches in descending order of ids."""
+    """The levels of runs. append() takes batches in descending order of ids; close() drops them."""
 
-    def __init__(self, scratch: Scratch, fanout: int = FANOUT):
-        self.scratch, self.fanout, self.levels = scratch, fanout, [[]]
+    def __init__(self, scratch: Scratch, fanout: int = FANOUT, buckets: int = LEAST_BUCKETS):
+        self.scratch, self.fanout, self.buckets, self.levels = scratch, fanout, buckets, [[]]
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
@@ -78,45 +82,52 @@ class LineRuns:
     def _write(self, run: DataFrame, level: int) -> None:
         if len(self.levels) == level:
             self.levels.append([])
-        self.levels[level].append(self.scratch.save(run.sortWithinPartitions("h1", "h2"), f"run-{level}"))
-
-    def known(self) -> DataFrame | None:
-        """The rows of all runs."""
-        runs = self.runs()
-        if not runs:
-            return None
-        out = runs[0]
-        for run in runs[1:]:
-            out = out.unionByName(run)
-        return out
+        self.levels[level].append(self.scratch.save_bucketed(run, f"run-{level}", self.buckets, ["h1", "h2"]))
 
     def append(self, keys: DataFrame) -> None:
         """Adds a batch of (doc_id, h1, h2); an id's rows are all in one batch."""
         batch = keys.distinct().groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
-        known = self.known()
-        if known is not None:
-            # What a run holds already has a larger id there, in the one run in which it was new.
-            held = known.where("last_doc is not null").select("h1", "h2", F.lit(True).alias("held"))
-            batch = batch.join(held, ["h1", "h2"], "left").select("h1", "h2", "n_docs", F.when(F.col("held").isNull(), F.col("last_doc")).alias("last_doc"))
-        self._write(batch, 0)
-        level = 0
-        while len(self.levels[level]) >= self.fanout:
-            old, self.levels[level] = self.levels[level], []
-            self._write(self._merged(old), level + 1)
-            self.scratch.drop(*old)
-            level += 1
+        batch = batch.repartition(self.buckets, "h1", "h2")
+        with self.scratch.sorted_buckets():
+            for i, run in enumerate(self.runs()):
+                # What a run holds already has a larger id there, in the one run in which it was new.
+                held = run.where("last_doc is not null").select("h1", "h2", F.lit(True).alias(f"held{i}"))
+                batch = batch.join(held.hint("merge"), ["h1", "h2"], "left").withColumn("last_doc", F.when(F.col(f"held{i}").isNull(), F.col("last_doc"))).drop(f"held{i}")
+            self._write(batch, 0)
+            level = 0
+            while len(self.levels[level]) >= self.fanout:
+                old, self.levels[level] = self.levels[level], []
+                self._merge(old, level + 1)
+                level += 1
 
     @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        out = runs[0]
-        for run in runs[1:]:
-            out = out.unionByName(run)
-        return out.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
-
-    def frequent(self, min_docs: int) -> DataFrame | None:
+    def merged(one: DataFrame, other: DataFrame) -> DataFrame:
+        """Two runs in one merge join."""
+        sides = [df.select("h1", "h2", F.col("n_docs").alias(f"n{i}"), F.col("last_doc").alias(f"d{i}")) for i, df in enumerate((one, other))]
+        both = sides[0].join(sides[1].hint("merge"), ["h1", "h2"], "full_outer")
+        return both.select("h1", "h2", (F.coalesce("n0", F.lit(0)) + F.coalesce("n1", F.lit(0))).alias("n_docs"), F.greatest("d0", "d1").alias("last_doc"))
+
+    def _merge(self, runs: list[DataFrame], level: int) -> None:
+        """Merges runs pair by pair into one of a level; the results of all but the last pair go again."""
+        last = runs[0]
+        for run in runs[1:-1]:
+            old, last = last, self.scratch.save_bucketed(self.merged(last, run), "merging", self.buckets, ["h1", "h2"])
+            self.scratch.drop(old, run)
+        self._write(self.merged(last, runs[-1]), level)
+        self.scratch.drop(last, runs[-1])
+
+    def frequent(self, min_docs: int) -> DataFrame:
         """(h1, h2, last_doc) of the keys that min_docs documents hold."""
-        known = self.known()
-        return None if known is None else self._merged([known]).where(F.col("n_docs") >= min_docs).drop("n_docs")
+        runs = self.runs()
+        if len(runs) > 1:
+            with self.scratch.sorted_buckets():
+                self.levels = [[] for _ in self.levels]
+                self._merge(runs, len(self.levels))
+        return self.runs()[0].where(F.col("n_docs") >= min_docs).drop("n_docs")
+
+    def close(self) -> None:
+        self.scratch.drop(*self.runs())
+        self.levels = [[]]
 
 
 def dropped_keys(docs: DataFrame, min_points: int = MIN_POINTS, min_docs: int = MIN_DOCS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
@@ -125,7 +136,7 @@ def dropped_keys(docs: DataFrame, min_points: int = MIN_POINTS, min_docs: int =
     keys = scratch.save(line_hashes(docs, min_points), "keys")
     cuts = keys.agg(F.percentile_approx("doc_id", F.array(*(F.lit(i / batches) for i in range(1, batches))), 1000)).first()[0] if batches > 1 else None
     edges = [None, *sorted(set(cuts or ())), None]
-    runs = LineRuns(scratch, fanout)
+    runs = LineRuns(scratch, fanout, min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-keys.count() // BUCKET_KEYS))))
     for low, high in reversed(list(zip(edges, edges[1:], strict=False))):
         batch = keys
         if low is not None:
@@ -135,9 +146,10 @@ def dropped_keys(docs: DataFrame, min_points: int = MIN_POINTS, min_docs: int =
         runs.append(batch)
     # Written first, so that the join reads two exchanges and Spark can split a line that very many documents hold.
     frequent = scratch.save(runs.frequent(min_docs), "frequent")
+    runs.close()
     out = keys.join(frequent, ["h1", "h2"]).where("doc_id < last_doc").groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("dropped"))
     out = scratch.save(out, "dropped")
-    scratch.drop(keys, frequent, *runs.runs())
+    scratch.drop(keys, frequent)
     return out
 
 

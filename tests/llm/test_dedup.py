@@ -106,6 +106,29 @@ def test_lines_empty_and_levels(spark):
     assert {tuple(r) for r in runs.frequent(5).collect()} == {(1, 1, 4)}
 
 
+def test_runs_are_neither_moved_nor_sorted(spark):
+    """The plans over runs: an exchange and a sort of the new batch alone in the anti-join, none in the merging of two."""
+    scratch = Scratch(spark, "test")
+    runs = line_dedup.LineRuns(scratch, fanout=3)
+    plans = []
+    real = scratch.save_bucketed
+
+    def saved(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *rest)
+
+    scratch.save_bucketed = saved
+    for i in reversed(range(3)):
+        runs.append(spark.range(1000).select((F.col("id") + 1000 * i).alias("doc_id"), F.col("id").alias("h1"), (F.col("id") % 7).alias("h2")))
+    first, second, third, *merged = plans
+    for plan in (first, second, third):
+        assert plan.count("REPARTITION_BY_NUM") == 1 and plan.count("Exchange hashpartitioning(h1") == first.count("Exchange hashpartitioning(h1")
+    assert third.count("SortMergeJoin") == 2 and third.count("+- Sort [h1") <= 1 + first.count("+- Sort [h1") and "Bucketed: true" in third
+    assert len(merged) == 2 and all("SortMergeJoin" in m and "Exchange" not in m and "Sort [" not in m for m in merged)
+    assert runs.frequent(3).count() == 1000
+    runs.close()
+
+
 # --- near ----------------------------------------------------------------------------------------------------------
 
 
