@@ -170,7 +170,7 @@ def test_chat_round_trip(spark):
     roles = ["user", "assistant", "system", None, "we:ird\n### ", "assistant"]
     rng = random.Random(1)
     rows = [(c, t, rng.choice(roles), rng.choice(bad)) for c in range(30) for t in range(rng.randint(1, 9))] + [(None, None, "assistant", "x"), (99, 1, "user", "a"), (99, 1, "user", "a"), (98, 1, "user", "x" * 200_000)]
-    turns = spark.createDataFrame([(*r, "y") for r in rows], "conv_id long, turn long, role string, text string, formatted string").drop("formatted")
+    turns = spark.createDataFrame([(*r, "y") for r in rows], "conv_id long, turn long, role string, text string, formatted string")
     formatted = chat_format.format_conversations(turns)
     got = {r["conv_id"]: r["t"] for r in formatted.select("conv_id", chat_format.read_turns(F.col("formatted")).alias("t")).collect()}
     examples = chat_format.expand_prefix_targets(formatted).collect()
@@ -184,6 +184,16 @@ def test_chat_round_trip(spark):
     assert chat_format.format_conversations(turns.limit(0)).collect() == []
 
 
+def test_chat_many_turns_take_linear_time(spark):
+    """A conversation of 20,000 turns, half of them replies, read back in seconds."""
+    start = time.monotonic()
+    turns = spark.range(20_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("# <t> "), F.col("id")).alias("text"))
+    made = chat_format.format_conversations(turns)
+    row = made.select(chat_format.read_trainable(F.col("formatted"), F.col("replies")).alias("r")).first()
+    assert [x["reply"] for x in row["r"]] == [f"# <t> {i}" for i in range(1, 20_000, 2)]
+    assert chat_format.expand_prefix_targets(made, texts=False).count() == 10_000 and time.monotonic() - start < 90
+
+
 # --- search --------------------------------------------------------------------------------------------------------
 
 
