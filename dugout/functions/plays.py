@@ -64,6 +64,7 @@ OUTCOMES = {
 }
 FLAGS = ("is_plate_appearance", "is_at_bat", "is_hit", "is_walk", "is_strikeout", "is_sacrifice_fly", "is_sacrifice_hit", "is_out")
 
+# The phrases of both other rule sets.
 #: Only plain outcomes; anything that might mean two things is left out.
 CONSERVATIVE_RULES = (
     ("sacrifice_fly", "whole", r"sacrifice fly|sac fly"),
@@ -104,37 +105,33 @@ def _any(text: Column, words: tuple[str, ...]) -> Column:
 def with_rule(plays: DataFrame, description: str = "description", rules: tuple[tuple[str, str, str], ...] = STANDARD_RULES) -> DataFrame:
     """plays with rule, the name of the first rule that matches; null if none does.
 
-    The texts that the rules read are columns of their own, so that they are computed once for all patterns.
+    The texts that the rules read are columns of their own, so that they are computed once for all patterns, and the rule
+    comes out of a generator, which no filter on it passes: patterns run once a row, whatever is asked of the rule.
     """
     whole = F.lower(strip(F.coalesce(F.col(description), F.lit(""))))
-    texts = plays.withColumn("_whole", whole)
+    kept = [c for c in plays.columns if c != "rule"]
+    texts = plays.select(*(F.col(f"`{c}`") for c in kept), whole.alias("_whole"))
     texts = texts.withColumns({"_batter": _any(F.col("_whole"), BATTER_WORDS), "_runner": _any(F.col("_whole"), RUNNER_WORDS)})
     texts = texts.withColumn("_head", F.when(F.col("_batter") & F.col("_runner"), strip(F.element_at(F.split("_whole", ","), 1))).otherwise(F.col("_whole")))
     tests = {"whole": F.col("_whole").rlike, "head": F.col("_head").rlike, "no batter": lambda p: F.col("_head").rlike(p) & ~F.col("_batter")}
     out = F
     for name, text, pattern in rules:
         out = out.when(tests[text](pattern), F.lit(name))
-    return texts.withColumn("rule", out).drop("_whole", "_batter", "_runner", "_head")
+    return texts.select(*(F.col(f"`{c}`") for c in kept), F.inline(F.array(F.struct(out.alias("rule")))))
 
 
-def classify(plays: DataFrame, description: str = "description", rules: tuple[tuple[str, str, str], ...] = STANDARD_RULES, outcomes: dict[str, dict] = OUTCOMES) -> DataFrame:
-    """plays with rule and the outcome's columns; a play that no rule knows has nulls there."""
-    named = with_rule(plays, description, rules)
-    known = F.col("rule").isNotNull()
-
-    def flag(name: str, default: bool) -> Column:
-        odd = [r for r, o in outcomes.items() if o.get(name, default) != default]
-        return F.when(known, F.col("rule").isin(*odd) != F.lit(default))
+def outcome_table(outcomes: dict[str, dict]) -> Column:
+    """A literal map from rules to all that they set."""
+    kinds = {f: ("boolean", f == "is_plate_appearance") for f in FLAGS} | {"hit_type": ("string", None), "outs_recorded": ("int", 0), "bases_reached": ("int", 0)}
+    rows = ((F.lit(rule), F.struct(*(F.lit(o.get(n, default)).cast(kind).alias(n) for n, (kind, default) in kinds.items()))) for rule, o in outcomes.items())
+    return F.create_map(*(x for row in rows for x in row))
 
-    def number(name: str) -> Column:
-        values = {r: o[name] for r, o in outcomes.items() if name in o}
-        chain = F
-        for value in sorted(set(values.values())):
-            chain = chain.when(F.col("rule").isin(*(r for r, v in values.items() if v == value)), value)
-        return F.when(known, chain.otherwise(0))
 
-    hits = [r for r, o in outcomes.items() if "hit_type" in o]
-    return named.withColumns({f: flag(f, f == "is_plate_appearance") for f in FLAGS} | {"hit_type": F.when(F.col("rule").isin(*hits), F.col("rule")), "outs_recorded": number("outs_recorded"), "bases_reached": number("bases_reached")})
+def classify(plays: DataFrame, description: str = "description", rules: tuple[tuple[str, str, str], ...] = STANDARD_RULES, outcomes: dict[str, dict] = OUTCOMES) -> DataFrame:
+    """plays with rule and the outcome's columns, by one look into the table of outcomes; nulls where no rule matches."""
+    named = with_rule(plays, description, rules)
+    found = F.try_element_at(outcome_table(outcomes), F.col("rule"))
+    return named.withColumns({n: found[n] for n in (*FLAGS, "hit_type", "outs_recorded", "bases_reached")})
 
 
 def outs_on_play(events: DataFrame) -> Column:

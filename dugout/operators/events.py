@@ -18,6 +18,17 @@ def play_rows(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("inn").isNotNull() & F.col("description").isNotNull() & F.col("pitcher").isNotNull() & ~heading)
 
 
+def half_innings(raw: DataFrame) -> DataFrame:
+    """Rows whose inning is a half-inning code, t or b and digits."""
+    return raw.where(F.col("inn").rlike("^[tb][0-9]+$"))
+
+
+def with_sides(events: DataFrame) -> DataFrame:
+    """events with batting_team and pitching_team: the visitors bat in the top halves."""
+    top, bottom = F.col("inning_half") == "top", F.col("inning_half") == "bottom"
+    return events.withColumns({"batting_team": F.when(top, "away").when(bottom, "home"), "pitching_team": F.when(top, "home").when(bottom, "away")})
+
+
 def event_id(*parts: str) -> Column:
     """The same id for the same event, however often it is read."""
     return F.sha2(F.concat_ws("|", *(F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts)), 256)

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 SUFFIXES = r"\s+(?:Jr\.?|Sr\.?|II|III|IV)$"
 
 
-def canonical(batting: DataFrame, pitching: DataFrame) -> DataFrame:
-    """(game_id, player_name, player_id) of both tables; ids of batters come first where a name has several."""
-    one = batting.select("game_id", "player_name", "player_id", F.lit(0).alias("source")).unionByName(pitching.select("game_id", "player_name", "player_id", F.lit(1).alias("source")))
-    return one.where("player_id is not null and player_name <> ''").groupBy("game_id", "player_name").agg(F.min_by("player_id", F.struct("source", "player_id")).alias("player_id"), (F.count_distinct("player_id") > 1).alias("is_ambiguous"))
+def canonical(batting: DataFrame, pitching: DataFrame, by: tuple[str, ...] = ("game_id",)) -> DataFrame:
+    """(*by, player_name, player_id, is_ambiguous) of both tables; a name of several players has no id."""
+    one = batting.select(*by, "player_name", "player_id").unionByName(pitching.select(*by, "player_name", "player_id"))
+    known = one.where("player_id is not null and player_name <> ''").groupBy(*by, "player_name").agg(F.min("player_id").alias("least"), F.max("player_id").alias("most"))
+    return known.select(*by, "player_name", F.when(F.col("least") == F.col("most"), F.col("least")).alias("player_id"), (F.col("least") != F.col("most")).alias("is_ambiguous"))
 
 
 def aliases(players: DataFrame) -> DataFrame:
@@ -40,10 +41,18 @@ def resolve(rows: DataFrame, players: DataFrame, name: str, out: str) -> DataFra
 
 
 def enrich(events: DataFrame, players: DataFrame) -> DataFrame:
-    """events with batter_id and pitcher_id by exact name in the game."""
-    batters = players.select("game_id", F.col("player_name").alias("batter_name"), F.col("player_id").alias("batter_id"))
-    pitchers = players.select("game_id", F.col("player_name").alias("pitcher_name"), F.col("player_id").alias("pitcher_id"))
-    return events.join(batters, ["game_id", "batter_name"], "left").join(pitchers, ["game_id", "pitcher_name"], "left")
+    """events with batter_id and pitcher_id by exact name in the game, and on the side where players have a team.
+
+    Sides are events' batting_team and pitching_team.
+    """
+    sided = "team" in players.columns
+
+    def side(role: str, team: str) -> DataFrame:
+        return players.select("game_id", *([F.col("team").alias(team)] if sided else []), F.col("player_name").alias(f"{role}_name"), F.col("player_id").alias(f"{role}_id"))
+
+    for role, team in (("batter", "batting_team"), ("pitcher", "pitching_team")):
+        events = events.join(side(role, team), ["game_id", *([team] if sided else []), f"{role}_name"], "left")
+    return events
 
 
 def unmapped(enriched: DataFrame) -> DataFrame:

@@ -11,13 +11,14 @@ BATTING = ("PA", "AB", "H", "BB", "SO", "HR", "doubles", "triples")
 PITCHING = ("BF", "H", "BB", "SO", "HR")
 
 
-def batter_lines(events: DataFrame) -> DataFrame:
+def batter_lines(events: DataFrame, by: tuple[str, ...] = ("game_id",)) -> DataFrame:
+    """A line for each batter's name; with batting_team AS team among `by`, namesakes of two sides are two."""
     hit = lambda t: F.count_if(F.col("hit_type") == t)
-    return events.groupBy("game_id", F.col("batter_name").alias("player_name")).agg(F.count_if("is_plate_appearance").alias("PA"), F.count_if("is_at_bat").alias("AB"), F.count_if("is_hit").alias("H"), F.count_if("is_walk").alias("BB"), F.count_if("is_strikeout").alias("SO"), hit("home_run").alias("HR"), hit("double").alias("doubles"), hit("triple").alias("triples"))
+    return events.groupBy(*by, F.col("batter_name").alias("player_name")).agg(F.count_if("is_plate_appearance").alias("PA"), F.count_if("is_at_bat").alias("AB"), F.count_if("is_hit").alias("H"), F.count_if("is_walk").alias("BB"), F.count_if("is_strikeout").alias("SO"), hit("home_run").alias("HR"), hit("double").alias("doubles"), hit("triple").alias("triples"))
 
 
-def pitcher_lines(events: DataFrame) -> DataFrame:
-    return events.groupBy("game_id", F.col("pitcher_name").alias("player_name")).agg(F.count_if("is_plate_appearance").alias("BF"), F.count_if("is_hit").alias("H"), F.count_if("is_walk").alias("BB"), F.count_if("is_strikeout").alias("SO"), F.count_if(F.col("hit_type") == "home_run").alias("HR"), F.sum("pitch_count").alias("PC"), F.sum(outs_on_play(events)).alias("outs"))
+def pitcher_lines(events: DataFrame, by: tuple[str, ...] = ("game_id",)) -> DataFrame:
+    return events.groupBy(*by, F.col("pitcher_name").alias("player_name")).agg(F.count_if("is_plate_appearance").alias("BF"), F.count_if("is_hit").alias("H"), F.count_if("is_walk").alias("BB"), F.count_if("is_strikeout").alias("SO"), F.count_if(F.col("hit_type") == "home_run").alias("HR"), F.sum("pitch_count").alias("PC"), F.sum(outs_on_play(events)).alias("outs"))
 
 
 def differences(official: DataFrame, parsed: DataFrame, keys: list[str], stats: tuple[str, ...]) -> DataFrame:

@@ -12,35 +12,67 @@ from ..operators import events as E
 from ..operators import lineup as L
 from ..operators import names as N
 from ..operators import reconcile as R
+from ..operators import store as K
 from ..sources import box_pages as B
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df on the executors' disks: the plan reads it several times. What a lost executor held is computed again."""
-    return df.persist(StorageLevel.DISK_ONLY)
+class Kept:
+    """Tables that a plan reads several times, on the executors' disks until release(). A lost executor's are computed again."""
 
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
 
-def silver(pages: DataFrame) -> dict[str, DataFrame]:
-    """games, batting, pitching, events and events_rejected of pages(url, html). Pages are parsed once."""
-    cells = kept(B.cells(pages))
-    batting = kept(L.batting_order(L.eligible_batters(B.batting(cells))))
-    pitching = kept(L.pitching_order(B.pitching(cells)))
-    raw = E.play_rows(B.plays(cells))
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.tables.append(df.persist(StorageLevel.DISK_ONLY))
+        return self.tables[-1]
+
+    def release(self) -> None:
+        while self.tables:
+            self.tables.pop().unpersist()
+
+
+def silver(pages: DataFrame, kept: Kept | None = None) -> dict[str, DataFrame]:
+    """games, batting, pitching, events, events_rejected, ambiguous_names and page_errors of pages(url, html).
+
+    Pages are parsed once.
+    """
+    kept = kept or Kept()
+    rows = kept(B.rows(pages))
+    batting = kept(L.batting_order(L.eligible_batters(B.batting(rows))))
+    pitching = kept(L.pitching_order(B.pitching(rows)))
+    raw = E.play_rows(B.plays(rows))
     parsed = raw.select("game_id", "seq", T.first_integer("inn").alias("inning"), T.inning_half("inn").alias("inning_half"), T.normal_name("batter").alias("batter_name"), T.normal_name("pitcher").alias("pitcher_name"), "description", T.leading_integer("pit_cnt").alias("pitch_count"))
-    judged = kept(P.classify(parsed))
+    judged = kept(P.classify(E.with_sides(parsed)))
     events = E.renumber(E.dedup_pitch_counts(P.accepted(judged)))
-    events = N.enrich(events, N.canonical(batting, pitching).drop("is_ambiguous"))
+    names = N.canonical(batting, pitching, ("game_id", "team"))
+    events = N.enrich(events, names.drop("is_ambiguous"))
     events = kept(events.withColumn("event_id", E.event_id("game_id", "inning", "inning_half", "seq")))
-    return {"games": B.games(pages), "batting": batting, "pitching": pitching, "events": events, "events_rejected": P.rejected(judged)}
+    return {
+        "games": B.games(pages),
+        "batting": batting,
+        "pitching": pitching,
+        "events": events,
+        "events_rejected": P.rejected(judged),
+        "ambiguous_names": names.where("is_ambiguous").select("game_id", "team", "player_name"),
+        "page_errors": B.page_errors(rows),
+    }
 
 
 def reports(tables: dict[str, DataFrame]) -> DataFrame:
-    """(game_id, validation_type, accuracy_percentage, discrepancies_count, status) for batting and pitching."""
-    keys = ["game_id", "player_name"]
-    sides = (("batting", tables["batting"], R.batter_lines(tables["events"]), R.BATTING), ("pitching", tables["pitching"], R.pitcher_lines(tables["events"]), R.PITCHING))
+    """(game_id, validation_type, accuracy_percentage, discrepancies_count, status) for batting and pitching.
+
+    Players are matched on their side, so namesakes of two teams are compared apart. Two of one name in one team are one
+    line on both sides of the comparison.
+    """
+    keys = ["game_id", "team", "player_name"]
+    events = tables["events"]
+    sides = (
+        ("batting", tables["batting"], R.batter_lines(events.withColumn("team", F.col("batting_team")), ("game_id", "team")), R.BATTING),
+        ("pitching", tables["pitching"], R.pitcher_lines(events.withColumn("team", F.col("pitching_team")), ("game_id", "team")), R.PITCHING),
+    )
     out = None
     for name, official, parsed, stats in sides:
-        diffs = R.differences(official, parsed, keys, stats)
+        diffs = R.differences(official.groupBy(*keys).agg(*(F.sum(s).alias(s) for s in stats)), parsed, keys, stats)
         one = R.accuracy(diffs, ["game_id"]).select("game_id", F.lit(name).alias("validation_type"), F.col("accuracy").alias("accuracy_percentage"), F.col("total_differences").cast("int").alias("discrepancies_count"))
         out = one if out is None else out.unionByName(one)
     return out.withColumn("status", R.report_status(F.col("accuracy_percentage")))
@@ -53,10 +85,36 @@ def gate(report_rows: DataFrame, least: float = 95.0, strict: bool = True) -> Da
     return R.storable(both.withColumn("status", R.status(F.col("batting_accuracy"), F.col("pitching_accuracy"), least)), least, strict)
 
 
-def process(pages: DataFrame, stored_games: DataFrame | None = None, least: float = 95.0, strict: bool = True) -> dict[str, DataFrame]:
-    """silver tables of the games that pass, without those stored before, and the reports of all new ones."""
+#: Tables about pages and games that failed, which the gate does not cut.
+ABOUT = ("page_errors",)
+
+
+def process(pages: DataFrame, stored_games: DataFrame | None = None, least: float = 95.0, strict: bool = True, kept: Kept | None = None) -> dict[str, DataFrame]:
+    """silver tables of the games that pass, without those stored before, the reports of all new ones and page errors."""
+    kept = kept or Kept()
     new = pages if stored_games is None else pages.withColumn("game_id", T.game_id("url")).join(stored_games.select("game_id"), "game_id", "left_anti").drop("game_id")
-    tables = silver(new)
-    rows = reports(tables)
+    tables = silver(new, kept)
+    rows = kept(reports(tables))
     good = kept(gate(rows, least, strict).select("game_id"))
-    return {name: df.join(good, "game_id", "left_semi") for name, df in tables.items()} | {"validation_reports": rows}
+    return {name: df if name in ABOUT else df.join(good, "game_id", "left_semi") for name, df in tables.items()} | {"validation_reports": rows}
+
+
+#: The tables that hold a game's rows, each with its parent.
+PARENTS = tuple((t, "games", "game_id") for t in ("batting", "pitching", "events"))
+
+
+def store(pages: DataFrame, root: str, least: float = 95.0, strict: bool = True) -> DataFrame:
+    """(table_name, n): a batch of pages processed and committed to root as one version, all tables or none."""
+    kept = Kept()
+    try:
+        return K.commit(pages.sparkSession, process(pages, least=least, strict=strict, kept=kept), root, PARENTS)
+    finally:
+        kept.release()
+
+
+def outcomes(pages: DataFrame, tables: dict[str, DataFrame], stored_games: DataFrame | None = None) -> DataFrame:
+    """(game_id, url, processing_status, error): what became of each page of a batch: skipped, error or success."""
+    rows = pages.select(T.game_id("url").alias("game_id"), "url").join(tables["page_errors"].select("url", "error"), "url", "left")
+    known = (stored_games.select("game_id") if stored_games is not None else rows.select("game_id").limit(0)).distinct().withColumn("known", F.lit(True))
+    state = F.when(F.col("known"), "skipped").when(F.col("error").isNotNull(), "error").otherwise("success")
+    return rows.join(known, "game_id", "left").select("game_id", "url", state.alias("processing_status"), "error")

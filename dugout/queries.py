@@ -403,13 +403,13 @@ def union_players_first_wins(spark, sf):
 @query("upsert_last_wins", "SELECT game_id, CASE WHEN season >= 1998 THEN venue || '!' ELSE venue END AS venue FROM games WHERE season <= 1998 UNION ALL SELECT game_id, venue || '!' FROM games WHERE season > 1998")
 def upsert_last_wins(spark, sf):
     g = B.games(spark, sf)
-    return K.upsert(g.where("season <= 1998").select("game_id", "venue"), g.where("season >= 1998").select("game_id", F.concat("venue", F.lit("!")).alias("venue")), ["game_id"])
+    return K.upsert(g.where("season <= 1998").select("game_id", "venue"), g.where("season >= 1998").select("game_id", F.concat("venue", F.lit("!")).alias("venue")), ["game_id"], ["venue"])
 
 
 @query("insert_if_absent", "SELECT game_id, venue FROM games WHERE season <= 1998 UNION ALL SELECT game_id, venue || '!' FROM games WHERE season > 1998")
 def insert_if_absent(spark, sf):
     g = B.games(spark, sf)
-    return K.insert_if_absent(g.where("season <= 1998").select("game_id", "venue"), g.where("season >= 1998").select("game_id", F.concat("venue", F.lit("!")).alias("venue")), ["game_id"])
+    return K.insert_if_absent(g.where("season <= 1998").select("game_id", "venue"), g.where("season >= 1998").select("game_id", F.concat("venue", F.lit("!")).alias("venue")), ["game_id"], ["venue"])
 
 
 @query("cascade_delete", "SELECT 'games' AS table_name, count(*) AS n FROM games WHERE season <> 1998 UNION ALL SELECT 'batting', count(*) FROM batting WHERE game_id IN (SELECT game_id FROM games WHERE season <> 1998) UNION ALL SELECT 'pitching', count(*) FROM pitching WHERE game_id IN (SELECT game_id FROM games WHERE season <> 1998)")

@@ -1,7 +1,8 @@
 """Box-score pages as relations: cells of tables and facts of the page, one Python pass over each page's HTML.
 
-The parser is a small helper inside mapInArrow; everything after the cells is column expressions. A page that can't be
-read gives no cells, never an error.
+The parser is a small helper inside mapInArrow; everything after it is column expressions. rows() gives the rows of tables
+under their headings straight from that pass, as a page's cells are all there, so nothing is shuffled. A page that can't be
+read gives no cells; rows() gives one row that says why.
 """
 
 from __future__ import annotations
@@ -97,21 +98,62 @@ def cells(pages: DataFrame) -> DataFrame:
     return pages.select("url", "html").mapInArrow(read, CELLS)
 
 
-def wide(cell_rows: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Rows of tables under their headings: (url, table_id, table_idx, row_idx, href, is_indented, *columns).
+ROWS = "url string, table_id string, table_idx int, row_idx int, href string, is_indented boolean, cells map<string,string>, error string"
 
-    columns: heading to name. Headings are those of the table's first row; headings repeated further down are not rows.
+
+def rows(pages: DataFrame) -> DataFrame:
+    """Rows of all tables of pages(url, html), cells by the headings of the table's first row.
+
+    Of equal headings the largest text counts. Headings repeated further down are not rows. A page without tables, or one
+    that the parser gives up on, has one row with an error and nulls.
     """
-    keys = ["url", "table_id", "table_idx"]
-    heads = cell_rows.where("row_idx = 0").select(*keys, "col_idx", F.col("text").alias("heading"))
-    body = cell_rows.where("row_idx > 0").join(heads, [*keys, "col_idx"])
-    rows = body.groupBy(*keys, "row_idx").agg(
-        F.max(F.when(F.col("col_idx") == 0, F.col("href"))).alias("href"),
-        F.max(F.when(F.col("col_idx") == 0, F.col("is_indented"))).alias("is_indented"),
-        F.bool_and(F.col("text") == F.col("heading")).alias("repeated"),
-        *(F.max(F.when(F.col("heading") == h, F.col("text"))).alias(n) for h, n in columns.items()),
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = [c.rsplit(" ", 1) for c in ROWS.split(", ")]
+        types = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.map_(pa.string(), pa.string()), pa.string()]
+        for batch in batches:
+            out = []
+            for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
+                parser, fault = _Cells(), None
+                try:
+                    parser.feed(page or "")
+                    parser.finish()
+                except AssertionError as error:  # the standard parser's answer to some broken declarations
+                    parser.rows, fault = [], f"parse error: {error}"
+                if not parser.rows:
+                    out.append((url, None, None, None, None, None, None, fault or ("missing page" if not page else "no table found")))
+                heads: dict[tuple, dict[int, str]] = {}
+                lines: dict[tuple, list] = {}
+                for table_id, table, row, col, _, text, href, _, indented in parser.rows:
+                    if row == 0:
+                        heads.setdefault((table_id, table), {})[col] = text
+                    else:
+                        lines.setdefault((table_id, table, row), []).append((col, text, href, indented))
+                for (table_id, table, row), line in lines.items():
+                    known = heads.get((table_id, table), {})
+                    named = [(known[col], text) for col, text, _, _ in line if col in known]
+                    if named and not all(h == t for h, t in named):
+                        first = next(((href, indented) for col, _, href, indented in line if col == 0), (None, None))
+                        out.append((url, table_id, table, row, *first, dict(sorted(named)), None))
+            cols = list(zip(*out, strict=True)) or [[] for _ in fields]
+            yield pa.RecordBatch.from_arrays([pa.array([list(x.items()) if isinstance(x, dict) else x for x in c], t) for c, t in zip(cols, types, strict=True)], names=[f for f, _ in fields])
+
+    return pages.select("url", "html").mapInArrow(read, ROWS)
+
+
+def wide(table_rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """(url, table_id, table_idx, row_idx, href, is_indented, *columns) of rows(); columns: heading to name."""
+    return table_rows.select("url", "table_id", "table_idx", "row_idx", "href", "is_indented", *(F.try_element_at("cells", F.lit(h)).alias(n) for h, n in columns.items()))
+
+
+def page_errors(table_rows: DataFrame) -> DataFrame:
+    """(game_id, url, error) of the pages that lack what a game needs: tables at all, a box score, or plays."""
+    has = lambda test: F.coalesce(F.bool_or(test), F.lit(False))
+    seen = table_rows.groupBy("url").agg(
+        F.first("error", ignorenulls=True).alias("error"), has(F.col("table_id").endswith("batting")).alias("batting"), has(F.col("table_id").endswith("pitching")).alias("pitching"), has(F.col("table_id") == "play_by_play").alias("plays")
     )
-    return rows.where(~F.col("repeated")).drop("repeated")
+    lacks = F.concat_ws(", ", *(F.when(~F.col(c), F.lit(f"no {c} table found")) for c in ("batting", "pitching", "plays")))
+    return seen.select(T.game_id("url").alias("game_id"), "url", F.coalesce("error", F.nullif(lacks, F.lit(""))).alias("error")).where("error is not null")
 
 
 def _team():

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Hours that a page of a category stays fresh, and what in an address tells the category.
-FRESH_HOURS = {"box_scores": 720, "schedules": 24, "rosters": 168, "play_by_play": 168, "player_pages": 720, "general": 12}
+FRESH_HOURS = {"box_scores": 720, "schedules": 24, "rosters": 168, "play_by_play": 720, "player_pages": 720, "general": 12}
 CATEGORY_MARKS = (("box_scores", "/boxes/"), ("schedules", "schedule"), ("rosters", "roster"), ("play_by_play", "play_by_play"), ("play_by_play", "pbp"), ("player_pages", "/players/"))
 
 

@@ -75,6 +75,40 @@ def test_reconciliation_and_gate(tables):
     assert [r["game_id"] for r in season.gate(season.reports(tables), 99).collect()] == ["BBB202404010"]
 
 
+def test_namesakes_and_broken_pages(spark, tmp_path):
+    """Two players of one name on two sides are compared apart and have their ids; two in one team have none. Failed pages say why."""
+    twin = page().replace("Cy Moe", "Ann Lee")
+    same = page().replace("Bo Diaz", "Ann Lee").replace("h1>", "h2>")
+    url = "https://x.test/boxes/{0}/{0}202404010.shtml"
+    no_plays = "<table id='xbatting'><tr><th>Batting</th><th>AB</th></tr><tr><td>A</td><td>1</td></tr></table>"
+    pages = spark.createDataFrame([(url.format("BBB"), twin), (url.format("CCC"), same), (url.format("DDD"), None), (url.format("EEE"), "<p>none"), (url.format("FFF"), no_plays)], "url string, html string")
+    kept = season.Kept()
+    tables = season.process(pages, least=100, kept=kept)
+    reports = {(r["game_id"][:3], r["validation_type"]): r["accuracy_percentage"] for r in tables["validation_reports"].collect()}
+    assert reports["BBB", "batting"] == 100 and reports["BBB", "pitching"] == 100 and reports["CCC", "batting"] == 100
+    ids = {(r["inning_half"], r["batter_name"]): r["batter_id"] for r in tables["events"].where("game_id like 'BBB%' and batter_name = 'Ann Lee'").collect()}
+    assert ids == {("top", "Ann Lee"): "leean01", ("bottom", "Ann Lee"): "moecy01"}
+    assert [tuple(r) for r in tables["ambiguous_names"].collect()] == [("CCC202404010", "away", "Ann Lee")]
+    assert tables["events"].where("game_id like 'CCC%' and batter_name = 'Ann Lee' and batter_id is not null").count() == 0
+    assert {r["game_id"][:3]: r["error"] for r in tables["page_errors"].collect()} == {"DDD": "missing page", "EEE": "no table found", "FFF": "no pitching table found, no plays table found"}
+    states = {r["game_id"][:3]: r["processing_status"] for r in season.outcomes(pages, tables, spark.createDataFrame([("BBB202404010",)], "game_id string")).collect()}
+    assert states == {"BBB": "skipped", "CCC": "success", "DDD": "error", "EEE": "error", "FFF": "error"}
+    assert kept.tables
+    kept.release()
+    counts = {r["table_name"]: r["n"] for r in season.store(pages, str(tmp_path / "store"), least=100).collect()}
+    assert counts["games"] == 2 and counts["page_errors"] == 3 and counts["batting"] == 6
+
+
+def test_rows_are_not_shuffled(spark):
+    pages = spark.createDataFrame([(URL, page())], "url string, html string")
+    assert "Exchange" not in B.batting(B.rows(pages))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_half_innings(spark):
+    raw = spark.createDataFrame([(x,) for x in ("t1", "b12", "Top of the 1st", "", None, "t", "T1")], "inn string")
+    assert [r["inn"] for r in E.half_innings(raw).collect()] == ["t1", "b12"]
+
+
 def test_process_skips_stored_games(spark):
     pages = spark.createDataFrame([(URL, page())], "url string, html string")
     out = season.process(pages, spark.createDataFrame([("BBB202404010",)], "game_id string"))

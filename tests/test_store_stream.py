@@ -1,16 +1,20 @@
 import datetime
 
+import pytest
+
 from dugout.operators import store as K
 from dugout.streaming import ingest
 
 
 def test_upsert_insert_delete(spark):
-    old = spark.createDataFrame([(1, "a"), (2, "b")], "game_id long, v string")
-    new = spark.createDataFrame([(2, "x"), (3, "p"), (3, "q")], "game_id long, v string")
-    assert sorted(map(tuple, K.upsert(old, new, ["game_id"]).collect())) == [(1, "a"), (2, "x"), (3, "q")]
-    assert sorted(map(tuple, K.insert_if_absent(old, new, ["game_id"]).collect())) == [(1, "a"), (2, "b"), (3, "p")]
-    assert K.delete_games({"t": old}, new)["t"].collect() == [(1, "a")]
-    assert [tuple(r) for r in K.deletions({"t": old}, new).collect()] == [("t", 1)]
+    """Of new rows with one key the last, or the first, that arrived counts, whatever its values."""
+    old = spark.createDataFrame([(1, "z"), (2, "b")], "game_id long, v string")
+    new = spark.createDataFrame([(2, "x", 1), (3, "q", 2), (3, "p", 3), (1, "y", 4), (1, "c", 5)], "game_id long, v string, arrived int")
+    assert sorted(map(tuple, K.upsert(old, new, ["game_id"], ["arrived"]).collect())) == [(1, "c"), (2, "x"), (3, "p")]
+    assert sorted(map(tuple, K.insert_if_absent(old, new, ["game_id"], ["arrived"]).collect())) == [(1, "z"), (2, "b"), (3, "q")]
+    gone = new.where("game_id <> 1")
+    assert K.delete_games({"t": old}, gone)["t"].collect() == [(1, "z")]
+    assert [tuple(r) for r in K.deletions({"t": old}, gone).collect()] == [("t", 1)]
 
 
 def test_publish_replaces(spark, tmp_path):
@@ -18,6 +22,46 @@ def test_publish_replaces(spark, tmp_path):
     for n in (3, 5):
         K.publish(spark, spark.range(n), path)
         assert spark.read.parquet(path).count() == n
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["t"]
+
+
+def test_publish_puts_the_old_table_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    K.publish(spark, spark.range(3), path)
+    real = K._files(spark, path)
+
+    class Failing:
+        """The second rename, that of the new table, fails."""
+
+        calls = 0
+
+        def rename(self, a, b):
+            Failing.calls += 1
+            return Failing.calls != 2 and real.rename(a, b)
+
+        exists, delete = real.exists, real.delete
+
+    monkeypatch.setattr(K, "_files", lambda *_: Failing())
+    with pytest.raises(OSError, match="the old table stands"):
+        K.publish(spark, spark.range(5), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_commit_is_all_or_nothing(spark, tmp_path):
+    root = str(tmp_path / "store")
+    parents = (("plays", "games", "game_id"),)
+    games, plays = spark.range(3).withColumnRenamed("id", "game_id"), spark.range(6).selectExpr("id % 3 AS game_id", "id AS seq")
+    assert {tuple(r) for r in K.commit(spark, {"games": games, "plays": plays}, root, parents).collect()} == {("games", 3), ("plays", 6)}
+    with pytest.raises(ValueError, match="rows of plays"):
+        K.commit(spark, {"games": games.limit(1), "plays": plays}, root, parents)
+    with pytest.raises(Exception, match="bad"):
+        K.commit(spark, {"games": games.limit(1), "plays": plays.selectExpr("game_id", "raise_error('bad') AS seq")}, root, parents)
+    seen = K.current(spark, root, "games", "plays")
+    assert seen["games"].count() == 3 and seen["plays"].count() == 6
+    K.commit(spark, {"games": games.limit(1), "plays": plays.where("game_id = 7")}, root, parents)
+    assert K.current(spark, root, "games")["games"].count() == 1 and seen["games"].count() == 3
+    K.forget(spark, root)
+    assert len([p for p in (tmp_path / "store").iterdir() if p.name.startswith("v-")]) == 1
 
 
 def test_stream_takes_each_game_once(spark, tmp_path):
@@ -31,8 +75,6 @@ def test_stream_takes_each_game_once(spark, tmp_path):
 
 
 def test_recommendations_and_settings(spark):
-    import pytest
-
     from dugout.operators import reconcile as R
     from dugout.sources import tables
 
