@@ -292,20 +292,20 @@ def _rest_links(members: DataFrame, comps: DataFrame, sets: DataFrame, percent:
 
     Blocks of a bucket are cut by size; a task streams through its blocks and holds one of them at a time.
     """
-    placed = members.join(comps, "id")
-    open_buckets = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("bucket")
-    placed = scratch.save(placed.join(open_buckets, "bucket", "left_semi").select("bucket", "id", "comp", "n_shingles"), "placed")
-    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("held")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("held").alias("held"), F.max_by("comp", F.struct("n", "comp")).alias("main"))
+    placed = scratch.save(members.select("bucket", "id", "n_shingles").join(comps, "id"), "placed")
+    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("held")).groupBy("bucket")
+    sizes = sizes.agg(F.sum("n").alias("n"), F.sum("held").alias("held"), F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
     blocks = F.greatest(F.ceil(F.col("n") / F.greatest(F.lit(LEAST_BLOCK), SPREAD * F.sqrt("n"))), F.ceil(8 * F.col("held") / BLOCK_BYTES)).cast("int")
-    # Nothing follows this join in its stage but the exchange, so that Spark can split a bucket with many classes.
-    sized = placed.drop("n_shingles").join(sizes.select("bucket", "main", blocks.alias("blocks")), "bucket").withColumn("rest", F.col("comp") != F.col("main"))
+    # Written first, so that the join reads two exchanges and Spark can split a bucket with many classes.
+    sizes = scratch.save(sizes.select("bucket", "main", blocks.alias("blocks")), "sizes")
+    sized = placed.drop("n_shingles").join(sizes, "bucket").withColumn("rest", F.col("comp") != F.col("main"))
     sized = sized.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     number, own = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), F.col("block")
     columns = ["bucket", "id", "comp", "rest"]
     left = sized.where("rest").select(*columns, F.lit(0).alias("side"), own.alias("x"), number.alias("y"))
     right = sized.select(*columns, F.lit(1).alias("side"), number.alias("x"), own.alias("y"))
     known = members.groupBy("id").agg(F.collect_set("bucket").alias("buckets"), F.first("packed").alias("packed"), F.first("cells").alias("cells"), F.first("n_shingles").alias("n_shingles"))
-    known = known.join(placed.select("id").distinct(), "id", "left_semi").join(sets.withColumnRenamed("doc_id", "id"), "id")
+    known = known.join(sets.withColumnRenamed("doc_id", "id"), "id")
     dealt = left.unionByName(right).join(known, "id").repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
