@@ -128,8 +128,26 @@ def runner_moves(description: str) -> Column:
 
 
 def runner_events(plays: DataFrame) -> DataFrame:
-    """A row for each steal, caught steal and run in a description: game_id, seq, kind, runner, to_base."""
-    return plays.select("game_id", "seq", F.inline(runner_moves("description")))
+    """A row for each steal, caught steal and run in a description: game_id, seq, kind, runner, from_base, to_base.
+
+    from_base, where a base is named, is the one before it.
+    """
+    rows = plays.select("game_id", "seq", F.inline(runner_moves("description")))
+    to = F.try_element_at(F.create_map(*(F.lit(x) for pair in BASES.items() for x in pair)), F.col("to_base"))
+    before = F.when(to == 2, "1st").when(to == 3, "2nd").when(to == 4, "3rd")
+    return rows.select("game_id", "seq", "kind", "runner", before.alias("from_base"), "to_base")
+
+
+def first_events(events: DataFrame, n: int = 10) -> DataFrame:
+    """The first n events of each game, in order."""
+    return events.where(F.col("event_order") <= n).orderBy("game_id", "event_order")
+
+
+def event_totals(events: DataFrame, by: tuple[str, ...] = ("game_id",)) -> DataFrame:
+    """Events, plate appearances and each kind of outcome, counted."""
+    hit = lambda t: F.count_if(F.col("hit_type") == t)
+    flags = {"plate_appearances": "is_plate_appearance", "at_bats": "is_at_bat", "hits": "is_hit", "walks": "is_walk", "strikeouts": "is_strikeout", "outs": "is_out"}
+    return events.groupBy(*by).agg(F.count("*").alias("events"), *(F.count_if(c).alias(n) for n, c in flags.items()), hit("double").alias("doubles"), hit("triple").alias("triples"), hit("home_run").alias("home_runs"))
 
 
 def player_totals(events: DataFrame, runners: DataFrame) -> DataFrame:

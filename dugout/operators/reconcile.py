@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.plays import outs_on_play
@@ -31,10 +32,18 @@ def differences(official: DataFrame, parsed: DataFrame, keys: list[str], stats:
 
 
 def accuracy(diffs: DataFrame, by: list[str]) -> DataFrame:
-    """Percent of the official totals that the differences leave; 0 without totals, below 0 if they exceed them."""
-    out = diffs.groupBy(*by).agg(F.sum("official").alias("total_official"), F.sum(F.abs("diff")).alias("total_differences"), F.count_if(F.col("diff") != 0).alias("cells_with_differences"), F.count("*").alias("cells"))
+    """Percent of the official totals that the differences leave; 0 without totals, below 0 if they exceed them.
+
+    Beside it three other measures: the share of cells that agree, cells less the sum of differences over cells, and the
+    share of players without any difference.
+    """
+    own = [c for c in diffs.columns if c not in (*by, "stat", "official", "parsed", "diff")]
+    out = diffs.withColumn("player", F.struct(*own) if own else F.lit(0)).groupBy(*by).agg(F.sum("official").alias("total_official"), F.sum(F.abs("diff")).alias("total_differences"), F.count_if(F.col("diff") != 0).alias("cells_with_differences"), F.count("*").alias("cells"), F.count_distinct("player").alias("players"), F.count_distinct(F.when(F.col("diff") != 0, F.col("player"))).alias("players_with_differences"))
     left = (F.col("total_official") - F.col("total_differences")) / F.col("total_official") * 100
-    return out.withColumn("accuracy", F.when(F.col("total_official") > 0, left).otherwise(0.0)).withColumn("cell_rate", (F.col("cells") - F.col("cells_with_differences")) / F.col("cells") * 100)
+    return out.withColumn("accuracy", F.when(F.col("total_official") > 0, left).otherwise(0.0)).withColumn("cell_rate", (F.col("cells") - F.col("cells_with_differences")) / F.col("cells") * 100).withColumns({
+        "total_rate": (F.col("cells") - F.col("total_differences")) / F.col("cells") * 100,
+        "player_rate": (F.col("players") - F.col("players_with_differences")) / F.col("players") * 100,
+    }).drop("players", "players_with_differences")
 
 
 def difference_texts(diffs: DataFrame, keys: list[str]) -> DataFrame:
@@ -95,6 +104,15 @@ def discrepancy_histogram(diffs: DataFrame) -> DataFrame:
     return diffs.where("diff <> 0").groupBy("stat").agg(F.sum(F.abs("diff")).alias("total"), F.count("*").alias("players"), F.max(F.abs("diff")).alias("worst"))
 
 
+def discrepancy_spread(diffs: DataFrame, keys: list[str], samples: int = 5) -> DataFrame:
+    """(kind, players, sample): how many players differ in one stat and in several, and a few of them, the worst first."""
+    per = diffs.where("diff <> 0").groupBy(*keys).agg(F.count("*").alias("stats"), F.sum(F.abs("diff")).alias("size"))
+    kind = F.when(F.col("stats") == 1, "single").otherwise("multiple")
+    ranked = per.withColumn("kind", kind).withColumn("n", F.row_number().over(W.partitionBy("kind").orderBy(F.desc("size"), *keys)))
+    sample = F.sort_array(F.collect_list(F.when(F.col("n") <= samples, F.struct("n", *keys))))
+    return ranked.groupBy("kind").agg(F.count("*").alias("players"), sample.alias("sample"))
+
+
 def score_distribution(results: DataFrame, value: str = "accuracy") -> DataFrame:
     v = F.col(value)
     return results.agg(F.count("*").alias("games"), F.avg(v).alias("mean"), F.min(v).alias("low"), F.max(v).alias("high"), F.stddev_pop(v).alias("spread"), F.count_if(v >= 100).alias("perfect"))

@@ -50,6 +50,16 @@ def recent_form(batting: DataFrame, games: DataFrame, before: Column | None = No
     return out.withColumns({f"L{k}_AVG": rate(F.col(f"L{k}_H"), F.col(f"L{k}_AB")) for k in spans})
 
 
+def form_before(batting: DataFrame, games: DataFrame, spans: tuple[int, ...] = (5, 10, 15)) -> DataFrame:
+    """For each player's game the PA, AB, H, HR and AVG of the last games before it; games of one date by id. Nulls in a first game."""
+    rows = batting.join(games.select("game_id", "game_date"), "game_id")
+    per_game = rows.groupBy("player_id", "game_id", "game_date").agg(*_sums("PA", "AB", "H", "HR"))
+    own = W.partitionBy("player_id").orderBy("game_date", "game_id")
+    sums = {f"L{k}_{c}": F.sum(c).over(own.rowsBetween(-k, -1)) for k in spans for c in ("PA", "AB", "H", "HR")}
+    out = per_game.withColumns(sums).select("player_id", "game_id", *sums)
+    return out.withColumns({f"L{k}_AVG": rate(F.col(f"L{k}_H"), F.col(f"L{k}_AB")) for k in spans})
+
+
 def _event_line(rows: DataFrame, *keys: str) -> DataFrame:
     hit = lambda t: F.count_if(F.col("hit_type") == t)
     lines = rows.groupBy(*keys).agg(
@@ -91,6 +101,18 @@ def pitching_leaders(pitching: DataFrame, n: int = 10) -> DataFrame:
     return lines.orderBy(F.desc("SO_pitched"), F.desc("BF"), "player_name").limit(n)
 
 
+def busiest_pitchers(pitching: DataFrame, n: int = 20) -> DataFrame:
+    """Single pitching lines with the most batters faced."""
+    return pitching.select("game_id", "player_id", "pitching_order", "BF").orderBy(F.desc("BF"), "game_id", "player_id", "pitching_order").limit(n)
+
+
+def two_way_by_plate_appearances(batting: DataFrame, pitching: DataFrame, n: int = 20) -> DataFrame:
+    """Those who bat and pitch in one game, most plate appearances first."""
+    keys = ["game_id", "player_id"]
+    lines = batting.groupBy(*keys).agg(F.sum("PA").alias("PA")).join(pitching.groupBy(*keys).agg(F.sum("BF").alias("BF")), keys)
+    return lines.orderBy(F.desc("PA"), "game_id", "player_id").limit(n)
+
+
 def opposing_starters(batting: DataFrame, pitching: DataFrame, players: DataFrame) -> DataFrame:
     """For each batter's game the other side's first pitcher, with the arm; nulls without one."""
     starts = pitching.where("is_starter").groupBy("game_id", "team").agg(F.min_by("player_id", F.struct("pitching_order", "player_id")).alias("pitcher_id"))
@@ -100,10 +122,14 @@ def opposing_starters(batting: DataFrame, pitching: DataFrame, players: DataFram
 
 
 def game_context(batting: DataFrame, pitching: DataFrame, events: DataFrame, games: DataFrame, players: DataFrame) -> DataFrame:
-    """One row for each batter's game: the season, match-up, arm, venue and location lines as struct columns."""
-    base = opposing_starters(batting, pitching, players).join(games.select("game_id", "season", "venue"), "game_id")
+    """One row for each batter's game, all as struct columns: the form before it, the season, match-up, arm, venue and
+    location lines, and what is known of the game and the player."""
+    facts = [c for c in games.columns if c not in ("game_id", "season", "venue")]
+    base = opposing_starters(batting, pitching, players).join(games.select("game_id", "season", "venue", F.struct(*facts).alias("game_info")), "game_id")
+    base = base.join(players.select("player_id", F.struct(*(c for c in players.columns if c != "player_id")).alias("player_info")), "player_id", "left")
     base = base.withColumn("location", F.when(F.col("team") == "home", "Home").otherwise("Away")).withColumn("against", F.when(F.col("throws") == "R", "RHP").when(F.col("throws") == "L", "LHP"))
     packs = (
+        ("form", form_before(batting, games), ("player_id", "game_id")),
         ("season_line", season_lines(batting, games), ("player_id", "season")),
         ("matchup", matchup_lines(events).withColumnRenamed("batter_id", "player_id"), ("player_id", "pitcher_id")),
         ("handedness", handedness_lines(events, games, players).withColumnRenamed("batter_id", "player_id"), ("player_id", "season", "against")),

@@ -245,7 +245,8 @@ def _diffs(spark, sf):
 
 
 @query("reconcile_accuracy", f"""{_DIFFS} SELECT game_id, sum(official) AS total_official, sum(abs(diff)) AS total_differences, count(*) FILTER (WHERE diff <> 0) AS cells_with_differences, count(*) AS cells,
-    CASE WHEN sum(official) > 0 THEN (sum(official) - sum(abs(diff))) / sum(official) * 100 ELSE 0 END AS accuracy, (count(*) - count(*) FILTER (WHERE diff <> 0)) / count(*) * 100 AS cell_rate FROM x GROUP BY game_id""")
+    CASE WHEN sum(official) > 0 THEN (sum(official) - sum(abs(diff))) / sum(official) * 100 ELSE 0 END AS accuracy, (count(*) - count(*) FILTER (WHERE diff <> 0)) / count(*) * 100 AS cell_rate,
+    (count(*) - sum(abs(diff))) / count(*) * 100 AS total_rate, (count(DISTINCT player_id) - count(DISTINCT player_id) FILTER (WHERE diff <> 0)) / count(DISTINCT player_id) * 100 AS player_rate FROM x GROUP BY game_id""")
 def reconcile_accuracy(spark, sf):
     return R.accuracy(_diffs(spark, sf), ["game_id"])
 
@@ -301,9 +302,13 @@ def batch_summary(spark, sf):
     return R.batch_summary(rows.withColumn("processing_status", state)).withColumns({c: F.round(c, 6) for c in ("batting_accuracy", "pitching_accuracy", "overall_accuracy")})
 
 
-@query("failure_kinds", "SELECT CASE WHEN lower(text) LIKE '%timeout%' THEN 'timeout' WHEN regexp_matches(lower(text), 'connection|network') THEN 'network' WHEN regexp_matches(lower(text), 'no table|not found|missing') THEN 'missing_data' WHEN regexp_matches(lower(text), 'parse|index|key') THEN 'parsing' ELSE 'other' END AS kind, count(*) AS n FROM documents GROUP BY 1", False)
+_ERRORS = ("Read timeout after 30 s", "Connection reset", "NETWORK down", "no table with this id", "page Not Found", "missing column", "could not parse", "list index out of range", "KeyError", "disk full")
+
+
+@query("failure_kinds", "SELECT CASE WHEN doc_id % 10 = 0 THEN 'timeout' WHEN doc_id % 10 <= 2 THEN 'network' WHEN doc_id % 10 <= 5 THEN 'missing_data' WHEN doc_id % 10 <= 8 THEN 'parsing' ELSE 'other' END AS kind, count(*) AS n FROM documents GROUP BY 1", False)
 def failure_kinds(spark, sf):
-    return table(spark, sf, "documents").groupBy(R.failure_kind(F.col("text")).alias("kind")).agg(F.count("*").alias("n"))
+    error = F.get(F.array(*map(F.lit, _ERRORS)), (F.col("doc_id") % 10).cast("int"))
+    return table(spark, sf, "documents").groupBy(R.failure_kind(error).alias("kind")).agg(F.count("*").alias("n"))
 
 
 @query("pitch_dedup_lead", """SELECT seq, CASE WHEN NOT is_pa AND coalesce(lead(is_pa) OVER w AND lead(batter_name) OVER w = batter_name AND lead(pitcher_name) OVER w = pitcher_name, FALSE) THEN 0 ELSE pitch_count END AS pitch_count
@@ -317,14 +322,29 @@ def event_renumber(spark, sf):
     return E.renumber(B.events(spark, sf)).select("seq", "event_order")
 
 
-@query("outs_machine")
+@query("outs_machine", """, o AS (SELECT game_id, seq, is_so::INT AS out, sum(is_so::INT) OVER (PARTITION BY game_id ORDER BY seq) AS total FROM plays)
+    SELECT game_id, seq, CAST((total - out) // 3 + 1 AS INT) AS half_no, CAST((total - out) % 3 AS INT) AS outs_before, CAST((total - out) % 3 + out AS INT) AS outs_after FROM o""")
 def outs_machine(spark, sf):
     return E.outs_machine(B.events(spark, sf))
 
 
-@query("base_machine")
+_BASE_SQL = B.SQL.replace("WITH games", "WITH RECURSIVE games", 1) + """, o AS (SELECT game_id, seq, batter_name AS who, hit_type, event_type IN ('signup', 'error') AS free, is_so, row_number() OVER (PARTITION BY game_id ORDER BY seq) AS k FROM plays),
+    r AS (
+      SELECT game_id, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS b1, CAST(NULL AS VARCHAR) AS b2, CAST(NULL AS VARCHAR) AS b3, 0 AS outs, 0 AS runs FROM o GROUP BY game_id
+      UNION ALL
+      SELECT o.game_id, o.k, o.seq,
+        CASE WHEN r.outs + o.is_so::INT >= 3 THEN NULL WHEN o.free THEN o.who WHEN o.hit_type = 'single' THEN o.who WHEN o.hit_type = 'home_run' THEN NULL ELSE b1 END,
+        CASE WHEN r.outs + o.is_so::INT >= 3 THEN NULL WHEN o.free THEN coalesce(b1, b2) WHEN o.hit_type = 'single' THEN b1 WHEN o.hit_type = 'home_run' THEN NULL ELSE b2 END,
+        CASE WHEN r.outs + o.is_so::INT >= 3 THEN NULL WHEN o.free THEN CASE WHEN b1 IS NOT NULL AND b2 IS NOT NULL THEN b2 ELSE b3 END WHEN o.hit_type = 'single' THEN b2 WHEN o.hit_type = 'home_run' THEN NULL ELSE b3 END,
+        CASE WHEN r.outs + o.is_so::INT >= 3 THEN 0 ELSE r.outs + o.is_so::INT END,
+        CASE WHEN o.free THEN (b1 IS NOT NULL AND b2 IS NOT NULL AND b3 IS NOT NULL)::INT WHEN o.hit_type = 'single' THEN (b3 IS NOT NULL)::INT WHEN o.hit_type = 'home_run' THEN 1 + (b1 IS NOT NULL)::INT + (b2 IS NOT NULL)::INT + (b3 IS NOT NULL)::INT ELSE 0 END
+      FROM r JOIN o ON o.game_id = r.game_id AND o.k = r.k + 1
+    ) SELECT game_id, seq, runs, coalesce(b1, '-') || ',' || coalesce(b2, '-') || ',' || coalesce(b3, '-') AS bases FROM r WHERE k > 0"""
+
+
+@query("base_machine", _BASE_SQL, False)
 def base_machine(spark, sf):
-    return E.base_machine(B.events(spark, sf))
+    return E.base_machine(B.events(spark, sf)).withColumn("bases", F.array_join("bases", ",", "-"))
 
 
 def _rows(spark, sf):
@@ -432,23 +452,39 @@ def wide_appearances(spark, sf):
     return K.wide_appearances(b, p).withColumnRenamed("pitching_BF", "BF")
 
 
-@query("url_game_id", "SELECT page_id, CASE WHEN regexp_extract(url, '^https?://([^/]+)', 1) <> '' THEN coalesce(nullif(regexp_extract('/boxes/NYA/NYA20' || lpad(CAST(page_id % 1000000 AS VARCHAR), 6, '0') || '0.shtml', '/boxes/[A-Z]{3}/([A-Z]{3}\\d{8,9})', 1), ''), 'unknown') END AS game_id FROM pages", False)
+@query("url_game_id", "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'NYA20' || lpad(CAST(page_id % 1000000 AS VARCHAR), 6, '0') || '0' ELSE 'unknown' END AS game_id FROM pages", False)
 def url_game_id(spark, sf):
-    pages = table(spark, sf, "pages")
-    box = F.concat(F.lit("/boxes/NYA/NYA20"), F.lpad((F.col("page_id") % 1000000).cast("string"), 6, "0"), F.lit("0.shtml"))
-    return pages.select("page_id", F.when(F.col("url").rlike("^https?://[^/]+"), T.game_id(box)).alias("game_id"))
+    """A third of the addresses lead to a box score; others lack the folder, or the number's digits."""
+    number = F.lpad((F.col("page_id") % 1000000).cast("string"), 6, "0")
+    tail = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("/boxes/NYA/NYA20"), number, F.lit("0.shtml"))).when(F.col("page_id") % 3 == 1, F.concat(F.lit("/box/NYA20"), number, F.lit("0.shtml"))).otherwise("/boxes/NYA/NYA2024.shtml")
+    return table(spark, sf, "pages").select("page_id", T.game_id(F.concat(F.coalesce("url", F.lit("https://x.test")), tail)).alias("game_id"))
+
+
+_MARKED = ("/Boxes/x", "/2024-schedule", "/ROSTER/a", "/play_by_play", "/x.pbp", "/players/a", "/else")
 
 
-@query("url_category", "SELECT CASE WHEN lower(url) LIKE '%/boxes/%' THEN 'box_scores' WHEN lower(url) LIKE '%schedule%' THEN 'schedules' WHEN lower(url) LIKE '%roster%' THEN 'rosters' WHEN lower(url) LIKE '%play_by_play%' OR lower(url) LIKE '%pbp%' THEN 'play_by_play' WHEN lower(url) LIKE '%/players/%' THEN 'player_pages' ELSE 'general' END AS category, count(*) AS pages FROM pages GROUP BY 1", False)
+def _addressed(spark, sf):
+    """pages with one address each, of every category in turn."""
+    tail = F.get(F.array(*map(F.lit, _MARKED)), (F.col("page_id") % len(_MARKED)).cast("int"))
+    return table(spark, sf, "pages").withColumn("url", F.concat(F.lit("https://x.test/p"), "page_id", tail))
+
+
+_CATEGORY = "CASE page_id % 7 WHEN 0 THEN 'box_scores' WHEN 1 THEN 'schedules' WHEN 2 THEN 'rosters' WHEN 3 THEN 'play_by_play' WHEN 4 THEN 'play_by_play' WHEN 5 THEN 'player_pages' ELSE 'general' END"
+
+
+@query("url_category", f"SELECT {_CATEGORY} AS category, count(*) AS pages FROM pages GROUP BY 1", False)
 def url_category(spark, sf):
-    return table(spark, sf, "pages").groupBy(C.category("url").alias("category")).agg(F.count("*").alias("pages"))
+    return _addressed(spark, sf).groupBy(C.category("url").alias("category")).agg(F.count("*").alias("pages"))
 
 
-@query("ttl_refresh", "SELECT url FROM (SELECT url, max(TIMESTAMP '2024-01-01' + to_hours(CAST(page_id % 48 AS INTEGER))) AS t FROM pages GROUP BY url) WHERE NOT TIMESTAMP '2024-01-02 12:00:00' - t < INTERVAL 12 HOUR", False)
+@query("ttl_refresh", f"""SELECT page_id FROM (SELECT page_id, {_CATEGORY} AS category, (page_id * 37) % 1000 AS age FROM pages)
+    WHERE NOT age < CASE category WHEN 'box_scores' THEN 720 WHEN 'schedules' THEN 24 WHEN 'rosters' THEN 168 WHEN 'play_by_play' THEN 720 WHEN 'player_pages' THEN 720 ELSE 12 END""", False)
 def ttl_refresh(spark, sf):
-    at = F.expr("timestamp '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, CAST(page_id % 48 AS INT), 0, 0)")
-    pages = table(spark, sf, "pages").select("url", at.alias("fetched_at"), F.lit("general").alias("category"), "page_id")
-    return C.to_fetch(pages.select("url").distinct(), pages, F.lit("2024-01-02 12:00:00").cast("timestamp"))
+    """Pages of all categories and of ages up to 999 hours; an older copy of each page changes nothing."""
+    at = F.expr("timestamp '2024-06-01 00:00:00' - make_interval(0, 0, 0, 0, CAST((page_id * 37) % 1000 AS INT), 0, 0)")
+    pages = _addressed(spark, sf).select("url", "page_id", at.alias("fetched_at"), C.category("url").alias("category"))
+    older = pages.withColumn("fetched_at", F.col("fetched_at") - F.expr("INTERVAL 900 HOURS"))
+    return C.to_fetch(pages.select("url", "page_id"), pages.unionByName(older).drop("page_id"), F.lit("2024-06-01 00:00:00").cast("timestamp")).select("page_id")
 
 
 @query("cache_stats", "SELECT 'general' AS category, count(*) AS pages, CAST(sum(strlen(html)) AS BIGINT) AS bytes FROM pages", False)
@@ -462,6 +498,24 @@ def text_rule_classify(spark, sf):
     return P.classify(B.raw_plays(spark, sf)).select("seq", "rule", "is_plate_appearance", "is_at_bat", "is_hit", "is_walk", "is_strikeout", "hit_type", "bases_reached")
 
 
+#: Descriptions and the rule each one has to come out with: every rule, and the order of those that overlap.
+_SAID = (
+    ("Caught Stealing 2B, interference by runner", "runner_interference"), ("Interference by Runner", "runner_interference"), ("Flyball: CF/Sacrifice Fly; Ann Lee Scores", "sacrifice_fly"), ("Sac Fly: LF", "sacrifice_fly"),
+    ("Bunt Groundout: P-1B/Sacrifice Bunt", "sacrifice_hit"), ("Walk", "walk"), ("Intentional Walk", "walk"), ("Walk, Wild Pitch", "walk"), ("Hit By Pitch", "hit_by_pitch"), ("Strikeout Swinging Wild Pitch; Ann Lee to 1B", "strikeout_reached"),
+    ("Double Play: Strikeout Looking", "strikeout_double_play"), ("Caught Stealing (PO) 2B (C-2B)", "running"), ("Wild Pitch; Lee to 2B", "running"), ("Passed Ball", "running"), ("Balk; Diaz to 3B", "running"), ("Lee Picked off 1B", "running"),
+    ("Reached on E6 (Ground Ball)", "error"), ("Reached on Interference on C", "interference"), ("Strikeout Swinging", "strikeout"), ("Struck Out", "strikeout"), ("Strikeout Looking, Lee Caught Stealing 2B", "strikeout"),
+    ("Ground Ball Double Play: SS-2B-1B", "double_play"), ("GDP ", "double_play"), ("Interference by Batter", "batter_interference"), ("Groundout: SS-1B", "out"), ("Flyball: RF; Lee to 3B", "out"), ("Fielder's Choice SS", "out"), ("Popfly: 2B", "out"),
+    ("Home Run (Fly Ball)", "home_run"), ("Single to CF (Line Drive)", "single"), ("Single up the middle", "single"), ("Double to LF", "double"), ("Ground-rule Double", "double"), ("Triple to RF (Fly Ball)", "triple"), ("Mound Visit", None), ("", None),
+)
+
+
+@query("all_rules", f"SELECT seq, [{', '.join('NULL' if r is None else repr(r) for _, r in _SAID)}][CAST(seq % {len(_SAID)} AS INT) + 1] AS rule FROM plays")
+def all_rules(spark, sf):
+    """All rules in order, over descriptions whose rules are written down beside them."""
+    said = F.get(F.array(*(F.lit(t) for t, _ in _SAID)), (F.col("seq") % len(_SAID)).cast("int"))
+    return P.with_rule(B.raw_plays(spark, sf).withColumn("description", said)).select("seq", "rule")
+
+
 @query("details_extract", """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER) WHEN event_id % 3 = 1 THEN 1 ELSE 0 END AS n FROM events""", False)
 def details_extract(spark, sf):
     k = F.regexp_extract("props", r"(\d+)", 1)
@@ -469,9 +523,11 @@ def details_extract(spark, sf):
     return table(spark, sf, "events").select("event_id", T.detail_count(details, "HR").alias("n"))
 
 
-@query("name_normalise")
+@query("name_normalise", "SELECT player_id, translate(player_name, '#0123456789', ' abcdefghij') || CASE player_id % 4 WHEN 0 THEN ' Jr.' WHEN 3 THEN ' II' ELSE '' END AS name FROM players")
 def name_normalise(spark, sf):
-    return B.players(spark, sf).select("player_id", T.normal_name(F.concat(F.translate("player_name", "#", " "), F.lit(" Jr. SS"))).alias("name"))
+    """Codes, decisions and odd blanks go, suffixes stay."""
+    tail = F.get(F.array(*map(F.lit, (" Jr. SS", ", W (1-0)", "   PH-LF", "\u00a0 II"))), (F.col("player_id") % 4).cast("int"))
+    return B.players(spark, sf).select("player_id", T.normal_name(F.concat(F.translate("player_name", "#0123456789", " abcdefghij"), tail)).alias("name"))
 
 
 @query("extract_all_codes", "SELECT doc_id, unnest(regexp_extract_all(text, '([A-Z][a-z]+)\\.', 1)) AS code FROM documents", False)
@@ -542,10 +598,21 @@ def season_window_counts(spark, sf):
     return counted.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("day"), "event_type", "n")
 
 
-@query("html_cells")
+@query("html_cells", """WITH p AS (SELECT url, page_id FROM pages)
+    SELECT url, 'play_by_play' AS table_id, 0 AS table_idx, 0 AS row_idx, 0 AS col_idx, TRUE AS is_head, 'Inn' AS text, NULL AS href, NULL AS stat, FALSE AS is_indented FROM p
+    UNION ALL SELECT url, 'play_by_play', 0, 0, 1, TRUE, 'Batter & more', NULL, NULL, FALSE FROM p
+    UNION ALL SELECT url, 'play_by_play', 0, 1, 0, FALSE, 't' || page_id, NULL, 'inning', FALSE FROM p
+    UNION ALL SELECT url, 'play_by_play', 0, 1, 1, FALSE, 'B ' || page_id, '/players/b/' || page_id, NULL, TRUE FROM p
+    UNION ALL SELECT url, 'AAAbatting', 0, 0, 0, FALSE, 'in a comment', NULL, NULL, TRUE FROM p
+    UNION ALL SELECT url, 'BBBbatting', 1, 0, 0, TRUE, '', NULL, NULL, FALSE FROM p""", False)
 def html_cells(spark, sf):
-    pages = table(spark, sf, "pages").select("url", F.concat(F.lit("<table id='play_by_play'><tr><th>Inn</th></tr><tr><td>t1</td></tr></table>"), "html").alias("html"))
-    return HP.cells(pages)
+    """Tables before each page's own text: headings, links, marks of indentation, one in a comment, two of a kind, one unclosed."""
+    n = F.col("page_id").cast("string")
+    made = F.concat(
+        F.lit("<table id='play_by_play'><tr><th>Inn</th><th>Batter &amp; more</th></tr><tr><td data-stat='inning'>t"), n, F.lit("</td><td>&nbsp;<a href='/players/b/"), n, F.lit("'>B "), n,
+        F.lit("</a></td></tr></table><!-- <table id='AAAbatting'><tr><td style='padding-left:1em'>in a comment</table> --><table id='BBBbatting'><tr><th></table>"),
+    )
+    return HP.cells(table(spark, sf, "pages").select("url", F.concat(made, F.coalesce("html", F.lit(""))).alias("html")))
 
 
 @query("catalog_overview", "SELECT 'games' AS table_name, count(*) AS n_rows, 9 AS n_columns FROM games UNION ALL SELECT 'players', count(*), 4 FROM players")
@@ -559,6 +626,109 @@ def sql_passthrough(spark, sf):
     return X.sql(spark, "SELECT venue, count(*) AS n FROM dugout_games GROUP BY venue")
 
 
-@query("game_context")
+_BEFORE = ", ".join(f"CAST(sum({c}) OVER (PARTITION BY player_id ORDER BY game_date, game_id ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) AS BIGINT) AS L{k}_{c}" for k in (5, 10, 15) for c in ("PA", "AB", "H", "HR"))
+_FORM_SQL = f""", fd AS (SELECT player_id, game_id, game_date, sum(PA) AS PA, sum(AB) AS AB, sum(H) AS H, sum(HR) AS HR FROM batting JOIN games USING (game_id) GROUP BY ALL),
+    fw AS (SELECT player_id, game_id, {_BEFORE} FROM fd), form AS (SELECT *, {", ".join(f"{_rate(f'L{k}_H', f'L{k}_AB')} AS L{k}_AVG" for k in (5, 10, 15))} FROM fw)"""
+
+
+@query("form_before", f"{_FORM_SQL} SELECT * FROM form")
+def form_before(spark, sf):
+    return S.form_before(B.batting(spark, sf), B.games(spark, sf))
+
+
+@query("game_context", f"""{_FORM_SQL}, st AS (SELECT game_id, team, arg_min(player_id, pitching_order * 1000 + player_id) AS pitcher_id FROM pitching WHERE is_starter GROUP BY ALL),
+    ot AS (SELECT game_id, CASE team WHEN 'home' THEN 'away' ELSE 'home' END AS team, pitcher_id, throws, CASE throws WHEN 'R' THEN 'RHP' WHEN 'L' THEN 'LHP' END AS against FROM st LEFT JOIN players ON player_id = pitcher_id),
+    sl AS (SELECT player_id, season, CAST(sum(H) AS BIGINT) AS H FROM batting JOIN games USING (game_id) WHERE NOT is_playoff GROUP BY ALL), vl AS (SELECT player_id, venue, CAST(sum(H) AS BIGINT) AS H FROM batting JOIN games USING (game_id) GROUP BY ALL),
+    ll AS (SELECT player_id, season, team, CAST(sum(H) AS BIGINT) AS H FROM batting JOIN games USING (game_id) GROUP BY ALL), ml AS (SELECT batter_id, pitcher_id, count(*) FILTER (WHERE is_hit) AS H FROM plays GROUP BY ALL),
+    hl AS (SELECT batter_id, season, CASE a.throws WHEN 'R' THEN 'RHP' ELSE 'LHP' END AS against, count(*) FILTER (WHERE is_hit) AS H FROM plays p JOIN games USING (game_id) JOIN players a ON a.player_id = p.pitcher_id WHERE a.throws IS NOT NULL GROUP BY ALL),
+    b AS (SELECT DISTINCT game_id, player_id, team FROM batting)
+    SELECT b.game_id, b.player_id, b.team, ot.pitcher_id, ot.throws, sl.H AS season_H, vl.H AS venue_H, ll.H AS location_H, ml.H AS matchup_H, hl.H AS arm_H, form.L5_H, form.L15_AVG, g.home_team, w.player_name
+    FROM b JOIN games g USING (game_id) LEFT JOIN players w ON w.player_id = b.player_id LEFT JOIN ot ON ot.game_id = b.game_id AND ot.team = b.team LEFT JOIN form ON form.player_id = b.player_id AND form.game_id = b.game_id
+    LEFT JOIN sl ON sl.player_id = b.player_id AND sl.season = g.season LEFT JOIN vl ON vl.player_id = b.player_id AND vl.venue = g.venue LEFT JOIN ll ON ll.player_id = b.player_id AND ll.season = g.season AND ll.team = b.team
+    LEFT JOIN ml ON ml.batter_id = b.player_id AND ml.pitcher_id = ot.pitcher_id LEFT JOIN hl ON hl.batter_id = b.player_id AND hl.season = g.season AND hl.against = ot.against""")
 def game_context(spark, sf):
-    return S.game_context(B.batting(spark, sf), B.pitching(spark, sf), B.events(spark, sf), B.games(spark, sf), B.players(spark, sf)).selectExpr("game_id", "player_id", "team", "pitcher_id", "throws", "season_line.H AS season_H", "at_venue.H AS venue_H", "at_location.H AS location_H", "matchup.H AS matchup_H", "handedness.H AS arm_H")
+    rows = S.game_context(B.batting(spark, sf), B.pitching(spark, sf), B.events(spark, sf), B.games(spark, sf), B.players(spark, sf))
+    return rows.selectExpr("game_id", "player_id", "team", "pitcher_id", "throws", "season_line.H AS season_H", "at_venue.H AS venue_H", "at_location.H AS location_H", "matchup.H AS matchup_H", "handedness.H AS arm_H", "form.L5_H", "form.L15_AVG", "game_info.home_team", "player_info.player_name")
+
+
+@query("busiest_pitchers", "SELECT game_id, player_id, pitching_order, BF FROM pitching ORDER BY BF DESC, game_id, player_id, pitching_order LIMIT 20")
+def busiest_pitchers(spark, sf):
+    return S.busiest_pitchers(B.pitching(spark, sf))
+
+
+@query("two_way_by_pa", "SELECT game_id, player_id, PA, BF FROM (SELECT game_id, player_id, CAST(sum(PA) AS BIGINT) AS PA FROM batting GROUP BY ALL) JOIN (SELECT game_id, player_id, CAST(sum(BF) AS BIGINT) AS BF FROM pitching GROUP BY ALL) USING (game_id, player_id) ORDER BY PA DESC, game_id, player_id LIMIT 20")
+def two_way_by_pa(spark, sf):
+    return S.two_way_by_plate_appearances(B.batting(spark, sf), B.pitching(spark, sf))
+
+
+@query("first_events", "SELECT seq, event_order FROM (SELECT seq, row_number() OVER (PARTITION BY game_id ORDER BY inning, CASE inning_half WHEN 'top' THEN 0 ELSE 1 END, seq) AS event_order FROM plays) WHERE event_order <= 10")
+def first_events(spark, sf):
+    return E.first_events(E.renumber(B.events(spark, sf))).select("seq", "event_order")
+
+
+@query("event_totals", """SELECT game_id, count(*) AS events, count(*) FILTER (WHERE is_pa) AS plate_appearances, count(*) FILTER (WHERE is_ab) AS at_bats, count(*) FILTER (WHERE is_hit) AS hits, count(*) FILTER (WHERE is_walk) AS walks, count(*) FILTER (WHERE is_so) AS strikeouts,
+    count(*) FILTER (WHERE is_so) AS outs, CAST(0 AS BIGINT) AS doubles, CAST(0 AS BIGINT) AS triples, count(*) FILTER (WHERE hit_type = 'home_run') AS home_runs FROM plays GROUP BY game_id""")
+def event_totals(spark, sf):
+    return E.event_totals(B.events(spark, sf))
+
+
+@query("half_innings", "SELECT seq FROM plays WHERE seq % 5 < 2")
+def half_innings(spark, sf):
+    code = F.get(F.array(*map(F.lit, ("t1", "b12", "Top of the 1st", "T1", "t"))), (F.col("seq") % 5).cast("int"))
+    return E.half_innings(B.raw_plays(spark, sf).withColumn("inn", code)).select("seq")
+
+
+@query("batter_lines", """SELECT game_id, inning_half AS side, batter_name AS player_name, count(*) FILTER (WHERE is_pa) AS PA, count(*) FILTER (WHERE is_ab) AS AB, count(*) FILTER (WHERE is_hit) AS H, count(*) FILTER (WHERE is_walk) AS BB, count(*) FILTER (WHERE is_so) AS SO,
+    count(*) FILTER (WHERE hit_type = 'home_run') AS HR, CAST(0 AS BIGINT) AS doubles, CAST(0 AS BIGINT) AS triples FROM plays GROUP BY ALL""")
+def batter_lines(spark, sf):
+    return R.batter_lines(B.events(spark, sf).withColumnRenamed("inning_half", "side"), ("game_id", "side"))
+
+
+@query("pitcher_lines", """SELECT game_id, pitcher_name AS player_name, count(*) FILTER (WHERE is_pa) AS BF, count(*) FILTER (WHERE is_hit) AS H, count(*) FILTER (WHERE is_walk) AS BB, count(*) FILTER (WHERE is_so) AS SO,
+    count(*) FILTER (WHERE hit_type = 'home_run') AS HR, CAST(sum(pitch_count) AS BIGINT) AS PC, count(*) FILTER (WHERE is_so) AS outs FROM plays GROUP BY ALL""")
+def pitcher_lines(spark, sf):
+    return R.pitcher_lines(B.events(spark, sf))
+
+
+@query("runner_events", """SELECT seq, kind, batter_name AS runner, from_base, to_base FROM plays JOIN (VALUES (0, 'steal', '1st', '2nd'), (1, 'caught', '2nd', '3b'), (2, 'run', NULL, NULL), (2, 'steal', '3rd', 'home')) AS m(k, kind, from_base, to_base) ON seq % 4 = k""")
+def runner_events(spark, sf):
+    """Steals, caught steals and runs named in descriptions, two of them in one."""
+    who = F.col("batter_name")
+    said = F.when(F.col("seq") % 4 == 0, F.concat(who, F.lit(" Steals 2nd"))).when(F.col("seq") % 4 == 1, F.concat(who, F.lit(" Caught Stealing 3B (C-3B)"))).when(F.col("seq") % 4 == 2, F.concat(who, F.lit(" Scores; "), who, F.lit(" Steals home"))).otherwise("Walk")
+    return E.runner_events(B.raw_plays(spark, sf).withColumn("description", said)).select("seq", "kind", "runner", "from_base", "to_base")
+
+
+@query("alias_resolution", """, k AS (SELECT DISTINCT game_id, player_id FROM batting), a AS (SELECT DISTINCT game_id, player_id FROM batting WHERE player_id % 3 < 2)
+    SELECT a.game_id, CASE a.player_id % 3 WHEN 0 THEN 'A. Player' || a.player_id ELSE 'ann player' || a.player_id END AS who, a.player_id AS id FROM a""")
+def alias_resolution(spark, sf):
+    """Initials and other cases find the player of the game."""
+    known = B.batting(spark, sf).select("game_id", "player_id", F.concat(F.lit("Ann Player"), "player_id").alias("player_name")).distinct()
+    asked = known.where("player_id % 3 < 2").select("game_id", F.when(F.col("player_id") % 3 == 0, F.concat(F.lit("A. Player"), "player_id")).otherwise(F.concat(F.lit("ann player"), "player_id")).alias("who"))
+    return N.resolve(asked, known, "who", "id")
+
+
+@query("drill_down", f"{_DIFFS}, t AS (SELECT game_id, player_id, count(*) AS n FROM x WHERE diff <> 0 GROUP BY ALL), e AS (SELECT game_id, batter_id AS player_id, count(*) AS plays FROM plays GROUP BY ALL) SELECT game_id, 'B' || player_id AS player_name, t.n AS texts, coalesce(e.plays, 0) AS plays FROM t LEFT JOIN e USING (game_id, player_id)")
+def drill_down(spark, sf):
+    diffs = _diffs(spark, sf).withColumn("player_name", F.concat(F.lit("B"), "player_id"))
+    rows = R.drill_down(diffs, E.renumber(B.events(spark, sf)))
+    return rows.select("game_id", "player_name", F.size("texts").cast("long").alias("texts"), F.coalesce(F.size("plays"), F.lit(0)).cast("long").alias("plays"))
+
+
+@query("indented_order", f"""{_ROWS}, n AS (SELECT *, coalesce(sum(CASE WHEN sub THEN 0 ELSE 1 END) OVER (PARTITION BY game_id, team ORDER BY row_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM b)
+    SELECT game_id, team, row_idx, CAST(least(2, CASE WHEN NOT sub THEN k + 1 WHEN PA > 0 THEN greatest(1, k) END) AS BIGINT) AS batting_order, CASE WHEN code = 'PR' THEN 'pinch_runner' WHEN code = 'PH' THEN 'pinch_hitter' WHEN sub THEN 'defensive' END AS substitution FROM n""")
+def indented_order(spark, sf):
+    return L.indented_order(_rows(spark, sf), most=2).select("game_id", "team", "row_idx", F.col("batting_order").cast("long").alias("batting_order"), "substitution")
+
+
+@query("discrepancy_spread", f"{_DIFFS}, spread AS (SELECT game_id, player_id, count(*) AS n FROM x WHERE diff <> 0 GROUP BY ALL) SELECT CASE n WHEN 1 THEN 'single' ELSE 'multiple' END AS kind, count(*) AS players FROM spread GROUP BY 1")
+def discrepancy_spread(spark, sf):
+    return R.discrepancy_spread(_diffs(spark, sf), ["game_id", "player_id"]).select("kind", "players")
+
+
+@query("player_bios", """SELECT 'x' || lpad(CAST(page_id % 1000 AS VARCHAR), 4, '0') AS player_id, 'Ann Lee' AS full_name, CASE page_id % 3 WHEN 0 THEN 'R' WHEN 1 THEN 'L' ELSE 'S' END AS bats, 'L' AS throws, '1990-02-03' AS birth_date, '2014-04-01' AS debut_date, 74 AS height_inches, 200 AS weight_lbs FROM pages""", False)
+def player_bios(spark, sf):
+    number = F.lpad((F.col("page_id") % 1000).cast("string"), 4, "0")
+    hand = F.get(F.array(*map(F.lit, ("Right", "Left", "Both"))), (F.col("page_id") % 3).cast("int"))
+    html = F.concat(F.lit("<h1><span>Ann Lee</span></h1><p><strong>Bats: </strong>"), hand, F.lit(" <strong>Throws: </strong>Left</p><p>6-2, 200lb</p><span id='necro-birth' data-birth=\"1990-02-03\">Born: January 1, 1980</span><p>Debut: April 1, 2014</p>"))
+    pages = table(spark, sf, "pages").select(F.concat(F.lit("https://x.test/players/x/x"), number, F.lit(".shtml")).alias("url"), html.alias("html"))
+    return HP.bios(pages).withColumns({c: F.col(c).cast("string") for c in ("birth_date", "debut_date")})

@@ -145,6 +145,17 @@ def test_running_moves_the_bases(spark):
     assert [r["outs_after"] for r in E.outs_machine(events).orderBy("seq").collect()] == [0, 0, 0, 1, 1, 2, 3]
 
 
+def test_context_form_and_reports(spark):
+    from dugout.plans import reports
+
+    results = spark.createDataFrame([("a", 100.0), ("b", 90.0)], "game_id string, accuracy double")
+    diffs = spark.createDataFrame([("a", "A", "H", 2.0), ("a", "A", "SO", -1.0), ("b", "B", "H", 1.0)], "game_id string, player_name string, stat string, diff double")
+    said = [r["line"] for r in reports.text_report(results, diffs).orderBy("line_no").collect()]
+    assert said[:3] == ["Games: 2", "Mean accuracy: 95.00", "Lowest accuracy: 90.00"] and said[-2:] == ["  H differs by 3 over 2 players", "  SO differs by 1 over 1 players"] and len(said) == 7
+    spread = {r["kind"]: (r["players"], [x["player_name"] for x in r["sample"]]) for r in R.discrepancy_spread(diffs, ["game_id", "player_name"]).collect()}
+    assert spread == {"single": (1, ["B"]), "multiple": (1, ["A"])}
+
+
 def test_runners_and_totals(spark):
     plays = spark.createDataFrame([("g", 1, "Ann Lee Steals 2nd; Bo Diaz Scores"), ("g", 2, "Cy Moe Caught Stealing home")], "game_id string, seq long, description string")
     got = {(r["kind"], r["runner"], r["to_base"]) for r in E.runner_events(plays).collect()}
