@@ -164,43 +164,46 @@ def pitching_outcome(classified: DataFrame) -> DataFrame:
     return classified.withColumns({"hit_allowed": F.col("is_hit"), "walk_allowed": F.col("is_walk"), "home_run_allowed": F.coalesce(F.col("hit_type") == "home_run", F.lit(False)), "out_recorded": F.col("rule").isin("sacrifice_fly", "sacrifice_hit", "strikeout", "out", "double_play")})
 
 
-# Words of plays that are no plate appearance, and of outs in the order that they are looked for.
+# Words of plays that are no plate appearance; hits and outs in the order that they are looked for; and what
+# marks other things in a plate appearance without a hit, in any plate appearance, and in a running play.
 RUNNING_WORDS = ("stolen base", "caught stealing", "picked off", "defensive indifference", "wild pitch", "passed ball", "balk", "pickoff")
+HIT_WORDS = (("home_run", "home run"), ("triple", "triple"), ("double", "^(?!.*double play).*double"), ("single", "single"))
 OUT_WORDS = (
     ("sacrifice_fly", "sac fly|sacrifice fly"), ("sacrifice_bunt", "sac bunt|sacrifice bunt"), ("groundout", "groundout"), ("flyout", "flyout|flyball"), ("lineout", "lineout"), ("popup", "popup|popfly"),
     ("double_play", "double play"), ("forceout", "forceout"), ("strikeout_swinging", "strikeout swinging"), ("strikeout_looking", "strikeout looking"),
 )
+MARKS = {
+    "no hit": {"is_walk": "^(?!.*intent).*walk", "is_hit_by_pitch": "hit by pitch|hbp", "is_strikeout": "strikeout swinging|strikeout looking"},
+    "batting": {"is_reached_on_error": "reaches on e|safe on e", "is_fielders_choice": "fielder's choice"},
+    "running": {"SB": "stolen base", "CS": "^(?!.*stolen base).*caught stealing"},
+}
 
 
 def flags(plays: DataFrame, description: str = "description") -> DataFrame:
     """plays with independent flags by key words: several may hold for one play, none drops it."""
-    low = F.lower(F.coalesce(F.col(description), F.lit("")))
-    rows = plays.withColumn("_low", low)
-    rows = rows.withColumn("is_plate_appearance", ~_any(F.col("_low"), RUNNING_WORDS))
-    text, bats = F.col("_low"), F.col("is_plate_appearance")
-    hit = F.when(text.contains("home run"), "home_run").when(text.contains("triple"), "triple").when(text.contains("double") & ~text.contains("double play"), "double").when(text.contains("single"), "single")
-    out = F
-    for name, pattern in OUT_WORDS:
-        out = out.when(text.rlike(pattern), name)
-    rows = rows.withColumns({"hit_type": F.when(bats, hit), "out_type": F.when(bats, out)})
-    error, choice = text.rlike("reaches on e|safe on e"), text.contains("fielder's choice")
+    text = F.col("_low")
+    found = lambda pattern: text.rlike(f"(?s){pattern}")
+
+    def first(table: tuple[tuple[str, str], ...]) -> Column:
+        return F.coalesce(*(F.when(found(pattern), name) for name, pattern in table))
+
+    rows = plays.withColumn("_low", F.lower(F.coalesce(F.col(description), F.lit(""))))
+    rows = rows.withColumn("is_plate_appearance", ~_any(text, RUNNING_WORDS))
+    bats = F.col("is_plate_appearance")
+    rows = rows.withColumns({"hit_type": F.when(bats, first(HIT_WORDS)), "out_type": F.when(bats, first(OUT_WORDS))})
+    holds = {"no hit": bats & F.col("hit_type").isNull(), "batting": bats, "running": ~bats}
+    rows = rows.withColumns({name: holds[when] & found(pattern) for when, marks in MARKS.items() for name, pattern in marks.items()})
     scored = F.size(F.regexp_extract_all("_low", F.lit("(to home|scores)"), F.lit(1))) + F.coalesce(F.col("hit_type") == "home_run", F.lit(False)).cast("int")
-    said = F.regexp_extract("_low", r"(\d) rbi", 1).try_cast("int")
-    no_hit = bats & F.col("hit_type").isNull()
+    stated = F.coalesce(F.regexp_extract("_low", r"(\d) rbi", 1).try_cast("int"), F.lit(0))
+    batted_in = F.when(text.contains("rbi"), stated).when(F.col("is_reached_on_error") | F.col("is_fielders_choice"), 0).otherwise(scored)
     return rows.withColumns({
         "is_hit": F.col("hit_type").isNotNull(),
         "is_out": F.col("out_type").isNotNull(),
-        "is_walk": no_hit & text.contains("walk") & ~text.contains("intent"),
-        "is_hit_by_pitch": no_hit & text.rlike("hit by pitch|hbp"),
-        "is_strikeout": no_hit & text.rlike("strikeout swinging|strikeout looking"),
-        "is_sacrifice": bats & F.coalesce(F.col("out_type").startswith("sacrifice"), F.lit(False)),
-        "is_reached_on_error": bats & error,
-        "is_fielders_choice": bats & choice,
+        "is_sacrifice": F.coalesce(F.col("out_type").startswith("sacrifice"), F.lit(False)),
         "runs_scored": F.when(bats, scored).otherwise(0),
-        "rbi": F.when(~bats, 0).when(text.contains("rbi"), F.coalesce(said, F.lit(0))).when(error | choice, 0).otherwise(scored),
+        "rbi": F.when(bats, batted_in).otherwise(0),
         "advanced_to": F.array_distinct(F.regexp_extract_all("_low", F.lit(r"to (\d+b|home)"), F.lit(1))),
-        "SB": (~bats & text.contains("stolen base")).cast("int"),
-        "CS": (~bats & ~text.contains("stolen base") & text.contains("caught stealing")).cast("int"),
+        **{n: F.col(n).cast("int") for n in MARKS["running"]},
     }).drop("_low")
 
 
