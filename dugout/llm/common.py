@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -22,12 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. Where that is unset, one below the warehouse in local mode; a cluster must name one."""
+    """The folder in spark.checkpoint.dir. A cluster has to name one; in local mode, as in tests, it may be this machine's own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
