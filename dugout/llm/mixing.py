@@ -113,15 +113,17 @@ def mixing_plan(counted: DataFrame, target_entropy: float | None = None, repetit
     epochs = epochs.withColumn("at", F.pmod(F.xxhash64(F.lit(SEED), "epoch", "source", "block"), F.lit(1 << 40)))
     epochs = epochs.withColumn("range", F.shiftright(F.col("at") * F.ceil(F.col("blocks") / RANGE), 40))
     epochs = scratch.save(epochs, "epochs")
-    sums = epochs.groupBy("source", "epoch", "range").agg(F.sum("n").alias("n"))
-    above = sums.select(F.col("source").alias("of"), F.col("epoch").alias("e"), F.col("range").alias("r"), (F.sum("n").over(W.partitionBy("source", "epoch").orderBy("range")) - F.col("n")).alias("above"))
+    parts = epochs.groupBy("source", "epoch", "range").agg(F.sum("n").alias("n"))
+    above = parts.select(F.col("source").alias("of"), F.col("epoch").alias("e"), F.col("range").alias("r"), (F.sum("n").over(W.partitionBy("source", "epoch").orderBy("range")) - F.col("n")).alias("above"))
     order = W.partitionBy("source", "epoch", "range").orderBy("at", "block")
     inside = epochs.withColumn("before", F.sum("n").over(order) - F.col("n"))
     placed = inside.join(above, F.col("source").eqNullSafe(F.col("of")) & (F.col("epoch") == F.col("e")) & (F.col("range") == F.col("r"))).withColumn("before", F.col("before") + F.col("above"))
     left = (F.col("repeats") - F.col("epoch")) * F.col("tokens")
     taken = placed.where((F.col("repeats") >= F.col("epoch") + 1) | (F.col("before") + F.col("n") / 2 <= left))
     position = (F.col("epoch") + F.when(F.col("tokens") > 0, F.col("before") / F.col("tokens")).otherwise(0.0)) / F.col("repeats")
-    return sources, scratch.save(taken.select("source", "block", "epoch", position.alias("position")), "plan")
+    plan = scratch.save(taken.select("source", "block", "epoch", position.alias("position")), "plan")
+    scratch.drop(sums, epochs)
+    return sources, plan
 
 
 def with_blocks(docs: DataFrame, sources: DataFrame) -> DataFrame:
