@@ -54,10 +54,15 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = scratch.save(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before is not None:
+            scratch.drop(before)
+        before = docs
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    scratch.drop(docs)  # packing has written the pieces that its result reads
+    return out
 
 
 #: Language models, bisection and dynamic programming are beyond SQL; the tests hold the stages against brute force.
