@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 TEAM = ("game_id", "team")
 
 
-def eligible_batters(rows: DataFrame) -> DataFrame:
-    """Without empty names, repeated headers, totals, and pitchers who did not bat."""
+def eligible_batters(rows: DataFrame, all_pitchers: bool = False) -> DataFrame:
+    """Without empty names, repeated headers, totals, and pitchers who did not bat, or all pitchers."""
     name = F.coalesce("player_name", F.lit(""))
     header = (name == "") | (F.lower(name) == "batting") | name.contains("Team Totals")
-    idle = F.array_contains("positions", "P") & (F.coalesce("PA", F.lit(0)) == 0) & (F.coalesce("AB", F.lit(0)) == 0)
+    idle = F.array_contains("positions", "P")
+    if not all_pitchers:
+        idle = idle & (F.coalesce("PA", F.lit(0)) == 0) & (F.coalesce("AB", F.lit(0)) == 0)
     return rows.where(~header & ~F.coalesce(idle, F.lit(False)))
 
 

@@ -530,9 +530,20 @@ def name_normalise(spark, sf):
     return B.players(spark, sf).select("player_id", T.normal_name(F.concat(F.translate("player_name", "#0123456789", " abcdefghij"), tail)).alias("name"))
 
 
-@query("extract_all_codes", "SELECT doc_id, unnest(regexp_extract_all(text, '([A-Z][a-z]+)\\.', 1)) AS code FROM documents", False)
+@query("extract_all_codes", "SELECT doc_id, unnest(CASE doc_id % 3 WHEN 0 THEN ['W'] ELSE ['BS', 'L'] END) AS code FROM documents WHERE doc_id % 3 < 2", False)
 def extract_all_codes(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"([A-Z][a-z]+)\."), F.lit(1))).alias("code"))
+    """All decisions of a pitcher's entry: one, two, or none."""
+    tail = F.get(F.array(*map(F.lit, (", W (1-0)", ", BS (2), L (0-1)", " (x)"))), (F.col("doc_id") % 3).cast("int"))
+    return table(spark, sf, "documents").select("doc_id", F.explode(T.decisions(F.concat(F.lit("Sal Kim"), tail))).alias("code"))
+
+
+@query("eligible_batters", f"""{_ROWS} SELECT 'idle' AS without, game_id, team, row_idx FROM b WHERE NOT (code = 'P' AND PA = 0 AND AB = 0) AND flag <> 'N'
+    UNION ALL SELECT 'all', game_id, team, row_idx FROM b WHERE code <> 'P' AND flag <> 'N'""")
+def eligible_batters(spark, sf):
+    """Rows that count as batters, by both rules for pitchers; those of one flag stand for totals."""
+    rows = _rows(spark, sf).withColumn("player_name", F.when(F.col("flag") == "N", "Team Totals").otherwise(F.col("player_name")))
+    one = lambda name, df: df.select(F.lit(name).alias("without"), "game_id", "team", "row_idx")
+    return one("idle", L.eligible_batters(rows)).unionByName(one("all", L.eligible_batters(rows, all_pitchers=True)))
 
 
 @query("season_dates", "SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS day FROM unnest(generate_series(TIMESTAMP '2024-03-01', TIMESTAMP '2024-11-30', INTERVAL 1 DAY)) AS u(d)", False)
