@@ -52,11 +52,11 @@ class Scratch:
         self.paths[id(out)] = (out, path)
         return out
 
-    def save_bucketed(self, df: DataFrame, name: str, buckets: int, keys: list[str]) -> DataFrame:
-        """Like save(), with one file a bucket, sorted by the keys; df has to be partitioned into `buckets` by them."""
+    def save_bucketed(self, df: DataFrame, name: str, buckets: int, keys: list[str], order: list[str] | None = None) -> DataFrame:
+        """Like save(), with one file a bucket, sorted by the keys or by order; df has to be partitioned into `buckets` by the keys."""
         self.made += 1
         path, known = f"{self.folder}/{self.made:03d}-{name}", f"scratch_{uuid.uuid4().hex}"
-        df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(known)
+        df.write.bucketBy(buckets, *keys).sortBy(*(order or keys)).option("path", path).format("parquet").saveAsTable(known)
         out = self.spark.table(known)
         self.paths[id(out)], self.names[id(out)] = (out, path), known
         return out

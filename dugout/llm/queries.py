@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann_search, chat_format, exact_dedup, html_extract, language_id, line_dedup, minhash_dedup, mixing, packing, secrets
+from . import ann_search, chat_format, exact_dedup, filter_audit, html_extract, language_id, lexical_search, line_dedup, minhash_dedup, mixing, packing, secrets, token_counts
 
 QUERIES = {
     "op1_html_extract": html_extract.op1_html_extract,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_minhash_near_dedup": minhash_dedup.op10_minhash_near_dedup,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_lexical_search": lexical_search.op12_lexical_search,
+    "op13_token_counts": token_counts.op13_token_counts,
     "language_id_pages": language_id.language_id_pages,
 }
 
@@ -24,4 +27,6 @@ ORACLE_SQL = {
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
     "op10_minhash_near_dedup": minhash_dedup.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op12_lexical_search": lexical_search.ORACLE,
 }
