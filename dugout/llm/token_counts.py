@@ -18,7 +18,6 @@ from __future__ import annotations
 import heapq
 import json
 import re
-import sys
 import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -33,8 +32,8 @@ VOCABULARY = "byte_bpe_50k.json"
 #: How the vocabulary's library splits texts before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LIMIT = 1024
-#: Merged pre-tokens that a task remembers, and the longest of them in code points.
-REMEMBERED, SHORT = 1 << 17, 64
+#: Merged pre-tokens that a task remembers at most, and the longest of them; longer ones are merged by a heap.
+REMEMBERED, SHORT = 1 << 18, 64
 
 
 def byte_signs() -> dict[str, int]:
@@ -44,34 +43,54 @@ def byte_signs() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def merged(word: bytes, ranks: dict[tuple[bytes, bytes], int]) -> int:
-    """How many tokens the merges leave of a pre-token: the best-ranked pair first, of equal ones the leftmost."""
-    n = len(word)
-    parts: list[bytes | None] = [word[i : i + 1] for i in range(n)]
+def merged(word: bytes, ranks: dict[tuple[int, int], int], made: list[int]) -> int:
+    """How many tokens the merges leave of a pre-token: the best-ranked pair first, of equal ones the leftmost.
+
+    Tokens are numbers, bytes their own; ranks: pair of tokens to the merge's rank, made: rank to the token it makes.
+    """
+    parts, get, none = list(word), ranks.get, len(made)
+    if len(parts) > SHORT:
+        return _merged_long(parts, ranks, made)
+    found = [get(p, none) for p in zip(parts, parts[1:])]
+    while found and (best := min(found)) < none:
+        i = found.index(best)
+        parts[i : i + 2] = [made[best]]
+        del found[i]
+        if i:
+            found[i - 1] = get((parts[i - 1], parts[i]), none)
+        if i < len(found):
+            found[i] = get((parts[i], parts[i + 1]), none)
+    return len(parts)
+
+
+def _merged_long(parts: list[int], ranks: dict[tuple[int, int], int], made: list[int]) -> int:
+    """The same by a heap, in time n log n."""
+    n, gone = len(parts), -1
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := ranks.get((parts[i], parts[i + 1]))) is not None]
+    heap = [(r, i) for i, p in enumerate(zip(parts, parts[1:])) if (r := ranks.get(p)) is not None]
     heapq.heapify(heap)
     left = n
     while heap:
-        _, i, a, b = heapq.heappop(heap)
+        rank, i = heapq.heappop(heap)
         j = after[i]
-        if parts[i] != a or j >= n or parts[j] != b:
+        if parts[i] == gone or j >= n or ranks.get((parts[i], parts[j])) != rank:
             continue  # one of them has been merged meanwhile
-        parts[i], parts[j], left = a + b, None, left - 1
+        parts[i], parts[j], left = made[rank], gone, left - 1
         after[i] = after[j]
         if after[i] < n:
             before[after[i]] = i
         for x, y in ((before[i], i), (i, after[i])):
             if x >= 0 and y < n and (r := ranks.get((parts[x], parts[y]))) is not None:
-                heapq.heappush(heap, (r, x, parts[x], parts[y]))
+                heapq.heappush(heap, (r, x))
     return left
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """ranks: pair of tokens to the merge's rank; whole: strings that are one token; special: strings that are one in any text."""
+    """The merges, as merged() takes them; whole: strings that are one token; special: strings that are one in any text."""
 
-    ranks: dict[tuple[bytes, bytes], int]
+    ranks: dict[tuple[int, int], int]
+    made: list[int]
     whole: frozenset[str]
     special: tuple[str, ...]
 
@@ -82,56 +101,60 @@ def vocabulary(path: str) -> Vocabulary:
         found = json.load(f)
     signs = byte_signs()
     raw = lambda token: bytes(signs[c] for c in token)
-    pairs = (m.split(" ") if isinstance(m, str) else m for m in found["model"]["merges"])
-    ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
+    numbers: dict[bytes, int] = {bytes([b]): b for b in range(256)}
+    ranks, made = {}, []
+    for pair in found["model"]["merges"]:
+        a, b = map(raw, pair.split(" ") if isinstance(pair, str) else pair)
+        made.append(numbers.setdefault(a + b, len(numbers)))
+        ranks[numbers[a], numbers[b]] = len(made) - 1
     whole = set()
     for token in found["model"]["vocab"]:
         try:
             text = (word := raw(token)).decode()
         except UnicodeDecodeError:  # a part of a sign is no pre-token
             continue
-        if merged(word, ranks) == 1:
+        if merged(word, ranks, made) == 1:
             whole.add(text)
-    return Vocabulary(ranks, frozenset(whole), tuple(sorted((t["content"] for t in found["added_tokens"]), key=len, reverse=True)))
+    return Vocabulary(ranks, made, frozenset(whole), tuple(sorted((t["content"] for t in found["added_tokens"]), key=len, reverse=True)))
 
 
 class _Counts(dict):
     """Pre-token to its number of tokens: 1 where that is proven, else by merging."""
 
     def __init__(self, known: Vocabulary):
-        super().__init__(dict.fromkeys(known.whole, 1))
-        self.ranks, self.most = known.ranks, len(known.whole) + REMEMBERED
+        super().__init__()
+        self.known = known
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.update(dict.fromkeys(self.known.whole, 1))
 
     def __missing__(self, word: str) -> int:
-        n = merged(word.encode(), self.ranks)
-        if len(word) <= SHORT and len(self) < self.most:
+        n = merged(word.encode(), self.known.ranks, self.known.made)
+        if len(word) <= SHORT:
+            if len(self) >= len(self.known.whole) + REMEMBERED:
+                self.forget()
             self[word] = n
         return n
 
 
-def unassigned() -> re.Pattern[str]:
-    """Finds code points that Python's tables do not know."""
-    spans, start = [], None
-    for c in range(sys.maxunicode + 2):
-        unknown = c <= sys.maxunicode and unicodedata.category(chr(c)) == "Cn"
-        if unknown and start is None:
-            start = c
-        elif not unknown and start is not None:
-            spans.append(f"{re.escape(chr(start))}-{re.escape(chr(c - 1))}")
-            start = None
-    return re.compile(f"[{''.join(spans)}]")
-
-
 def counter(known: Vocabulary) -> Callable[[str], int]:
     """A function from a text to its number of tokens."""
     from tokenizers.pre_tokenizers import ByteLevel
 
-    counts, split, odd = _Counts(known), regex.compile(PATTERN).findall, unassigned()
+    counts, split = _Counts(known), regex.compile(PATTERN).findall
     special = re.compile("|".join(map(re.escape, known.special))) if known.special else None
-    library = ByteLevel(add_prefix_space=False, use_regex=True)
+    library, sure = ByteLevel(add_prefix_space=False, use_regex=True), set(map(chr, range(128)))
+
+    def is_sure(text: str) -> bool:
+        """Whether Python's tables know all code points of the text."""
+        new = set(text) - sure
+        sure.update(c for c in new if unicodedata.category(c) != "Cn")
+        return new <= sure
 
     def pretokens(text: str) -> list[str]:
-        if text.isascii() or not odd.search(text):
+        if text.isascii() or is_sure(text):
             return split(text)
         return [text[a:b] for _, (a, b) in library.pre_tokenize_str(text)]
 
