@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,8 @@ TOP = 10
 #: Files of postings: the least and most, and the terms of a table for which there is one. Buckets of terms in a file.
 LEAST_FILES, MOST_FILES, FILE_TERMS = 12, 1 << 16, 1 << 22
 TERM_BUCKETS = 64
+#: Terms of a block of items, with repeats; one item of more makes its block larger.
+ITEM_TERMS = 1 << 19
 
 
 def terms(text: bytes) -> list[bytes]:
@@ -84,9 +87,11 @@ def postings(docs: DataFrame) -> DataFrame:
 
 
 def write_postings(scratch: Scratch, docs: DataFrame, asked: DataFrame, n_terms: int) -> DataFrame:
-    """The postings of the asked terms as a table of bucketed files."""
+    """The postings of the asked terms, or of all if very many are asked, as a table of bucketed files."""
     files = min(MOST_FILES, max(LEAST_FILES, n_terms // FILE_TERMS))
-    held = postings(docs).join(asked.select("term"), "term", "left_semi")
+    held = postings(docs)
+    if asked.count() <= ITEM_TERMS:
+        held = held.join(F.broadcast(asked.select("term")), "term", "left_semi")
     return scratch.save_bucketed(held.repartition(files, "row"), "postings", files, ["row"], order=["bucket", "term"])
 
 
@@ -98,8 +103,8 @@ def weights(posted: DataFrame, n_docs: int) -> DataFrame:
 
 
 def ranked(posted: DataFrame, weighted: DataFrame, n_docs: int, n_terms: int, top: int = TOP) -> DataFrame:
-    """(item_id, rank, doc_id, score): the best documents for each item of weighted(item_id, term, w)."""
-    matches = posted.join(weighted, "term")
+    """(item_id, rank, doc_id, score): the best documents for each item of weighted(item_id, term, w), one block of items."""
+    matches = posted.join(F.broadcast(weighted), "term")
     length = F.expr(f"100 - 90 + (90 * n * {n_docs}L) div {max(n_terms, 1)}L")
     scored = matches.withColumn("m", length).withColumn("score", F.expr("w * ((1000000000L * tf) div (1000 * tf + 8 * m))"))
     summed = scored.groupBy("item_id", "row", "doc_id").agg(F.sum("score").alias("score")).where("score > 0")
@@ -107,13 +112,20 @@ def ranked(posted: DataFrame, weighted: DataFrame, n_docs: int, n_terms: int, to
     return summed.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
 
 
+def blocks(weighted: DataFrame, most: int = ITEM_TERMS) -> list[DataFrame]:
+    """weighted(item_id, term, w) in blocks of about `most` rows, all of an item's in one."""
+    n = -(-weighted.count() // most)
+    return [weighted] if n < 2 else [weighted.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i) for i in range(n)]
+
+
 def search(scratch: Scratch, docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     """(item_id, rank, doc_id, score) of docs(doc_id, text) for items(item_id, text)."""
     n_docs, n_terms = sizes(docs)
     asked = scratch.save(item_terms(items), "asked")
     posted = write_postings(scratch, docs, asked.select("term").distinct(), n_terms)
     weighted = scratch.save(asked.join(weights(posted, n_docs), "term"), "weighted")
-    out = scratch.save(ranked(posted, weighted, n_docs, n_terms, top), "ranked")
+    found = (ranked(posted, block, n_docs, n_terms, top) for block in blocks(weighted))
+    out = scratch.save(reduce(DataFrame.unionByName, found), "ranked")
     scratch.drop(asked, posted, weighted)
     return out
 

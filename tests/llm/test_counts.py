@@ -143,6 +143,13 @@ def test_search(spark):
     assert searched(spark, TEXTS + made, ITEMS) == search_brute(TEXTS + made, ITEMS)
 
 
+def test_items_in_blocks(spark, monkeypatch):
+    """Many items are taken block by block, and very many asked terms post all."""
+    monkeypatch.setattr(LS, "ITEM_TERMS", 3)
+    monkeypatch.setattr(LS.blocks, "__defaults__", (3,))
+    assert searched(spark, TEXTS, ITEMS) == search_brute(TEXTS, ITEMS)
+
+
 def test_search_of_empty_tables(spark):
     assert searched(spark, [], ITEMS) == [] and searched(spark, TEXTS, []) == [] and searched(spark, [(1, None, "s")], ITEMS) == []
 
