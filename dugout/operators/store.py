@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -27,6 +26,11 @@ def upsert(stored: DataFrame, new: DataFrame, keys: list[str], order: list[str])
     return stored.join(latest.select(*keys), keys, "left_anti").unionByName(latest.select(*(c for c in latest.columns if c in stored.columns)), allowMissingColumns=True)
 
 
+def first_of(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row a key, the first by order."""
+    return rows.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
+
+
 def delete_games(tables: dict[str, DataFrame], games: DataFrame) -> dict[str, DataFrame]:
     """The tables without the rows of these games."""
     gone = games.select("game_id").distinct()
@@ -68,7 +72,7 @@ def _files(spark: SparkSession, path: str):
 def publish(spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Writes df beside path and puts it in path's place; if that fails, the old table is put back.
 
-    Between two renames readers find no table. Where that matters, or for tables that belong together, see commit().
+    Between two renames readers find no table. Where that matters, or for tables that belong together, see versions.Store.
     """
     hadoop, path, mark = spark._jvm.org.apache.hadoop.fs.Path, path.rstrip("/"), uuid.uuid4().hex
     staging, aside, fs = f"{path}-{mark}", f"{path}-{mark}-old", _files(spark, path)
@@ -82,54 +86,3 @@ def publish(spark: SparkSession, df: DataFrame, path: str, partition_by: str | N
         raise OSError(f"{staging} could not take the place of {path}; the old table stands")
     if had:
         fs.delete(hadoop(aside), True)
-
-
-#: The file that names the version that readers see.
-CURRENT = "CURRENT"
-
-
-def commit(spark: SparkSession, tables: dict[str, DataFrame], root: str, parents: tuple[tuple[str, str, str], ...] = ()) -> DataFrame:
-    """Stores tables as one new version of root: all of them become visible at once, or none. (table_name, n) comes back.
-
-    parents: (table, parent table, key) that have to hold before the switch. Everything is written into the version's own
-    folder; then a file that names it takes the place of the old one by an atomic rename. A failure before that leaves
-    readers with the old version, and the folder is removed. Old versions stay for those who read them; see forget().
-    """
-    hadoop, root, version = spark._jvm.org.apache.hadoop.fs.Path, root.rstrip("/"), f"v-{uuid.uuid4().hex}"
-    fs = _files(spark, root)
-    try:
-        for name, df in tables.items():
-            df.write.parquet(f"{root}/{version}/{name}")
-        stored = {name: spark.read.parquet(f"{root}/{version}/{name}") for name in tables}
-        for child, parent, key in parents:
-            if not stored[child].join(stored[parent].select(key), key, "left_anti").isEmpty():
-                raise ValueError(f"rows of {child} without a row of {parent} for their {key}")
-        staged = hadoop(f"{root}/{CURRENT}-{version}")
-        out = fs.create(staged, True)
-        out.write(bytearray(version.encode()))
-        out.close()
-        options = spark._jvm.org.apache.hadoop.fs.Options.Rename
-        over = spark.sparkContext._gateway.new_array(options, 1)
-        over[0] = options.OVERWRITE
-        context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-        context.rename(fs.makeQualified(staged), fs.makeQualified(hadoop(f"{root}/{CURRENT}")), over)
-    except Exception:
-        fs.delete(hadoop(f"{root}/{version}"), True)
-        raise
-    return reduce(DataFrame.unionByName, (df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in stored.items()))
-
-
-def current(spark: SparkSession, root: str, *names: str) -> dict[str, DataFrame]:
-    """The tables of the version that was committed last."""
-    version = spark.read.text(f"{root.rstrip('/')}/{CURRENT}", wholetext=True).first()[0]
-    return {name: spark.read.parquet(f"{root.rstrip('/')}/{version}/{name}") for name in names}
-
-
-def forget(spark: SparkSession, root: str) -> None:
-    """Removes all versions but the last."""
-    hadoop, fs = spark._jvm.org.apache.hadoop.fs.Path, _files(spark, root)
-    version = spark.read.text(f"{root.rstrip('/')}/{CURRENT}", wholetext=True).first()[0]
-    for status in fs.listStatus(hadoop(root)):
-        name = status.getPath().getName()
-        if name.startswith("v-") and name != version:
-            fs.delete(status.getPath(), True)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import plays as P
 from ..functions import text as T
 from ..operators import events as E
@@ -31,6 +34,19 @@ class Kept:
             self.tables.pop().unpersist()
 
 
+def one_page_a_game(pages: DataFrame) -> DataFrame:
+    """pages(url, html) with one page for each game, the one fetched last if fetched_at says so.
+
+    Only pages of games that come more than once are moved; which these are is told from the addresses alone.
+    """
+    key = F.when(T.game_id("url") != "unknown", T.game_id("url")).otherwise(F.col("url"))
+    keyed = pages.withColumn("_key", key)
+    again = keyed.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key")
+    order = F.struct(*([F.col("fetched_at")] if "fetched_at" in pages.columns else []), F.col("url"), F.xxhash64("html"))
+    last = keyed.join(again, "_key", "left_semi").groupBy("_key").agg(F.max_by(F.struct(*pages.columns), order).alias("p")).select("p.*")
+    return keyed.join(again, "_key", "left_anti").select(*pages.columns).unionByName(last)
+
+
 def silver(pages: DataFrame, kept: Kept | None = None) -> dict[str, DataFrame]:
     """games, batting, pitching, events, events_rejected, ambiguous_names and page_errors of pages(url, html).
 
@@ -48,7 +64,7 @@ def silver(pages: DataFrame, kept: Kept | None = None) -> dict[str, DataFrame]:
     events = N.enrich(events, names.drop("is_ambiguous"))
     events = kept(events.withColumn("event_id", E.event_id("game_id", "inning", "inning_half", "seq")))
     return {
-        "games": B.games(pages),
+        "games": B.games(rows),
         "batting": batting,
         "pitching": pitching,
         "events": events,
@@ -99,17 +115,32 @@ def process(pages: DataFrame, stored_games: DataFrame | None = None, least: floa
     return {name: df if name in ABOUT else df.join(good, "game_id", "left_semi") for name, df in tables.items()} | {"validation_reports": rows}
 
 
-#: The tables that hold a game's rows, each with its parent.
-PARENTS = tuple((t, "games", "game_id") for t in ("batting", "pitching", "events"))
+def stored_tables(tables: dict[str, DataFrame], bios: DataFrame | None = None) -> dict[str, DataFrame]:
+    """process() as the stored tables: players with their facts where bios() has them, appearances once a player and side."""
+    out = {"games": tables["games"], "events": tables["events"], "validation_reports": tables["validation_reports"]}
+    for kind in ("batting", "pitching"):
+        keys = list(schemas.STORED[f"{kind}_appearances"].keys)
+        out[f"{kind}_appearances"] = K.first_of(tables[kind], keys, ["row_idx"])
+    seen = N.first_name_wins(*(tables[k].where("player_id is not null") for k in ("batting", "pitching")))
+    known = bios.dropDuplicates(["player_id"]) if bios is not None else schemas.empty(seen.sparkSession, "players")
+    out["players"] = seen.join(known, "player_id", "left").withColumn("full_name", F.coalesce("full_name", "player_name"))
+    return {n: schemas.conformed(df, n) for n, df in out.items()} | {n: tables[n] for n in ("events_rejected", "ambiguous_names", "page_errors")}
+
 
+def store(pages: DataFrame, root: str, least: float = 95.0, strict: bool = True, bios: DataFrame | None = None, again: bool = False, source: tuple[str, int] | None = None) -> DataFrame:
+    """(table_name, n): a batch of pages processed and merged into the store under root as one version, and what it holds then.
 
-def store(pages: DataFrame, root: str, least: float = 95.0, strict: bool = True) -> DataFrame:
-    """(table_name, n): a batch of pages processed and committed to root as one version, all tables or none."""
-    kept = Kept()
+    Games that are stored already are skipped, unless `again`. A page that comes twice counts once. bios: facts of players for
+    those who are new. source: a stream's name and the batch's number, which is applied once.
+    """
+    kept, held = Kept(), schemas.season_store(pages.sparkSession, root)
     try:
-        return K.commit(pages.sparkSession, process(pages, least=least, strict=strict, kept=kept), root, PARENTS)
+        known = held.manifest()["tables"]
+        old = held.read("games") if "games" in known and not again else None
+        held.merge(stored_tables(process(one_page_a_game(pages), old, least, strict, kept), bios), source)
     finally:
         kept.release()
+    return reduce(DataFrame.unionByName, (held.read(n).agg(F.count("*").alias("n")).select(F.lit(n).alias("table_name"), "n") for n in held.manifest()["tables"]))
 
 
 def outcomes(pages: DataFrame, tables: dict[str, DataFrame], stored_games: DataFrame | None = None) -> DataFrame:

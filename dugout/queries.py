@@ -742,4 +742,4 @@ def player_bios(spark, sf):
     hand = F.get(F.array(*map(F.lit, ("Right", "Left", "Both"))), (F.col("page_id") % 3).cast("int"))
     html = F.concat(F.lit("<h1><span>Ann Lee</span></h1><p><strong>Bats: </strong>"), hand, F.lit(" <strong>Throws: </strong>Left</p><p>6-2, 200lb</p><span id='necro-birth' data-birth=\"1990-02-03\">Born: January 1, 1980</span><p>Debut: April 1, 2014</p>"))
     pages = table(spark, sf, "pages").select(F.concat(F.lit("https://x.test/players/x/x"), number, F.lit(".shtml")).alias("url"), html.alias("html"))
-    return HP.bios(pages).withColumns({c: F.col(c).cast("string") for c in ("birth_date", "debut_date")})
+    return HP.bios(HP.rows(pages)).withColumns({c: F.col(c).cast("string") for c in ("birth_date", "debut_date")})

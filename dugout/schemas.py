@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.versions import Keyed, Store
+
 TABLES = {
     "players": "player_id string, full_name string, bats string, throws string, birth_date date, debut_date date, height_inches int, weight_lbs int",
     "games": "game_id string, game_date date, game_time string, home_team string, away_team string, runs_home_team int, runs_away_team int, winner string, loser string, venue string, is_playoff boolean, playoff_round string, innings_played int, season int",
@@ -16,6 +18,39 @@ TABLES = {
 KEYS = {"players": ["player_id"], "games": ["game_id"], "batting_appearances": ["game_id", "player_id"], "pitching_appearances": ["game_id", "player_id"], "events": ["event_id"], "validation_reports": ["game_id", "validation_type"]}
 
 
+#: A game's season, out of its id.
+SEASON = "substring(game_id, 4, 4)"
+
+
+def _of_game(*keys: str, keeps: str = "old", parents: tuple[tuple[str, str], ...] = (("games", "game_id"),)) -> Keyed:
+    return Keyed(keys, SEASON, keeps, parents, "game_id")
+
+
+#: What the season plan stores. Games and reports are replaced by new ones, other rows stay as they came first. An appearance
+#: is a player's in a game and on a side; one whose player has no id is told by the name.
+STORED = {
+    "players": Keyed(("player_id",), keeps="old"),
+    "games": _of_game("game_id", keeps="new", parents=()),
+    "batting_appearances": _of_game("game_id", "team", "player_id", "player_name", parents=(("games", "game_id"), ("players", "player_id"))),
+    "pitching_appearances": _of_game("game_id", "team", "player_id", "player_name", parents=(("games", "game_id"), ("players", "player_id"))),
+    "events": _of_game("event_id"),
+    "validation_reports": _of_game("game_id", "validation_type", keeps="new", parents=()),
+    "events_rejected": _of_game("game_id", "seq"),
+    "ambiguous_names": _of_game("game_id", "team", "player_name"),
+    "page_errors": _of_game("url", keeps="new", parents=()),
+}
+
+
+def season_store(spark: SparkSession, root: str) -> Store:
+    return Store(spark, root, STORED)
+
+
+def conformed(df: DataFrame, name: str) -> DataFrame:
+    """df with the columns and types of a stored table; what it lacks is null."""
+    fields = df.sparkSession.createDataFrame([], TABLES[name]).schema
+    return df.select(*((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields))
+
+
 def create(spark: SparkSession, database: str = "default") -> None:
     """The tables, where they are missing."""
     for name, columns in TABLES.items():

@@ -1,17 +1,21 @@
-"""Box-score pages as relations: cells of tables and facts of the page, one Python pass over each page's HTML.
+"""Pages as relations: cells of tables and facts of the page, one Python pass over each page's HTML.
 
-The parser is a small helper inside mapInArrow; everything after it is column expressions. rows() gives the rows of tables
-under their headings straight from that pass, as a page's cells are all there, so nothing is shuffled. A page that can't be
-read gives no cells; rows() gives one row that says why.
+The reader is a small helper inside mapInArrow: a stack of open elements tells where a text stands, so a fact is taken from
+its own place (the score box, the line score, a label's element) and from no other part of the page. Tables are laid out
+on a grid, so a cell that spans columns or rows stands under each of its headings. rows() gives the rows of tables under
+their headings and the facts straight from that pass, as a page's cells are all there, so nothing is shuffled and no page is
+read twice. A page that can't be read gives no cells; rows() gives one row that says why.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import metadata as M
@@ -19,79 +23,313 @@ from ..functions import text as T
 
 CELLS = "url string, table_id string, table_idx int, row_idx int, col_idx int, is_head boolean, text string, href string, stat string, is_indented boolean"
 
-
-class _Cells(HTMLParser):
-    """Cells of all tables, also of those inside comments."""
+#: Elements without an end, and those whose text no reader sees.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+UNSEEN = frozenset(("script", "style"))
+#: Widest span that a cell may have.
+WIDEST = 1000
+
+
+@dataclass
+class Cell:
+    is_head: bool
+    stat: str | None
+    padded: bool
+    columns: int = 1
+    rows: int = 1  # 0: to the end of its group of rows
+    text: str = ""
+    href: str | None = None
+
+    @property
+    def is_indented(self) -> bool:
+        return self.padded or self.text[:1] in (" ", "\u00a0", "\t") or "\u00a0" in self.text
+
+    @property
+    def clean(self) -> str:
+        return self.text.replace("\u00a0", " ").strip()
+
+
+@dataclass
+class Table:
+    name: str
+    index: int
+    rows: list[tuple[int, bool, list[Cell]]] = field(default_factory=list)  # number of the group, whether it is the head, cells
+    group: int = 0
+    in_head: bool = False
+    is_line_score: bool = False
+
+
+def laid_out(rows: list[tuple[int, bool, list[Cell]]]) -> list[dict[int, Cell]]:
+    """Column to cell for each row of a table: spans fill all their places, and no place holds two cells."""
+    out: list[dict[int, Cell]] = []
+    waiting: dict[int, tuple[Cell, int]] = {}  # what reaches down from above, and for how many rows yet
+    for i, (group, _, cells) in enumerate(rows):
+        if i and group != rows[i - 1][0]:
+            waiting = {}
+        line = {col: cell for col, (cell, _) in waiting.items()}
+        waiting = {col: (cell, left - 1) for col, (cell, left) in waiting.items() if left > 1}
+        col = 0
+        for cell in cells:
+            while col in line:
+                col += 1
+            for place in range(col, col + cell.columns):
+                if place in line:
+                    break  # a cell from above stands here
+                line[place], col = cell, place + 1
+                if cell.rows != 1:
+                    waiting[place] = (cell, cell.rows - 1 if cell.rows else len(rows))
+        out.append(line)
+    return out
+
+
+def headings(table: Table, grid: list[dict[int, Cell]]) -> tuple[int, dict[int, str]]:
+    """How many first rows are headings, and the name of each column: the lowest heading that says something.
+
+    Headings are the rows of the table's head. Without one they are the first rows made of heading cells, down to the first
+    one in which no cell spans columns; else the first row.
+    """
+    n = sum(in_head for _, in_head, _ in table.rows)
+    if not n or not all(in_head for _, in_head, _ in table.rows[:n]):
+        n = 1
+        for i, (_, _, cells) in enumerate(table.rows):
+            if not cells or not all(c.is_head for c in cells):
+                break
+            if all(c.columns == 1 for c in cells):
+                n = i + 1
+                break
+    names: dict[int, str] = {}
+    for line in grid[:n]:
+        names |= {col: cell.clean for col, cell in line.items() if cell.clean or col not in names}
+    return n, names
+
+
+def _span(value: str | None, least: int, most: int) -> int:
+    found = re.match(r"\s*(\d{1,6})", value or "")
+    return min(most, max(least, int(found[1]))) if found else 1
+
+
+#: Facts by the elements that hold them: each step is an element that stands somewhere inside the one before it.
+PLACES = {
+    "title": "title",
+    "score": "div.scorebox div.score",
+    "meta": "div.scorebox div.scorebox_meta div",
+    "name": "h1 span",
+    "about": "div#meta",
+}
+
+
+def _step(text: str) -> tuple[str, str, str]:
+    """(tag, class, id) of a step."""
+    tag, kind, name = re.fullmatch(r"(\w+)(?:\.([\w-]+))?(?:#([\w-]+))?", text).groups()
+    return tag, kind or "", name or ""
+
+
+#: Labels, in strong elements, whose text follows them.
+LABELS = frozenset(("Venue", "Bats", "Bat", "Throws", "Throw", "Debut", "MLB Debut", "Born"))
+#: By the tag of the element that holds the fact.
+_PLACES: dict[str, list[tuple[str, list[tuple[str, str, str]]]]] = {}
+for _fact_name, _path in PLACES.items():
+    _steps = [_step(s) for s in _path.split()]
+    _PLACES.setdefault(_steps[-1][0], []).append((_fact_name, _steps))
+
+
+@dataclass
+class Label:
+    name: str
+    depth: int  # of the element around it
+    near: list[str] = field(default_factory=list)  # up to the next tag
+    every: list[str] = field(default_factory=list)  # up to the next label, or the end of the element around it
+    over: bool = False  # whether a tag came
+
+
+class Page(HTMLParser):
+    """Tables of a page, also those inside comments, and its facts."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.tables, self.rows = [], []
+        self.open: list[tuple[str, frozenset[str], str]] = []
+        self.tables: list[Table] = []
+        self.done: list[Table] = []
         self.count: dict[str, int] = {}
-        self.cell = None
+        self.cell: Cell | None = None
+        self.texts: list[tuple[str, int, list[str]]] = []  # facts that are being read: name, depth of the element, its text
+        self.labels: list[Label] = []
+        self.facts: dict[str, list[str]] = {}
+        self.seen: list[str] = []
+        self.boxes = 0
+
+    # --- elements ------------------------------------------------------------------------------------------------
 
     def handle_comment(self, data: str) -> None:
         if "<table" in data:
-            inner = _Cells()
+            inner = Page()
             inner.count = self.count
             inner.feed(data)
             inner.finish()
-            self.rows += inner.rows
+            self.done += inner.done
 
     def handle_starttag(self, tag, attrs):
         a = {k: v or "" for k, v in attrs}
-        if tag == "table":
-            name = a.get("id", "")
-            suffix = next((s for s in ("batting", "pitching") if name.endswith(s)), name)
-            self.tables.append([name, self.count.get(suffix, 0), -1, -1])
-            self.count[suffix] = self.tables[-1][1] + 1
-        elif tag == "tr" and self.tables:
-            self.finish()
-            self.tables[-1][2] += 1
-            self.tables[-1][3] = -1
-        elif tag in ("td", "th") and self.tables:
-            self.finish()
-            self.tables[-1][3] += 1
-            style = a.get("style", "").lower()
-            self.cell = [tag == "th", "", None, a.get("data-stat") or None, any(p in style for p in ("padding-left", "margin-left", "text-indent"))]
-        elif tag == "a" and self.cell and self.cell[2] is None:
-            self.cell[2] = a.get("href") or None
+        kinds = frozenset(a.get("class", "").split())
+        if "scorebox" in kinds:
+            self.boxes += 1
+            if self.boxes > 1:
+                kinds -= {"scorebox"}  # the first one counts
+        self._tag_came()
+        if tag not in VOID:
+            self.open.append((tag, kinds, a.get("id", "")))
+            self.texts += [(fact, len(self.open), []) for fact, path in _PLACES.get(tag, ()) if self._stands(path)]
+            if tag == "strong":
+                self._end_labels(len(self.open) - 1)
+                self.texts.append(("", len(self.open), []))
+        if tag == "a" and self._boxed() and (team := re.search(r"/teams/([A-Z]{3})/", a.get("href", ""))):
+            self.facts.setdefault("team", []).append(team[1])
+        if tag == "span" and a.get("id") == "necro-birth" and a.get("data-birth"):
+            self.facts.setdefault("born", []).append(a["data-birth"])
+        self._table(tag, a)
+
+    def _stands(self, path: list[tuple[str, str, str]]) -> bool:
+        """Whether the innermost open element is the last step, with the others around it."""
+        fits = lambda step, e: step[0] == e[0] and (not step[1] or step[1] in e[1]) and (not step[2] or step[2] == e[2])
+        if not fits(path[-1], self.open[-1]):
+            return False
+        left = len(path) - 2
+        for e in reversed(self.open[:-1]):
+            if left < 0:
+                break
+            left -= fits(path[left], e)
+        return left < 0
+
+    def handle_endtag(self, tag):
+        if tag in VOID:
+            return
+        self._tag_came()
+        if self.open and self.open[-1][0] == tag or any(t == tag for t, _, _ in self.open):
+            while self.open.pop()[0] != tag:
+                pass
+            self._close()
+        if tag in ("td", "th", "tr"):
+            self.cell = None
+        elif tag in ("thead", "tbody", "tfoot") and self.tables:
+            self.tables[-1].in_head = False
+            self.tables[-1].group += 1
+        elif tag == "table" and self.tables:
+            self.cell = None
+            self.done.append(self.tables.pop())
+
+    def _boxed(self) -> bool:
+        return any("scorebox" in kinds for _, kinds, _ in self.open)
+
+    def _tag_came(self) -> None:
+        for label in self.labels:
+            label.over = True
+
+    def _close(self) -> None:
+        """Ends the facts and labels of elements that are no longer open."""
+        if not self.texts and not self.labels:
+            return
+        depth = len(self.open)
+        for fact, at, text in self.texts:
+            if at > depth and fact:
+                self.facts.setdefault(fact, []).append("".join(text))
+            elif at == depth + 1 and (name := "".join(text).strip().rstrip(": ")) in LABELS:
+                self.labels.append(Label(f"box {name}" if self._boxed() else name, depth))
+        self.texts = [x for x in self.texts if x[1] <= depth]
+        self._end_labels(depth + 1)
+
+    def _end_labels(self, depth: int) -> None:
+        for label in self.labels:
+            if label.depth >= depth:
+                self.facts.setdefault(f"near {label.name}", []).append("".join(label.near))
+                self.facts.setdefault(f"all {label.name}", []).append("".join(label.every))
+        self.labels = [x for x in self.labels if x.depth < depth]
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] in UNSEEN:
+            return
+        self.seen.append(data)
         if self.cell:
-            self.cell[1] += data
+            self.cell.text += data
+        for _, _, text in self.texts:
+            text.append(data)
+        for label in self.labels:
+            label.every.append(data)
+            if not label.over:
+                label.near.append(data)
 
-    def finish(self) -> None:
-        if self.cell and self.tables:
-            name, table, row, col = self.tables[-1]
-            head, text, href, stat, indented = self.cell
-            indented = indented or text[:1] in (" ", " ", "\t") or " " in text
-            self.rows.append((name, table, row, col, head, text.replace(" ", " ").strip(), href, stat, indented))
-        self.cell = None
+    # --- tables --------------------------------------------------------------------------------------------------
 
-    def handle_endtag(self, tag):
-        if tag in ("td", "th", "tr"):
-            self.finish()
-        elif tag == "table" and self.tables:
-            self.finish()
-            self.tables.pop()
+    def _table(self, tag: str, a: dict[str, str]) -> None:
+        if tag == "table":
+            name = a.get("id", "")
+            suffix = next((s for s in ("batting", "pitching") if name.endswith(s)), name)
+            self.tables.append(Table(name, self.count.get(suffix, 0), is_line_score=name == "line_score" or "linescore" in a.get("class", "").split()))
+            self.count[suffix] = self.tables[-1].index + 1
+            self.cell = None
+        elif not self.tables:
+            return
+        elif tag in ("thead", "tbody", "tfoot"):
+            self.tables[-1].in_head = tag == "thead"
+            self.tables[-1].group += 1
+        elif tag == "tr":
+            self.cell = None
+            self.tables[-1].rows.append((self.tables[-1].group, self.tables[-1].in_head, []))
+        elif tag in ("td", "th"):
+            table = self.tables[-1]
+            if not table.rows:
+                table.rows.append((table.group, table.in_head, []))
+            padded = any(p in a.get("style", "").lower() for p in ("padding-left", "margin-left", "text-indent"))
+            self.cell = Cell(tag == "th", a.get("data-stat") or None, padded, _span(a.get("colspan"), 1, WIDEST), _span(a.get("rowspan"), 0, 65534))
+            table.rows[-1][2].append(self.cell)
+        elif tag == "a" and self.cell and self.cell.href is None:
+            self.cell.href = a.get("href") or None
+
+    def finish(self) -> None:
+        """Ends what is open at the end of the page."""
+        self.close()
+        self.open.clear()
+        self._close()
+        self.done += reversed(self.tables)
+        self.tables = []
+
+    def known(self) -> dict[str, str]:
+        """The facts as text; several of a kind by line."""
+        for t in self.done:
+            if t.is_line_score and "inning" not in self.facts:
+                self.facts["inning"] = [c.clean for _, _, line in t.rows for c in line if c.is_head]
+                self.facts["line_cells"] = [str(max((len(line) for _, _, line in t.rows if any(not c.is_head for c in line)), default=0))]
+        said = max((int(n) for n in re.findall(r"(1[0-5])(?:th)? inning", "".join(self.seen).lower())), default=None)
+        found = {k: "\n".join(" ".join(x.split()) for x in v) for k, v in sorted(self.facts.items())} | ({"said": str(said)} if said else {})
+        return found if self.done or "about" in found else found | {"about": " ".join(" ".join(self.seen).split())}
+
+
+def read_page(html: str | None) -> tuple[Page | None, str | None]:
+    """The page, or why it can't be read."""
+    page = Page()
+    try:
+        page.feed(html or "")
+        page.finish()
+    except AssertionError as error:  # the standard parser's answer to some broken declarations
+        return None, f"parse error: {error}"
+    return page, None
 
 
 def cells(pages: DataFrame) -> DataFrame:
-    """Cells of pages(url, html): table_idx counts the tables of a kind (batting, pitching, or the same id) from 0."""
+    """Cells of pages(url, html) on their tables' grids: a cell that spans places has a row for each.
+
+    table_idx counts the tables of a kind (batting, pitching, or the same id) from 0.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in CELLS.split(", ")]
         types = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.bool_()]
         for batch in batches:
             rows = []
-            for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                parser = _Cells()
-                try:
-                    parser.feed(page or "")
-                    parser.finish()
-                except AssertionError:  # the standard parser's answer to some broken declarations
-                    continue
-                rows += [(url, *r) for r in parser.rows]
+            for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
+                page, _ = read_page(html)
+                for t in page.done if page else ():
+                    for i, line in enumerate(laid_out(t.rows)):
+                        rows += [(url, t.name, t.index, i, col, c.is_head, c.clean, c.href, c.stat, c.is_indented) for col, c in sorted(line.items())]
             cols = list(zip(*rows, strict=True)) or [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
@@ -99,10 +337,28 @@ def cells(pages: DataFrame) -> DataFrame:
 
 
 ROWS = "url string, table_id string, table_idx int, row_idx int, href string, is_indented boolean, cells map<string,string>, error string"
+#: The table_id of the row that holds a page's facts.
+FACTS = "#page"
+
+
+def _page_rows(url: str, html: str | None) -> list[tuple]:
+    page, fault = read_page(html)
+    out = [(url, FACTS, None, None, None, None, page.known() if page else {}, None)]
+    if not page or not any(t.rows for t in page.done):
+        out.append((url, None, None, None, None, None, None, fault or ("missing page" if not html else "no table found")))
+    for t in page.done if page else ():
+        grid = laid_out(t.rows)
+        n, names = headings(t, grid)
+        for i, line in enumerate(grid[n:], n):
+            named = [(names[col], cell.clean) for col, cell in line.items() if col in names]
+            if named and not all(h == x for h, x in named):
+                first = line.get(0)
+                out.append((url, t.name, t.index, i, first and first.href, first and first.is_indented, dict(sorted(named)), None))
+    return out
 
 
 def rows(pages: DataFrame) -> DataFrame:
-    """Rows of all tables of pages(url, html), cells by the headings of the table's first row.
+    """Rows of all tables of pages(url, html), cells by their columns' headings, and a row of each page's facts.
 
     Of equal headings the largest text counts. Headings repeated further down are not rows. A page without tables, or one
     that the parser gives up on, has one row with an error and nulls.
@@ -112,29 +368,7 @@ def rows(pages: DataFrame) -> DataFrame:
         fields = [c.rsplit(" ", 1) for c in ROWS.split(", ")]
         types = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.map_(pa.string(), pa.string()), pa.string()]
         for batch in batches:
-            out = []
-            for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                parser, fault = _Cells(), None
-                try:
-                    parser.feed(page or "")
-                    parser.finish()
-                except AssertionError as error:  # the standard parser's answer to some broken declarations
-                    parser.rows, fault = [], f"parse error: {error}"
-                if not parser.rows:
-                    out.append((url, None, None, None, None, None, None, fault or ("missing page" if not page else "no table found")))
-                heads: dict[tuple, dict[int, str]] = {}
-                lines: dict[tuple, list] = {}
-                for table_id, table, row, col, _, text, href, _, indented in parser.rows:
-                    if row == 0:
-                        heads.setdefault((table_id, table), {})[col] = text
-                    else:
-                        lines.setdefault((table_id, table, row), []).append((col, text, href, indented))
-                for (table_id, table, row), line in lines.items():
-                    known = heads.get((table_id, table), {})
-                    named = [(known[col], text) for col, text, _, _ in line if col in known]
-                    if named and not all(h == t for h, t in named):
-                        first = next(((href, indented) for col, _, href, indented in line if col == 0), (None, None))
-                        out.append((url, table_id, table, row, *first, dict(sorted(named)), None))
+            out = [r for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True) for r in _page_rows(url, html)]
             cols = list(zip(*out, strict=True)) or [[] for _ in fields]
             yield pa.RecordBatch.from_arrays([pa.array([list(x.items()) if isinstance(x, dict) else x for x in c], t) for c, t in zip(cols, types, strict=True)], names=[f for f, _ in fields])
 
@@ -181,24 +415,43 @@ def plays(cell_rows: DataFrame) -> DataFrame:
     return wide(cell_rows.where(F.col("table_id") == "play_by_play"), columns).select(T.game_id("url").alias("game_id"), F.col("row_idx").cast("long").alias("seq"), *columns.values())
 
 
-def games(pages: DataFrame) -> DataFrame:
-    """Facts of the page's head and score box, by patterns over its HTML."""
-    html = F.coalesce("html", F.lit(""))
-    team = lambda i: F.get(F.regexp_extract_all(html, F.lit(r"/teams/([A-Z]{3})/"), F.lit(1)), F.lit(i))
-    score = lambda i: F.get(F.regexp_extract_all(html, F.lit(r'class="score"[^>]*>\s*(\d+)'), F.lit(1)), F.lit(i)).try_cast("int")
-    title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
-    line = F.regexp_extract(html, r'(?is)<table[^>]*(?:linescore|line_score)[^>]*>(.*?)</table>', 1)
-    heads = F.transform(F.regexp_extract_all(line, F.lit(r"(?is)<th[^>]*>(.*?)</th>"), F.lit(1)), lambda h: F.regexp_replace(h, "<[^>]*>", ""))
-    base = pages.select(T.game_id("url").alias("game_id"), M.long_date(html).alias("game_date"), M.start_time(F.regexp_extract(html, r"(?is)Start Time:?\s*([^<]*)", 1)).alias("game_time"), team(0).alias("away_team"), team(1).alias("home_team"), score(0).alias("runs_away_team"), score(1).alias("runs_home_team"), M.venue(F.regexp_extract(html, r"(?is)<strong>\s*Venue\s*</strong>([^<]*)", 1)).alias("venue"), M.is_playoff(title).alias("is_playoff"), M.playoff_round(title).alias("playoff_round"), M.innings_played(heads, F.lit(0), title).alias("innings_played"))
+def _facts(table_rows: DataFrame, url_column: Column) -> DataFrame:
+    return table_rows.where(F.col("table_id") == FACTS).select(url_column, "cells")
+
+
+def _fact(name: str) -> Column:
+    return F.try_element_at("cells", F.lit(name))
+
+
+def _lines(name: str) -> Column:
+    """All texts of a fact, in page order."""
+    return F.split(F.coalesce(_fact(name), F.lit("")), "\n")
+
+
+def games(table_rows: DataFrame) -> DataFrame:
+    """Facts of games, out of rows(): teams, scores, place and time from the score box, innings from the line score."""
+    team, score = (lambda i, n=n: F.when(F.size(_lines(n)) >= 2, F.get(_lines(n), F.lit(i))) for n in ("team", "score"))
+    title, starts = F.coalesce(_fact("title"), F.lit("")), F.filter(_lines("meta"), lambda x: x.contains("Start Time:"))
+    day = F.array_compact(F.transform(_lines("meta"), M.long_date))
+    heads, line_cells = _lines("inning"), F.coalesce(_fact("line_cells").try_cast("int"), F.lit(0))
+    said = F.concat(F.coalesce(_fact("said"), F.lit("")), F.lit(" inning"))
+    base = _facts(table_rows, T.game_id("url").alias("game_id")).select(
+        "game_id", F.get(day, F.lit(0)).alias("game_date"), M.start_time(F.get(starts, F.lit(0))).alias("game_time"), team(0).alias("away_team"), team(1).alias("home_team"),
+        score(0).try_cast("int").alias("runs_away_team"), score(1).try_cast("int").alias("runs_home_team"), M.venue(F.get(_lines("near box Venue"), F.lit(0))).alias("venue"),
+        M.is_playoff(title).alias("is_playoff"), M.playoff_round(title).alias("playoff_round"), M.innings_played(heads, line_cells, said).alias("innings_played"),
+    )
     sides = (F.col("home_team"), F.col("away_team"), F.col("runs_home_team"), F.col("runs_away_team"))
     return base.withColumns({"season": F.year("game_date"), "winner": M.winner(*sides), "loser": M.loser(*sides)})
 
 
-def bios(pages: DataFrame) -> DataFrame:
-    """Facts of player pages; the birth date's attribute first, then its text."""
-    html = F.coalesce("html", F.lit(""))
-    plain = F.regexp_replace(html, "<[^>]*>", " ")
-    label = lambda name: F.regexp_extract(plain, rf"{name}:\s*(\w+)", 1)
-    born = F.coalesce(F.regexp_extract(html, r'data-birth="(\d{4}-\d{2}-\d{2})"', 1).try_cast("date"), M.long_date(F.regexp_extract(plain, r"Born:\s*(.{0,60})", 1)))
-    name = F.nullif(F.trim(F.regexp_extract(html, r"(?is)<h1[^>]*>\s*<span[^>]*>(.*?)</span>", 1)), F.lit(""))
-    return pages.select(T.player_id("url").alias("player_id"), name.alias("full_name"), M.hand(label("Bats")).alias("bats"), M.hand(label("Throws")).alias("throws"), born.alias("birth_date"), M.long_date(F.regexp_extract(plain, r"Debut:\s*(.{0,60})", 1)).alias("debut_date"), M.height_inches(plain).alias("height_inches"), M.weight_pounds(plain).alias("weight_lbs"))
+def bios(table_rows: DataFrame) -> DataFrame:
+    """Facts of player pages, out of rows(): texts of their labels, also of labels without an element of their own."""
+    first = lambda name: F.nullif(F.trim(F.get(_lines(name), F.lit(0))), F.lit(""))
+    about = F.coalesce(_fact("about"), F.lit(""))
+    said = lambda name: F.nullif(F.regexp_extract(about, rf"{name}:\s*(.{{0,60}})", 1), F.lit(""))
+    label = lambda *names: F.coalesce(*(first(f"near {n}") for n in names), F.regexp_extract(said(names[0]), r"^(\w+)", 1))
+    day = lambda *names: F.coalesce(*(M.long_date(first(f"all {n}")) for n in names), M.long_date(said(names[0])))
+    return _facts(table_rows, T.player_id("url").alias("player_id")).select(
+        "player_id", first("name").alias("full_name"), M.hand(label("Bats", "Bat")).alias("bats"), M.hand(label("Throws", "Throw")).alias("throws"), F.coalesce(first("born").try_cast("date"), day("Born")).alias("birth_date"),
+        day("Debut", "MLB Debut").alias("debut_date"), M.height_inches(about).alias("height_inches"), M.weight_pounds(about).alias("weight_lbs"),
+    )

@@ -96,7 +96,7 @@ def test_namesakes_and_broken_pages(spark, tmp_path):
     assert kept.tables
     kept.release()
     counts = {r["table_name"]: r["n"] for r in season.store(pages, str(tmp_path / "store"), least=100).collect()}
-    assert counts["games"] == 2 and counts["page_errors"] == 3 and counts["batting"] == 6
+    assert counts["games"] == 2 and counts["page_errors"] == 3 and counts["batting_appearances"] == 6
 
 
 def test_rows_are_not_shuffled(spark):

@@ -47,23 +47,6 @@ def test_publish_puts_the_old_table_back(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(path).count() == 3
 
 
-def test_commit_is_all_or_nothing(spark, tmp_path):
-    root = str(tmp_path / "store")
-    parents = (("plays", "games", "game_id"),)
-    games, plays = spark.range(3).withColumnRenamed("id", "game_id"), spark.range(6).selectExpr("id % 3 AS game_id", "id AS seq")
-    assert {tuple(r) for r in K.commit(spark, {"games": games, "plays": plays}, root, parents).collect()} == {("games", 3), ("plays", 6)}
-    with pytest.raises(ValueError, match="rows of plays"):
-        K.commit(spark, {"games": games.limit(1), "plays": plays}, root, parents)
-    with pytest.raises(Exception, match="bad"):
-        K.commit(spark, {"games": games.limit(1), "plays": plays.selectExpr("game_id", "raise_error('bad') AS seq")}, root, parents)
-    seen = K.current(spark, root, "games", "plays")
-    assert seen["games"].count() == 3 and seen["plays"].count() == 6
-    K.commit(spark, {"games": games.limit(1), "plays": plays.where("game_id = 7")}, root, parents)
-    assert K.current(spark, root, "games")["games"].count() == 1 and seen["games"].count() == 3
-    K.forget(spark, root)
-    assert len([p for p in (tmp_path / "store").iterdir() if p.name.startswith("v-")]) == 1
-
-
 def test_stream_takes_each_game_once(spark, tmp_path):
     day = datetime.datetime(2024, 4, 2)
     rows = [("https://x.test/boxes/BBB/BBB202404010.shtml", "a", day), ("https://x.test/boxes/BBB/BBB202404010.shtml", "b", day), ("https://x.test/boxes/BBB/BBB202404020.shtml", "c", day)]
