@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,10 +18,11 @@ from .operators import quality as Q
 from .operators import reconcile as R
 from .operators import stats as S
 from .operators import store as K
+from .operators import versions as V
 from .plans import bridge as B
 from .plans import explorer as X
 from .plans import reports as RP
-from .session import table
+from .session import shared_folder, table
 from .sources import box_pages as HP
 from .sources import cache as C
 from .sources import schedule as D
@@ -633,8 +635,11 @@ def catalog_overview(spark, sf):
 
 @query("sql_passthrough", "SELECT venue, count(*) AS n FROM games GROUP BY venue")
 def sql_passthrough(spark, sf):
-    X.register({"dugout_games": B.games(spark, sf)})
-    return X.sql(spark, "SELECT venue, count(*) AS n FROM dugout_games GROUP BY venue")
+    name = f"games_{uuid.uuid4().hex}"
+    X.register({name: B.games(spark, sf)})
+    out = X.sql(spark, f"SELECT venue, count(*) AS n FROM {name} GROUP BY venue")
+    spark.catalog.dropTempView(name)  # the plan is made; no view stays in the session
+    return out
 
 
 _BEFORE = ", ".join(f"CAST(sum({c}) OVER (PARTITION BY player_id ORDER BY game_date, game_id ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) AS BIGINT) AS L{k}_{c}" for k in (5, 10, 15) for c in ("PA", "AB", "H", "HR"))
@@ -743,3 +748,91 @@ def player_bios(spark, sf):
     html = F.concat(F.lit("<h1><span>Ann Lee</span></h1><p><strong>Bats: </strong>"), hand, F.lit(" <strong>Throws: </strong>Left</p><p>6-2, 200lb</p><span id='necro-birth' data-birth=\"1990-02-03\">Born: January 1, 1980</span><p>Debut: April 1, 2014</p>"))
     pages = table(spark, sf, "pages").select(F.concat(F.lit("https://x.test/players/x/x"), number, F.lit(".shtml")).alias("url"), html.alias("html"))
     return HP.bios(HP.rows(pages)).withColumns({c: F.col(c).cast("string") for c in ("birth_date", "debut_date")})
+
+
+#: Two batches of the given tables: games are replaced by later ones, lines stay as they came first.
+_BATCHES = {
+    "games": V.Keyed(("game_id",), "game_id % 7", "new", owner="game_id"),
+    "lines": V.Keyed(("game_id", "player_id", "row_idx"), "game_id % 7", "old", (("games", "game_id"),), "game_id"),
+}
+
+
+def _stored(spark, sf, name):
+    """A store of two batches: games up to 1998 with the lines of row 1, then games from 1998 with another venue and the lines of rows 1 and 2."""
+    games, lines = B.games(spark, sf).select("game_id", "season", "venue"), B.batting(spark, sf).groupBy("game_id", "player_id", "row_idx").agg(F.sum("H").alias("H"))
+    store = V.Store(spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", _BATCHES)
+    of = lambda g, most, more: {"games": g, "lines": lines.where(F.col("row_idx") <= most).withColumn("H", F.col("H") + more).join(g.select("game_id"), "game_id", "left_semi")}
+    first, second = of(games.where("season <= 1998"), 1, 0), of(games.where("season >= 1998").withColumn("venue", F.concat("venue", F.lit("!"))), 2, 1000)
+    store.merge(first, ("trial", 0))
+    store.merge(second, ("trial", 1))
+    store.merge(first, ("trial", 0))  # comes again, as after a failure, and changes nothing
+    return store
+
+
+_STORED_SQL = """, sg AS (SELECT game_id, season, CASE WHEN season >= 1998 THEN venue || '!' ELSE venue END AS venue FROM games),
+    ll AS (SELECT game_id, player_id, row_idx, CAST(sum(H) AS BIGINT) AS H FROM batting GROUP BY ALL),
+    sl AS (SELECT game_id, player_id, row_idx, CASE WHEN row_idx = 1 AND season <= 1998 THEN H ELSE H + 1000 END AS H FROM ll JOIN games USING (game_id) WHERE row_idx = 1 OR row_idx = 2 AND season >= 1998)"""
+
+
+@query("store_two_batches", f"""{_STORED_SQL} SELECT sg.game_id, sg.venue, count(sl.player_id) AS n_lines, CAST(coalesce(sum(sl.H), 0) AS BIGINT) AS H FROM sg LEFT JOIN sl USING (game_id) GROUP BY ALL""")
+def store_two_batches(spark, sf):
+    """What a store holds after two batches and a replay."""
+    store = _stored(spark, sf, "store-two-batches")
+    lines = store.read("lines").groupBy("game_id").agg(F.count("*").alias("n_lines"), F.sum("H").alias("H"))
+    return store.read("games").join(lines, "game_id", "left").select("game_id", "venue", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("H", F.lit(0)).cast("long").alias("H"))
+
+
+@query("store_deletes", f"""{_STORED_SQL} SELECT 'games' AS table_name, game_id % 7 AS part, count(*) AS n FROM sg WHERE season <> 1996 AND game_id % 7 <> 3 GROUP BY ALL
+    UNION ALL SELECT 'lines', game_id % 7, count(*) FROM sl JOIN sg USING (game_id) WHERE season <> 1996 AND game_id % 7 <> 3 GROUP BY ALL""")
+def store_deletes(spark, sf):
+    """The rows that stay after a season's games are hidden and a partition has left the manifest."""
+    store = _stored(spark, sf, "store-deletes")
+    store.delete(B.games(spark, sf).where("season = 1996").select("game_id"))
+    store.delete_partition("3")
+    one = lambda name: store.read(name).groupBy((F.col("game_id") % 7).alias("part")).agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "part", "n")
+    return one("games").unionByName(one("lines"))
+
+
+_MENU = "<nav><a href='/teams/NYY/2024'>x</a><a href='/teams/BOS/2024'>y</a><div class='score'>99</div><strong>Venue</strong>: Menu</nav>"
+
+
+def _boxed(spark, sf):
+    """Each page's own HTML behind a score box of its number, menus and boxes of other games around it; quotes, nesting and breaks vary."""
+    n, d = F.col("page_id").cast("string"), F.col("page_id")
+    code = F.concat(F.lit("T"), F.chr(65 + d % 26), F.chr(65 + (d + 7) % 26))
+    first = F.when(d % 3 == 0, F.concat(F.lit("<div class='scorebox'><div><strong><a href='/teams/"), code, F.lit("/2024.shtml'>A</a></strong><div class='score'>"), (d % 10).cast("string"), F.lit("</div></div>")))
+    first = first.when(d % 3 == 1, F.concat(F.lit('<div id=x class="wide scorebox"><div><span><a class=t href="/teams/'), code, F.lit('/2024.shtml">A</a></span><div class="big score"> '), (d % 10).cast("string"), F.lit("<br></div></div>")))
+    first = first.otherwise(F.concat(F.lit("<DIV CLASS=scorebox><div><a href=/teams/"), code, F.lit("/>A</a><div class=score><b>"), (d % 10).cast("string"), F.lit("</b></div></div>")))
+    rest = F.concat(
+        F.lit("<div><a href='/teams/HOM/2024.shtml'>B</a><div class='score'>"), (d % 7).cast("string"), F.lit("</div></div><div class='scorebox_meta'><div>Monday, April "), (d % 28 + 1).cast("string"),
+        F.lit(", 2024</div><div>Start Time: 7:05 p.m. Local</div><div>Attendance: 1</div><div><strong>Venue</strong>: Park "), n, F.lit("</div></div></div><div class='scorebox'><a href='/teams/ZZZ/1'>z</a><div class='score'>98</div></div>"),
+        F.lit("<table class='x linescore'><thead><tr><th rowspan=2></th><th colspan=9>Innings</th></tr><tr><th>1</th><th>9</th><th>"), F.when(d % 5 == 0, "12").otherwise("R"), F.lit("</th></tr></thead></table>"),
+    )
+    html = F.concat(F.lit(f"<html><head><title>A at B</title></head><body>{_MENU}"), first, rest, F.coalesce("html", F.lit("")), F.lit("</body></html>"))
+    return table(spark, sf, "pages").select(F.concat(F.lit("https://x.test/boxes/HOM/HOM2024"), F.lpad(n, 5, "0"), F.lit(".shtml")).alias("url"), html.alias("html"))
+
+
+@query("page_facts", """SELECT 'HOM2024' || lpad(CAST(page_id AS VARCHAR), 5, '0') AS game_id, '2024-04-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS game_date, '7:05 PM' AS game_time, 'HOM' AS home_team,
+    'T' || chr(CAST(65 + page_id % 26 AS INT)) || chr(CAST(65 + (page_id + 7) % 26 AS INT)) AS away_team, CAST(page_id % 7 AS INT) AS runs_home_team, CAST(page_id % 10 AS INT) AS runs_away_team, 'Park ' || page_id AS venue, CASE WHEN page_id % 5 = 0 THEN 12 ELSE 9 END AS innings_played,
+    CASE WHEN page_id % 7 > page_id % 10 THEN 'HOM' WHEN page_id % 7 < page_id % 10 THEN 'T' || chr(CAST(65 + page_id % 26 AS INT)) || chr(CAST(65 + (page_id + 7) % 26 AS INT)) END AS winner FROM pages""", False)
+def page_facts(spark, sf):
+    """Facts from the score box of each page, whatever its menus and other boxes say."""
+    names = ("game_id", "game_date", "game_time", "home_team", "away_team", "runs_home_team", "runs_away_team", "venue", "innings_played", "winner")
+    return HP.games(HP.rows(_boxed(spark, sf))).select(*names).withColumn("game_date", F.col("game_date").cast("string"))
+
+
+@query("html_grid", """WITH p AS (SELECT page_id, page_id % 3 + 1 AS w, page_id % 2 + 1 AS h FROM pages), r AS (SELECT page_id, w, h, i FROM p, unnest(range(1, 5)) AS u(i))
+    SELECT page_id, i AS line, CASE WHEN i <= h THEN 'tall' ELSE 'n' || i END AS name, CASE WHEN i = 3 THEN 'wide' ELSE 'a' || i END AS ab, CASE WHEN i = 3 AND w >= 2 THEN 'wide' WHEN i = 3 THEN 'h3' ELSE 'h' || i END AS hits,
+    CASE WHEN i = 3 AND w >= 3 THEN 'wide' WHEN i = 3 THEN 'r3' ELSE 'r' || i END AS runs FROM r""", False)
+def html_grid(spark, sf):
+    """Tables with headings over two rows, and cells that span one to three columns or one or two rows."""
+    w, h = F.col("page_id") % 3 + 1, F.col("page_id") % 2 + 1
+    spans = lambda name, n: F.concat(F.lit(f" {name}="), n.cast("string"))
+    name = lambda i: F.when(F.lit(i) == 1, F.concat(F.lit("<td"), spans("rowspan", h), F.lit(">tall</td>"))).when((F.lit(i) == 2) & (h == 2), "").otherwise(f"<td>n{i}</td>")
+    plain = lambda i: F.lit(f"<td>a{i}</td><td>h{i}</td><td>r{i}</td>")
+    wide = F.concat(F.lit("<td"), spans("colspan", w), F.lit(">wide</td>"), F.when(w == 1, "<td>h3</td><td>r3</td>").when(w == 2, "<td>r3</td>").otherwise(""))
+    lines = [F.concat(F.lit("<tr>"), name(i), wide if i == 3 else plain(i), F.lit("</tr>")) for i in range(1, 5)]
+    head = F.lit("<table id='grid'><thead><tr><th rowspan='2'>Name</th><th colspan='3'>Batting</th></tr><tr><th>AB</th><th>H</th><th>R</th></tr></thead><tbody>")
+    pages = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("url"), F.concat(head, *lines, F.lit("</tbody></table>"), F.coalesce("html", F.lit(""))).alias("html"))
+    rows = HP.wide(HP.rows(pages).where("table_id = 'grid'"), {"Name": "name", "AB": "ab", "H": "hits", "R": "runs"})
+    return rows.select(F.col("url").cast("long").alias("page_id"), (F.col("row_idx") - 1).cast("long").alias("line"), "name", "ab", "hits", "runs")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +25,17 @@ def build_session(app: str = "dugout", master: str | None = None, shuffle_partit
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which the driver and all executors share; in local mode it may be this machine's own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One parquet table of a data folder, through Spark's readers (any file system)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -289,6 +289,7 @@ class Page(HTMLParser):
         self.close()
         self.open.clear()
         self._close()
+        self._end_labels(0)
         self.done += reversed(self.tables)
         self.tables = []
 

@@ -15,7 +15,7 @@ def test_create_makes_every_table_once(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS dugout_test")
     for _ in range(2):
         schemas.create(spark, "dugout_test")
-    made = {t.name for t in spark.catalog.listTables("dugout_test")}
+    made = {t.name for t in spark.catalog.listTables("dugout_test") if not t.isTemporary}
     assert made == set(schemas.TABLES)
     assert spark.table("dugout_test.games").schema["season"].dataType.simpleString() == "int"
     spark.sql("DROP DATABASE dugout_test CASCADE")
