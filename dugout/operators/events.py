@@ -64,7 +64,7 @@ def outs_machine(events: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 #: The bases that texts name, and the rules that put the batter on first without a hit.
-BASES = {"2nd": 2, "2b": 2, "second": 2, "3rd": 3, "3b": 3, "third": 3, "home": 4}
+BASES = {"1st": 1, "1b": 1, "first": 1, "2nd": 2, "2b": 2, "second": 2, "3rd": 3, "3b": 3, "third": 3, "home": 4, "hm": 4}
 REACHED = ("hit_by_pitch", "error", "interference", "strikeout_reached")
 
 
@@ -113,11 +113,14 @@ def base_machine(events: DataFrame, seq: str = "seq") -> DataFrame:
     return games.select("game_id", F.inline(F.aggregate("plays", start, step, lambda s: s["done"])))
 
 
-def runner_moves(description: str) -> Column:
-    """array<struct<kind, runner, to_base>> of a description's steals, caught steals and runs, in this order."""
+def runner_moves(description: str, advances: bool = False) -> Column:
+    """array<struct<kind, runner, to_base>> of a description's steals, caught steals and runs, in this order; with `advances`
+    then those who go on to a base and those put out at one."""
     name = r"([A-Z][\w.'-]*(?: [A-Z][\w.'-]*)*)"
     to = r"(2nd|2B|[Ss]econd|3rd|3B|[Tt]hird|[Hh]ome)"
-    kinds = (("steal", rf"{name} [Ss]teals {to}"), ("caught", rf"{name} [Cc]aught [Ss]tealing {to}"), ("run", rf"{name} [Ss]cores()"))
+    kinds = [("steal", rf"{name} [Ss]teals {to}"), ("caught", rf"{name} [Cc]aught [Ss]tealing {to}"), ("run", rf"{name} [Ss]cores()")]
+    if advances:
+        kinds += [("advance", rf"{name} to (1B|1st|[Ff]irst|2nd|2B|[Ss]econd|3rd|3B|[Tt]hird)\b"), ("out", rf"{name} [Oo]ut at (1B|2nd|2B|[Ss]econd|3rd|3B|[Tt]hird|[Hh]ome|Hm)")]
 
     def found(kind: str, pattern: str) -> Column:
         both = F.arrays_zip(F.regexp_extract_all(description, F.lit(pattern), F.lit(1)).alias("r"), F.regexp_extract_all(description, F.lit(pattern), F.lit(2)).alias("b"))
@@ -150,8 +153,99 @@ def event_totals(events: DataFrame, by: tuple[str, ...] = ("game_id",)) -> DataF
     return events.groupBy(*by).agg(F.count("*").alias("events"), *(F.count_if(c).alias(n) for n, c in flags.items()), hit("double").alias("doubles"), hit("triple").alias("triples"), hit("home_run").alias("home_runs"))
 
 
-def player_totals(events: DataFrame, runners: DataFrame) -> DataFrame:
-    """Per game and player: times at bat, hits, runs, steals and caught steals, from plays and runners together."""
-    bats = events.select("game_id", F.col("batter_name").alias("player"), F.col("is_at_bat").cast("int").alias("AB"), F.col("is_hit").cast("int").alias("H"), (F.col("hit_type") == "home_run").cast("int").alias("R"), F.lit(0).alias("SB"), F.lit(0).alias("CS"))
-    runs = runners.select("game_id", F.col("runner").alias("player"), F.lit(0).alias("AB"), F.lit(0).alias("H"), *((F.col("kind") == k).cast("int").alias(c) for k, c in (("run", "R"), ("steal", "SB"), ("caught", "CS"))))
-    return bats.unionByName(runs).groupBy("game_id", "player").agg(*(F.sum(c).alias(c) for c in ("AB", "H", "R", "SB", "CS")))
+#: Rules by which nobody is batted in, although runs may score.
+NOT_BATTED_IN = ("error", "strikeout_reached", "double_play", "strikeout_double_play", "strikeout")
+
+
+def transitions(events: DataFrame, seq: str = "seq") -> DataFrame:
+    """(game_id, seq, batter, runner, from_base, to_base, is_out, how, batted_in): everyone whose place a play changes.
+
+    Bases are 0 (at bat) to 4 (home). A play moves its batter and those who stand on the bases: a hit all by its bases, a walk
+    or a batter who reaches otherwise those who are forced, a double play takes the one on first. Then the moves that the text
+    names are looked up among them: a steal or an advance to a base, a run, a runner caught stealing or put out. from_base
+    is where he stood before the play, to_base where he stands after it, null for one who is out; how is the last thing that
+    moved him. If two end on one base, the one from further behind has it and the other, of whom the text says nothing, has
+    no to_base and is not out. A run is batted in by a plate appearance, unless by an error, a strikeout or a double play.
+    """
+    text = F.coalesce("description", F.lit("")) if "description" in events.columns else F.lit("")
+    rows = events.withColumn("_said", text)
+    free = F.coalesce(F.col("is_walk") | F.col("rule").isin(*REACHED), F.lit(False))
+    credited = F.coalesce(F.col("is_plate_appearance") & ~F.col("rule").isin(*NOT_BATTED_IN), F.lit(False)) if "is_plate_appearance" in events.columns else F.coalesce(~F.col("rule").isin(*NOT_BATTED_IN), F.lit(False))
+    outs, caught = outs_on_play(events), F.size(F.regexp_extract_all(F.lower(text), F.lit("(caught stealing)"), F.lit(1)))
+    double = F.coalesce(F.col("rule") == "double_play", F.lit(False))
+    play = F.struct(
+        F.col(seq).cast("bigint").alias("seq"), F.col("batter_name").alias("who"), F.coalesce("bases_reached", F.lit(0)).alias("reach"), outs.alias("outs"), free.alias("free"), double.alias("double"),
+        (double | (outs > caught)).alias("retired"), credited.alias("credited"), runner_moves("_said", advances=True).alias("moves"),
+    )
+    games = rows.groupBy("game_id").agg(F.sort_array(F.collect_list(play)).alias("plays"))
+    row = "struct<seq:bigint,batter:string,runner:string,from_base:int,to_base:int,is_out:boolean,how:string,batted_in:boolean>"
+    start = F.struct(F.expr("cast(array(null, null, null) as array<string>)").alias("bases"), F.lit(0).alias("outs"), F.expr(f"cast(array() as array<{row}>)").alias("done"))
+    target = F.create_map(*(F.lit(x) for pair in BASES.items() for x in pair))
+
+    def placed(p: Column, bases: Column) -> Column:
+        """Batter and runners, each with where the batter's action takes him."""
+        first, second = F.get(bases, F.lit(0)).isNotNull(), F.get(bases, F.lit(1)).isNotNull()
+
+        def one(who: Column, i: Column) -> Column:
+            forced = F.when(i == 0, 1).when(i == 1, 2).when(i == 2, F.when(first, 3).otherwise(2)).otherwise(F.when(first & second, 4).otherwise(3))
+            moved = F.when(p["free"], forced).when(p["reach"] > 0, F.least(i + p["reach"], F.lit(4))).when(i > 0, i)
+            gone = F.when(i == 0, p["retired"] & ~p["free"] & (p["reach"] == 0)).otherwise((i == 1) & p["double"])
+            return F.struct(who.alias("runner"), i.cast("int").alias("from_base"), F.when(~gone, moved).cast("int").alias("to_base"), gone.alias("is_out"), F.lit("bat").alias("how"))
+
+        return F.transform(F.concat(F.array(p["who"]), bases), one)
+
+    def named(now: Column, m: Column) -> Column:
+        """The runners after a move of the text; one who isn't there, is out, or is as far already stays."""
+        called = F.lower(m["runner"])
+        fits = F.transform(now, lambda r: F.coalesce(((F.lower(r["runner"]) == called) | F.lower(r["runner"]).endswith(F.concat(F.lit(" "), called))) & r["to_base"].isNotNull(), F.lit(False)))
+        at, out = F.array_position(fits, True).cast("int") - 1, m["kind"].isin("caught", "out")
+        to = F.when(m["kind"] == "run", 4).otherwise(F.try_element_at(target, m["to_base"]))
+
+        def one(r: Column, i: Column) -> Column:
+            goes = (i == at) & (out | F.coalesce(to > r["to_base"], F.lit(False)))
+            return F.struct(
+                r["runner"].alias("runner"), r["from_base"].alias("from_base"), F.when(goes, F.when(~out, to)).otherwise(r["to_base"]).cast("int").alias("to_base"), F.when(goes, out).otherwise(r["is_out"]).alias("is_out"),
+                F.when(goes, m["kind"]).otherwise(r["how"]).alias("how"),
+            )
+
+        return F.transform(now, one)
+
+    def step(state: Column, p: Column) -> Column:
+        moved = F.aggregate(p["moves"], placed(p, state["bases"]), named)
+
+        def ended(every: Column) -> Column:
+            there = F.filter(every, lambda r: r["runner"].isNotNull())
+            holder = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda base: F.array_min(F.transform(F.filter(there, lambda r: r["to_base"] == base), lambda r: r["from_base"])))
+            kept = lambda r: r["to_base"].isNull() | (r["to_base"] == 4) | (F.get(holder, r["to_base"] - 1) == r["from_base"])
+            settled = F.transform(there, lambda r: r.withField("to_base", F.when(kept(r), r["to_base"])))
+            told = F.filter(settled, lambda r: r["is_out"] | F.coalesce(r["to_base"] != r["from_base"], r["from_base"] > 0))
+            lines = F.transform(
+                told,
+                lambda r: F.struct(
+                    p["seq"].alias("seq"), p["who"].alias("batter"), r["runner"].alias("runner"), r["from_base"].alias("from_base"), r["to_base"].alias("to_base"), r["is_out"].alias("is_out"), r["how"].alias("how"),
+                    (F.coalesce(r["to_base"] == 4, F.lit(False)) & p["credited"]).alias("batted_in"),
+                ),
+            )
+            outs = state["outs"] + F.greatest(p["outs"], F.size(F.filter(told, lambda r: r["is_out"])))
+            bases = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda base: F.get(F.filter(settled, lambda r: r["to_base"] == base), F.lit(0))["runner"])
+            over = outs >= 3
+            return F.struct(F.when(over, F.expr("cast(array(null, null, null) as array<string>)")).otherwise(bases).alias("bases"), F.when(over, 0).otherwise(outs).cast("int").alias("outs"), F.concat(state["done"], lines).alias("done"))
+
+        return F.get(F.transform(F.array(moved), ended), F.lit(0))
+
+    return games.select("game_id", F.inline(F.aggregate("plays", start, step, lambda s: s["done"])))
+
+
+def credits(moved: DataFrame) -> DataFrame:
+    """(game_id, player, R, RBI, SB, CS) out of transitions(): runs to those who come home, runs batted in to the batter."""
+    count = lambda test: F.coalesce(test, F.lit(False)).cast("int")
+    runner = F.struct(F.col("runner").alias("player"), count(F.col("to_base") == 4).alias("R"), F.lit(0).alias("RBI"), count((F.col("how") == "steal") & ~F.col("is_out")).alias("SB"), count(F.col("how") == "caught").alias("CS"))
+    batter = F.struct(F.col("batter").alias("player"), F.lit(0).alias("R"), count(F.col("batted_in")).alias("RBI"), F.lit(0).alias("SB"), F.lit(0).alias("CS"))
+    return moved.select("game_id", F.inline(F.array(runner, batter))).groupBy("game_id", "player").agg(*(F.sum(c).cast("long").alias(c) for c in ("R", "RBI", "SB", "CS")))
+
+
+def player_totals(events: DataFrame, seq: str = "seq") -> DataFrame:
+    """Per game and player: times at bat, hits, runs, runs batted in, steals and caught steals, from flags and transitions."""
+    bats = events.groupBy("game_id", F.col("batter_name").alias("player")).agg(F.count_if("is_at_bat").alias("AB"), F.count_if("is_hit").alias("H"))
+    rest = credits(transitions(events, seq))
+    return bats.join(rest, ["game_id", "player"], "full_outer").fillna(0, ["AB", "H", "R", "RBI", "SB", "CS"])

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .functions import plays as P
@@ -836,3 +837,58 @@ def html_grid(spark, sf):
     pages = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("url"), F.concat(head, *lines, F.lit("</tbody></table>"), F.coalesce("html", F.lit(""))).alias("html"))
     rows = HP.wide(HP.rows(pages).where("table_id = 'grid'"), {"Name": "name", "AB": "ab", "H": "hits", "R": "runs"})
     return rows.select(F.col("url").cast("long").alias("page_id"), (F.col("row_idx") - 1).cast("long").alias("line"), "name", "ab", "hits", "runs")
+
+
+def _told(spark, sf):
+    """The plays with texts of every kind of move; steals and caught steals name the batter before."""
+    k, before = F.col("seq") % 10, F.coalesce(F.lag("batter_name").over(W.partitionBy("game_id").orderBy("seq")), F.lit("Nobody"))
+    said = F.get(F.array(*map(F.lit, ("Walk", "", "Single to CF", "Strikeout Swinging", "Reached on E6", "", "Double to LF", "Groundout: SS-1B", "Walk", "Home Run (Fly Ball)"))), k.cast("int"))
+    said = F.when(k == 1, F.concat(before, F.lit(" Steals 2B"))).when(k == 5, F.concat(before, F.lit(" Caught Stealing 2B (C-SS)"))).otherwise(said)
+    return P.classify(B.raw_plays(spark, sf).withColumn("description", said))
+
+
+_MOVED_SQL = B.SQL.replace("WITH games", "WITH RECURSIVE games", 1) + """, o AS (
+      SELECT game_id, seq, batter_name AS who, lag(batter_name) OVER w AS before, row_number() OVER w AS k, seq % 10 AS kind, seq % 10 IN (0, 4, 8) AS free, CASE seq % 10 WHEN 2 THEN 1 WHEN 6 THEN 2 WHEN 9 THEN 4 ELSE 0 END AS reach
+      FROM plays WINDOW w AS (PARTITION BY game_id ORDER BY seq)
+    ), r AS (
+      SELECT game_id, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS seq, CAST(0 AS BIGINT) AS kind, CAST('' AS VARCHAR) AS who, CAST(NULL AS VARCHAR) AS p1, CAST(NULL AS VARCHAR) AS p2, CAST(NULL AS VARCHAR) AS p3,
+             CAST(NULL AS INT) AS t0, CAST(NULL AS INT) AS t1, CAST(NULL AS INT) AS t2, CAST(NULL AS INT) AS t3, CAST(NULL AS INT) AS named, CAST(NULL AS VARCHAR) AS a1, CAST(NULL AS VARCHAR) AS a2, CAST(NULL AS VARCHAR) AS a3, 0 AS outs
+      FROM o GROUP BY game_id
+      UNION ALL
+      SELECT game_id, k, seq, kind, who, p1, p2, p3, t0, t1, t2, t3, named,
+             CASE WHEN total >= 3 THEN NULL WHEN t0 = 1 THEN who WHEN t1 = 1 THEN p1 END, CASE WHEN total >= 3 THEN NULL WHEN t0 = 2 THEN who WHEN t1 = 2 THEN p1 WHEN t2 = 2 THEN p2 END,
+             CASE WHEN total >= 3 THEN NULL WHEN t0 = 3 THEN who WHEN t1 = 3 THEN p1 WHEN t2 = 3 THEN p2 WHEN t3 = 3 THEN p3 END, CASE WHEN total >= 3 THEN 0 ELSE total END
+      FROM (
+        SELECT *, outs + (kind IN (3, 5, 7))::INT AS total,
+               CASE WHEN named = 1 AND kind = 5 THEN NULL WHEN named = 1 THEN greatest(m1, 2) ELSE m1 END AS t1, CASE WHEN named = 2 AND kind = 5 THEN NULL ELSE m2 END AS t2, CASE WHEN named = 3 AND kind = 5 THEN NULL ELSE m3 END AS t3
+        FROM (
+          SELECT o.game_id, o.k, o.seq, o.kind, o.who, r.a1 AS p1, r.a2 AS p2, r.a3 AS p3, r.outs,
+                 CASE WHEN o.free THEN 1 WHEN o.reach > 0 THEN o.reach END AS t0,
+                 CASE WHEN r.a1 IS NULL THEN NULL WHEN o.free THEN 2 ELSE least(1 + o.reach, 4) END AS m1,
+                 CASE WHEN r.a2 IS NULL THEN NULL WHEN o.free THEN CASE WHEN r.a1 IS NULL THEN 2 ELSE 3 END ELSE least(2 + o.reach, 4) END AS m2,
+                 CASE WHEN r.a3 IS NULL THEN NULL WHEN o.free THEN CASE WHEN r.a1 IS NULL OR r.a2 IS NULL THEN 3 ELSE 4 END ELSE least(3 + o.reach, 4) END AS m3,
+                 CASE WHEN o.kind NOT IN (1, 5) THEN NULL WHEN r.a1 = o.before THEN 1 WHEN r.a2 = o.before THEN 2 WHEN r.a3 = o.before THEN 3 END AS named
+          FROM r JOIN o ON o.game_id = r.game_id AND o.k = r.k + 1
+        )
+      )
+    ), moved AS (
+      SELECT game_id, seq, who AS batter, who AS runner, 0 AS from_base, t0 AS to_base, t0 IS NULL AS is_out, 'bat' AS how, t0 = 4 AS batted_in FROM r WHERE k > 0 AND (t0 IS NOT NULL OR kind IN (3, 7))
+      UNION ALL SELECT game_id, seq, who, p1, 1, t1, t1 IS NULL, CASE WHEN named = 1 THEN CASE kind WHEN 1 THEN 'steal' ELSE 'caught' END ELSE 'bat' END, t1 = 4 AND kind <> 4 FROM r WHERE k > 0 AND p1 IS NOT NULL AND t1 IS DISTINCT FROM 1
+      UNION ALL SELECT game_id, seq, who, p2, 2, CASE WHEN t1 = 2 AND t2 = 2 THEN NULL ELSE t2 END, t2 IS NULL, CASE WHEN named = 2 AND kind = 5 THEN 'caught' ELSE 'bat' END, t2 = 4 AND kind <> 4 FROM r WHERE k > 0 AND p2 IS NOT NULL AND (t2 IS DISTINCT FROM 2 OR t1 = 2)
+      UNION ALL SELECT game_id, seq, who, p3, 3, t3, t3 IS NULL, CASE WHEN named = 3 AND kind = 5 THEN 'caught' ELSE 'bat' END, t3 = 4 AND kind <> 4 FROM r WHERE k > 0 AND p3 IS NOT NULL AND t3 IS DISTINCT FROM 3
+    )"""
+
+
+@query("base_transitions", f"{_MOVED_SQL} SELECT game_id, seq, batter, runner, from_base, to_base, is_out, how, coalesce(batted_in, FALSE) AS batted_in FROM moved", False)
+def base_transitions(spark, sf):
+    """Who moved from where to where on each play: hits, forced runners, errors, steals and caught steals."""
+    return E.transitions(_told(spark, sf))
+
+
+@query("scoring_credits", f"""{_MOVED_SQL}, c AS (SELECT game_id, runner AS player, (to_base = 4)::INT AS R, 0 AS RBI, (how = 'steal')::INT AS SB, (how = 'caught')::INT AS CS FROM moved UNION ALL SELECT game_id, batter, 0, batted_in::INT, 0, 0 FROM moved),
+    t AS (SELECT game_id, player, CAST(coalesce(sum(R), 0) AS BIGINT) AS R, CAST(coalesce(sum(RBI), 0) AS BIGINT) AS RBI, CAST(sum(SB) AS BIGINT) AS SB, CAST(sum(CS) AS BIGINT) AS CS FROM c GROUP BY ALL),
+    b AS (SELECT game_id, who AS player, count(*) FILTER (WHERE kind IN (2, 3, 4, 6, 7, 9)) AS AB, count(*) FILTER (WHERE kind IN (2, 6, 9)) AS H FROM o GROUP BY ALL)
+    SELECT game_id, player, coalesce(AB, 0) AS AB, coalesce(H, 0) AS H, coalesce(R, 0) AS R, coalesce(RBI, 0) AS RBI, coalesce(SB, 0) AS SB, coalesce(CS, 0) AS CS FROM b FULL OUTER JOIN t USING (game_id, player)""", False)
+def scoring_credits(spark, sf):
+    """Runs, runs batted in and steals of each player out of the transitions, beside his times at bat and hits."""
+    return E.player_totals(_told(spark, sf))
