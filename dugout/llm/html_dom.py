@@ -12,26 +12,32 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections.abc import Iterator
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>|<[a-zA-Z/!?][^>]*(?:>|\Z)""", re.S)
+#: Comments, also the empty ones that close at once; tags, in whose attributes a quote only opens a value behind "="; and what
+#: else browsers skip: declarations, and tags that the page's end cuts off.
+_TAG = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)*+)>|<[a-zA-Z/!?][^>]*(?:>|\Z)""", re.S)
+_VALUE_AT_END = re.compile(r"""=\s*+[^\s"'>][^\s>]*+\Z""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _ATTR = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop|aria-label|data-component)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style head template iframe svg select datalist title".split())
-INLINE = frozenset(
-    "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var "
-    "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover semantics annotation".split()
-)
+SILENT = frozenset("script style head template iframe select datalist title".split())
 CLOSES_P = frozenset("address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: Elements that stand on lines of their own; all others, unknown ones too, lie inside a line.
+BLOCKS = CLOSES_P | CLOSES.keys() | frozenset("html body tbody thead tfoot caption colgroup optgroup legend button textarea object video audio canvas noscript dialog search br hr".split())
+#: Elements of other languages, which a slash at the end of their tag closes.
+FOREIGN = frozenset("svg math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover semantics annotation".split())
 WALLS = frozenset("html body div article section main td th table ul ol dl aside nav header footer form blockquote figure".split())
 #: Walls for the elements that end one by themselves; rows and cells end one another across cells.
 CELL_WALLS = WALLS - {"td", "th"}
 #: Where skipping an element ends: behind its end tag, or before a tag that cannot be inside it.
 _ENDS = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in SILENT}
 _ENDS["head"] = re.compile(r"</head\b[^>]*>|(?=<body\b)", re.I)
-_ENDS["svg"] = re.compile(r"</svg\b[^>]*>|(?=<(?:body|blockquote|br|center|code|dd|div|dl|dt|em|h[1-6]|hr|img|li|ol|p|pre|span|strong|table|ul|article|section|main)\b)", re.I)
+_SVG_END = re.compile(r"</svg\b[^>]*>|(?=<(?:body|blockquote|br|center|code|dd|div|dl|dt|em|h[1-6]|hr|img|li|ol|p|pre|span|strong|table|ul|article|section|main)\b)", re.I)
+#: What a drawing shows as text.
+_SVG_TEXT = re.compile(r"<(text|foreignobject)\b[^>]*>(.*?)</\1\s*>", re.I | re.S)
 TAGS = {t: i for i, ts in enumerate(("div section span body html center", "article main", "nav menu", "header", "footer", "aside", "form fieldset button label input textarea", "ul ol dl", "li dt dd", "p pre blockquote", "h1 h2 h3 h4 h5 h6", "table tbody thead tr td th", "#text")) for t in ts.split()}
 N_TAGS = 14
 #: What words in class, id and role attributes say.
@@ -40,18 +46,20 @@ TOKENS = {
     for i, ws in enumerate((
         "article content post entry main story body text prose maincontent articlebody postbody",
         "nav menu navbar navigation breadcrumb breadcrumbs pagination pager tabs toc sitemap topnav",
-        "header masthead top banner branding logo topbar",
-        "footer foot copyright colophon legal bottom contentinfo",
-        "sidebar side aside rail widget widgets related recommended complementary trending popular more",
+        "header masthead banner branding logo topbar",
+        "footer foot copyright colophon contentinfo",
+        "sidebar aside widget widgets related recommended trending",
         "ad ads advert adverts advertisement sponsor sponsored promo promotion adsense dfp taboola outbrain",
-        "cookie cookies notice consent gdpr alert popup modal overlay message warning notification",
-        "comment comments reply replies respond response responses discussion disqus commentlist feedback",
-        "form search login signup subscribe newsletter subscription register searchbox contact",
-        "share social sharing follow tools toolbar byline meta tags author",
+        "cookie cookies notice consent gdpr popup modal overlay",
+        "comment comments replies discussion disqus commentlist feedback",
+        "form search login signup subscribe newsletter subscription register searchbox",
+        "share social sharing follow toolbar byline",
+        # words that an article's own parts have as often as what stands around it: alone they decide nothing
+        "top side bottom rail more popular complementary legal alert message warning notification reply respond response responses contact tools meta tags author",
     ))
     for w in ws.split()
 }
-N_TOKENS = 10
+N_TOKENS = 11
 N_BASE = 22
 IN_TAGS = ("article", "nav", "footer", "header", "aside", "form")
 N_FEATURES = N_BASE + N_TAGS + 2 * N_TOKENS + len(IN_TAGS)
@@ -59,6 +67,11 @@ N_FEATURES = N_BASE + N_TAGS + 2 * N_TOKENS + len(IN_TAGS)
 _seen: dict[str, int] = {}
 
 
+def _closes_itself(tag: str, attributes: str) -> bool:
+    """Whether a slash ends the element at once: only in FOREIGN, and not where the slash belongs to a value without quotes."""
+    return tag in FOREIGN and attributes.endswith("/") and not _VALUE_AT_END.search(attributes)
+
+
 def _token_bits(attributes: str) -> int:
     """The groups of TOKENS that an element's attributes name, as bits."""
     bits = _seen.get(attributes)
@@ -130,7 +143,7 @@ class Open:
     def close(self, tag: str) -> None:
         """An end tag: of inline elements and paragraphs it doesn't reach over a wall."""
         place = self.at[tag][-1] if self.at.get(tag) else 0
-        if place and not ((tag in INLINE or tag == "p") and self.walls and self.walls[-1] > place):
+        if place and not ((tag not in BLOCKS or tag == "p") and self.walls and self.walls[-1] > place):
             self._cut(place)
 
 
@@ -142,7 +155,7 @@ class Page:
         self.nodes, self.pieces = [root], []
         open_ = Open(root)
         stack = open_.stack
-        self._at, self._breaks = 0, 0
+        self._at, self._breaks, self._added = 0, 0, False
         pos, n = 0, len(source)
         numbers = {id(root): 0}
         endless: set[str] = set()  # elements of which no end is left
@@ -159,13 +172,13 @@ class Page:
                 continue
             tag = tag.lower()
             if m[1]:
-                if tag not in INLINE:
+                if tag in BLOCKS:
                     self._breaks += 1
                 open_.close(tag)
                 continue
             attributes = m[3]
             if tag in SILENT:
-                if tag in endless or tag == "svg" and attributes.endswith("/"):
+                if tag in endless:
                     continue
                 end = _ENDS[tag].search(source, pos)
                 if end:
@@ -175,7 +188,18 @@ class Page:
                 else:
                     endless.add(tag)
                 continue
-            if tag not in INLINE:
+            if tag == "svg":
+                end = None if tag in endless or _closes_itself(tag, attributes) else _SVG_END.search(source, pos)
+                if end:
+                    for shown in _SVG_TEXT.finditer(source, pos, end.start()):
+                        self._breaks += 1
+                        self._text(_TAG.sub("", shown[2]), stack[-1], numbers)
+                        self._breaks += 1
+                    pos = end.end()
+                elif not _closes_itself(tag, attributes):
+                    endless.add(tag)
+                continue
+            if tag in BLOCKS:
                 self._breaks += 1
             if tag in VOID:
                 if tag == "input":
@@ -189,7 +213,7 @@ class Page:
             elif tag in CLOSES:
                 open_.leave(CLOSES[tag], open_.cell_walls if tag in ("tr", "td", "th") else open_.walls)
             link = stack[-1][2] or tag == "a"
-            if tag in INLINE and ("=" not in attributes or not _token_bits(attributes)):
+            if tag not in BLOCKS and ("=" not in attributes or not _token_bits(attributes)):
                 node = stack[-1][1]
                 if tag == "a":
                     node.anchors += 1
@@ -201,7 +225,7 @@ class Page:
                     node.anchors += 1
                 if tag in ("button", "textarea"):
                     node.controls += 1
-            if not attributes.endswith("/"):
+            if not _closes_itself(tag, attributes):
                 open_.push(tag, node, link)
 
     def _text(self, raw: str, top: tuple[str, Node, bool], numbers: dict[int, int]) -> None:
@@ -229,6 +253,18 @@ class Page:
 
     def features(self) -> list[list[float]]:
         """A row of N_FEATURES numbers for each node."""
+        return list(self.rows())
+
+    def rows(self) -> Iterator[list[float]]:
+        """features() one by one, so that a page of very many nodes doesn't need them all at once."""
+        self._add_up()
+        return map(self._row, self.nodes)
+
+    def _add_up(self) -> None:
+        """Sums of each node's subtree; once a page."""
+        if self._added:
+            return
+        self._added = True
         for node in reversed(self.nodes):
             p = node.parent
             if node.tag == "p":
@@ -245,32 +281,30 @@ class Page:
                 p.anchors += node.anchors
                 p.controls += node.controls
                 p.end = max(p.end, node.end)
-        log = math.log1p
-        whole = max(1, self.nodes[0].chars)
-        out = []
-        for node in self.nodes:
-            p = node.parent or node
-            kin, chars = p.children, node.chars
-            some = max(1, chars)
-            before = kin[node.place - 1].chars if node.parent and node.place else 0
-            after = kin[node.place + 1].chars if node.parent and node.place + 1 < len(kin) else 0
-            row = [
-                log(chars), node.links / some, chars / whole, log(chars / (node.nodes + 1)), log(node.paras), node.para_chars / some, node.points / some,
-                log(chars / max(1, node.pieces)), node.depth, node.place, len(kin), node.place / max(1, len(kin)), chars / max(1, p.chars), p.links / max(1, p.chars), node.start / whole, node.end / whole,
-                log(node.anchors), node.controls, log(before), log(after), len(node.children), p.paras / max(1, p.nodes),
-            ]
-            kinds = [0.0] * (N_TAGS + 2 * N_TOKENS + len(IN_TAGS))
-            kinds[TAGS.get(node.tag, N_TAGS - 1)] = 1.0
-            for g in range(N_TOKENS):
-                if node.bits >> g & 1:
-                    kinds[N_TAGS + g] = 1.0
-                if node.above >> g & 1:
-                    kinds[N_TAGS + N_TOKENS + g] = 1.0
-            for g in range(len(IN_TAGS)):
-                if node.inside >> g & 1:
-                    kinds[N_TAGS + 2 * N_TOKENS + g] = 1.0
-            out.append(row + kinds)
-        return out
+
+    def _row(self, node: Node) -> list[float]:
+        log, whole = math.log1p, max(1, self.nodes[0].chars)
+        p = node.parent or node
+        kin, chars = p.children, node.chars
+        some = max(1, chars)
+        before = kin[node.place - 1].chars if node.parent and node.place else 0
+        after = kin[node.place + 1].chars if node.parent and node.place + 1 < len(kin) else 0
+        row = [
+            log(chars), node.links / some, chars / whole, log(chars / (node.nodes + 1)), log(node.paras), node.para_chars / some, node.points / some,
+            log(chars / max(1, node.pieces)), node.depth, node.place, len(kin), node.place / max(1, len(kin)), chars / max(1, p.chars), p.links / max(1, p.chars), node.start / whole, node.end / whole,
+            log(node.anchors), node.controls, log(before), log(after), len(node.children), p.paras / max(1, p.nodes),
+        ]
+        kinds = [0.0] * (N_TAGS + 2 * N_TOKENS + len(IN_TAGS))
+        kinds[TAGS.get(node.tag, N_TAGS - 1)] = 1.0
+        for g in range(N_TOKENS):
+            if node.bits >> g & 1:
+                kinds[N_TAGS + g] = 1.0
+            if node.above >> g & 1:
+                kinds[N_TAGS + N_TOKENS + g] = 1.0
+        for g in range(len(IN_TAGS)):
+            if node.inside >> g & 1:
+                kinds[N_TAGS + 2 * N_TOKENS + g] = 1.0
+        return row + kinds
 
     def decode(self, scores: list[float]) -> list[bool]:
         """Kept nodes: of all choices in which a kept node's ancestors are kept, the one with the largest sum of scores."""

@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import inspect
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import html_dom
-from .common import Scratch, plain, shared_folder, table
+from .common import Scratch, plain, shared_folder, slices, table
 from .html_dom import N_FEATURES, Page
 
-TRAINING_PAGES, TREES, DEPTH = 1600, 36, 5
+TRAINING_PAGES, TREES, DEPTH = 2400, 50, 6
 _models: dict[tuple, list[tuple]] = {}
 
 
@@ -68,13 +69,13 @@ def training_page(seed: int, whole: bool = False) -> tuple[str, list[str]]:
         return box("footer", "footer site-footer page-footer bottom copyright", pick("&copy; ", "") + blurb(25) + pick("", links(4)))
 
     def aside() -> str:
-        return box("aside", "sidebar side-bar widget related-posts right-rail", f"<{(h := pick('h2', 'h3', 'h4'))}>{words(2, 'x')}</{h}>" + pick(links(5), blurb(30), blurb(30) + links(3)))
+        return box("aside", "sidebar side-bar widget related-posts right-rail more", f"<{(h := pick('h2', 'h3', 'h4'))}>{words(2, 'x')}</{h}>" + pick(links(5), blurb(30), blurb(30) + links(3)))
 
     def advert() -> str:
         return named("ad ads advert ad-slot sponsored promo-box advertisement banner-ad", blurb(25))
 
     def notice() -> str:
-        return named("cookie-notice notice cookie-banner gdpr alert consent popup", blurb(30) + pick("", f"<button>{words(1, 'x')}</button>"), pick("div", "section", "div"))
+        return named("cookie-notice notice cookie-banner gdpr alert consent popup message", blurb(30) + pick("", f"<button>{words(1, 'x')}</button>"), pick("div", "section", "div"))
 
     def form() -> str:
         inner = f"<label>{words(2, 'x')}</label><input type='text'>" + pick("", f"<p>{words(8, 'x')}</p>") + f"<button>{words(1, 'x')}</button>"
@@ -82,7 +83,7 @@ def training_page(seed: int, whole: bool = False) -> tuple[str, list[str]]:
 
     def comments() -> str:
         one = lambda: pick(named("comment comment-body reply", blurb(40)), f"<li>{blurb(40)}</li>")
-        return named("comments comment-list discussion comments-area", pick("", f"<h3>{words(2, 'x')}</h3>") + "".join(one() for _ in range(int(rng.integers(1, 6)))) + pick("", form()), pick("div", "section"))
+        return named("comments comment-list discussion comments-area responses", pick("", f"<h3>{words(2, 'x')}</h3>") + "".join(one() for _ in range(int(rng.integers(1, 6)))) + pick("", form()), pick("div", "section"))
 
     def share() -> str:
         return named("share social-share share-tools", links(3))
@@ -94,7 +95,21 @@ def training_page(seed: int, whole: bool = False) -> tuple[str, list[str]]:
         kept.append(text)
         return text
 
+    # Class words that belong to other parts of a page as often as to an article.
+    odd = lambda: pick(*"more-text top-story message warning response reply header-text side-note bottom-line tools author-note popular rail legal-news alert contact meta related-text notification tabs".split())
+
     def block() -> str:
+        if chance(0.06):
+            inner = pick(lambda: f"<p>{keep(size(60))}</p>", lambda: f"<p>{keep(size(40))}</p><p>{keep(size(40))}</p>", lambda: keep(size(60)))()
+            return f"<{(t := pick('div', 'div', 'section', 'blockquote'))} class=\"{odd()}\">{inner}</{t}>"
+        if chance(0.1):
+            items = lambda n, one: f"<{(t := pick('ul', 'ol'))}>{''.join(f'<li>{one()}</li>' for _ in range(n))}</{t}>"
+            return pick(
+                lambda: items(int(rng.integers(3, 13)), lambda: f"<a href='/x'>{keep(pick(1, 2, 4))}</a>"),
+                lambda: items(int(rng.integers(2, 8)), lambda: f"<a href='/x'>{keep(pick(1, 2))}</a> {keep(size(16))}"),
+                lambda: f"<figure><img src='/x'><figcaption>{keep(size(16))}</figcaption></figure>",
+                lambda: f"<{(t := pick('aside', 'blockquote', 'div'))} class=\"{pick('pullquote', 'pull-quote', 'quote')}\">{pick('', '<p>')}{keep(size(20))}</{t}>",
+            )()
         kind = rng.integers(15)
         if kind < 7:
             return f"<p>{icon()}{keep(size(90))}{pick('</p>', '</p>', '')}"
@@ -133,6 +148,10 @@ def training_page(seed: int, whole: bool = False) -> tuple[str, list[str]]:
             body.append(between[rng.integers(len(between))]())
         if chance(0.05):
             body.append("<script>var x='</p>';</script>")
+    if chance(0.1):  # what an article refers to
+        head = pick(lambda: "", lambda: f"<h3>{keep(1)}</h3>")()
+        notes = "".join(f"<li>{keep(size(12))} <a href='/x'>{keep(pick(1, 1, 3))}</a></li>" for _ in range(int(rng.integers(1, 7))))
+        body.append(f"<{(t := pick('section', 'div', 'div'))} class=\"{pick('footnotes', 'references', 'notes', 'endnotes', 'sources')}\">{head}<ol>{notes}</ol></{t}>")
     if chance(0.06):
         body.append(comments())
     if chance(0.2):  # the article in sections
@@ -142,7 +161,9 @@ def training_page(seed: int, whole: bool = False) -> tuple[str, list[str]]:
         body = [f"<{kind}>{''.join(p)}</{kind}>" for p in parts]
     text = "".join(body)
     holder = pick("article", "main", "article") if by_tag or chance(0.2) else "div"
-    name = f' class="{pick("article", "content", "post-body", "entry-content", "main-content", "story")}"' if by_attribute or chance(0.25) else ""
+    good = pick("article", "content", "post-body", "entry-content", "main-content", "story", "story-body")
+    good = pick(f"{good} {odd()}", f"{odd()} {good}") if chance(0.3) else good
+    name = f' class="{good}"' if by_attribute or chance(0.25) else ""
     if not chance(0.12):  # else the blocks stand beside the rest of the page
         text = f"<{holder}{name}>{text}</{holder}>"
     if chance(0.3):
@@ -241,21 +262,30 @@ def scores(trees: list[tuple], x: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     return total
 
 
-def extract(pages: DataFrame, trees: list[tuple], keys: list[str], at_once: int = 500) -> DataFrame:
+#: Nodes whose features are held at once, whatever the pages' sizes.
+NODES_AT_ONCE = 1 << 14
+
+
+def log_odds(pages: list[Page], trees: list[tuple]) -> list[float]:
+    """Of all nodes of the pages, in order."""
+    rows, out = (row for page in pages for row in page.rows()), []
+    while part := list(islice(rows, NODES_AT_ONCE)):
+        out += scores(trees, np.array(part)).tolist()
+    return out
+
+
+def extract(pages: DataFrame, trees: list[tuple], keys: list[str]) -> DataFrame:
     """(*keys, text) of pages(*keys, html)."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, at_once):
-                part = batch.slice(a, at_once)
-                found = [Page(h or "") for h in part.column("html").to_pylist()]
-                rows = [p.features() for p in found]
-                log_odds = scores(trees, np.array([r for x in rows for r in x]).reshape(-1, N_FEATURES)).tolist()
-                texts, start = [], 0
-                for p, x in zip(found, rows, strict=True):
-                    texts.append(p.text(p.decode(log_odds[start : start + len(x)])))
-                    start += len(x)
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), pa.array(texts, pa.string())], names=[*keys, "text"])
+            for first, last, sources in slices(batch, "html"):
+                found = [Page(h.decode("utf-8", "replace")) for h in sources]
+                odds, texts, start = log_odds(found, trees), [], 0
+                for p in found:
+                    texts.append(p.text(p.decode(odds[start : start + len(p.nodes)])))
+                    start += len(p.nodes)
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(first, last - first) for k in keys), pa.array(texts, pa.string())], names=[*keys, "text"])
 
     types = dict(pages.dtypes)
     return pages.select(*keys, "html").mapInArrow(read, ", ".join([*(f"`{k}` {types[k]}" for k in keys), "text string"]))

@@ -57,6 +57,60 @@ def test_reader_loses_no_text():
     assert whole("a<iframe>b<p>c") == "ab c" and whole("<p>a</b></i>b</p>c") == "ab c"
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<p title=it's>one</p><p>two</p><p>x</p><p title=it's>three</p><p>four</p>", "one two x three four"),
+        ("<p>one</p><!--><p>two</p><!-- x --><p>three</p><!---><p>four</p><!-- y --!>five", "one two three four five"),
+        ("auto<wbr>matic co<ruby>op<rt>er</rt></ruby>ate x<acronym>y</acronym>z n<nobr>o</nobr> so<my-word>me</my-word>thing im<img src=x>age", "automatic cooperate xyz no something image"),
+        ("<a href=/x/>in</a><div data-u=/a/>one<p>two</p></div><div/>three<p/>four", "in one two three four"),
+        ("one<svg><title>t</title><text x='1'>bar</text><text>chart</text></svg>two", "one bar chart two"),
+        ('<p a="b>c" d=\'e>f\' g = "h">one</p><p i=j"k>two</p><p "l">three</p><p m=>four</p>', "one two three four"),
+        ("a<br>b<hr>c<span>d</span>e 1 < 2 <3", "a b cde 1 < 2 <3"),
+        ("<p>one</p><!doctype x><?php y ?></ z><p>two", "one two"),
+    ],
+)
+def test_reader_follows_the_rules_of_html(source, text):
+    page = Page(source)
+    assert page.text([True] * len(page.nodes)) == text
+
+
+MENU = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li><li><a href='/a'>About us</a></li></ul></nav>"
+FOOT = "<footer><p>Copyright 2024 Some Paper. All rights reserved.</p><a href='/p'>Privacy</a></footer>"
+PROSE = ("The council met on Monday to discuss the new bridge, which has been delayed twice.", "Residents said that the noise was, above all, a problem at night, and asked for a wall.", "A decision is expected in June, when the engineers will have finished their report on the site.")
+PARAS = "".join(f"<p>{p}</p>" for p in PROSE)
+TEN = "".join(f"<li><a href='/t{i}'>Tool number {i}</a></li>" for i in range(10))
+CLAUSES = "".join(f"<li><a href='/t{i}'>Tool {i}</a>, which does one thing well and little else.</li>" for i in range(5))
+#: Written by hand, not by the generator of training pages: what stands around the body, and the body.
+SHAPES = {
+    "link list": ("<article>{}</article>", f"<h1>Ten tools</h1>{PARAS}<ul>{TEN}</ul>"),
+    "links with clauses": ("<article>{}</article>", f"<h1>Five tools</h1>{PARAS}<ul>{CLAUSES}</ul>"),
+    "footnotes": ("<article>{}</article>", f"<h1>Bridge</h1>{PARAS}<section class='footnotes'><h2>Notes</h2><ol><li>Minutes of the meeting, page 3. <a href='#1'>Back</a></li><li>Report of the engineers, 2023. <a href='#2'>Back</a></li></ol></section>"),
+    "misleading body": ("<div class='story-body more-text'>{}</div>", f"<h1>Bridge</h1>{PARAS}"),
+    "misleading first": ("<div class='top-story'>{}</div>", f"<h1>Bridge</h1>{PARAS}"),
+    "legal": ("<div class='legal-news article'>{}</div>", f"<h1>Bridge</h1>{PARAS}"),
+    "boxed paragraph": ("<article class='story-body more-text'>{}</article>", f"<h1>Bridge</h1>{PARAS}<div class='message'><p>{PROSE[1]}</p></div>{PARAS}"),
+    "response": ("<article>{}</article>", f"<h1>Bridge</h1>{PARAS}<blockquote class='response'><p>{PROSE[2]}</p></blockquote>{PARAS}"),
+    "caption": ("<article>{}</article>", f"<h1>Bridge</h1><figure><img src='/b.jpg'><figcaption>The bridge in May.</figcaption></figure>{PARAS}"),
+    "pull quote": ("<article>{}</article>", f"<h1>Bridge</h1>{PARAS}<aside class='pullquote'><p>The noise was a problem at night.</p></aside>{PARAS}"),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_articles_of_other_shapes_come_out_whole(spark, shape):
+    around, body = SHAPES[shape]
+    page = Page(f"<html><head><title>T</title></head><body>{MENU}{around.format(body)}{FOOT}</body></html>")
+    got = page.text(page.decode(html_extract.log_odds([page], html_extract.fit(spark))))
+    assert got.split() == re.sub(r"<[^>]*>", " ", re.sub(r"</?a\b[^>]*>", "", body)).split()
+
+
+def test_features_of_a_huge_page_come_in_parts(spark, monkeypatch):
+    trees, page = html_extract.fit(spark), Page("<p>some words here</p>" * 3000)
+    whole = html_extract.log_odds([page, page], trees)
+    monkeypatch.setattr(html_extract, "NODES_AT_ONCE", 100)
+    assert html_extract.log_odds([page, page], trees) == whole and len(whole) == 2 * len(page.nodes)
+
+
 @pytest.mark.parametrize("source", ["<div>{n}</x>{n}", "<iframe>{n}<p>a", "<svg>{n}<p>a", "<b><div>{s}</b>{n}", "<b><td>{s}<tr>{n}", '<a "{n}', "<!--{n}"])
 def test_reader_takes_linear_time(source):
     """40,000 tags in seconds; a quadratic reader takes minutes."""
