@@ -40,6 +40,44 @@ def resolve(rows: DataFrame, players: DataFrame, name: str, out: str) -> DataFra
     return rows.join(best.withColumnRenamed("asked", name), ["game_id", name], "left")
 
 
+def name_keys(name: Column) -> Column:
+    """array<struct<kind, key>> by which names meet, the surest first: the name itself, the name without case, suffix and
+    points, initial and last name (all behind the first word), and the last word."""
+    bare = F.trim(F.regexp_replace(F.lower(F.regexp_replace(name, SUFFIXES, "")), r"[.\s\u00a0]+", " "))
+    rest = F.regexp_extract(bare, r"^\S+ (?:\S )?(.+)$", 1)
+    keys = (name, bare, F.when(rest != "", F.concat_ws(" ", F.substring(bare, 1, 1), rest)), F.regexp_extract(bare, r"(\S+)$", 1))
+    every = F.array(*(F.struct(F.lit(i).alias("kind"), k.alias("key")) for i, k in enumerate(keys)))
+    return F.filter(every, lambda x: x["key"].isNotNull() & (x["key"] != ""))
+
+
+def resolve_sides(asked: DataFrame, players: DataFrame) -> DataFrame:
+    """asked(game_id, team, who) to (game_id, team, who, player_id, how), each name once, for players(game_id, team,
+    player_name, player_id) of the same side of the game.
+
+    A name has the players that meet it by its surest kind of key; a name of several words meets nobody by the last word alone.
+    If that is one player, he it is (how: his kind of key). Of several, those go who are known by another name of the side
+    already, again and again, and a name for which one is left is his (how: 'rest'). Otherwise player_id is null. A side has a few
+    dozen names, so this is a fold over one small array.
+    """
+    keys = ["game_id", "team"]
+    known = players.where("player_id is not null and player_name is not null").select(*keys, "player_id", F.inline(name_keys(F.col("player_name")))).distinct()
+    names = asked.where("who is not null").select(*keys, "who").distinct()
+    forms = names.select(*keys, "who", F.inline(name_keys(F.col("who")))).where((F.col("kind") < 3) | ~F.trim("who").rlike(r"\S[\s.]+\S"))
+    met = forms.join(known, [*keys, "kind", "key"]).groupBy(*keys, "who", "kind").agg(F.sort_array(F.collect_set("player_id")).alias("ids"))
+    best = met.groupBy(*keys, "who").agg(F.min("kind").alias("kind"), F.min_by("ids", "kind").alias("ids"))
+    sides = best.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("who", "kind", "ids"))).alias("names"))
+
+    def round_(now: Column, _: Column) -> Column:
+        taken = F.flatten(F.transform(F.filter(now, lambda x: F.size(x["ids"]) == 1), lambda x: x["ids"]))
+        return F.transform(now, lambda x: F.when(F.size(x["ids"]) > 1, x.withField("ids", F.array_except(x["ids"], taken))).otherwise(x))
+
+    settled = sides.select(*keys, F.inline(F.transform(F.aggregate(F.sequence(F.lit(1), F.size("names")), F.col("names"), round_), lambda x: F.struct(x["who"].alias("who"), F.when(F.size(x["ids"]) == 1, F.get(x["ids"], F.lit(0))).alias("player_id")))))
+    kinds = F.array(*map(F.lit, ("exact", "spelling", "initial", "last")))
+    how = best.select(*keys, "who", F.when(F.size("ids") == 1, F.get(kinds, F.col("kind"))).otherwise("rest").alias("_how"))
+    out = names.join(settled, [*keys, "who"], "left").join(how, [*keys, "who"], "left")
+    return out.select(*keys, "who", "player_id", F.when(F.col("player_id").isNotNull(), F.col("_how")).alias("how"))
+
+
 def enrich(events: DataFrame, players: DataFrame) -> DataFrame:
     """events with batter_id and pitcher_id by exact name in the game, and on the side where players have a team.
 
@@ -68,6 +106,12 @@ def best_strategy(official: DataFrame, parsed: DataFrame, strategies: dict[str,
     return rows.join(names, ["game_id", "key"], "left_semi").groupBy("strategy").agg(F.count("*").alias("matches"))
 
 
+def last_name_wins(*sources: DataFrame) -> DataFrame:
+    """(player_id, player_name) of the union; of several names, that of the last source, then the least."""
+    rows = reduce(DataFrame.unionByName, (s.select("player_id", "player_name", F.lit(-i).alias("source")) for i, s in enumerate(sources)))
+    return rows.groupBy("player_id").agg(F.min_by("player_name", F.struct("source", "player_name")).alias("player_name"))
+
+
 def first_name_wins(*sources: DataFrame) -> DataFrame:
     """(player_id, player_name) of the union; of several names, that of the first source, then the least."""
     rows = reduce(DataFrame.unionByName, (s.select("player_id", "player_name", F.lit(i).alias("source")) for i, s in enumerate(sources)))

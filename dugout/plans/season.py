@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -47,13 +47,13 @@ def one_page_a_game(pages: DataFrame) -> DataFrame:
     return keyed.join(again, "_key", "left_anti").select(*pages.columns).unionByName(last)
 
 
-def silver(pages: DataFrame, kept: Kept | None = None) -> dict[str, DataFrame]:
+def silver(pages: DataFrame, kept: Kept | None = None, watch: Observation | None = None) -> dict[str, DataFrame]:
     """games, batting, pitching, events, events_rejected, ambiguous_names and page_errors of pages(url, html).
 
-    Pages are parsed once.
+    Pages are parsed once. watch: gets the metrics of box_pages.measured().
     """
     kept = kept or Kept()
-    rows = kept(B.rows(pages))
+    rows = kept(B.measured(B.rows(pages), watch) if watch else B.rows(pages))
     batting = kept(L.batting_order(L.eligible_batters(B.batting(rows))))
     pitching = kept(L.pitching_order(B.pitching(rows)))
     raw = E.play_rows(B.plays(rows))
@@ -105,11 +105,11 @@ def gate(report_rows: DataFrame, least: float = 95.0, strict: bool = True) -> Da
 ABOUT = ("page_errors",)
 
 
-def process(pages: DataFrame, stored_games: DataFrame | None = None, least: float = 95.0, strict: bool = True, kept: Kept | None = None) -> dict[str, DataFrame]:
+def process(pages: DataFrame, stored_games: DataFrame | None = None, least: float = 95.0, strict: bool = True, kept: Kept | None = None, watch: Observation | None = None) -> dict[str, DataFrame]:
     """silver tables of the games that pass, without those stored before, the reports of all new ones and page errors."""
     kept = kept or Kept()
     new = pages if stored_games is None else pages.withColumn("game_id", T.game_id("url")).join(stored_games.select("game_id"), "game_id", "left_anti").drop("game_id")
-    tables = silver(new, kept)
+    tables = silver(new, kept, watch)
     rows = kept(reports(tables))
     good = kept(gate(rows, least, strict).select("game_id"))
     return {name: df if name in ABOUT else df.join(good, "game_id", "left_semi") for name, df in tables.items()} | {"validation_reports": rows}
@@ -127,22 +127,29 @@ def stored_tables(tables: dict[str, DataFrame], bios: DataFrame | None = None) -
     return {n: schemas.conformed(df, n) for n, df in out.items()} | {n: tables[n] for n in ("events_rejected", "ambiguous_names", "page_errors")}
 
 
-def store(pages: DataFrame, root: str, least: float = 95.0, strict: bool = True, bios: DataFrame | None = None, again: bool = False, source: tuple[str, int] | None = None) -> DataFrame:
+def store(pages: DataFrame, root: str, least: float = 95.0, strict: bool = True, bios: DataFrame | None = None, again: bool = False, source: tuple[str, int] | None = None, watch: Observation | None = None) -> DataFrame:
     """(table_name, n): a batch of pages processed and merged into the store under root as one version, and what it holds then.
 
     Games that are stored already are skipped, unless `again`. A page that comes twice counts once. bios: facts of players for
-    those who are new. source: a stream's name and the batch's number, which is applied once.
+    those who are new. source: a stream's name and the batch's number, which is applied once. watch: gets the batch's metrics, see
+    timed().
     """
     kept, held = Kept(), schemas.season_store(pages.sparkSession, root)
     try:
         known = held.manifest()["tables"]
         old = held.read("games") if "games" in known and not again else None
-        held.merge(stored_tables(process(one_page_a_game(pages), old, least, strict, kept), bios), source)
+        held.merge(stored_tables(process(one_page_a_game(pages), old, least, strict, kept, watch), bios), source)
     finally:
         kept.release()
     return reduce(DataFrame.unionByName, (held.read(n).agg(F.count("*").alias("n")).select(F.lit(n).alias("table_name"), "n") for n in held.manifest()["tables"]))
 
 
+def timed(watch: Observation) -> dict[str, float]:
+    """A batch's pages, failures, rows and reading times, and the mean time a page, out of the run that stored it."""
+    found = watch.get
+    return found | {"seconds_a_page": found["seconds"] / found["pages"] if found["pages"] else 0.0}
+
+
 def outcomes(pages: DataFrame, tables: dict[str, DataFrame], stored_games: DataFrame | None = None) -> DataFrame:
     """(game_id, url, processing_status, error): what became of each page of a batch: skipped, error or success."""
     rows = pages.select(T.game_id("url").alias("game_id"), "url").join(tables["page_errors"].select("url", "error"), "url", "left")

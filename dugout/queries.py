@@ -549,9 +549,12 @@ def eligible_batters(spark, sf):
     return one("idle", L.eligible_batters(rows)).unionByName(one("all", L.eligible_batters(rows, all_pitchers=True)))
 
 
-@query("season_dates", "SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS day FROM unnest(generate_series(TIMESTAMP '2024-03-01', TIMESTAMP '2024-11-30', INTERVAL 1 DAY)) AS u(d)", False)
+@query("season_dates", """, d AS (SELECT CAST(d AS DATE) AS day FROM unnest(generate_series(TIMESTAMP '1997-03-01', TIMESTAMP '1997-11-30', INTERVAL 1 DAY)) AS u(d))
+    SELECT CAST(day AS VARCHAR) AS day, count(game_id) AS games FROM d LEFT JOIN games ON game_date = day GROUP BY day""")
 def season_dates(spark, sf):
-    return D.season_days(spark, 2024).select(F.col("day").cast("string").alias("day"))
+    """A season's days and how many games each has."""
+    played = B.games(spark, sf).groupBy(F.col("game_date").alias("day")).agg(F.count("*").alias("games"))
+    return D.season_days(spark, 1997).join(played, "day", "left").select(F.col("day").cast("string").alias("day"), F.coalesce("games", F.lit(0)).alias("games"))
 
 
 @query("edge_games", ", n AS (SELECT game_id, home_team, row_number() OVER (PARTITION BY home_team ORDER BY game_date DESC, game_id DESC) AS k FROM games) SELECT game_id, home_team FROM n WHERE k <= 3")
@@ -892,3 +895,37 @@ def base_transitions(spark, sf):
 def scoring_credits(spark, sf):
     """Runs, runs batted in and steals of each player out of the transitions, beside his times at bat and hits."""
     return E.player_totals(_told(spark, sf))
+
+
+@query("discovered_games", """WITH p AS (SELECT page_id, DATE '2024-04-01' + CAST(page_id % 60 AS INT) AS day FROM pages), l AS (SELECT day, page_id, u.k AS k FROM p, unnest(range(0, 3)) AS u(k))
+    SELECT DISTINCT CAST(day AS VARCHAR) AS day, 'https://x.test/boxes/T' || chr(CAST(65 + page_id % 26 AS INT)) || chr(CAST(65 + k AS INT)) || '/T' || chr(CAST(65 + page_id % 26 AS INT)) || chr(CAST(65 + k AS INT)) || strftime(day, '%Y%m%d') || '0.shtml' AS url
+    FROM l WHERE day BETWEEN DATE '2024-04-10' AND DATE '2024-05-20' AND day < DATE '2024-05-11'""", False)
+def discovered_games(spark, sf):
+    """Games that stored index pages of some days name: each page's own HTML, with three games of its day, one of them twice, and one of another day."""
+    d, day = F.col("page_id"), F.date_add(F.lit("2024-04-01").cast("date"), (F.col("page_id") % 60).cast("int"))
+    code = lambda k: F.concat(F.lit("T"), F.chr(65 + d % 26), F.lit(chr(65 + k)))
+    link = lambda k, on: F.concat(F.lit("<a href='/boxes/"), code(k), F.lit("/"), code(k), F.date_format(on, "yyyyMMdd"), F.lit("0.shtml'>x</a>"))
+    html = F.concat(link(0, day), link(1, day), link(0, day), link(2, F.date_add(day, 1)), link(2, day), F.coalesce("html", F.lit("")))
+    url = F.concat(F.lit("https://x.test/index?year="), F.year(day), F.lit("&month="), F.month(day), F.lit("&day="), F.dayofmonth(day), F.lit("&page="), d)
+    path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    D.store_index(table(spark, sf, "pages").select(url.alias("url"), html.alias("html")), path)
+    found = D.discover(spark, path, "2024-04-10", "2024-05-20", "https://x.test", F.lit("2024-05-11").cast("date"))
+    return found.select(F.col("day").cast("string").alias("day"), "url")
+
+
+@query("resolved_sides", """, k AS (SELECT DISTINCT game_id, team, player_id FROM batting), f AS (SELECT game_id, team, player_id, 'Ann' || player_id || ' Last' || (player_id % 5) AS who, player_id AS id, 'exact' AS how FROM k WHERE player_id % 2 = 0),
+    g AS (SELECT game_id, team, player_id % 5 AS last, count(*) AS n, count(*) FILTER (WHERE player_id % 2 = 1) AS odd, min(player_id) FILTER (WHERE player_id % 2 = 1) AS single FROM k GROUP BY ALL)
+    SELECT game_id, team, who, id AS player_id, how FROM f UNION ALL SELECT game_id, team, 'last' || last, CASE WHEN odd = 1 THEN single END, CASE WHEN odd = 1 AND n = 1 THEN 'last' WHEN odd = 1 THEN 'rest' END FROM g WHERE odd > 0""")
+def resolved_sides(spark, sf):
+    """Half of a side's players are called by their full names, the others by last names that they share with some of them."""
+    known = B.batting(spark, sf).select("game_id", "team", "player_id").distinct()
+    full, last = F.concat(F.lit("Ann"), "player_id", F.lit(" Last"), F.col("player_id") % 5), F.concat(F.lit("last"), F.col("player_id") % 5)
+    asked = known.select("game_id", "team", F.when(F.col("player_id") % 2 == 0, full).otherwise(last).alias("who"))
+    return N.resolve_sides(asked, known.withColumn("player_name", full))
+
+
+@query("union_players_last_wins", """, u AS (SELECT player_id, 'B' || min(player_name) AS n, 1 AS s FROM batting WHERE flag = 'R' GROUP BY 1 UNION ALL SELECT player_id, 'P' || min(player_name), 0 FROM pitching GROUP BY 1) SELECT player_id, arg_min(n, s) AS player_name FROM u GROUP BY player_id""")
+def union_players_last_wins(spark, sf):
+    b = B.batting(spark, sf).where("flag = 'R'").select("player_id", F.concat(F.lit("B"), "player_name").alias("player_name"))
+    p = B.pitching(spark, sf).select("player_id", F.concat(F.lit("P"), "player_name").alias("player_name"))
+    return N.last_name_wins(b, p)

@@ -10,12 +10,13 @@ read twice. A page that can't be read gives no cells; rows() gives one row that
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import metadata as M
@@ -343,8 +344,10 @@ FACTS = "#page"
 
 
 def _page_rows(url: str, html: str | None) -> list[tuple]:
+    began = time.perf_counter()
     page, fault = read_page(html)
-    out = [(url, FACTS, None, None, None, None, page.known() if page else {}, None)]
+    known = page.known() if page else {}
+    out = [(url, FACTS, None, None, None, None, known | {"seconds": f"{time.perf_counter() - began:.6f}"}, None)]
     if not page or not any(t.rows for t in page.done):
         out.append((url, None, None, None, None, None, None, fault or ("missing page" if not html else "no table found")))
     for t in page.done if page else ():
@@ -376,6 +379,18 @@ def rows(pages: DataFrame) -> DataFrame:
     return pages.select("url", "html").mapInArrow(read, ROWS)
 
 
+#: What measured() adds up while rows() are made.
+METRICS = ("pages", "failed", "table_rows", "seconds", "slowest")
+
+
+def measured(table_rows: DataFrame, watch: Observation) -> DataFrame:
+    """rows(), which tell `watch` what they are when they are first made: no second pass counts them."""
+    is_page = F.col("table_id") == FACTS
+    seconds = F.when(is_page, F.try_element_at("cells", F.lit("seconds")).try_cast("double"))
+    values = (F.count_if(is_page), F.count_if(F.col("error").isNotNull()), F.count_if(F.col("table_id").isNotNull() & ~is_page), F.coalesce(F.sum(seconds), F.lit(0.0)), F.coalesce(F.max(seconds), F.lit(0.0)))
+    return table_rows.observe(watch, *(v.alias(n) for n, v in zip(METRICS, values, strict=True)))
+
+
 def wide(table_rows: DataFrame, columns: dict[str, str]) -> DataFrame:
     """(url, table_id, table_idx, row_idx, href, is_indented, *columns) of rows(); columns: heading to name."""
     return table_rows.select("url", "table_id", "table_idx", "row_idx", "href", "is_indented", *(F.try_element_at("cells", F.lit(h)).alias(n) for h, n in columns.items()))

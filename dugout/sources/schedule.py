@@ -30,6 +30,35 @@ def links(pages: DataFrame, pattern: str = r"/boxes/[A-Z]{3}/[A-Z]{3}\d{8,9}\.sh
     return found.groupBy("url", "link").agg(F.min("place").alias("place"))
 
 
+def index_day(url: Column | str) -> Column:
+    """The day that the address of an index page asks for."""
+    url = F.col(url) if isinstance(url, str) else url
+    year, month, day = (F.regexp_extract(url, rf"[?&]{part}=(\d+)", 1).try_cast("int") for part in ("year", "month", "day"))
+    return F.try_make_timestamp(year, month, day, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+
+
+def store_index(pages: DataFrame, path: str) -> None:
+    """Index pages(url, html) by day, so that a span of days reads its own files alone. Pages of no day are left out."""
+    pages.withColumn("day", index_day("url")).where("day is not null").repartition("day").write.mode("append").partitionBy("day").parquet(path)
+
+
+def discover(spark: SparkSession, path: str, first: str, last: str, site: str = "", today: Column | None = None) -> DataFrame:
+    """(day, place, url): games of the stored index pages of first to last, before today, each address once where it came first.
+
+    A link counts on the page of its own day. place is its number on that page, so (day, place) is the order of discovery.
+    """
+    now = today if today is not None else F.current_date()
+    pages = spark.read.parquet(path).where(F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date")) & (F.col("day") < now))
+    found = pages.select("day", F.posexplode(F.regexp_extract_all("html", F.lit(r"""href=["']?[^"'\s>]*?(/boxes/[A-Z]{3}/[A-Z]{3}\d{9}\.shtml)"""), F.lit(1))).alias("place", "link"))
+    own = found.where(F.regexp_extract("link", r"/[A-Z]{3}(\d{8})\d\.", 1) == F.date_format("day", "yyyyMMdd"))
+    return own.groupBy("day", "link").agg(F.min("place").alias("place")).select("day", "place", (absolute(F.col("link"), site) if site else F.col("link")).alias("url"))
+
+
+def season_games(spark: SparkSession, path: str, year: int, site: str = "", today: Column | None = None) -> DataFrame:
+    """discover() over a season's days."""
+    return discover(spark, path, f"{year}-{SEASON[0]}", f"{year}-{SEASON[1]}", site, today)
+
+
 def played(found: DataFrame, today: Column | None = None) -> DataFrame:
     """Links whose date in the id is before today."""
     day = F.try_to_timestamp(F.regexp_extract("link", r"[A-Z]{3}(\d{8})", 1), F.lit("yyyyMMdd")).cast("date")
