@@ -124,8 +124,8 @@ def test_scan_of_a_database(spark, database):
     some = games.where("game_no >= 150 AND venue = 'v1'").select("game_no")
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in plan and "GreaterThanOrEqual(game_no,150)" in plan.replace("*", "") and "EqualTo(venue,v1)" in plan.replace("*", "") and sorted(r[0] for r in some.collect()) == [i * 3 for i in range(50, 100) if i % 7 == 1]
-    spark.createDataFrame([], "game_no int, venue string").write.format("jdbc").options(url=url, dbtable="none", **options).save()
-    assert tables.scan(spark, url, "none", "game_no", **options).count() == 0
+    spark.createDataFrame([], "game_no int, venue string").write.format("jdbc").options(url=url, dbtable="no_games", **options).save()
+    assert tables.scan(spark, url, "no_games", "game_no", **options).count() == 0
 
 
 def test_reachable(spark, database):
