@@ -4,8 +4,9 @@ Base patterns give the kinds assign, access and hex. The method adds the kind en
 more letters, digits and base64 signs) are split by character class into hexadecimal and mixed ones. A window of WINDOW
 characters slides over each; the count of the entering character goes up, that of the leaving one down, and the sum of
 c * log2(c) changes by those two terms, from which the window's Shannon entropy follows. Windows that reach their
-class's threshold join into spans. Candidates on the allow list (words, identifiers without digits, UUIDs, alphabets in
-order, placeholders, paths, integrity hashes) are left alone.
+class's threshold join into spans. The allow list has two parts. What says something about a whole candidate (words and
+identifiers without digits, numbers, UUIDs, paths of words, integrity hashes) leaves it alone; what stands inside one
+(alphabets in order, placeholders) only clears the windows that it touches: the candidate is cut there.
 
 Positions of all matches come from the lengths of the matches and of the gaps between them, so everything is one narrow
 projection over the scan: no shuffle, and nothing that depends on other rows. Time is linear in the text and its matches.
@@ -34,16 +35,16 @@ MIXED_SIGNS = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_
 #: Bits a character. A window of 20 can reach 4.32; random hexadecimal has about 3.4 and random base64 about 4.1.
 HEX_BITS, MIXED_BITS = 3.05, 3.85
 
-#: What looks random but is known to be harmless.
+#: Whole candidates that look random but are known to be harmless.
 ALLOWED = (
     r"^[^0-9]*$",  # words and identifiers without digits
     r"^[0-9]+$",  # numbers
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",  # UUIDs
-    r"(?i)0123456789|abcdefghij|klmnopqrst|qwertyuiop",  # alphabets in order
-    r"(?i)example|placeholder|changeme|dummy|sample|x{6,}",  # placeholders
     r"^(sha256|sha384|sha512)-",  # integrity hashes of public files
-    r"^/?([A-Za-z_-]+/)+[A-Za-z0-9_=-]*$",  # paths
+    r"^/?([A-Z]?[a-z_-]+/)+[A-Z]?[a-z_-]*[0-9]{0,6}$",  # paths of words
 )
+#: Parts of candidates that are known to be harmless, alphabets in order and placeholders.
+ALLOWED_PART = r"(?i:0123456789|abcdefghij|klmnopqrst|qwertyuiop|example|placeholder|changeme|dummy|sample|x{6,})"
 
 
 def _located(matches: Column, gaps: Column) -> Column:
@@ -99,6 +100,16 @@ def _windows(value: Column, signs: str, bits: float) -> Column:
     return F.aggregate(steps, zero, slide, lambda acc: F.concat(F.flatten(acc["parts"]), acc["spans"], last(acc)))
 
 
+def _pieces(candidate: Column) -> Column:
+    """array<struct<start, value, is_hex>> of what is left of a candidate beside its harmless parts."""
+    value, is_hex = candidate["value"], candidate["value"].rlike("^[0-9A-Fa-f]+$")
+    piece = lambda start, text: F.struct(start.cast("int").alias("start"), text.alias("value"), is_hex.alias("is_hex"))
+    gaps = F.split(value, ALLOWED_PART, -1)
+    ends = F.concat(F.array(F.lit(0)), F.transform(_located(_all(value, ALLOWED_PART), gaps), lambda x: x["end"]))
+    cut = F.transform(F.arrays_zip(ends.alias("at"), gaps.alias("text")), lambda x: piece(candidate["start"] + x["at"], x["text"]))
+    return F.when(value.rlike(ALLOWED_PART), cut).otherwise(F.array(piece(candidate["start"], value)))
+
+
 def find_secrets(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) with found: array<struct<start int, kind int, end int>>, in order of start and kind.
 
@@ -122,12 +133,11 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     })
     span = lambda x, kind: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"))
     passed = F.filter(F.arrays_zip("s_assign", "v_assign"), lambda x: F.length(x["v_assign"]) >= ASSIGN_LEAST)
-    is_hex = lambda v: v.rlike("^[0-9A-Fa-f]+$")
     high = F.flatten(
         F.transform(
-            F.col("s_high"),
+            F.flatten(F.transform("s_high", _pieces)),
             lambda x: F.transform(
-                F.when(is_hex(x["value"]), _windows(F.lower(x["value"]), HEX_SIGNS, HEX_BITS)).otherwise(_windows(x["value"], MIXED_SIGNS, MIXED_BITS)),
+                F.when(x["is_hex"], _windows(F.lower(x["value"]), HEX_SIGNS, HEX_BITS)).otherwise(_windows(x["value"], MIXED_SIGNS, MIXED_BITS)),
                 lambda w: F.struct((x["start"] + w["start"]).alias("start"), F.lit(3).alias("kind"), (x["start"] + w["end"]).alias("end")),
             ),
         )
@@ -173,8 +183,10 @@ m AS ({found}),
 s AS (
   SELECT doc_id, kind, m[i] AS val, v[i] AS v, list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start
   FROM m, unnest(range(1, len(m) + 1)) AS u(i)
+), k AS (
+  SELECT doc_id, start, regexp_full_match(val, '[0-9A-Fa-f]+') AS is_hex, regexp_extract_all(val, {q(ALLOWED_PART)}) AS m, string_split_regex(val, {q(ALLOWED_PART)}) AS g FROM s WHERE kind = 4 AND NOT ({allowed})
 ), c AS (
-  SELECT doc_id, start, val, regexp_full_match(val, '[0-9A-Fa-f]+') AS is_hex FROM s WHERE kind = 4 AND NOT ({allowed})
+  SELECT doc_id, start + coalesce(list_sum(list_transform(g[1:i - 1], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start, g[i] AS val, is_hex FROM k, unnest(range(1, len(g) + 1)) AS u(i)
 ), w AS (
   SELECT doc_id, start, j, is_hex, unnest(string_split(substr(CASE WHEN is_hex THEN lower(val) ELSE val END, j, {WINDOW}), '')) AS sign FROM c, unnest(range(1, length(val) - {WINDOW} + 2)) AS u(j)
 ), n AS (SELECT doc_id, start, j, is_hex, sign, count(*) AS n FROM w GROUP BY ALL
