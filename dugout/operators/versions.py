@@ -146,10 +146,14 @@ class Store:
 
     # --- writing -------------------------------------------------------------------------------------------------
 
-    def _write(self, rows: DataFrame, folder: str, parts: list[str]) -> dict[str, dict]:
-        """rows with _part, one folder for each partition: {partition: {dir, hides}}. Partitions without rows are None."""
+    def _write(self, rows: DataFrame, folder: str, parts: list[str], order: tuple[str, ...] = ()) -> dict[str, dict]:
+        """rows with _part, one folder for each partition: {partition: {dir, hides}}. Partitions without rows are None.
+
+        Rows of a partition come together, but Spark splits a large one over tasks; files are sorted, so that a search by the
+        key skips most of them.
+        """
         place = F.array_position(F.array(*map(F.lit, parts)), F.col("_part")).cast("int")
-        rows.withColumn("_p", place).drop("_part").repartition("_p").write.partitionBy("_p").parquet(f"{self.root}/{folder}")
+        rows.withColumn("_p", place).drop("_part").hint("rebalance", "_p").sortWithinPartitions("_p", *order).write.partitionBy("_p").parquet(f"{self.root}/{folder}")
         made = {s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/{folder}"))}
         return {p: {"dir": f"{folder}/_p={i}", "hides": []} if f"_p={i}" in made else None for i, p in enumerate(parts, 1)}
 
@@ -184,7 +188,7 @@ class Store:
             kept = stored.withColumn("_part", _place(spec)).where(F.col("_part").isin(parts))
             kept = kept.alias("s").join(new.select(*spec.keys).alias("n"), _same("s", "n", spec.keys), "left_anti").select("s.*")
             out = kept.unionByName(new, allowMissingColumns=True)
-        return self._write(out, f"{folder}/{name}", parts), new
+        return self._write(out, f"{folder}/{name}", parts, spec.keys), new
 
     def _check_parents(self, base: dict, batch: dict[str, DataFrame], added: dict[str, DataFrame]) -> None:
         for name, rows in added.items():
@@ -270,7 +274,7 @@ class Store:
             if parts := sorted(p for p, x in held["parts"].items() if x["hides"]):
                 # what is left of each is written; one of which nothing is left goes
                 rows = self._read(base, name, parts).withColumn("_part", _place(self.tables[name]))
-                changes[name] = self._write(rows, f"{mark}/{name}", parts)
+                changes[name] = self._write(rows, f"{mark}/{name}", parts, self.tables[name].keys)
         return self._publish(base, changes, {}, None) if changes else base["version"]
 
     def forget(self, keep: int = 1, orphan_hours: float = 24) -> None:

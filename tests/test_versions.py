@@ -148,6 +148,22 @@ def test_forget_keeps_what_a_version_names(spark, store, tmp_path):
     assert not (tmp_path / "s" / "data" / "under-way").exists()
 
 
+def test_a_large_partition_is_written_by_several_tasks(spark, store, tmp_path):
+    """All rows are of one partition: many files, each sorted by the key."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        store.merge({"games": spark.range(9_000).selectExpr("id % 9 AS season", "id * 0 AS zero", "sha2(CAST(id AS STRING), 256) AS venue", "id").selectExpr("id % 10 AS game_id", "season", "venue").dropDuplicates(["game_id"])})
+        lots = spark.range(40_000).selectExpr("id % 10 AS game_id", "id AS seq", "sha2(CAST(id AS STRING), 256) AS said")
+        store.merge({"plays": lots})
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = list((tmp_path / "s" / files(store, "plays")["0"]).glob("*.parquet"))
+    assert len(written) >= 3 and store.read("plays").count() == 40_000
+    for f in written[:3]:
+        rows = [(r["game_id"], r["seq"]) for r in spark.read.parquet(str(f)).collect()]
+        assert rows == sorted(rows)
+
+
 def test_odd_keys_and_partitions(spark, store):
     odd = {"games": Keyed(("game_id", "venue"), "venue", "old")}
     other = Store(spark, f"{store.root}-odd", odd)
