@@ -4,7 +4,8 @@ About 1.25 * sqrt(n) pivots, 128 at least, are chosen from a bounded sample. A v
 order, and posted in the inverted file of the nearest one, so each vector is moved once. A query goes to the files of
 its own nearest pivots, GROWTH * pivots ** POWER of them; their entries are ranked by the footrule distance of the
 orders (ranks beyond DEPTH count as DEPTH), the best SHARE is reranked by exact cosine on the original vectors, and the
-best of all files are merged. Both numbers grow less than the table, so a query meets a falling share of it.
+best of all files are merged. Both numbers grow less than the table up to MOST_PIVOTS pivots, some 2.7 million rows; beyond,
+a query meets the same share of it, 48 %, so that work grows with queries times rows.
 
 Files are dealt into shards of about BLOCK entries: small files share one, a file with more is cut into several. Queries
 are dealt into blocks of QUERY_BLOCK. A task holds one shard at a time and streams queries past it, so a pivot near a
