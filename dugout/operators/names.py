@@ -7,6 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
+#: Heading cells that are no names.
+NO_NAMES = ("Player", "Batting", "Pitching", "Team Totals")
 #: Parts that follow a last name.
 SUFFIXES = r"\s+(?:Jr\.?|Sr\.?|II|III|IV)$"
 
@@ -18,6 +22,13 @@ def canonical(batting: DataFrame, pitching: DataFrame, by: tuple[str, ...] = ("g
     return known.select(*by, "player_name", F.when(F.col("least") == F.col("most"), F.col("least")).alias("player_id"), (F.col("least") != F.col("most")).alias("is_ambiguous"))
 
 
+def from_cells(cells: DataFrame) -> DataFrame:
+    """(url, player_name) of the heading cells of players in box-score tables, out of box_pages.cells(), each name once."""
+    boxes = cells.where(F.lower("table_id").rlike("batting|pitching") & F.col("is_head") & (F.col("stat") == "player"))
+    named = boxes.select("url", T.normal_name(T.without_decisions("text")).alias("player_name"))
+    return named.where((F.col("player_name") != "") & ~F.col("player_name").isin(*NO_NAMES)).distinct()
+
+
 def aliases(players: DataFrame) -> DataFrame:
     """(game_id, alias, player_id, priority) of players(game_id, player_name, player_id).
 

@@ -81,6 +81,49 @@ def report_status(value: Column) -> Column:
     return F.when(value >= 100, "success").when(value >= 95, "warning").otherwise("failure")
 
 
+#: What a stored report says.
+REPORT = "game_id, validation_type, status, accuracy_percentage, total_official, total_calculated, discrepancies_count"
+
+
+def report_rows(checked: DataFrame) -> DataFrame:
+    """Rows to store of either kind of report, without overall ones: those with a status, totals and a list of
+    discrepancies, and those with an accuracy, the players compared and a number of differences, whose status follows from it.
+
+    A table may hold both kinds; columns that it lacks count as null.
+    """
+    column = lambda name, kind: F.col(name) if name in checked.columns else F.lit(None).cast(kind)
+    kinds = {"status": "string", "accuracy_percentage": "double", "total_official": "long", "total_calculated": "long", "discrepancies": "array<string>", "accuracy": "double", "players_compared": "long", "total_differences": "long"}
+    has = {n: column(n, k) for n, k in kinds.items()}
+    accuracy = F.coalesce(has["accuracy"], F.lit(0.0))
+    first, compared = has["status"].isNotNull(), F.coalesce(has["players_compared"], F.lit(0)).cast("long")
+    pick = lambda a, b: F.when(first, a).otherwise(b)
+    values = {
+        "status": pick(has["status"], report_status(accuracy)), "accuracy_percentage": pick(has["accuracy_percentage"], accuracy), "total_official": pick(has["total_official"].cast("long"), compared),
+        "total_calculated": pick(has["total_calculated"].cast("long"), compared), "discrepancies_count": pick(F.coalesce(F.array_size(has["discrepancies"]), F.lit(0)).cast("long"), F.coalesce(has["total_differences"], F.lit(0)).cast("long")),
+    }
+    return checked.where(F.col("validation_type") != "overall").select("game_id", "validation_type", *(v.alias(n) for n, v in values.items()))
+
+
+#: Columns of the comparison by side, and what they are called there.
+VIEWS = {
+    "batting": ({"player_id": "player_id", "player_name": "player_name", "team": "team"}, ("AB", "H", "BB", "SO", "PA", "R", "RBI", "HR", "2B", "3B", "SB", "CS", "HBP", "GDP", "SF", "SH"), {"2B": "doubles", "3B": "triples"}),
+    "pitching": ({"player_id": "player_id", "player_name": "pitcher_name", "team": "team"}, ("BF", "H", "BB", "SO", "HR", "PC"), {}),
+}
+
+
+def validation_view(appearances: DataFrame, side: str) -> DataFrame:
+    """The columns of appearances that are compared, by the comparison's names; those that are missing stay out."""
+    who, stats, stored = VIEWS[side]
+    wanted = who | {stored.get(s, s): s for s in stats}
+    return appearances.select(*(F.col(f"`{c}`").alias(n) for c, n in wanted.items() if c in appearances.columns))
+
+
+def summed(rows: DataFrame, by: list[str]) -> DataFrame:
+    """All numeric columns of rows, summed by key; others are left out."""
+    numeric = [f.name for f in rows.schema if f.name not in by and f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")]
+    return rows.groupBy(*by).agg(*(F.sum(c).alias(c) for c in numeric))
+
+
 def storable(results: DataFrame, least: float, strict: bool = True) -> DataFrame:
     """The games to store: strict, both accuracies reach the least; else all but failures."""
     return results.where((F.least("batting_accuracy", "pitching_accuracy") >= least) if strict else (F.col("status") != "FAIL"))

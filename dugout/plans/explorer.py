@@ -26,3 +26,30 @@ def columns(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
 
 def sql(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(text)
+
+
+HELP = {"tables": "the tables, their rows and columns", "columns": "the columns of all tables", "help": "these words", "SELECT ...": "any query over the tables"}
+
+
+def ask(spark: SparkSession, text: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """An explorer's line: one of the words of HELP, or a query over the tables by their names, which no view outlives."""
+    word = text.strip().rstrip(";").lower()
+    if word == "tables":
+        return overview(tables)
+    if word == "columns":
+        return columns(spark, tables)
+    if word == "help":
+        return spark.createDataFrame(list(HELP.items()), "word string, says string")
+    return _over(spark, text.strip().rstrip(";"), tables)
+
+
+def _over(spark: SparkSession, text: str, tables: dict[str, DataFrame]) -> DataFrame:
+    views = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    held = {n: spark.table(n) for n in tables if n in views}
+    register(tables)
+    try:
+        return sql(spark, text)
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        register(held)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .functions import metadata as M
 from .functions import plays as P
 from .functions import text as T
 from .operators import events as E
@@ -929,3 +930,172 @@ def union_players_last_wins(spark, sf):
     b = B.batting(spark, sf).where("flag = 'R'").select("player_id", F.concat(F.lit("B"), "player_name").alias("player_name"))
     p = B.pitching(spark, sf).select("player_id", F.concat(F.lit("P"), "player_name").alias("player_name"))
     return N.last_name_wins(b, p)
+
+
+@query("text_numbers", """SELECT p_partkey, CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INT) AS first_integer, CAST(p_size AS INT) AS leading_integer, 0 AS no_integer, CAST(trunc(p_retailprice) AS INT) AS safe_int, -1 AS unsafe_int,
+    CASE WHEN lower(p_name[1]) = 't' THEN 'top' WHEN lower(p_name[1]) = 'b' THEN 'bottom' ELSE '' END AS inning_half FROM part""", False)
+def text_numbers(spark, sf):
+    """Numbers and half innings out of the parts' texts."""
+    size = F.concat(F.col("p_size").cast("string"), F.lit("-("), "p_size", F.lit(")"))
+    return table(spark, sf, "part").select(
+        "p_partkey", T.first_integer("p_brand").alias("first_integer"), T.leading_integer(size).alias("leading_integer"), T.leading_integer("p_brand").alias("no_integer"), T.safe_int(F.col("p_retailprice").cast("string")).alias("safe_int"),
+        T.safe_int("p_type", -1).alias("unsafe_int"), T.inning_half("p_name").alias("inning_half"),
+    )
+
+
+@query("name_pieces", """, n AS (SELECT player_id, player_name, nation_id, translate(player_name, '#0123456789', ' abcdefghij') AS name, ['SS', 'PH-LF', '1B', 'P'][CAST(nation_id % 4 AS INT) + 1] AS code FROM players)
+    SELECT player_id, name AS player_name, CASE nation_id % 4 WHEN 1 THEN 'PH,LF' ELSE code END AS positions, CASE nation_id % 4 WHEN 0 THEN 'Shortstop' WHEN 1 THEN 'Pinch Hitter' WHEN 2 THEN 'First Base' ELSE 'Pitcher' END AS first_position,
+    's' || lpad(CAST(player_id AS VARCHAR), 4, '0') AS link_id, name AS bare, 'https://x.test/boxes/SUP/SUP' || player_id || '.shtml' AS url, replace(player_name, 'Supplier#', 'Supplier Number#') AS words, CASE WHEN nation_id % 2 = 0 THEN player_name ELSE substr(player_name, 1, 7) || '...' END AS short FROM n""")
+def name_pieces(spark, sf):
+    """Suppliers' names with position codes, taken apart, and addresses and labels made of them."""
+    rows = B.players(spark, sf).withColumn("name", F.translate("player_name", "#0123456789", " abcdefghij"))
+    entry = F.concat("name", F.lit(" "), F.get(F.array(*map(F.lit, ("SS", "PH-LF", "1B", "P"))), (F.col("nation_id") % 4).cast("int")))
+    taken, link = T.player_and_positions(entry), F.concat(F.lit("https://x.test/players/s/s"), F.lpad(F.col("player_id").cast("string"), 4, "0"), F.lit(".shtml"))
+    short = F.when(F.col("nation_id") % 2 == 0, T.shortened("player_name", 99)).otherwise(T.shortened("player_name", 10))
+    return rows.select(
+        "player_id", taken["player_name"].alias("player_name"), F.array_join(taken["positions"], ",").alias("positions"), T.position_name(F.get(taken["positions"], F.lit(0))).alias("first_position"), T.player_id(link).alias("link_id"),
+        T.without_code(entry).alias("bare"), T.game_url(F.concat(F.lit("SUP"), "player_id"), "https://x.test/").alias("url"), T.camel_words(F.replace("player_name", F.lit("Supplier#"), F.lit("SupplierNumber#"))).alias("words"), short.alias("short"),
+    )
+
+
+@query("details_totals", """, k AS (SELECT event_id, CAST(regexp_extract(props, '(\\d+)', 1) AS INT) AS k FROM events) SELECT event_id, k + 1 AS HR, 2 AS doubles, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS SB FROM k""".replace(", k AS", "WITH k AS", 1), False)
+def details_totals(spark, sf):
+    """All stats of a details cell; a stat that comes twice adds up."""
+    details = F.concat(F.regexp_extract("props", r"(\d+)", 1), F.lit("\u00b7HR, 2\u00b72B,HR"), F.when(F.col("event_id") % 2 == 0, ",SB").otherwise(""))
+    rows = table(spark, sf, "events").select("event_id", T.detail_map(details).alias("m"))
+    return rows.select("event_id", *(F.coalesce(F.try_element_at("m", F.lit(s)), F.lit(0)).alias(n) for s, n in (("HR", "HR"), ("2B", "doubles"), ("SB", "SB"))))
+
+
+@query("game_flags", """SELECT o_orderkey AS game_id, CAST(o_custkey % 8 + 5 AS INT) < 9 OR o_orderpriority LIKE '1%' AS is_shortened, o_custkey % 8 + 5 > 9 AS is_extra, CASE o_orderstatus WHEN 'F' THEN 'World Series' WHEN 'O' THEN 'Division Series' END AS playoff_round, o_orderstatus IN ('F', 'O') AS is_playoff FROM orders""", False)
+def game_flags(spark, sf):
+    """Short, long and play-off games, by line scores and titles made of the orders' columns."""
+    title = F.when(F.col("o_orderstatus") == "F", "A at B, World Series Game 1").when(F.col("o_orderstatus") == "O", "A at B - ALDS").otherwise("A at B")
+    text = F.when(F.col("o_orderpriority").startswith("1"), F.concat("o_orderpriority", F.lit(": game called, rain"))).otherwise(F.col("o_orderpriority"))
+    innings = M.innings_played(F.transform(F.sequence(F.lit(1), (F.col("o_custkey") % 8 + 5).cast("int")), lambda i: i.cast("string")), F.lit(0), text)
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("game_id"), M.is_shortened(innings, text).alias("is_shortened"), M.is_extra_innings(innings).alias("is_extra"), M.playoff_round(title).alias("playoff_round"), M.is_playoff(title).alias("is_playoff"))
+
+
+@query("bio_provenance", "SELECT player_id, CASE WHEN nation_id % 3 = 0 THEN 'Full ' || player_name ELSE player_name END AS full_name, CASE WHEN nation_id % 3 = 0 THEN throws END AS throws, CASE WHEN nation_id % 3 = 0 THEN 'bio' ELSE 'box_score' END AS source FROM players WHERE player_id % 4 <> 0")
+def bio_provenance(spark, sf):
+    """Players that the store lacks, with their facts where a page has them, and which of the two it was."""
+    who = B.players(spark, sf)
+    stored, seen = who.where("player_id % 4 = 0").select("player_id"), who.select("player_id", "player_name")
+    bios = who.where("nation_id % 3 = 0").select("player_id", F.concat(F.lit("Full "), "player_name").alias("full_name"), "throws")
+    return K.enrich_new_players(stored, seen, bios).select("player_id", "full_name", "throws", "source")
+
+
+@query("pitching_outcomes", """SELECT pitcher_name, count(*) FILTER (WHERE event_type IN ('view', 'signup', 'purchase')) AS faced, count(*) FILTER (WHERE is_hit) AS hits_allowed, count(*) FILTER (WHERE is_walk) AS walks_allowed, count(*) FILTER (WHERE hit_type = 'home_run') AS home_runs_allowed,
+    count(*) FILTER (WHERE is_so) AS outs FROM plays WHERE event_type IN ('view', 'signup', 'purchase') GROUP BY pitcher_name""")
+def pitching_outcomes(spark, sf):
+    rows = P.pitching_outcome(P.accepted(P.classify(B.raw_plays(spark, sf), rules=P.CONSERVATIVE_RULES, outcomes=P.CONSERVATIVE_OUTCOMES)))
+    return rows.groupBy("pitcher_name").agg(F.count("*").alias("faced"), F.count_if("hit_allowed").alias("hits_allowed"), F.count_if("walk_allowed").alias("walks_allowed"), F.count_if("home_run_allowed").alias("home_runs_allowed"), F.count_if("out_recorded").alias("outs"))
+
+
+@query("outcome_kinds", "SELECT seq, CASE event_type WHEN 'view' THEN 'strikeout' WHEN 'signup' THEN 'walk' WHEN 'purchase' THEN hit_type WHEN 'error' THEN 'error' END AS rule FROM plays")
+def outcome_kinds(spark, sf):
+    return P.kind(B.raw_plays(spark, sf)).select("seq", "rule")
+
+
+@query("batted_in", """SELECT seq, CASE WHEN event_type = 'error' THEN 0 WHEN hit_type = 'home_run' THEN CASE seq % 3 WHEN 0 THEN 4 WHEN 1 THEN 3 ELSE 1 END WHEN seq % 3 = 0 THEN pitch_count WHEN seq % 3 = 1 THEN 2 ELSE 0 END AS rbi FROM plays""")
+def batted_in(spark, sf):
+    """Runs batted in as a description says them: by number, by the home run's name, by those who score, none on an error."""
+    rows, k = B.raw_plays(spark, sf), F.col("seq") % 3
+    home = F.when(k == 0, ", Grand Slam").when(k == 1, ", 3-run").otherwise("")
+    other = F.when(k == 0, F.concat(F.lit("; "), "pitch_count", F.lit(" RBI"))).when(k == 1, "; Lee Scores; Diaz Scores").otherwise("")
+    said = F.when(F.col("event_type") == "error", "Reached on error; Lee Scores").when(F.col("description").startswith("Home Run"), F.concat(F.lit("Home Run"), home)).otherwise(F.concat("description", other))
+    return rows.select("seq", P.runs_batted_in(said).cast("long").alias("rbi"))
+
+
+@query("stored_pages", """WITH p AS (SELECT page_id, length(html) % 800 AS age, CASE WHEN page_id % 2 = 0 THEN 'box_scores' ELSE 'rosters' END AS kind FROM pages)
+    SELECT 'fresh' AS left_by, page_id FROM p WHERE age < CASE kind WHEN 'box_scores' THEN 720 ELSE 168 END UNION ALL SELECT 'cleared', page_id FROM p WHERE kind <> 'rosters'""", False)
+def stored_pages(spark, sf):
+    """What is left of a store of pages when old ones go, and when a kind of them does; their age follows from their length."""
+    at = F.expr("timestamp '2024-06-01 00:00:00' - make_interval(0, 0, 0, 0, CAST(length(html) % 800 AS INT), 0, 0)")
+    pages = table(spark, sf, "pages").where("html is not null").select("page_id", "html", at.alias("fetched_at"), F.when(F.col("page_id") % 2 == 0, F.lit("x/boxes/")).otherwise(F.lit("x/ROSTER")).alias("url"))
+    path = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
+    C.append(spark, pages, path)
+    held = C.read(spark, path)
+    one = lambda name, df: df.select(F.lit(name).alias("left_by"), "page_id")
+    return one("fresh", C.purge(held, F.lit("2024-06-01 00:00:00").cast("timestamp"))).unionByName(one("cleared", C.clear(held, "rosters")))
+
+
+@query("recent_days", """, d AS (SELECT CAST(d AS DATE) AS day FROM unnest(generate_series(TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-21', INTERVAL 1 DAY)) AS u(d)) SELECT CAST(day AS VARCHAR) AS day, count(event_id) AS events FROM d LEFT JOIN events ON CAST(ts AS DATE) = day GROUP BY day""".replace(", d AS", "WITH d AS", 1), False)
+def recent_days(spark, sf):
+    """The fortnight up to a day, and what happened on each of its days."""
+    counted = table(spark, sf, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("events"))
+    return D.last_days(spark, 14, "2024-01-21").join(counted, "day", "left").select(F.col("day").cast("string").alias("day"), F.coalesce("events", F.lit(0)).alias("events"))
+
+
+@query("report_upsert", """, f AS (SELECT game_id, validation_type, accuracy_percentage AS a, discrepancies_count AS n FROM reports)
+    SELECT game_id, validation_type, CASE WHEN validation_type = 'batting' AND game_id % 3 > 0 THEN 'kept' WHEN coalesce(a, 0) >= 100 THEN 'success' WHEN coalesce(a, 0) >= 95 THEN 'warning' ELSE 'failure' END AS status, CASE WHEN validation_type = 'batting' AND game_id % 3 > 0 THEN a ELSE coalesce(a, 0) END AS accuracy_percentage,
+    CASE WHEN validation_type = 'batting' AND game_id % 3 > 0 THEN 7 ELSE 9 END AS total_official, CASE WHEN validation_type = 'batting' AND game_id % 3 > 0 THEN 8 ELSE 9 END AS total_calculated, n AS discrepancies_count FROM f""")
+def report_upsert(spark, sf):
+    """Reports of both kinds stored in two batches; the second replaces a third of the first's, and adds the other side."""
+    rows = B.reports(spark, sf)
+    listed = rows.where("validation_type = 'batting'").select("game_id", "validation_type", F.lit("kept").alias("status"), "accuracy_percentage", F.lit(7).alias("total_official"), F.lit(8).alias("total_calculated"), F.array_repeat(F.lit("x"), F.col("discrepancies_count").cast("int")).alias("discrepancies"))
+    counted = rows.where("validation_type = 'pitching' OR game_id % 3 = 0").select("game_id", "validation_type", F.col("accuracy_percentage").alias("accuracy"), F.lit(9).alias("players_compared"), F.col("discrepancies_count").alias("total_differences"))
+    overall = counted.where("validation_type = 'pitching'").withColumn("validation_type", F.lit("overall"))
+    store = V.Store(spark, f"{shared_folder(spark)}/reports-{uuid.uuid4().hex}", {"reports": V.Keyed(("game_id", "validation_type"), "game_id % 5", "new")})
+    store.merge({"reports": R.report_rows(listed)})
+    store.merge({"reports": R.report_rows(counted.unionByName(overall))})
+    return store.read("reports")
+
+
+@query("validation_views", """SELECT 'batting' AS side, player_id, count(*) AS n, CAST(sum(AB) AS BIGINT) AS a, CAST(sum(doubles) AS BIGINT) AS b FROM batting GROUP BY player_id UNION ALL SELECT 'pitching', player_id, count(*), CAST(sum(BF) AS BIGINT), CAST(0 AS BIGINT) FROM pitching GROUP BY player_id""")
+def validation_views(spark, sf):
+    """The columns of both sides that are compared, renamed, summed by player; what the tables lack stays out."""
+    bat, pit = R.validation_view(B.batting(spark, sf), "batting"), R.validation_view(B.pitching(spark, sf), "pitching")
+    assert bat.columns == ["player_id", "player_name", "team", "AB", "H", "BB", "SO", "PA", "R", "RBI", "HR", "2B", "3B", "SB", "HBP", "SF"] and pit.columns == ["player_id", "pitcher_name", "team", "BF"]
+    one = lambda side, df, a, b: R.summed(df.withColumn("n", F.lit(1)), ["player_id"]).select(F.lit(side).alias("side"), "player_id", "n", F.col(a).alias("a"), b.cast("long").alias("b"))
+    return one("batting", bat, "AB", F.col("2B")).unionByName(one("pitching", pit, "BF", F.lit(0)))
+
+
+@query("heading_names", "SELECT page_id, unnest(CASE page_id % 2 WHEN 0 THEN ['Ann Lee', 'Sal Kim'] ELSE ['Ann Lee'] END) AS player_name FROM pages", False)
+def heading_names(spark, sf):
+    """Players named in heading cells of box scores in front of each page's own HTML: batters with codes, pitchers with decisions, headings and totals."""
+    head = lambda text: f"<tr><th data-stat='player'>{text}</th><td>1</td></tr>"
+    pitching = f"<table id='BBBpitching'>{head('Pitching')}{head('Sal Kim, W (1-0)')}{head('Ann Lee')}</table>"
+    box = F.concat(F.lit(f"<table id='AAAbatting'>{head('Batting')}{head('Ann Lee SS')}{head('Ann Lee PH')}{head('Team Totals')}</table><table id='x'>{head('No One')}</table>"), F.when(F.col("page_id") % 2 == 0, pitching).otherwise(""))
+    pages = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("url"), F.concat(box, F.coalesce("html", F.lit(""))).alias("html"))
+    return N.from_cells(HP.cells(pages)).select(F.col("url").cast("long").alias("page_id"), "player_name")
+
+
+@query("explorer_lines", """SELECT 'tables' AS line, 'games' AS name, count(*) AS n FROM games UNION ALL SELECT 'tables', 'players', count(*) FROM players UNION ALL SELECT 'query', venue, count(*) FROM games GROUP BY venue""")
+def explorer_lines(spark, sf):
+    """What an explorer's lines give: the tables' sizes, and a query over them that leaves no view."""
+    tables = {"games": B.games(spark, sf), "players": B.players(spark, sf)}
+    sizes = X.ask(spark, " tables; ", tables).select(F.lit("tables").alias("line"), F.col("table_name").alias("name"), F.col("n_rows").alias("n"))
+    return sizes.unionByName(X.ask(spark, "SELECT 'query' AS line, venue AS name, count(*) AS n FROM games GROUP BY venue;", tables))
+
+
+@query("appended_log", "SELECT validation_type, 2 * count(*) AS n, 2 * count(accuracy_percentage) AS known FROM reports GROUP BY validation_type")
+def appended_log(spark, sf):
+    """A batch's results appended twice to a log in CSV and read back."""
+    path = f"{shared_folder(spark)}/log-{uuid.uuid4().hex}"
+    for write in (RP.write_batch, ST.append_log):
+        write(B.reports(spark, sf), path)
+    held = ST.read_log(spark, path, "game_id long, validation_type string, accuracy_percentage double, discrepancies_count long")
+    return held.groupBy("validation_type").agg(F.count("*").alias("n"), F.count("accuracy_percentage").alias("known"))
+
+
+@query("batch_grades", "SELECT CASE WHEN accuracy_percentage >= 100 THEN 'perfect' WHEN accuracy_percentage >= 99 THEN 'good' ELSE 'needs_work' END AS grade, CASE WHEN accuracy_percentage >= 100 THEN 'success' WHEN accuracy_percentage >= 95 THEN 'warning' ELSE 'failure' END AS status, count(*) AS n FROM reports WHERE accuracy_percentage IS NOT NULL GROUP BY ALL")
+def batch_grades(spark, sf):
+    rows, a = B.reports(spark, sf).where("accuracy_percentage is not null"), F.col("accuracy_percentage")
+    return rows.groupBy(R.grade(a).alias("grade"), R.report_status(a).alias("status")).agg(F.count("*").alias("n"))
+
+
+@query("batch_report", f"""{_DIFFS}, g AS (SELECT game_id, CASE WHEN sum(official) > 0 THEN (sum(official) - sum(abs(diff))) / sum(official) * 100 ELSE 0 END AS accuracy FROM x GROUP BY game_id), s AS (SELECT stat, CAST(sum(abs(diff)) AS BIGINT) AS total, count(*) AS n FROM x WHERE diff <> 0 GROUP BY stat)
+    SELECT 'Games: ' || count(*) AS line FROM g UNION ALL SELECT '  ' || stat || ' differs by ' || total || ' over ' || n || ' players' FROM s
+    UNION ALL SELECT '  ' || CASE WHEN accuracy >= 100 THEN 'perfect' WHEN accuracy >= 99.5 THEN 'excellent' WHEN accuracy >= 99 THEN 'very_good' WHEN accuracy >= 98 THEN 'good' WHEN accuracy >= 95 THEN 'fair' ELSE 'poor' END || ': ' || count(*) FROM g GROUP BY CASE WHEN accuracy >= 100 THEN 'perfect' WHEN accuracy >= 99.5 THEN 'excellent' WHEN accuracy >= 99 THEN 'very_good' WHEN accuracy >= 98 THEN 'good' WHEN accuracy >= 95 THEN 'fair' ELSE 'poor' END""")
+def batch_report(spark, sf):
+    """A batch in words; the lines with rounded means are left to the tests."""
+    diffs = _diffs(spark, sf)
+    lines = RP.text_report(R.accuracy(diffs, ["game_id"]), diffs)
+    return lines.where(~F.col("line").rlike("^(Mean|Lowest)")).select("line")
+
+
+@query("links_of_pages", """WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="[^"]*?(/[A-Za-z]+)"', 1)) AS link FROM pages) SELECT DISTINCT page_id, link FROM l""", False)
+def links_of_pages(spark, sf):
+    """Each page's own links of a kind, once."""
+    pages = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("url"), "html")
+    return D.links(pages, "/[A-Za-z]+").select(F.col("url").cast("long").alias("page_id"), "link")

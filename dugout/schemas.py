@@ -51,10 +51,31 @@ def conformed(df: DataFrame, name: str) -> DataFrame:
     return df.select(*((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields))
 
 
-def create(spark: SparkSession, database: str = "default") -> None:
-    """The tables, where they are missing."""
+#: Buckets of the tables for analysis, by game.
+BUCKETS = 16
+
+
+def _of_games(name: str) -> bool:
+    return TABLES[name].startswith("game_id") or " game_id " in TABLES[name]
+
+
+def create(spark: SparkSession, database: str = "default", buckets: int = BUCKETS) -> None:
+    """The tables, where they are missing; those of games in buckets of games, so that joins of them move no rows."""
     for name, columns in TABLES.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet" + (" PARTITIONED BY (season)" if name == "games" else ""))
+        parts = " PARTITIONED BY (season)" if name == "games" else ""
+        clusters = f" CLUSTERED BY (game_id) SORTED BY (game_id) INTO {buckets} BUCKETS" if _of_games(name) else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet{parts}{clusters}")
+
+
+def publish(held: Store, database: str = "default", buckets: int = BUCKETS) -> None:
+    """A season store's tables as tables of the catalog for analysis, laid out as create() does."""
+    for name in TABLES:
+        rows = held.read(name)
+        if _of_games(name):
+            out = rows.repartition(buckets, "game_id").write.bucketBy(buckets, "game_id").sortBy("game_id")
+            (out.partitionBy("season") if name == "games" else out).format("parquet").mode("overwrite").saveAsTable(f"{database}.{name}")
+        else:
+            rows.write.format("parquet").mode("overwrite").saveAsTable(f"{database}.{name}")
 
 
 def empty(spark: SparkSession, name: str) -> DataFrame:

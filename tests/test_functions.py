@@ -127,3 +127,41 @@ def test_flags(spark):
 def test_kind(spark):
     rows = P.kind(spark.createDataFrame([(0, "Double Play: Groundout"), (1, "Doubles to left"), (2, "Homer to right"), (3, "Nothing")], "i int, description string")).orderBy("i").collect()
     assert [r["rule"] for r in rows] == ["out", "double", "home_run", None]
+
+
+def test_reports_of_both_kinds(spark):
+    """A status with a list, or an accuracy with counts; both in one table; overall ones and missing columns."""
+    from dugout.operators import reconcile as R
+
+    rows = [("a", "batting", "kept", 97.0, 3, 4, ["x", "y"], None, None, None), ("a", "pitching", None, None, None, None, None, 100.0, 5, 0), ("b", "batting", None, None, None, None, None, 95.0, 6, 2), ("b", "pitching", None, None, None, None, None, None, None, None), ("b", "overall", "kept", 1.0, 1, 1, [], 1.0, 1, 1)]
+    table = spark.createDataFrame(rows, "game_id string, validation_type string, status string, accuracy_percentage double, total_official int, total_calculated int, discrepancies array<string>, accuracy double, players_compared int, total_differences int")
+    want = {("a", "batting"): ("kept", 97.0, 3, 4, 2), ("a", "pitching"): ("success", 100.0, 5, 5, 0), ("b", "batting"): ("warning", 95.0, 6, 6, 2), ("b", "pitching"): ("failure", 0.0, 0, 0, 0)}
+    assert {(r[0], r[1]): tuple(r)[2:] for r in R.report_rows(table).collect()} == want
+    few = R.report_rows(table.where("accuracy = 95").select("game_id", "validation_type", "accuracy"))
+    assert [tuple(r)[2:] for r in few.collect()] == [("warning", 95.0, 0, 0, 0)] and few.columns == R.REPORT.split(", ")
+
+
+def test_explorer_lines(spark):
+    """Words, queries over the tables, and views that were there before."""
+    from dugout.plans import explorer as X
+
+    spark.range(3).createOrReplaceTempView("mine")
+    tables = {"mine": spark.range(5), "other": spark.range(7).selectExpr("id", "'x' AS v")}
+    assert {tuple(r) for r in X.ask(spark, "tables", tables).collect()} == {("mine", 5, 1), ("other", 7, 2)}
+    assert {tuple(r) for r in X.ask(spark, "COLUMNS;", tables).collect()} == {("mine", "id", "bigint"), ("other", "id", "bigint"), ("other", "v", "string")}
+    assert {r["word"] for r in X.ask(spark, "help", {}).collect()} == set(X.HELP)
+    assert X.ask(spark, "SELECT count(*) AS n FROM mine JOIN other USING (id);", tables).first()["n"] == 5
+    assert spark.table("mine").count() == 3 and "other" not in {t.name for t in spark.catalog.listTables()}
+    spark.catalog.dropTempView("mine")
+
+
+def test_sums_of_numeric_columns(spark):
+    from dugout.operators import reconcile as R
+
+    rows = spark.createDataFrame([("a", 1, 2.5, "x"), ("a", 2, None, "y"), ("b", 3, 1.0, "z")], "k string, i int, d double, s string")
+    assert {tuple(r) for r in R.summed(rows, ["k"]).collect()} == {("a", 3, 2.5), ("b", 3, 1.0)}
+
+
+def test_codes_behind_names(spark):
+    for raw, want in (("Ann Lee RF", "Ann Lee"), ("Ann Lee PH-LF ", "Ann Lee"), ("Ann Lee", "Ann Lee"), ("Ken Roy Jr.", "Ken Roy Jr."), (None, None)):
+        assert one(spark, raw, T.without_code) == want

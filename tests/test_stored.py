@@ -21,6 +21,27 @@ def test_create_makes_every_table_once(spark):
     spark.sql("DROP DATABASE dugout_test CASCADE")
 
 
+def test_published_tables_join_games_without_moving_rows(spark, tmp_path):
+    """Buckets of games: joins and groupings by game have no exchange, and what is published equals the store."""
+    from dugout.plans import demo, season
+
+    season.store(demo.pages(spark, 3), str(tmp_path / "store"))
+    held, old = schemas.season_store(spark, str(tmp_path / "store")), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.sql("CREATE DATABASE IF NOT EXISTS dugout_published")
+    schemas.create(spark, "dugout_published")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        schemas.publish(held, "dugout_published", 4)
+        read = lambda n: spark.table(f"dugout_published.{n}")
+        lines = read("events").join(read("games").select("game_id", "venue", "season"), "game_id").groupBy("game_id").agg(F.count("*").alias("n")).join(read("batting_appearances"), "game_id")
+        assert "Exchange" not in lines._jdf.queryExecution().executedPlan().toString()
+        assert all(read(n).count() == held.read(n).count() for n in schemas.TABLES) and lines.count() == held.read("batting_appearances").count()
+        assert spark.table("dugout_published.games").where("season = 2024")._jdf.queryExecution().executedPlan().toString().count("PartitionFilters: [isnotnull(season") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP DATABASE dugout_published CASCADE")
+
+
 def test_new_players_are_enriched(spark):
     stored = spark.createDataFrame([("a", "Ann")], "player_id string, full_name string")
     seen = spark.createDataFrame([("a", "Ann"), ("b", "Bo"), ("c", "Cy")], "player_id string, player_name string")
