@@ -163,6 +163,7 @@ def exact_groups(docs: DataFrame, primes: tuple[int, ...] = PRIMES, bases: tuple
     group = [*key, "turn"]
     order = F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("u"), "doc_id")
     groups = scratch.save(classed.groupBy(*group).agg(F.min(order).alias("best"), F.count("*").alias("group_size")), "groups")
+    scratch.drop_all(prints, groups, *([] if turned is None else [turned]))  # all that the result reads
     return classed.join(groups, group).select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", F.col("doc_id").eqNullSafe(F.col("best.doc_id")).alias("kept"), "text_sha256")
 
 
