@@ -379,6 +379,20 @@ def test_language_evidence(spark):
     assert language_id.identify(frame.limit(0), models, ["id"]).count() == 0
 
 
+def test_language_of_pages(spark):
+    """Every page once; nearly all agree with what they declare, and as many when the declaration is taken away."""
+    sf = "/root/testdata/sf0.01"
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html")
+    said = pages.select("page_id", F.lower(F.regexp_extract("html", r"(?i)<html[^>]*\blang=[\"']?([a-z]{2})", 1)).alias("said"))
+    models = language_id.fit(language_id._labelled(spark.read.parquet(f"{sf}/documents.parquet")))
+    whole = language_id.language_id_pages(spark, sf)
+    assert whole.count() == pages.count() == whole.select("page_id").distinct().count()
+    bare = pages.withColumns({"html": F.regexp_replace("html", r"(?i)(<html)[^>]*>", "$1>"), "url": F.lit("https://x.example/")})
+    for got in (whole, language_id.identify(language_id.pages_evidence(bare), models, ["page_id"])):
+        n, right = got.join(said, "page_id").where(F.col("said").isin(*models.languages)).agg(F.count("*"), F.count_if(F.col("language") == F.col("said"))).first()
+        assert n > 50 and right >= 0.95 * n
+
+
 def test_declared_language_without_a_model_is_kept(spark):
     """Three documents of a language that no model knows stay; the same text without a declaration, or an English one, goes by its own."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
