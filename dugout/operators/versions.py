@@ -175,12 +175,13 @@ class Store:
     def _merged(self, base: dict, name: str, new: DataFrame, folder: str) -> tuple[dict[str, dict], DataFrame]:
         """The partitions that a batch changes, written, and the rows that it adds or changes."""
         spec, columns = self.tables[name], [c for c in new.columns if c != "_part"]
-        there = {r[0] for r in new.select("_part").distinct().collect()}  # partitions, not rows
-        stored = self._read(base, name, there)
+        parts = sorted(r[0] for r in new.select("_part").distinct().collect())  # partitions, not rows
+        held = base["tables"].get(name, {"parts": {}})["parts"]
+        stored = self._read(base, name, set(parts)) if any(p in held for p in parts) else None
         if stored is not None:
             known = spec.keys if spec.keeps == "old" else columns
             new = new.alias("n").join(stored.alias("s"), _same("n", "s", known), "left_anti").select("n.*")
-        parts = sorted(r[0] for r in new.select("_part").distinct().collect())
+            parts = sorted(r[0] for r in new.select("_part").distinct().collect())
         if not parts:
             return {}, new
         out = new

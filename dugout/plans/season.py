@@ -37,11 +37,13 @@ class Kept:
 def one_page_a_game(pages: DataFrame) -> DataFrame:
     """pages(url, html) with one page for each game, the one fetched last if fetched_at says so.
 
-    Only pages of games that come more than once are moved; which these are is told from the addresses alone.
+    Only pages of games that come more than once are moved; which these are, if any, is told from the addresses alone.
     """
     key = F.when(T.game_id("url") != "unknown", T.game_id("url")).otherwise(F.col("url"))
     keyed = pages.withColumn("_key", key)
     again = keyed.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key")
+    if again.isEmpty():
+        return pages
     order = F.struct(*([F.col("fetched_at")] if "fetched_at" in pages.columns else []), F.col("url"), F.xxhash64("html"))
     last = keyed.join(again, "_key", "left_semi").groupBy("_key").agg(F.max_by(F.struct(*pages.columns), order).alias("p")).select("p.*")
     return keyed.join(again, "_key", "left_anti").select(*pages.columns).unionByName(last)
