@@ -33,6 +33,8 @@ from .common import Scratch, n_tokens, plain, table
 BLOCK_TOKENS, BLOCKS = 1 << 16, 1024
 #: Blocks of a source that one task orders, on average.
 RANGE = 8192
+#: Rows of a plan, some 30 bytes each, that go to all tasks; a longer one is joined by a shuffle of the documents.
+MOST_SENT = 1 << 20
 REPETITION = 2.0
 SEED = 20
 
@@ -140,9 +142,11 @@ def mix(docs: DataFrame, counted: DataFrame, names: tuple[str, str] = ("mix_epoc
     have one of the names are replaced.
     """
     sources, plan = mixing_plan(counted, **options)
+    # With a short plan, counted first, the documents stay where they are.
+    sent = F.broadcast if plan.count() <= MOST_SENT else lambda df: df
     numbered = {c: c if c in ("doc_id", "source") else f"c{i}" for i, c in enumerate(docs.columns)}
     blocked = with_blocks(docs.toDF(*numbered.values()), sources)
-    plan = plan.select(F.col("source").alias("of"), F.col("block").alias("at"), "epoch", "position")
+    plan = sent(plan.select(F.col("source").alias("of"), F.col("block").alias("at"), "epoch", "position"))
     mixed = blocked.join(plan, blocked["source"].eqNullSafe(plan["of"]) & (blocked["block"] == plan["at"]))
     return mixed.select(*(F.col(n).alias(c) for c, n in numbered.items() if c not in names), *(F.col(n).alias(c) for n, c in zip(("epoch", "position"), names, strict=True)))
 

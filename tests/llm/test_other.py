@@ -209,6 +209,22 @@ def test_mix_ranges_give_the_same_totals(spark, monkeypatch):
     assert sorted(map(tuple, mixing.mix(rows, rows, block_tokens=30).collect()), key=str) == whole
 
 
+def test_mix_moves_no_documents_with_a_short_plan(spark, monkeypatch):
+    """The plan goes to the documents, or both are shuffled where it is long; the rows are the same."""
+    rows = counted(spark, SOURCES)
+    by_plan = lambda df: df._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin")
+    short = mixing.mix(rows, rows, block_tokens=30)
+    monkeypatch.setattr(mixing, "MOST_SENT", 0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        long = mixing.mix(rows, rows, block_tokens=30)
+        assert by_plan(long) > by_plan(short)
+        assert sorted(map(tuple, short.collect()), key=str) == sorted(map(tuple, long.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_mix_budget_repeats_and_empty(spark):
     rows = counted(spark, SOURCES + SOURCES[:1])
     out = mixing.mix(rows, rows, budget=2000, target_entropy=1.0, block_tokens=50).toPandas()
