@@ -1099,3 +1099,55 @@ def links_of_pages(spark, sf):
     """Each page's own links of a kind, once."""
     pages = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("url"), "html")
     return D.links(pages, "/[A-Za-z]+").select(F.col("url").cast("long").alias("page_id"), "link")
+
+
+@query("play_rows", "SELECT seq FROM plays WHERE seq % 7 > 3")
+def play_rows(spark, sf):
+    """Plays alone: rows without an inning, a description or a pitcher go, and so do headings of innings."""
+    k = F.col("seq") % 7
+    raw = B.raw_plays(spark, sf).select("seq", F.when(k != 0, "t1").alias("inn"), F.when(k != 1, F.col("description")).alias("description"), F.when(k != 2, F.col("pitcher_name")).alias("pitcher"), F.when(k == 3, "TOP OF THE 3rd, Home ahead").when(k != 4, F.col("batter_name")).alias("batter"))
+    return E.play_rows(raw).select("seq")
+
+
+@query("played_links", "SELECT page_id FROM pages WHERE DATE '2024-04-01' + CAST(page_id % 60 AS INT) < DATE '2024-05-01' AND page_id % 3 <> 0", False)
+def played_links(spark, sf):
+    """Links of games before a day; an address without a date is none."""
+    day = F.date_add(F.lit("2024-04-01").cast("date"), (F.col("page_id") % 60).cast("int"))
+    link = F.concat(F.lit("/boxes/AAA/AAA"), F.when(F.col("page_id") % 3 == 0, "nodate").otherwise(F.date_format(day, "yyyyMMdd")), F.lit("0.shtml"))
+    return D.played(table(spark, sf, "pages").select("page_id", link.alias("link")), F.lit("2024-05-01").cast("date")).select("page_id")
+
+
+def _box(spark, sf, name, heads, lines):
+    """Each page's own HTML behind a box-score table of the given headings and lines."""
+    head = "".join(f"<th>{h}</th>" for h in heads)
+    rows = [F.concat(F.lit("<tr>"), *(F.concat(F.lit("<td>"), c if not isinstance(c, str) else F.lit(c), F.lit("</td>")) for c in line), F.lit("</tr>")) for line in lines]
+    html = F.concat(F.lit(f"<table id='{name}'><thead><tr>{head}</tr></thead><tbody>"), *rows, F.lit("</tbody></table>"), F.coalesce("html", F.lit("")))
+    url = F.concat(F.lit("https://x.test/boxes/AAA/AAA2024"), F.lpad(F.col("page_id").cast("string"), 5, "0"), F.lit(".shtml"))
+    return HP.rows(table(spark, sf, "pages").select(url.alias("url"), html.alias("html")))
+
+
+@query("box_batting", """WITH p AS (SELECT 'AAA2024' || lpad(CAST(page_id AS VARCHAR), 5, '0') AS game_id, CAST(page_id % 6 AS INT) AS n FROM pages)
+    SELECT game_id, 'away' AS team, 1 AS row_idx, 'leean01' AS player_id, 'Ann Lee' AS player_name, 'CF,RF' AS positions, FALSE AS is_indented, n AS AB, n + 1 AS PA, n AS HR, 1 AS SB, 0 AS doubles FROM p
+    UNION ALL SELECT game_id, 'away', 5, 'diazbo01', 'Bo Diaz', 'PH', TRUE, 1, 1, 0, 0, 2 FROM p""", False)
+def box_batting(spark, sf):
+    """Batters of a box score: a starter, totals, headings again, a blank line, a substitute, a pitcher who did nothing."""
+    n = (F.col("page_id") % 6).cast("string")
+    heads = ("Batting", "AB", "R", "H", "RBI", "BB", "SO", "PA", "Details")
+    none = ("0",) * 6
+    lines = [
+        ("<a href='/players/l/leean01.shtml'>Ann Lee</a> CF-RF", n, "", "0", "0", "0", "0", (F.col("page_id") % 6 + 1).cast("string"), F.concat(n, F.lit("·HR,SB"))), ("Team Totals", *none, "9", ""), heads, ("", *none, "0", ""),
+        ("&nbsp;&nbsp;<a href='/players/d/diazbo01.shtml'>Bo Diaz</a> PH", "1", "0", "0", "0", "0", "0", "1.0", "2·2B"), ("<a href='/players/f/foxra01.shtml'>Ray Fox</a> P", *none, "0", ""),
+    ]
+    rows = L.eligible_batters(HP.batting(_box(spark, sf, "AAAbatting", heads, lines)))
+    return rows.select("game_id", "team", "row_idx", "player_id", "player_name", F.array_join("positions", ",").alias("positions"), "is_indented", "AB", "PA", "HR", "SB", "doubles")
+
+
+@query("box_pitching", """WITH p AS (SELECT 'AAA2024' || lpad(CAST(page_id AS VARCHAR), 5, '0') AS game_id, CAST(page_id % 6 AS INT) AS n FROM pages)
+    SELECT game_id, 'foxra01' AS player_id, 'Ray Fox' AS player_name, 'BS,W' AS decisions, n + 0.2 AS IP, n AS SO, 27 AS BF, 1 AS place FROM p UNION ALL SELECT game_id, NULL, 'Sal Kim', '', 1.0, 0, 3, 2 FROM p""", False)
+def box_pitching(spark, sf):
+    """Pitchers of a box score in order, with their decisions; one has no link."""
+    n = (F.col("page_id") % 6).cast("string")
+    heads = ("Pitching", "IP", "H", "R", "ER", "BB", "SO", "HR", "BF", "Pit")
+    lines = [("<a href='/players/f/foxra01.shtml'>Ray Fox</a>, BS (3), W (2-1)", F.concat(n, F.lit(".2")), "1", "1", "1", "1", n, "0", "27", "90"), ("Sal Kim", "1.0", "", "0", "0", "0", "x", "0", "3", "12"), ("Team Totals", "9.0", *("1",) * 8)]
+    rows = L.pitching_order(HP.pitching(_box(spark, sf, "AAApitching", heads, lines)))
+    return rows.select("game_id", "player_id", "player_name", F.array_join("decisions", ",").alias("decisions"), F.col("IP").cast("double").alias("IP"), "SO", "BF", F.col("pitching_order").cast("int").alias("place"))

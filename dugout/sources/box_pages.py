@@ -109,7 +109,7 @@ def _span(value: str | None, least: int, most: int) -> int:
     return min(most, max(least, int(found[1]))) if found else 1
 
 
-#: Facts by the elements that hold them: each step is an element that stands somewhere inside the one before it.
+#: Facts by the elements that hold them: each step is an element that stands somewhere inside the one before it.
 PLACES = {
     "title": "title",
     "score": "div.scorebox div.score",
@@ -125,7 +125,7 @@ def _step(text: str) -> tuple[str, str, str]:
     return tag, kind or "", name or ""
 
 
-#: Labels, in strong elements, whose text follows them.
+#: Labels, in strong elements, whose text follows them.
 LABELS = frozenset(("Venue", "Bats", "Bat", "Throws", "Throw", "Debut", "MLB Debut", "Born"))
 #: By the tag of the element that holds the fact.
 _PLACES: dict[str, list[tuple[str, list[tuple[str, str, str]]]]] = {}
