@@ -1122,7 +1122,7 @@ def _box(spark, sf, name, heads, lines):
     head = "".join(f"<th>{h}</th>" for h in heads)
     rows = [F.concat(F.lit("<tr>"), *(F.concat(F.lit("<td>"), c if not isinstance(c, str) else F.lit(c), F.lit("</td>")) for c in line), F.lit("</tr>")) for line in lines]
     html = F.concat(F.lit(f"<table id='{name}'><thead><tr>{head}</tr></thead><tbody>"), *rows, F.lit("</tbody></table>"), F.coalesce("html", F.lit("")))
-    url = F.concat(F.lit("https://x.test/boxes/AAA/AAA2024"), F.lpad(F.col("page_id").cast("string"), 5, "0"), F.lit(".shtml"))
+    url = F.concat(F.lit("https://x.test/boxes/AAA/AAA2024"), F.lpad(F.col("page_id").cast("string"), 5, "0"), F.lit(".shtml?page="), F.col("page_id").cast("string"))
     return HP.rows(table(spark, sf, "pages").select(url.alias("url"), html.alias("html")))
 
 
@@ -1145,9 +1145,9 @@ def box_batting(spark, sf):
 @query("box_pitching", """WITH p AS (SELECT 'AAA2024' || lpad(CAST(page_id AS VARCHAR), 5, '0') AS game_id, CAST(page_id % 6 AS INT) AS n FROM pages)
     SELECT game_id, 'foxra01' AS player_id, 'Ray Fox' AS player_name, 'BS,W' AS decisions, n + 0.2 AS IP, n AS SO, 27 AS BF, 1 AS place FROM p UNION ALL SELECT game_id, NULL, 'Sal Kim', '', 1.0, 0, 3, 2 FROM p""", False)
 def box_pitching(spark, sf):
-    """Pitchers of a box score in order, with their decisions; one has no link."""
+    """Pitchers of a page's box score in order, with their decisions; one has no link. Ids of games have five digits of the page's, so pages may share one."""
     n = (F.col("page_id") % 6).cast("string")
     heads = ("Pitching", "IP", "H", "R", "ER", "BB", "SO", "HR", "BF", "Pit")
     lines = [("<a href='/players/f/foxra01.shtml'>Ray Fox</a>, BS (3), W (2-1)", F.concat(n, F.lit(".2")), "1", "1", "1", "1", n, "0", "27", "90"), ("Sal Kim", "1.0", "", "0", "0", "0", "x", "0", "3", "12"), ("Team Totals", "9.0", *("1",) * 8)]
-    rows = L.pitching_order(HP.pitching(_box(spark, sf, "AAApitching", heads, lines)))
+    rows = L.pitching_order(HP.pitching(_box(spark, sf, "AAApitching", heads, lines), "url"), ("url", "team"))
     return rows.select("game_id", "player_id", "player_name", F.array_join("decisions", ",").alias("decisions"), F.col("IP").cast("double").alias("IP"), "SO", "BF", F.col("pitching_order").cast("int").alias("place"))

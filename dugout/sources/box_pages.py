@@ -419,11 +419,12 @@ def batting(cell_rows: DataFrame) -> DataFrame:
     return named.select(T.game_id("url").alias("game_id"), _team().alias("team"), "row_idx", T.player_id("href").alias("player_id"), "p.player_name", "p.positions", F.coalesce("is_indented", F.lit(False)).alias("is_indented"), *(c.alias(s) for s, c in counted.items()), *(F.coalesce(c, F.lit(0)).alias(s) for s, c in details.items()))
 
 
-def pitching(cell_rows: DataFrame) -> DataFrame:
+def pitching(cell_rows: DataFrame, *carried: str) -> DataFrame:
+    """Pitchers of rows(); `carried`: columns of rows() that come along, as url, where several pages may name one game."""
     stats = {"Pitching": "entry", "IP": "IP", "H": "H", "R": "R", "ER": "ER", "BB": "BB", "SO": "SO", "HR": "HR", "BF": "BF", "Pit": "PC"}
     rows = wide(cell_rows.where(F.col("table_id").endswith("pitching")), stats).where(F.col("entry").isNotNull() & ~F.col("entry").contains("Team Totals") & (F.col("entry") != ""))
     counted = (T.safe_int(F.col(s)).alias(s) for s in ("H", "R", "ER", "BB", "SO", "HR", "BF", "PC"))
-    return rows.select(T.game_id("url").alias("game_id"), _team().alias("team"), "row_idx", T.player_id("href").alias("player_id"), T.normal_name(T.without_decisions("entry")).alias("player_name"), T.decisions("entry").alias("decisions"), F.col("IP").try_cast("decimal(4,1)").alias("IP"), *counted)
+    return rows.select(*carried, T.game_id("url").alias("game_id"), _team().alias("team"), "row_idx", T.player_id("href").alias("player_id"), T.normal_name(T.without_decisions("entry")).alias("player_name"), T.decisions("entry").alias("decisions"), F.col("IP").try_cast("decimal(4,1)").alias("IP"), *counted)
 
 
 def plays(cell_rows: DataFrame) -> DataFrame:

@@ -50,6 +50,16 @@ def test_without_sql(spark, name):
     assert Q.QUERIES[name](spark, SF).count() > 0
 
 
+def test_box_pitching_of_pages_that_share_a_game_id(spark, tmp_path):
+    """Six digits: two pages, one id of five digits; each page has its own first pitcher."""
+    spark.createDataFrame([(100_001, "<p>a</p>"), (100_002, None)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got, want = Q.QUERIES["box_pitching"](spark, str(tmp_path)), duck.execute(Q.ORACLE_SQL["box_pitching"])
+    names = [d[0] for d in want.description]
+    assert rows(got.columns, got.collect()) == rows(names, want.fetchall())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
