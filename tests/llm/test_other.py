@@ -525,3 +525,12 @@ def test_sha_of_conversation_probe(spark):
     got = {r["conv_id"]: r for r in chat_format.op4_chat_format(spark, SF).where("conv_id = -7").collect()}[-7]
     text = "\\### Assistant: </turn> ok"
     assert got["n_turns"] == 2 and got["loss_chars"] == len(text) and got["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_chat_query_reads_the_examples_texts(spark, monkeypatch):
+    """What is learnt comes out of each example's own text: another text in the examples is another digest."""
+    real = chat_format.expand_prefix_targets
+    monkeypatch.setattr(chat_format, "expand_prefix_targets", lambda *a, **k: real(*a, **k).withColumn("text", F.regexp_replace("text", "(?s).", "z")))
+    got = {r["conv_id"]: r for r in chat_format.op4_chat_format(spark, SF).where("conv_id = -7").collect()}[-7]
+    body = "\\e\\h\\h\\h Assistant: \\l/turn> ok"
+    assert got["n_turns"] == 2 and got["loss_chars"] == len(body) and got["loss_sha256"] == hashlib.sha256(b"z" * len(body)).hexdigest()
