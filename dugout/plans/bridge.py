@@ -10,12 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import plays as P
-from ..session import table
+from ..session import parts_of, table
 
 DESCRIPTIONS = {"view": "Strikeout Swinging", "signup": "Walk", "purchase": "Single to CF", "error": "Reached on E6", "click": "Wild Pitch; Smith to 2B"}
 DOUBLED = "Home Run (Fly Ball to Deep LF)"
 
 
+def parts(spark: SparkSession, sf: str) -> int:
+    """Into how many partitions dealt() deals: the box-score lines are the largest table."""
+    return parts_of(spark, sf, "lineitem")
+
+
+def dealt(spark: SparkSession, sf: str, keys: list[str], *tables: DataFrame) -> list[DataFrame]:
+    """tables dealt out alike by keys: what groups and joins them by these keys shuffles no more, and a task's share stays
+    the same however large they are."""
+    return [t.repartition(parts(spark, sf), *keys) for t in tables]
+
+
 def games(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").selectExpr(
         "o_orderkey AS game_id", "CAST(o_orderdate AS DATE) AS game_date", "CAST(year(o_orderdate) AS BIGINT) AS season", "concat('T', o_custkey % 30) AS home_team",

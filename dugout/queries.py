@@ -176,13 +176,13 @@ def team_frequency(spark, sf):
 
 @query("two_way_semi", "SELECT game_id, player_id FROM batting INTERSECT SELECT game_id, player_id FROM pitching")
 def two_way_semi(spark, sf):
-    return Q.two_way(B.batting(spark, sf), B.pitching(spark, sf))
+    return Q.two_way(*B.dealt(spark, sf, ["game_id", "player_id"], B.batting(spark, sf), B.pitching(spark, sf)))
 
 
 @query("two_way_join_distinct", "SELECT DISTINCT b.game_id, b.player_id, b.player_name, b.PA, p.BF FROM batting b JOIN pitching p ON b.game_id = p.game_id AND b.player_id = p.player_id")
 def two_way_join_distinct(spark, sf):
-    p = B.pitching(spark, sf).select("game_id", "player_id", "BF")
-    return B.batting(spark, sf).select("game_id", "player_id", "player_name", "PA").join(p, ["game_id", "player_id"]).distinct()
+    b, p = B.dealt(spark, sf, ["game_id", "player_id"], B.batting(spark, sf), B.pitching(spark, sf).select("game_id", "player_id", "BF"))
+    return b.select("game_id", "player_id", "player_name", "PA").join(p, ["game_id", "player_id"]).distinct()
 
 
 @query("dual_role_lookup", "SELECT p.seq, b.player_name AS batter, q.player_name AS pitcher FROM plays p LEFT JOIN players b ON b.player_id = p.batter_id LEFT JOIN players q ON q.player_id = p.pitcher_id")
@@ -210,7 +210,7 @@ def opposing_starter(spark, sf):
 @query("full_outer_provenance", """SELECT coalesce(a.game_id, b.game_id) AS game_id, coalesce(a.player_id, b.player_id) AS player_id, CASE WHEN b.game_id IS NULL THEN 'left_only' WHEN a.game_id IS NULL THEN 'right_only' ELSE 'both' END AS found
     FROM (SELECT DISTINCT game_id, player_id FROM batting) a FULL OUTER JOIN (SELECT DISTINCT game_id, player_id FROM pitching) b ON a.game_id = b.game_id AND a.player_id = b.player_id""")
 def full_outer_provenance(spark, sf):
-    return R.provenance(B.batting(spark, sf), B.pitching(spark, sf), ["game_id", "player_id"])
+    return R.provenance(*B.dealt(spark, sf, ["game_id", "player_id"], B.batting(spark, sf), B.pitching(spark, sf)), ["game_id", "player_id"])
 
 
 @query("id_enrichment", "SELECT p.seq, b.player_id AS batter_id FROM plays p LEFT JOIN (SELECT DISTINCT game_id, player_id, 'B' || player_id AS name FROM batting) b ON p.game_id = b.game_id AND p.batter_name = b.name")
@@ -232,7 +232,8 @@ def unmapped_names(spark, sf):
 @query("name_diff_both_ways", """SELECT 'official' AS side, game_id, player_id FROM (SELECT game_id, player_id FROM batting EXCEPT SELECT game_id, player_id FROM pitching)
     UNION ALL SELECT 'parsed', game_id, player_id FROM (SELECT game_id, player_id FROM pitching EXCEPT SELECT game_id, player_id FROM batting)""")
 def name_diff_both_ways(spark, sf):
-    a, b, keys = B.batting(spark, sf), B.pitching(spark, sf), ["game_id", "player_id"]
+    keys = ["game_id", "player_id"]
+    a, b = B.dealt(spark, sf, keys, B.batting(spark, sf), B.pitching(spark, sf))
     one = lambda side, df: df.select(F.lit(side).alias("side"), *keys)
     return one("official", R.only_in(a, b, keys)).unionByName(one("parsed", R.only_in(b, a, keys)))
 

@@ -36,6 +36,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Stored bytes of a table that one partition of parts_of() stands for.
+PART_BYTES = 4 << 20
+
+
+def parts_of(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Partitions in proportion to a stored table, so that a task's share of it doesn't grow; as many as the cores at least."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One parquet table of a data folder, through Spark's readers (any file system)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -3,13 +3,14 @@
 import datetime
 import decimal
 import os
+import re
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 from dugout import queries as Q
-from dugout import schemas
+from dugout import schemas, session
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -60,6 +61,20 @@ def test_box_pitching_of_pages_that_share_a_game_id(spark, tmp_path):
     assert rows(got.columns, got.collect()) == rows(names, want.fetchall())
 
 
+_DEALT = ("name_diff_both_ways", "difference_texts", "drill_down", "batch_report", "discrepancy_unpivot", "reconcile_accuracy", "discrepancy_spread", "wide_appearances", "two_way_by_pa", "form_before", "recent_form_buckets", "resolved_sides", "alias_resolution")
+
+
+@pytest.mark.parametrize("name", _DEALT)
+def test_partitions_grow_with_the_tables(spark, monkeypatch, name):
+    """What is dealt out by game or player goes to partitions in proportion to the stored lines, whatever the session's number."""
+    monkeypatch.setattr(session, "PART_BYTES", 2_000)
+    n = session.parts_of(spark, SF, "lineitem")
+    assert n > 20
+    plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and re.search(r"\((?:game_id|player_id)#", line)]
+    assert exchanges and all(f", {n}), REPARTITION_BY_NUM" in line for line in exchanges)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
