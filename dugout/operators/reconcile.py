@@ -38,7 +38,10 @@ def accuracy(diffs: DataFrame, by: list[str]) -> DataFrame:
     share of players without any difference.
     """
     own = [c for c in diffs.columns if c not in (*by, "stat", "official", "parsed", "diff")]
-    out = diffs.withColumn("player", F.struct(*own) if own else F.lit(0)).groupBy(*by).agg(F.sum("official").alias("total_official"), F.sum(F.abs("diff")).alias("total_differences"), F.count_if(F.col("diff") != 0).alias("cells_with_differences"), F.count("*").alias("cells"), F.count_distinct("player").alias("players"), F.count_distinct(F.when(F.col("diff") != 0, F.col("player"))).alias("players_with_differences"))
+    cell = diffs.withColumn("player", F.struct(*own) if own else F.lit(0)).groupBy(*by, "player")
+    per = cell.agg(F.sum("official").alias("official"), F.sum(F.abs("diff")).alias("size"), F.count_if(F.col("diff") != 0).alias("differ"), F.count("*").alias("n"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    out = per.groupBy(*by).agg(F.sum("official").alias("total_official"), F.sum("size").alias("total_differences"), total("differ").alias("cells_with_differences"), total("n").alias("cells"), F.count("*").alias("players"), F.count_if(F.col("differ") > 0).alias("players_with_differences"))
     left = (F.col("total_official") - F.col("total_differences")) / F.col("total_official") * 100
     return out.withColumn("accuracy", F.when(F.col("total_official") > 0, left).otherwise(0.0)).withColumn("cell_rate", (F.col("cells") - F.col("cells_with_differences")) / F.col("cells") * 100).withColumns({
         "total_rate": (F.col("cells") - F.col("total_differences")) / F.col("cells") * 100,

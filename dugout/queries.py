@@ -243,17 +243,21 @@ _DIFFS = """, o AS (SELECT game_id, player_id, sum(PA) AS PA, sum(SO) AS SO FROM
     x AS (SELECT *, parsed - official AS diff FROM d)"""
 
 
-def _diffs(spark, sf):
-    o = B.batting(spark, sf).groupBy("game_id", "player_id").agg(F.sum("PA").alias("PA"), F.sum("SO").alias("SO"))
-    c = B.pitching(spark, sf).groupBy("game_id", "player_id").agg(F.sum("BF").alias("PA"), F.sum("SO_pitched").alias("SO"))
-    return R.differences(o, c, ["game_id", "player_id"], ("PA", "SO"))
+def _diffs(spark, sf, by=None):
+    """The differences, dealt out by game and player, or after that by other keys."""
+    keys = ["game_id", "player_id"]
+    o, c = B.dealt(spark, sf, keys, B.batting(spark, sf), B.pitching(spark, sf))
+    o = o.groupBy(*keys).agg(F.sum("PA").alias("PA"), F.sum("SO").alias("SO"))
+    c = c.groupBy(*keys).agg(F.sum("BF").alias("PA"), F.sum("SO_pitched").alias("SO"))
+    diffs = R.differences(o, c, keys, ("PA", "SO"))
+    return B.dealt(spark, sf, by, diffs)[0] if by else diffs
 
 
 @query("reconcile_accuracy", f"""{_DIFFS} SELECT game_id, sum(official) AS total_official, sum(abs(diff)) AS total_differences, count(*) FILTER (WHERE diff <> 0) AS cells_with_differences, count(*) AS cells,
     CASE WHEN sum(official) > 0 THEN (sum(official) - sum(abs(diff))) / sum(official) * 100 ELSE 0 END AS accuracy, (count(*) - count(*) FILTER (WHERE diff <> 0)) / count(*) * 100 AS cell_rate,
     (count(*) - sum(abs(diff))) / count(*) * 100 AS total_rate, (count(DISTINCT player_id) - count(DISTINCT player_id) FILTER (WHERE diff <> 0)) / count(DISTINCT player_id) * 100 AS player_rate FROM x GROUP BY game_id""")
 def reconcile_accuracy(spark, sf):
-    return R.accuracy(_diffs(spark, sf), ["game_id"])
+    return R.accuracy(_diffs(spark, sf, ["game_id"]), ["game_id"])
 
 
 @query("discrepancy_unpivot", f"{_DIFFS} SELECT stat, sum(abs(diff)) AS total, count(*) AS players, max(abs(diff)) AS worst FROM x WHERE diff <> 0 GROUP BY stat")
@@ -731,8 +735,9 @@ def alias_resolution(spark, sf):
 
 @query("drill_down", f"{_DIFFS}, t AS (SELECT game_id, player_id, count(*) AS n FROM x WHERE diff <> 0 GROUP BY ALL), e AS (SELECT game_id, batter_id AS player_id, count(*) AS plays FROM plays GROUP BY ALL) SELECT game_id, 'B' || player_id AS player_name, t.n AS texts, coalesce(e.plays, 0) AS plays FROM t LEFT JOIN e USING (game_id, player_id)")
 def drill_down(spark, sf):
-    diffs = _diffs(spark, sf).withColumn("player_name", F.concat(F.lit("B"), "player_id"))
-    rows = R.drill_down(diffs, E.renumber(B.events(spark, sf)))
+    diffs = _diffs(spark, sf).where("diff <> 0").withColumn("player_name", F.concat(F.lit("B"), "player_id"))
+    (diffs,), (plays,) = B.dealt(spark, sf, ["game_id", "player_name"], diffs), B.dealt(spark, sf, ["game_id"], B.events(spark, sf))
+    rows = R.drill_down(diffs, E.renumber(plays))
     return rows.select("game_id", "player_name", F.size("texts").cast("long").alias("texts"), F.coalesce(F.size("plays"), F.lit(0)).cast("long").alias("plays"))
 
 
@@ -1090,8 +1095,7 @@ def batch_grades(spark, sf):
     UNION ALL SELECT '  ' || CASE WHEN accuracy >= 100 THEN 'perfect' WHEN accuracy >= 99.5 THEN 'excellent' WHEN accuracy >= 99 THEN 'very_good' WHEN accuracy >= 98 THEN 'good' WHEN accuracy >= 95 THEN 'fair' ELSE 'poor' END || ': ' || count(*) FROM g GROUP BY CASE WHEN accuracy >= 100 THEN 'perfect' WHEN accuracy >= 99.5 THEN 'excellent' WHEN accuracy >= 99 THEN 'very_good' WHEN accuracy >= 98 THEN 'good' WHEN accuracy >= 95 THEN 'fair' ELSE 'poor' END""")
 def batch_report(spark, sf):
     """A batch in words; the lines with rounded means are left to the tests."""
-    diffs = _diffs(spark, sf)
-    lines = RP.text_report(R.accuracy(diffs, ["game_id"]), diffs)
+    lines = RP.text_report(R.accuracy(_diffs(spark, sf, ["game_id"]), ["game_id"]), _diffs(spark, sf))
     return lines.where(~F.col("line").rlike("^(Mean|Lowest)")).select("line")
 
 
