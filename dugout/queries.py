@@ -457,7 +457,8 @@ def delete_dry_run(spark, sf):
 @query("wide_appearances", """SELECT game_id, player_id, b.PA, p.BF FROM (SELECT game_id, player_id, CAST(sum(PA) AS BIGINT) AS PA FROM batting GROUP BY ALL) b FULL OUTER JOIN (SELECT game_id, player_id, CAST(sum(BF) AS BIGINT) AS BF FROM pitching GROUP BY ALL) p USING (game_id, player_id)""")
 def wide_appearances(spark, sf):
     keys = ["game_id", "player_id"]
-    b, p = B.batting(spark, sf).groupBy(*keys).agg(F.sum("PA").alias("PA")), B.pitching(spark, sf).groupBy(*keys).agg(F.sum("BF").alias("BF"))
+    b, p = B.dealt(spark, sf, keys, B.batting(spark, sf), B.pitching(spark, sf))
+    b, p = b.groupBy(*keys).agg(F.sum("PA").alias("PA")), p.groupBy(*keys).agg(F.sum("BF").alias("BF"))
     return K.wide_appearances(b, p).withColumnRenamed("pitching_BF", "BF")
 
 
@@ -684,7 +685,7 @@ def busiest_pitchers(spark, sf):
 
 @query("two_way_by_pa", "SELECT game_id, player_id, PA, BF FROM (SELECT game_id, player_id, CAST(sum(PA) AS BIGINT) AS PA FROM batting GROUP BY ALL) JOIN (SELECT game_id, player_id, CAST(sum(BF) AS BIGINT) AS BF FROM pitching GROUP BY ALL) USING (game_id, player_id) ORDER BY PA DESC, game_id, player_id LIMIT 20")
 def two_way_by_pa(spark, sf):
-    return S.two_way_by_plate_appearances(B.batting(spark, sf), B.pitching(spark, sf))
+    return S.two_way_by_plate_appearances(*B.dealt(spark, sf, ["game_id", "player_id"], B.batting(spark, sf), B.pitching(spark, sf)))
 
 
 @query("first_events", "SELECT seq, event_order FROM (SELECT seq, row_number() OVER (PARTITION BY game_id ORDER BY inning, CASE inning_half WHEN 'top' THEN 0 ELSE 1 END, seq) AS event_order FROM plays) WHERE event_order <= 10")
