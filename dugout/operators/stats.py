@@ -32,17 +32,22 @@ def _sums(*names: str) -> list[Column]:
     return [F.sum(c).cast("long").alias(c) for c in names]
 
 
-def season_lines(batting: DataFrame, games: DataFrame, regular_only: bool = True) -> DataFrame:
+def _by_player(rows: DataFrame, parts: int | None) -> DataFrame:
+    """rows dealt out by player into `parts`, so that all that follows by player and more shuffles no more; None: as Spark does it."""
+    return rows.repartition(parts, "player_id") if parts else rows
+
+
+def season_lines(batting: DataFrame, games: DataFrame, regular_only: bool = True, parts: int | None = None) -> DataFrame:
     """A line for each player and season."""
     g = games.where(~F.col("is_playoff")) if regular_only else games
-    rows = batting.join(g.select("game_id", "season"), "game_id")
+    rows = _by_player(batting.join(g.select("game_id", "season"), "game_id"), parts)
     return with_rates(rows.groupBy("player_id", "season").agg(F.count_distinct("game_id").alias("games"), *_sums(*COUNTS)))
 
 
-def recent_form(batting: DataFrame, games: DataFrame, before: Column | None = None, spans: tuple[int, ...] = (5, 10, 15)) -> DataFrame:
+def recent_form(batting: DataFrame, games: DataFrame, before: Column | None = None, spans: tuple[int, ...] = (5, 10, 15), parts: int | None = None) -> DataFrame:
     """PA, AB, H, HR and AVG of each player's last games, newest first; games of one date by id."""
     g = games.select("game_id", "game_date")
-    rows = batting.join(g if before is None else g.where(F.col("game_date") < before), "game_id")
+    rows = _by_player(batting.join(g if before is None else g.where(F.col("game_date") < before), "game_id"), parts)
     per_game = rows.groupBy("player_id", "game_id", "game_date").agg(*_sums("PA", "AB", "H", "HR"))
     numbered = per_game.withColumn("n", F.row_number().over(W.partitionBy("player_id").orderBy(F.desc("game_date"), F.desc("game_id"))))
     sums = [F.sum(F.when(F.col("n") <= k, F.col(c))).alias(f"L{k}_{c}") for k in spans for c in ("PA", "AB", "H", "HR")]
@@ -50,9 +55,9 @@ def recent_form(batting: DataFrame, games: DataFrame, before: Column | None = No
     return out.withColumns({f"L{k}_AVG": rate(F.col(f"L{k}_H"), F.col(f"L{k}_AB")) for k in spans})
 
 
-def form_before(batting: DataFrame, games: DataFrame, spans: tuple[int, ...] = (5, 10, 15)) -> DataFrame:
+def form_before(batting: DataFrame, games: DataFrame, spans: tuple[int, ...] = (5, 10, 15), parts: int | None = None) -> DataFrame:
     """For each player's game the PA, AB, H, HR and AVG of the last games before it; games of one date by id. Nulls in a first game."""
-    rows = batting.join(games.select("game_id", "game_date"), "game_id")
+    rows = _by_player(batting.join(games.select("game_id", "game_date"), "game_id"), parts)
     per_game = rows.groupBy("player_id", "game_id", "game_date").agg(*_sums("PA", "AB", "H", "HR"))
     own = W.partitionBy("player_id").orderBy("game_date", "game_id")
     sums = {f"L{k}_{c}": F.sum(c).over(own.rowsBetween(-k, -1)) for k in spans for c in ("PA", "AB", "H", "HR")}
@@ -81,13 +86,13 @@ def handedness_lines(events: DataFrame, games: DataFrame, players: DataFrame) ->
     return _event_line(rows, "batter_id", "season", "against")
 
 
-def venue_lines(batting: DataFrame, games: DataFrame) -> DataFrame:
-    rows = batting.join(games.select("game_id", "venue"), "game_id")
+def venue_lines(batting: DataFrame, games: DataFrame, parts: int | None = None) -> DataFrame:
+    rows = _by_player(batting.join(games.select("game_id", "venue"), "game_id"), parts)
     return with_rates(rows.groupBy("player_id", "venue").agg(F.count_distinct("game_id").alias("games"), *_sums(*COUNTS)))
 
 
-def home_away_lines(batting: DataFrame, games: DataFrame) -> DataFrame:
-    rows = batting.join(games.select("game_id", "season"), "game_id").withColumn("location", F.when(F.col("team") == "home", "Home").otherwise("Away"))
+def home_away_lines(batting: DataFrame, games: DataFrame, parts: int | None = None) -> DataFrame:
+    rows = _by_player(batting.join(games.select("game_id", "season"), "game_id"), parts).withColumn("location", F.when(F.col("team") == "home", "Home").otherwise("Away"))
     return with_rates(rows.groupBy("player_id", "season", "location").agg(F.count_distinct("game_id").alias("games"), *_sums(*COUNTS)))
 
 
@@ -121,20 +126,23 @@ def opposing_starters(batting: DataFrame, pitching: DataFrame, players: DataFram
     return batting.select("game_id", "player_id", "team").distinct().join(other, ["game_id", "team"], "left")
 
 
-def game_context(batting: DataFrame, pitching: DataFrame, events: DataFrame, games: DataFrame, players: DataFrame) -> DataFrame:
+def game_context(batting: DataFrame, pitching: DataFrame, events: DataFrame, games: DataFrame, players: DataFrame, parts: int | None = None) -> DataFrame:
     """One row for each batter's game, all as struct columns: the form before it, the season, match-up, arm, venue and
-    location lines, and what is known of the game and the player."""
+    location lines, and what is known of the game and the player.
+
+    With `parts`, rows and all lines are dealt out alike by player, so the rows are shuffled once and not for each kind of line.
+    """
     facts = [c for c in games.columns if c not in ("game_id", "season", "venue")]
     base = opposing_starters(batting, pitching, players).join(games.select("game_id", "season", "venue", F.struct(*facts).alias("game_info")), "game_id")
-    base = base.join(players.select("player_id", F.struct(*(c for c in players.columns if c != "player_id")).alias("player_info")), "player_id", "left")
+    base = _by_player(base, parts).join(players.select("player_id", F.struct(*(c for c in players.columns if c != "player_id")).alias("player_info")), "player_id", "left")
     base = base.withColumn("location", F.when(F.col("team") == "home", "Home").otherwise("Away")).withColumn("against", F.when(F.col("throws") == "R", "RHP").when(F.col("throws") == "L", "LHP"))
     packs = (
-        ("form", form_before(batting, games), ("player_id", "game_id")),
-        ("season_line", season_lines(batting, games), ("player_id", "season")),
-        ("matchup", matchup_lines(events).withColumnRenamed("batter_id", "player_id"), ("player_id", "pitcher_id")),
-        ("handedness", handedness_lines(events, games, players).withColumnRenamed("batter_id", "player_id"), ("player_id", "season", "against")),
-        ("at_venue", venue_lines(batting, games), ("player_id", "venue")),
-        ("at_location", home_away_lines(batting, games), ("player_id", "season", "location")),
+        ("form", form_before(batting, games, parts=parts), ("player_id", "game_id")),
+        ("season_line", season_lines(batting, games, parts=parts), ("player_id", "season")),
+        ("matchup", _by_player(matchup_lines(events).withColumnRenamed("batter_id", "player_id"), parts), ("player_id", "pitcher_id")),
+        ("handedness", _by_player(handedness_lines(events, games, players).withColumnRenamed("batter_id", "player_id"), parts), ("player_id", "season", "against")),
+        ("at_venue", venue_lines(batting, games, parts), ("player_id", "venue")),
+        ("at_location", home_away_lines(batting, games, parts), ("player_id", "season", "location")),
     )
     for name, lines, keys in packs:
         values = F.struct(*(c for c in lines.columns if c not in keys)).alias(name)

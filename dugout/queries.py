@@ -80,7 +80,7 @@ _FORM = ", ".join(f"CAST(sum({c}) FILTER (WHERE n <= {k}) AS BIGINT) AS L{k}_{c}
     SELECT *, {", ".join(f"{_rate(f'L{k}_H', f'L{k}_AB')} AS L{k}_AVG" for k in (5, 10, 15))} FROM f""",
 )
 def recent_form_buckets(spark, sf):
-    return S.recent_form(B.batting(spark, sf), B.games(spark, sf), F.lit("2000-01-01").cast("date"))
+    return S.recent_form(*B.dealt(spark, sf, ["game_id"], B.batting(spark, sf), B.games(spark, sf)), F.lit("2000-01-01").cast("date"), parts=B.parts(spark, sf))
 
 
 _EVENT_LINE = """count(DISTINCT game_id) AS games, count(*) FILTER (WHERE is_pa) AS PA, count(*) FILTER (WHERE is_ab) AS AB, count(*) FILTER (WHERE is_hit) AS H, count(*) FILTER (WHERE is_walk) AS BB,
@@ -660,7 +660,7 @@ _FORM_SQL = f""", fd AS (SELECT player_id, game_id, game_date, sum(PA) AS PA, su
 
 @query("form_before", f"{_FORM_SQL} SELECT * FROM form")
 def form_before(spark, sf):
-    return S.form_before(B.batting(spark, sf), B.games(spark, sf))
+    return S.form_before(*B.dealt(spark, sf, ["game_id"], B.batting(spark, sf), B.games(spark, sf)), parts=B.parts(spark, sf))
 
 
 @query("game_context", f"""{_FORM_SQL}, st AS (SELECT game_id, team, arg_min(player_id, pitching_order * 1000 + player_id) AS pitcher_id FROM pitching WHERE is_starter GROUP BY ALL),
@@ -674,7 +674,8 @@ def form_before(spark, sf):
     LEFT JOIN sl ON sl.player_id = b.player_id AND sl.season = g.season LEFT JOIN vl ON vl.player_id = b.player_id AND vl.venue = g.venue LEFT JOIN ll ON ll.player_id = b.player_id AND ll.season = g.season AND ll.team = b.team
     LEFT JOIN ml ON ml.batter_id = b.player_id AND ml.pitcher_id = ot.pitcher_id LEFT JOIN hl ON hl.batter_id = b.player_id AND hl.season = g.season AND hl.against = ot.against""")
 def game_context(spark, sf):
-    rows = S.game_context(B.batting(spark, sf), B.pitching(spark, sf), B.events(spark, sf), B.games(spark, sf), B.players(spark, sf))
+    batting, pitching, games = B.dealt(spark, sf, ["game_id"], B.batting(spark, sf), B.pitching(spark, sf), B.games(spark, sf))
+    rows = S.game_context(batting, pitching, B.events(spark, sf), games, B.players(spark, sf), B.parts(spark, sf))
     return rows.selectExpr("game_id", "player_id", "team", "pitcher_id", "throws", "season_line.H AS season_H", "at_venue.H AS venue_H", "at_location.H AS location_H", "matchup.H AS matchup_H", "handedness.H AS arm_H", "form.L5_H", "form.L15_AVG", "game_info.home_team", "player_info.player_name")
 
 
