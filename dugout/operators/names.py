@@ -29,6 +29,11 @@ def from_cells(cells: DataFrame) -> DataFrame:
     return named.where((F.col("player_name") != "") & ~F.col("player_name").isin(*NO_NAMES)).distinct()
 
 
+def _dealt(rows: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    """rows dealt out by keys into `parts`, so that a task's share stays the same as they grow; None: as Spark does it."""
+    return rows.repartition(parts, *keys) if parts else rows
+
+
 def aliases(players: DataFrame) -> DataFrame:
     """(game_id, alias, player_id, priority) of players(game_id, player_name, player_id).
 
@@ -42,13 +47,17 @@ def aliases(players: DataFrame) -> DataFrame:
     return rows.groupBy("game_id", "alias", "priority").agg(F.min("player_id").alias("player_id"), F.count_distinct("player_id").alias("n")).where("n = 1").drop("n")
 
 
-def resolve(rows: DataFrame, players: DataFrame, name: str, out: str) -> DataFrame:
-    """rows with `out`, the id of the best alias match inside the game; null if none."""
-    known = aliases(players)
+def resolve(rows: DataFrame, players: DataFrame, name: str, out: str, parts: int | None = None) -> DataFrame:
+    """rows with `out`, the id of the best alias match inside the game; null if none.
+
+    parts: partitions of each step, in proportion to the tables; with tables dealt out by game all else stays where it is.
+    """
+    known = _dealt(aliases(players), parts, "game_id", "alias")
     asked = rows.select("game_id", F.col(name).alias("asked")).where("asked is not null").distinct()
     forms = asked.select("game_id", "asked", F.explode(F.array_distinct(F.array("asked", F.lower("asked"), F.regexp_replace("asked", SUFFIXES, "")))).alias("alias"))
-    best = forms.join(known, ["game_id", "alias"]).groupBy("game_id", "asked").agg(F.min_by("player_id", F.struct("priority", "player_id")).alias(out))
-    return rows.join(best.withColumnRenamed("asked", name), ["game_id", name], "left")
+    met = _dealt(forms, parts, "game_id", "alias").join(known, ["game_id", "alias"])
+    best = _dealt(met, parts, "game_id", "asked").groupBy("game_id", "asked").agg(F.min_by("player_id", F.struct("priority", "player_id")).alias(out))
+    return _dealt(rows, parts, "game_id", name).join(best.withColumnRenamed("asked", name), ["game_id", name], "left")
 
 
 def name_keys(name: Column) -> Column:
@@ -61,31 +70,33 @@ def name_keys(name: Column) -> Column:
     return F.filter(every, lambda x: x["key"].isNotNull() & (x["key"] != ""))
 
 
-def resolve_sides(asked: DataFrame, players: DataFrame) -> DataFrame:
+def resolve_sides(asked: DataFrame, players: DataFrame, parts: int | None = None) -> DataFrame:
     """asked(game_id, team, who) to (game_id, team, who, player_id, how), each name once, for players(game_id, team,
     player_name, player_id) of the same side of the game.
 
     A name has the players that meet it by its surest kind of key; a name of several words meets nobody by the last word alone.
     If that is one player, he it is (how: his kind of key). Of several, those go who are known by another name of the side
     already, again and again, and a name for which one is left is his (how: 'rest'). Otherwise player_id is null. A side has a few
-    dozen names, so this is a fold over one small array.
+    dozen names, so this is a fold over one small array. parts: partitions of each step, in proportion to the tables.
     """
     keys = ["game_id", "team"]
-    known = players.where("player_id is not null and player_name is not null").select(*keys, "player_id", F.inline(name_keys(F.col("player_name")))).distinct()
+    known = players.where("player_id is not null and player_name is not null").select(*keys, "player_id", F.inline(name_keys(F.col("player_name"))))
+    known = _dealt(known, parts, *keys, "kind", "key").distinct()
     names = asked.where("who is not null").select(*keys, "who").distinct()
     forms = names.select(*keys, "who", F.inline(name_keys(F.col("who")))).where((F.col("kind") < 3) | ~F.trim("who").rlike(r"\S[\s.]+\S"))
-    met = forms.join(known, [*keys, "kind", "key"]).groupBy(*keys, "who", "kind").agg(F.sort_array(F.collect_set("player_id")).alias("ids"))
+    pairs = _dealt(forms, parts, *keys, "kind", "key").join(known, [*keys, "kind", "key"])
+    met = _dealt(pairs, parts, *keys).groupBy(*keys, "who", "kind").agg(F.sort_array(F.collect_set("player_id")).alias("ids"))
     best = met.groupBy(*keys, "who").agg(F.min("kind").alias("kind"), F.min_by("ids", "kind").alias("ids"))
-    sides = best.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("who", "kind", "ids"))).alias("names"))
+    kinds = F.array(*map(F.lit, ("exact", "spelling", "initial", "last")))
+    how = F.when(F.size("ids") == 1, F.get(kinds, F.col("kind"))).otherwise("rest").alias("how")
+    sides = best.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("who", "ids", how))).alias("names"))
 
     def round_(now: Column, _: Column) -> Column:
         taken = F.flatten(F.transform(F.filter(now, lambda x: F.size(x["ids"]) == 1), lambda x: x["ids"]))
         return F.transform(now, lambda x: F.when(F.size(x["ids"]) > 1, x.withField("ids", F.array_except(x["ids"], taken))).otherwise(x))
 
-    settled = sides.select(*keys, F.inline(F.transform(F.aggregate(F.sequence(F.lit(1), F.size("names")), F.col("names"), round_), lambda x: F.struct(x["who"].alias("who"), F.when(F.size(x["ids"]) == 1, F.get(x["ids"], F.lit(0))).alias("player_id")))))
-    kinds = F.array(*map(F.lit, ("exact", "spelling", "initial", "last")))
-    how = best.select(*keys, "who", F.when(F.size("ids") == 1, F.get(kinds, F.col("kind"))).otherwise("rest").alias("_how"))
-    out = names.join(settled, [*keys, "who"], "left").join(how, [*keys, "who"], "left")
+    settled = sides.select(*keys, F.inline(F.transform(F.aggregate(F.sequence(F.lit(1), F.size("names")), F.col("names"), round_), lambda x: F.struct(x["who"].alias("who"), x["how"].alias("_how"), F.when(F.size(x["ids"]) == 1, F.get(x["ids"], F.lit(0))).alias("player_id")))))
+    out = _dealt(names, parts, *keys, "who").join(_dealt(settled, parts, *keys, "who"), [*keys, "who"], "left")
     return out.select(*keys, "who", "player_id", F.when(F.col("player_id").isNotNull(), F.col("_how")).alias("how"))
 
 

@@ -730,9 +730,10 @@ def runner_events(spark, sf):
     SELECT a.game_id, CASE a.player_id % 3 WHEN 0 THEN 'A. Player' || a.player_id ELSE 'ann player' || a.player_id END AS who, a.player_id AS id FROM a""")
 def alias_resolution(spark, sf):
     """Initials and other cases find the player of the game."""
-    known = B.batting(spark, sf).select("game_id", "player_id", F.concat(F.lit("Ann Player"), "player_id").alias("player_name")).distinct()
+    (lines,) = B.dealt(spark, sf, ["game_id"], B.batting(spark, sf))
+    known = lines.select("game_id", "player_id", F.concat(F.lit("Ann Player"), "player_id").alias("player_name")).distinct()
     asked = known.where("player_id % 3 < 2").select("game_id", F.when(F.col("player_id") % 3 == 0, F.concat(F.lit("A. Player"), "player_id")).otherwise(F.concat(F.lit("ann player"), "player_id")).alias("who"))
-    return N.resolve(asked, known, "who", "id")
+    return N.resolve(asked, known, "who", "id", B.parts(spark, sf))
 
 
 @query("drill_down", f"{_DIFFS}, t AS (SELECT game_id, player_id, count(*) AS n FROM x WHERE diff <> 0 GROUP BY ALL), e AS (SELECT game_id, batter_id AS player_id, count(*) AS plays FROM plays GROUP BY ALL) SELECT game_id, 'B' || player_id AS player_name, t.n AS texts, coalesce(e.plays, 0) AS plays FROM t LEFT JOIN e USING (game_id, player_id)")
@@ -927,10 +928,11 @@ def discovered_games(spark, sf):
     SELECT game_id, team, who, id AS player_id, how FROM f UNION ALL SELECT game_id, team, 'last' || last, CASE WHEN odd = 1 THEN single END, CASE WHEN odd = 1 AND n = 1 THEN 'last' WHEN odd = 1 THEN 'rest' END FROM g WHERE odd > 0""")
 def resolved_sides(spark, sf):
     """Half of a side's players are called by their full names, the others by last names that they share with some of them."""
-    known = B.batting(spark, sf).select("game_id", "team", "player_id").distinct()
+    (lines,) = B.dealt(spark, sf, ["game_id"], B.batting(spark, sf))
+    known = lines.select("game_id", "team", "player_id").distinct()
     full, last = F.concat(F.lit("Ann"), "player_id", F.lit(" Last"), F.col("player_id") % 5), F.concat(F.lit("last"), F.col("player_id") % 5)
     asked = known.select("game_id", "team", F.when(F.col("player_id") % 2 == 0, full).otherwise(last).alias("who"))
-    return N.resolve_sides(asked, known.withColumn("player_name", full))
+    return N.resolve_sides(asked, known.withColumn("player_name", full), B.parts(spark, sf))
 
 
 @query("union_players_last_wins", """, u AS (SELECT player_id, 'B' || min(player_name) AS n, 1 AS s FROM batting WHERE flag = 'R' GROUP BY 1 UNION ALL SELECT player_id, 'P' || min(player_name), 0 FROM pitching GROUP BY 1) SELECT player_id, arg_min(n, s) AS player_name FROM u GROUP BY player_id""")
