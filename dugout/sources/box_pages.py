@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -316,6 +316,30 @@ def read_page(html: str | None) -> tuple[Page | None, str | None]:
     return page, None
 
 
+#: Signs of HTML after which a reader hands on its rows.
+SLICE = 1 << 20
+
+
+def _sliced(batches: Iterator[pa.RecordBatch], read: Callable[[str, str | None], list[tuple]], names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """The rows that read(url, html) gives, in batches of about SLICE signs of HTML, so that Python holds few pages' rows at a time."""
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True)) or [[] for _ in names]
+        return pa.RecordBatch.from_arrays([pa.array([list(x.items()) if isinstance(x, dict) else x for x in c], t) for c, t in zip(cols, types, strict=True)], names=names)
+
+    for batch in batches:
+        rows, size = [], 0
+        for url, html in zip(batch.column("url"), batch.column("html"), strict=True):
+            text = html.as_py()
+            rows += read(url.as_py(), text)
+            size += len(text or "")
+            if size >= SLICE:
+                yield packed(rows)
+                rows, size = [], 0
+        if rows:
+            yield packed(rows)
+
+
 def cells(pages: DataFrame) -> DataFrame:
     """Cells of pages(url, html) on their tables' grids: a cell that spans places has a row for each.
 
@@ -325,15 +349,12 @@ def cells(pages: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in CELLS.split(", ")]
         types = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.bool_()]
-        for batch in batches:
-            rows = []
-            for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                page, _ = read_page(html)
-                for t in page.done if page else ():
-                    for i, line in enumerate(laid_out(t.rows)):
-                        rows += [(url, t.name, t.index, i, col, c.is_head, c.clean, c.href, c.stat, c.is_indented) for col, c in sorted(line.items())]
-            cols = list(zip(*rows, strict=True)) or [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
+
+        def one(url: str, html: str | None) -> list[tuple]:
+            page, _ = read_page(html)
+            return [(url, t.name, t.index, i, col, c.is_head, c.clean, c.href, c.stat, c.is_indented) for t in (page.done if page else ()) for i, line in enumerate(laid_out(t.rows)) for col, c in sorted(line.items())]
+
+        return _sliced(batches, one, names, types)
 
     return pages.select("url", "html").mapInArrow(read, CELLS)
 
@@ -371,10 +392,7 @@ def rows(pages: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = [c.rsplit(" ", 1) for c in ROWS.split(", ")]
         types = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.map_(pa.string(), pa.string()), pa.string()]
-        for batch in batches:
-            out = [r for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True) for r in _page_rows(url, html)]
-            cols = list(zip(*out, strict=True)) or [[] for _ in fields]
-            yield pa.RecordBatch.from_arrays([pa.array([list(x.items()) if isinstance(x, dict) else x for x in c], t) for c, t in zip(cols, types, strict=True)], names=[f for f, _ in fields])
+        return _sliced(batches, _page_rows, [f for f, _ in fields], types)
 
     return pages.select("url", "html").mapInArrow(read, ROWS)
 

@@ -1,7 +1,9 @@
 """The page reader: facts from their places, tables on their grids."""
 
 import random
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
 from dugout.sources import box_pages as B
@@ -92,3 +94,13 @@ def test_headings():
     assert table(f"<table><thead><tr><th>Name<th>AB<th>H</thead><tr><th colspan=3>Top of the 1st</tr>{cells}</table>") == [{"Name": "Top of the 1st", "AB": "Top of the 1st", "H": "Top of the 1st"}, *want]
     assert table("<table><tr><td colspan=x rowspan=-1>A<td colspan=99999999>B</tr><tr><td>1</table>") == [{"A": "1"}]
     assert table("<table><tr><th>A</tr><tr><td>1<table id=i><tr><th>B</tr><tr><td>2</table></tr></table>") == [{"B": "2"}, {"A": "1"}]
+
+
+def test_rows_are_handed_on_in_slices():
+    """A batch of many pages is not held whole: its rows come out after each mebibyte of HTML."""
+    html = "<table id='t'><tr><th>A</th></tr><tr><td>1</td></tr></table>" + "x" * 300_000
+    batch = pa.RecordBatch.from_pydict({"url": [str(i) for i in range(10)], "html": [html] * 10})
+    pages = SimpleNamespace(select=lambda *_: SimpleNamespace(mapInArrow=lambda f, _: f))
+    for read in (B.rows(pages), B.cells(pages)):
+        out = list(read(iter([batch])))
+        assert [len(set(b.column("url").to_pylist())) for b in out] == [4, 4, 2]
