@@ -75,6 +75,13 @@ def test_partitions_grow_with_the_tables(spark, monkeypatch, name):
     assert exchanges and all(f", {n}), REPARTITION_BY_NUM" in line for line in exchanges)
 
 
+def test_partitions_follow_rows_however_packed(spark, monkeypatch, tmp_path):
+    """A file that packs its rows well gets no fewer partitions."""
+    monkeypatch.setattr(session, "PART_ROWS", 1_000, raising=False)
+    spark.range(50_000).selectExpr("1 AS l_orderkey").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert session.parts_of(spark, str(tmp_path), "lineitem") == 50
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
