@@ -14,6 +14,8 @@ from ..session import parts_of, table
 
 DESCRIPTIONS = {"view": "Strikeout Swinging", "signup": "Walk", "purchase": "Single to CF", "error": "Reached on E6", "click": "Wild Pitch; Smith to 2B"}
 DOUBLED = "Home Run (Fly Ball to Deep LF)"
+#: Players, some 60 bytes each in memory, that go to all tasks.
+MOST_SENT = 1 << 20
 
 
 def parts(spark: SparkSession, sf: str) -> int:
@@ -34,6 +36,13 @@ def games(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def named(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
+    """lines with their players' names. Players go to the lines, which stay where they are; more than MOST_SENT are hashed
+    by task and the lines stream past them, so that no lines of a frequent player are sorted."""
+    known = players(spark, sf).select("player_id", "player_name")
+    return lines.join(F.broadcast(known) if known.count() <= MOST_SENT else known.hint("shuffle_hash"), "player_id")
+
+
 def batting(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").selectExpr(
         "l_orderkey AS game_id", "l_suppkey AS player_id", "CASE WHEN l_linestatus = 'O' THEN 'home' ELSE 'away' END AS team", "CAST(l_linenumber AS BIGINT) AS row_idx",
@@ -41,7 +50,7 @@ def batting(spark: SparkSession, sf: str) -> DataFrame:
         "CAST(l_linenumber % 3 AS BIGINT) AS BB", "CAST(l_quantity AS BIGINT) % 5 AS SO", "l_partkey % 2 AS HR", "CAST(l_quantity AS BIGINT) div 12 AS doubles", "l_suppkey % 2 AS triples", "l_partkey % 3 AS SB",
         "l_partkey % 7 AS HBP", "l_suppkey % 3 AS SF", "l_returnflag AS flag", "l_partkey AS part",
     )
-    return lines.join(players(spark, sf).select("player_id", "player_name"), "player_id")
+    return named(spark, sf, lines)
 
 
 def pitching(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +58,7 @@ def pitching(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey AS game_id", "l_partkey % 100 AS player_id", "CASE WHEN l_linestatus = 'O' THEN 'home' ELSE 'away' END AS team", "CAST(l_linenumber AS BIGINT) AS pitching_order", "l_linenumber = 1 AS is_starter",
         "CAST(l_quantity AS BIGINT) AS BF", "CAST(l_quantity AS BIGINT) % 6 AS SO_pitched", "CAST(l_linenumber % 4 AS BIGINT) AS BB_allowed",
     )
-    return lines.join(players(spark, sf).select("player_id", "player_name"), "player_id")
+    return named(spark, sf, lines)
 
 
 def players(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 import __spark_entry__ as entry
 from dugout import queries as Q
 from dugout import schemas, session
+from dugout.plans import bridge
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -82,6 +83,32 @@ def test_partitions_follow_rows_however_packed(spark, monkeypatch, tmp_path):
     assert session.parts_of(spark, str(tmp_path), "lineitem") == 50
 
 
+_DIFFERENCES = ("drill_down", "batch_report", "discrepancy_unpivot", "reconcile_accuracy")
+
+
+@pytest.mark.parametrize("name", _DIFFERENCES)
+def test_lines_are_not_dealt_by_player_alone(spark, name):
+    """Where Spark would broadcast nothing, a frequent player's lines still don't meet in one task."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "hashpartitioning(game_id#" in plan and not re.search(r"hashpartitioning\(player_id#\d+L?, \d", plan)
+
+
+@pytest.mark.parametrize("name", _DIFFERENCES)
+def test_players_too_many_to_send(spark, duck, monkeypatch, name):
+    """They are hashed, the lines aren't sorted for them, and the rows are the same."""
+    monkeypatch.setattr(bridge, "MOST_SENT", 0, raising=False)
+    got, want = Q.QUERIES[name](spark, SF), duck.execute(Q.ORACLE_SQL[name])
+    joins = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if re.search(r"Join \[player_id#\d+L?\]", line)]
+    assert joins and all("ShuffledHashJoin" in line for line in joins)
+    names = [d[0] for d in want.description]
+    assert rows(got.columns, got.collect()) == rows(names, want.fetchall())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
