@@ -60,43 +60,45 @@ def resolve(rows: DataFrame, players: DataFrame, name: str, out: str, parts: int
     return _dealt(rows, parts, "game_id", name).join(best.withColumnRenamed("asked", name), ["game_id", name], "left")
 
 
-def name_keys(name: Column) -> Column:
-    """array<struct<kind, key>> by which names meet, the surest first: the name itself, the name without case, suffix and
-    points, initial and last name (all behind the first word), and the last word."""
+def name_keys(rows: DataFrame, name: str) -> DataFrame:
+    """rows once for each (kind, key) by which names meet, the surest first: the name itself, the name without case, suffix
+    and points, initial and last name (all behind the first word), and the last word. A key that a name hasn't is null or ''."""
     bare = F.trim(F.regexp_replace(F.lower(F.regexp_replace(name, SUFFIXES, "")), r"[.\s\u00a0]+", " "))
-    rest = F.regexp_extract(bare, r"^\S+ (?:\S )?(.+)$", 1)
-    keys = (name, bare, F.when(rest != "", F.concat_ws(" ", F.substring(bare, 1, 1), rest)), F.regexp_extract(bare, r"(\S+)$", 1))
-    every = F.array(*(F.struct(F.lit(i).alias("kind"), k.alias("key")) for i, k in enumerate(keys)))
-    return F.filter(every, lambda x: x["key"].isNotNull() & (x["key"] != ""))
+    rows = rows.withColumn("_bare", bare).withColumn("_rest", F.regexp_extract("_bare", r"^\S+ (?:\S )?(.+)$", 1))  # columns, so that they are made once a name
+    keys = (F.col(name), F.col("_bare"), F.when(F.col("_rest") != "", F.concat_ws(" ", F.substring("_bare", 1, 1), "_rest")), F.regexp_extract("_bare", r"(\S+)$", 1))
+    return rows.select("*", F.inline_outer(F.array(*(F.struct(F.lit(i).alias("kind"), k.alias("key")) for i, k in enumerate(keys))))).drop("_bare", "_rest")
 
 
-def resolve_sides(asked: DataFrame, players: DataFrame, parts: int | None = None) -> DataFrame:
+def resolve_sides(asked: DataFrame, players: DataFrame) -> DataFrame:
     """asked(game_id, team, who) to (game_id, team, who, player_id, how), each name once, for players(game_id, team,
     player_name, player_id) of the same side of the game.
 
     A name has the players that meet it by its surest kind of key; a name of several words meets nobody by the last word alone.
     If that is one player, he it is (how: his kind of key). Of several, those go who are known by another name of the side
     already, again and again, and a name for which one is left is his (how: 'rest'). Otherwise player_id is null. A side has a few
-    dozen names, so this is a fold over one small array. parts: partitions of each step, in proportion to the tables.
+    dozen names, so this is a fold over one small array. Names and players meet in groups, not joins: tables dealt out alike by
+    game stay where they are, and as nulls fall out of the groups, no filter tells two readings of one shuffle apart.
     """
     keys = ["game_id", "team"]
-    known = players.where("player_id is not null and player_name is not null").select(*keys, "player_id", F.inline(name_keys(F.col("player_name"))))
-    known = _dealt(known, parts, *keys, "kind", "key").distinct()
-    names = asked.where("who is not null").select(*keys, "who").distinct()
-    forms = names.select(*keys, "who", F.inline(name_keys(F.col("who")))).where((F.col("kind") < 3) | ~F.trim("who").rlike(r"\S[\s.]+\S"))
-    pairs = _dealt(forms, parts, *keys, "kind", "key").join(known, [*keys, "kind", "key"])
-    met = _dealt(pairs, parts, *keys).groupBy(*keys, "who", "kind").agg(F.sort_array(F.collect_set("player_id")).alias("ids"))
-    best = met.groupBy(*keys, "who").agg(F.min("kind").alias("kind"), F.min_by("ids", "kind").alias("ids"))
+    several = F.trim("who").rlike(r"\S[\s.]+\S")
+    forms = name_keys(asked.select(*keys, "who", several.alias("several")), "who").where("kind = 0 or key <> '' and (kind < 3 or not several)").drop("several")
+    known = name_keys(players.select(*keys, "player_id", "player_name"), "player_name").where("key <> ''").drop("player_name")
+    met = forms.unionByName(known, allowMissingColumns=True).groupBy(*keys, "kind", "key").agg(F.collect_set("who").alias("whos"), F.sort_array(F.collect_set("player_id")).alias("ids"))
+    pairs = met.select(*keys, "kind", "ids", F.explode("whos").alias("who")).withColumn("kind", F.when(F.size("ids") > 0, F.col("kind")))
+    best = pairs.groupBy(*keys, "who").agg(F.min("kind").alias("kind"), F.min_by("ids", "kind").alias("ids"))
     kinds = F.array(*map(F.lit, ("exact", "spelling", "initial", "last")))
     how = F.when(F.size("ids") == 1, F.get(kinds, F.col("kind"))).otherwise("rest").alias("how")
     sides = best.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("who", "ids", how))).alias("names"))
 
+    def open_(x: Column) -> Column:
+        return F.size(x["ids"]) > 1
+
     def round_(now: Column, _: Column) -> Column:
         taken = F.flatten(F.transform(F.filter(now, lambda x: F.size(x["ids"]) == 1), lambda x: x["ids"]))
-        return F.transform(now, lambda x: F.when(F.size(x["ids"]) > 1, x.withField("ids", F.array_except(x["ids"], taken))).otherwise(x))
+        return F.transform(now, lambda x: F.when(open_(x), x.withField("ids", F.array_except(x["ids"], taken))).otherwise(x))
 
-    settled = sides.select(*keys, F.inline(F.transform(F.aggregate(F.sequence(F.lit(1), F.size("names")), F.col("names"), round_), lambda x: F.struct(x["who"].alias("who"), x["how"].alias("_how"), F.when(F.size(x["ids"]) == 1, F.get(x["ids"], F.lit(0))).alias("player_id")))))
-    out = _dealt(names, parts, *keys, "who").join(_dealt(settled, parts, *keys, "who"), [*keys, "who"], "left")
+    settled = F.aggregate(F.filter("names", open_), F.col("names"), round_)
+    out = sides.select(*keys, F.inline_outer(F.transform(settled, lambda x: F.struct(x["who"].alias("who"), x["how"].alias("_how"), F.when(F.size(x["ids"]) == 1, F.get(x["ids"], F.lit(0))).alias("player_id")))))
     return out.select(*keys, "who", "player_id", F.when(F.col("player_id").isNotNull(), F.col("_how")).alias("how"))
 
 

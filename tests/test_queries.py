@@ -83,6 +83,19 @@ def test_partitions_follow_rows_however_packed(spark, monkeypatch, tmp_path):
     assert session.parts_of(spark, str(tmp_path), "lineitem") == 50
 
 
+def shuffles(df):
+    """The shuffles by hash that a run of df wrote, reused ones once."""
+    df.collect()
+    run = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in run.splitlines() if re.match(r"[\s:+*-]*Exchange hashpartitioning\(", line)]
+
+
+def test_names_of_a_side_meet_where_its_lines_are(spark):
+    """Lines are dealt out once; neither names nor keys of names are shuffled."""
+    got = shuffles(Q.QUERIES["resolved_sides"](spark, SF))
+    assert len(got) == 1 and re.search(r"\(game_id#\d+L, \d+\), REPARTITION_BY_NUM", got[0])
+
+
 _DIFFERENCES = ("drill_down", "batch_report", "discrepancy_unpivot", "reconcile_accuracy")
 
 

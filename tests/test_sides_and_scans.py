@@ -74,6 +74,14 @@ def test_names_against_brute_force(spark):
         assert got[g] == brute(asked, known), (g, known)
 
 
+def test_names_without_keys(spark):
+    """Empty names meet nobody and stay; nulls fall out; a game without an id is a game."""
+    asked = [("g", "home", ""), ("g", "home", " "), ("g", "home", None), ("g", "home", "Lee"), ("g", "home", "Lee"), ("h", "home", None), (None, "home", "Ann Lee")]
+    players = [("g", "home", "", "p0"), ("g", "home", None, "p1"), ("g", "home", "Ann Lee", None), ("g", "home", "Bo Lee", "p2"), (None, "home", "Ann Lee", "p3")]
+    got = N.resolve_sides(spark.createDataFrame(asked, "game_id string, team string, who string"), spark.createDataFrame(players, "game_id string, team string, player_name string, player_id string"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("g", "home", "", None, None), ("g", "home", " ", None, None), ("g", "home", "Lee", "p2", "last"), (None, "home", "Ann Lee", "p3", "exact")], key=str)
+
+
 def test_names_of_empty_tables(spark):
     assert N.resolve_sides(spark.createDataFrame([], "game_id string, team string, who string"), spark.createDataFrame([], "game_id string, team string, player_name string, player_id string")).collect() == []
 
