@@ -5,11 +5,17 @@ Rates are NULL without a denominator; leaders and summaries show 0. They are rou
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 COUNTS = ("PA", "AB", "H", "doubles", "triples", "HR", "RBI", "BB", "SO", "HBP", "SF")
+#: Lines, some 200 bytes each in memory, that go to all tasks.
+MOST_SENT = 1 << 18
 
 
 def rate(n: Column, d: Column, scale: int = 1000) -> Column:
@@ -17,15 +23,20 @@ def rate(n: Column, d: Column, scale: int = 1000) -> Column:
     return F.when(d != 0, F.floor((2 * scale * n + d) / (2 * d)) / float(scale))
 
 
-def total_bases() -> Column:
-    return F.col("H") + F.col("doubles") + 2 * F.col("triples") + 3 * F.col("HR")
+def total_bases(of: Callable[[str], Column] = F.col) -> Column:
+    return of("H") + of("doubles") + 2 * of("triples") + 3 * of("HR")
 
 
-def with_rates(lines: DataFrame) -> DataFrame:
-    h, ab, pa = F.col("H"), F.col("AB"), F.col("PA")
-    on, tb = F.col("H") + F.col("BB") + F.col("HBP"), total_bases()
+def rates(of: Callable[[str], Column] = F.col) -> dict[str, Column]:
+    """A line's rates from its counts, which `of` gives."""
+    h, ab, pa = of("H"), of("AB"), of("PA")
+    on, tb = of("H") + of("BB") + of("HBP"), total_bases(of)
     ops = rate(on * ab + tb * pa, pa * ab)
-    return lines.withColumns({"AVG": rate(h, ab), "OBP": rate(on, pa), "SLG": rate(tb, ab), "OPS": ops, "TB_per_H": rate(tb, h)})
+    return {"AVG": rate(h, ab), "OBP": rate(on, pa), "SLG": rate(tb, ab), "OPS": ops, "TB_per_H": rate(tb, h)}
+
+
+def with_rates(lines: DataFrame) -> DataFrame:
+    return lines.withColumns(rates())
 
 
 def _sums(*names: str) -> list[Column]:
@@ -37,6 +48,11 @@ def _by_player(rows: DataFrame, parts: int | None) -> DataFrame:
     return rows.repartition(parts, "player_id") if parts else rows
 
 
+def _dealt(rows: DataFrame, parts: int | None, key: str) -> DataFrame:
+    """rows dealt out by key, also without `parts`, then into as many partitions as Spark takes."""
+    return rows.repartition(parts, key) if parts else rows.repartition(key)
+
+
 def season_lines(batting: DataFrame, games: DataFrame, regular_only: bool = True) -> DataFrame:
     """A line for each player and season."""
     g = games.where(~F.col("is_playoff")) if regular_only else games
@@ -126,25 +142,74 @@ def opposing_starters(batting: DataFrame, pitching: DataFrame, players: DataFram
     return batting.select("game_id", "player_id", "team").distinct().join(other, ["game_id", "team"], "left")
 
 
-def game_context(batting: DataFrame, pitching: DataFrame, events: DataFrame, games: DataFrame, players: DataFrame) -> DataFrame:
+def _sent(rows: DataFrame, n: int) -> DataFrame:
+    """n rows or fewer, which go to all tasks unless there are more than MOST_SENT; then Spark chooses."""
+    return F.broadcast(rows) if n <= MOST_SENT else rows
+
+
+def _line_over(name: str, keys: tuple[str, ...], once: str, kept: Column | None = None) -> tuple[dict[str, Column], Column]:
+    """The line of all rows of players' games with the same keys, of those where `kept` is true: its counts as columns over
+    windows, and a struct made of these, whose fields are null without any. `once` is 1 on one row of each game that counts, else 0."""
+    own, known = W.partitionBy(*keys), reduce(and_, (F.col(k).isNotNull() for k in keys))
+    sums = {c: F.sum(F.col(x) if kept is None else F.when(kept, F.col(x))).over(own) for c, x in {"games": once, **{c: c for c in COUNTS}}.items()}
+    of = lambda c: F.col(f"_{name}_{c}")
+    return {f"_{name}_{c}": F.when(known, n).cast("long") for c, n in sums.items()}, F.struct(*(of(c).alias(c) for c in sums), *(r.alias(c) for c, r in rates(of).items())).alias(name)
+
+
+def _form_over(number: str, spans: tuple[int, ...] = (5, 10, 15)) -> tuple[dict[str, Column], Column]:
+    """form_before() as columns over windows, and a struct made of these. A game may have rows of both sides: `number` is the game's."""
+    own, known = W.partitionBy("player_id").orderBy(number), F.col("player_id").isNotNull() & F.col("game_id").isNotNull()
+    sums = {f"L{k}_{c}": F.when(known, F.sum(c).over(own.rangeBetween(-k, -1))) for k in spans for c in ("PA", "AB", "H", "HR")}
+    averages = {f"L{k}_AVG": rate(F.col(f"_L{k}_H"), F.col(f"_L{k}_AB")) for k in spans}
+    return {f"_{c}": n for c, n in sums.items()}, F.struct(*(F.col(f"_{c}").alias(c) for c in sums), *(r.alias(c) for c, r in averages.items())).alias("form")
+
+
+def game_context(batting: DataFrame, pitching: DataFrame, events: DataFrame, games: DataFrame, players: DataFrame, parts: int | None = None) -> DataFrame:
     """One row for each batter's game, all as struct columns: the form before it, the season, match-up, arm, venue and
-    location lines, and what is known of the game and the player."""
+    location lines, and what is known of the game and the player. Fields of a line that there isn't are null.
+
+    Lines, starters and games are dealt out by game and meet there, then each row moves once more, to its player, where windows
+    make the form and the season, venue and location lines. Structs are made after them, so that counts which nobody reads don't
+    move. Lines against pitchers, far fewer, go to the rows. `parts`: partitions of both, in proportion to the lines.
+    """
     facts = [c for c in games.columns if c not in ("game_id", "season", "venue")]
-    base = opposing_starters(batting, pitching, players).join(games.select("game_id", "season", "venue", F.struct(*facts).alias("game_info")), "game_id")
-    base = base.join(players.select("player_id", F.struct(*(c for c in players.columns if c != "player_id")).alias("player_info")), "player_id", "left")
-    base = base.withColumn("location", F.when(F.col("team") == "home", "Home").otherwise("Away")).withColumn("against", F.when(F.col("throws") == "R", "RHP").when(F.col("throws") == "L", "LHP"))
+    known = games.select("game_id", "season", "venue", *(F.col(c).alias(f"_{c}") for c in facts))
+    home = F.coalesce(F.col("team") == "home", F.lit(False))
+    first = lambda side: F.min_by("player_id", F.when(side, F.struct("pitching_order", "player_id")))
+    starts = _dealt(pitching.where("is_starter"), parts, "game_id").groupBy("game_id").agg(first(home).alias("_at_home"), first(~home).alias("_away"))
+    lines = _dealt(batting, parts, "game_id").groupBy("game_id", "player_id", "team").agg(*_sums(*COUNTS))
+    rows = lines.join(_dealt(known, parts, "game_id"), "game_id").join(starts, "game_id", "left")
+    rows = rows.withColumn("pitcher_id", F.when(F.col("team") == "home", F.col("_away")).when(F.col("team") == "away", F.col("_at_home"))).drop("_at_home", "_away")
+    location = F.when(F.col("team") == "home", "Home").otherwise("Away")
+    once = lambda *keys: (F.row_number().over(W.partitionBy("game_id", "player_id", *keys).orderBy("team")) == 1).cast("int")
+    rows = _dealt(rows.withColumns({"_once": once(), "_once_there": once(location)}), parts, "player_id").withColumn("location", location)
+
+    number = F.dense_rank().over(W.partitionBy("player_id").orderBy("_game_date", "game_id"))
+    steps = (
+        _line_over("at_location", ("player_id", "season", "location"), "_once_there"),
+        _line_over("season_line", ("player_id", "season"), "_once", ~F.col("_is_playoff")),  # sorted already
+        _line_over("at_venue", ("player_id", "venue"), "_once"),
+        ({"_number": number}, None),
+        _form_over("_number"),
+    )
+    rows = reduce(lambda now, step: now.withColumns(step[0]), steps, rows)
+    own = ("game_id", "player_id", "team", "pitcher_id", "season", "venue", "location")
+    rows = rows.select(*own, F.struct(*(F.col(f"_{c}").alias(c) for c in facts)).alias("game_info"), *(struct for _, struct in steps if struct is not None))
+
+    rows = rows.join(players.select("player_id", F.struct(*(c for c in players.columns if c != "player_id")).alias("player_info")), "player_id", "left")
+    arms = players.select(F.col("player_id").alias("pitcher_id"), "throws")
+    rows = rows.join(_sent(arms, arms.count() // 4), "pitcher_id", "left")  # a quarter of a line's bytes
+    rows = rows.withColumn("against", F.when(F.col("throws") == "R", "RHP").when(F.col("throws") == "L", "LHP"))
+    pairs, batters = events.select("batter_id", "pitcher_id").distinct().agg(F.count("*"), F.count_distinct("batter_id")).first()
     packs = (
-        ("form", form_before(batting, games), ("player_id", "game_id")),
-        ("season_line", season_lines(batting, games), ("player_id", "season")),
-        ("matchup", matchup_lines(events).withColumnRenamed("batter_id", "player_id"), ("player_id", "pitcher_id")),
-        ("handedness", handedness_lines(events, games, players).withColumnRenamed("batter_id", "player_id"), ("player_id", "season", "against")),
-        ("at_venue", venue_lines(batting, games), ("player_id", "venue")),
-        ("at_location", home_away_lines(batting, games), ("player_id", "season", "location")),
+        ("matchup", matchup_lines(events), ("player_id", "pitcher_id"), pairs),
+        ("handedness", handedness_lines(events, games, players), ("player_id", "season", "against"), 2 * batters * games.select("season").distinct().count()),
     )
-    for name, lines, keys in packs:
-        values = F.struct(*(c for c in lines.columns if c not in keys)).alias(name)
-        base = base.join(lines.select(*keys, values), list(keys), "left")
-    return base
+    for name, found, keys, n in packs:
+        found = found.withColumnRenamed("batter_id", "player_id")
+        values = F.struct(*(c for c in found.columns if c not in keys)).alias(name)
+        rows = rows.join(_sent(found.select(*keys, values), n), list(keys), "left")
+    return rows
 
 
 def innings_to_outs(innings: Column) -> Column:

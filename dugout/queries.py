@@ -674,7 +674,7 @@ def form_before(spark, sf):
     LEFT JOIN sl ON sl.player_id = b.player_id AND sl.season = g.season LEFT JOIN vl ON vl.player_id = b.player_id AND vl.venue = g.venue LEFT JOIN ll ON ll.player_id = b.player_id AND ll.season = g.season AND ll.team = b.team
     LEFT JOIN ml ON ml.batter_id = b.player_id AND ml.pitcher_id = ot.pitcher_id LEFT JOIN hl ON hl.batter_id = b.player_id AND hl.season = g.season AND hl.against = ot.against""")
 def game_context(spark, sf):
-    rows = S.game_context(B.batting(spark, sf), B.pitching(spark, sf), B.events(spark, sf), B.games(spark, sf), B.players(spark, sf))
+    rows = S.game_context(B.batting(spark, sf), B.pitching(spark, sf), B.events(spark, sf), B.games(spark, sf), B.players(spark, sf), B.parts(spark, sf))
     return rows.selectExpr("game_id", "player_id", "team", "pitcher_id", "throws", "season_line.H AS season_H", "at_venue.H AS venue_H", "at_location.H AS location_H", "matchup.H AS matchup_H", "handedness.H AS arm_H", "form.L5_H", "form.L15_AVG", "game_info.home_team", "player_info.player_name")
 
 

@@ -7,10 +7,12 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from dugout import queries as Q
 from dugout import schemas, session
+from dugout.operators import stats
 from dugout.plans import bridge
 
 SF = "/root/testdata/sf0.001"
@@ -96,6 +98,47 @@ def test_names_of_a_side_meet_where_its_lines_are(spark):
     assert len(got) == 1 and re.search(r"\(game_id#\d+L, \d+\), REPARTITION_BY_NUM", got[0])
 
 
+def test_rows_of_the_context_move_by_game_and_by_player_alone(spark, monkeypatch):
+    """However large Spark takes the lines to be, no kind of line shuffles the rows again."""
+    monkeypatch.setattr(session, "PART_BYTES", 2_000)
+    n = session.parts_of(spark, SF, "lineitem")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = shuffles(Q.QUERIES["game_context"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    dealt = [re.sub(r"#\d+L", "", re.search(r"hashpartitioning\((.*?)\)", x)[1]) for x in got if "REPARTITION_BY_NUM" in x]
+    assert sorted(dealt) == [f"game_id, {n}"] * 3 + [f"player_id, {n}"]
+    assert not [x for x in got if re.search(r"\(player_id#\d+L, [a-z]", x)]
+
+
+@pytest.mark.parametrize("most", [stats.MOST_SENT, 0])
+def test_context_holds_the_lines_of_their_operators(spark, monkeypatch, most):
+    """All fields, with players on both sides of a game, games without a venue or season, and lines too many to send."""
+    monkeypatch.setattr(stats, "MOST_SENT", most)
+    batting, pitching, events, players = (f(spark, SF) for f in (bridge.batting, bridge.pitching, bridge.events, bridge.players))
+    games = bridge.games(spark, SF).withColumns({"venue": F.expr("if(game_id % 5 = 0, null, venue)"), "season": F.expr("if(game_id % 7 = 0, null, season)")})
+    got = stats.game_context(batting, pitching, events, games, players, 3)
+    packs = {
+        "form": (stats.form_before(batting, games), ["player_id", "game_id"]),
+        "season_line": (stats.season_lines(batting, games), ["player_id", "season"]),
+        "matchup": (stats.matchup_lines(events).withColumnRenamed("batter_id", "player_id"), ["player_id", "pitcher_id"]),
+        "handedness": (stats.handedness_lines(events, games, players).withColumnRenamed("batter_id", "player_id"), ["player_id", "season", "against"]),
+        "at_venue": (stats.venue_lines(batting, games), ["player_id", "venue"]),
+        "at_location": (stats.home_away_lines(batting, games), ["player_id", "season", "location"]),
+        "starter": (stats.opposing_starters(batting, pitching, players), ["game_id", "player_id", "team"]),
+    }
+    both = got.withColumn("starter", F.struct("pitcher_id", "throws"))
+    for name, (lines, keys) in packs.items():
+        assert set(lines.columns) - set(keys) == set(both.schema[name].dataType.names)
+        both = both.join(lines.select(*keys, F.struct(*both.schema[name].dataType.names).alias(f"want_{name}")), keys, "left")
+    said = lambda c: F.coalesce(F.to_json(c), F.lit("{}"))
+    row = both.agg(F.count("*").alias("n"), F.count_distinct("game_id", "player_id", "team").alias("rows"), *(F.count_if(said(c) != said(f"want_{c}")).alias(c) for c in packs), *(F.count_if(said(c) != "{}").alias(f"held_{c}") for c in packs)).first()
+    assert row["n"] == row["rows"] == batting.join(games, "game_id").select("game_id", "player_id", "team").distinct().count()
+    assert [c for c in packs if row[c]] == [] and all(row[f"held_{c}"] for c in packs)
+
+
 _DIFFERENCES = ("drill_down", "batch_report", "discrepancy_unpivot", "reconcile_accuracy")
 
 
